@@ -108,5 +108,9 @@ FROM lineitem JOIN orders ON l_orderkey = o_orderkey JOIN part ON l_partkey = p_
 
 def with_views(sql: str) -> str:
     """Prefix an oracle query with the three adapter views as CTEs."""
-    return (f"WITH txn_events AS ({TXN_EVENTS_SQL}), txn_orders AS ({TXN_ORDERS_SQL}), "
-            f"scored_lines AS ({SCORED_LINES_SQL}) {sql}")
+    views = (f"txn_events AS ({TXN_EVENTS_SQL}), txn_orders AS ({TXN_ORDERS_SQL}), "
+             f"scored_lines AS ({SCORED_LINES_SQL})")
+    body = sql.lstrip()
+    if body[:5].upper() == "WITH ":
+        return f"WITH {views}, {body[5:]}"
+    return f"WITH {views} {body}"
