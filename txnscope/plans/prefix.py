@@ -32,13 +32,16 @@ def _n_ranges(df: DataFrame, ranges: int | None) -> int:
 
 def prefix_sum(df: DataFrame, order: str, sums: list[str], descending: bool = False,
                tie: list[str] | None = None, ranges: int | None = None,
-               suffix: str = "_cum", inclusive: bool = True) -> DataFrame:
+               suffix: str = "_cum", inclusive: bool = True,
+               by: list[str] | None = None) -> DataFrame:
     """Add ``<col><suffix>`` running sums of ``sums`` in the order of ``order``.
 
     ``order`` must be numeric (cast timestamps to micros first).  Rows with
     equal ``order`` are ordered by ``tie`` when given; with
-    ``inclusive=True`` the current row is included.
+    ``inclusive=True`` the current row is included.  ``by`` restarts the sums
+    per group (cut points are shared by all groups).
     """
+    by = by or []
     p = _n_ranges(df, ranges)
     probs = [i / p for i in range(1, p)]
     cuts = df.agg(F.percentile_approx(F.col(order).cast("double"), probs, 10000).alias("_cuts"))
@@ -48,18 +51,20 @@ def prefix_sum(df: DataFrame, order: str, sums: list[str], descending: bool = Fa
 
     okey = F.col(order).desc() if descending else F.col(order).asc()
     tie_keys = [F.col(t).asc_nulls_last() for t in (tie or [])]
-    w = Window.partitionBy("_rng").orderBy(okey, *tie_keys)
+    w = Window.partitionBy(*by, "_rng").orderBy(okey, *tie_keys)
     frame = w.rowsBetween(Window.unboundedPreceding, 0 if inclusive else -1)
     for s in sums:
         x = x.withColumn(f"_run_{s}", F.coalesce(F.sum(s).over(frame), F.lit(0)))
 
-    totals = x.groupBy("_rng").agg(*[F.sum(s).alias(f"_tot_{s}") for s in sums])
+    totals = x.groupBy(*by, "_rng").agg(*[F.sum(s).alias(f"_tot_{s}") for s in sums])
     rkey = F.col("_rng").desc() if descending else F.col("_rng").asc()
-    # at most P rows: a single ordered window over them is bounded
-    wo = Window.orderBy(rkey).rowsBetween(Window.unboundedPreceding, -1)
-    offsets = totals.select("_rng", *[F.coalesce(F.sum(f"_tot_{s}").over(wo), F.lit(0))
-                                      .alias(f"_off_{s}") for s in sums])
-    x = x.join(F.broadcast(offsets), "_rng", "left")
+    # at most P rows per group: an ordered window over them is bounded
+    wo = Window.partitionBy(*by).orderBy(rkey).rowsBetween(Window.unboundedPreceding, -1)
+    offsets = totals.select(*by, "_rng", *[F.coalesce(F.sum(f"_tot_{s}").over(wo), F.lit(0))
+                                           .alias(f"_off_{s}") for s in sums])
+    if not by:
+        offsets = F.broadcast(offsets)
+    x = x.join(offsets, [*by, "_rng"], "left")
     for s in sums:
         x = x.withColumn(f"{s}{suffix}", F.col(f"_run_{s}") + F.col(f"_off_{s}"))
     return x.drop("_rng", *[f"_run_{s}" for s in sums], *[f"_off_{s}" for s in sums])
