@@ -105,10 +105,11 @@ def mutual_information(df: DataFrame, cols: list[str], label: str = "y",
     q = df.agg(*[F.percentile_approx(F.coalesce(F.col(c).cast("double"), F.lit(0.0)), probs, 10000)
                  .alias(f"_q_{c}") for c in cols])
     x = with_scalars(df, q)
-    binned = x.select(F.col(label).alias("_y"), *[
-        F.size(F.filter(F.array_distinct(F.col(f"_q_{c}")),
-                        lambda e, c=c: e < F.coalesce(F.col(c).cast("double"), F.lit(0.0))))
-        .alias(c) for c in cols])
+    def bin_of(c):
+        v = F.coalesce(F.col(c).cast("double"), F.lit(0.0))
+        return F.size(F.filter(F.array_distinct(F.col(f"_q_{c}")), lambda e: e < v))
+
+    binned = x.select(F.col(label).alias("_y"), *[bin_of(c).alias(c) for c in cols])
     long = binned.unpivot(["_y"], cols, "variable", "bin")
     cells = long.groupBy("variable", "bin", "_y").agg(F.count(F.lit(1)).alias("n"))
     pb = cells.groupBy("variable", "bin").agg(F.sum("n").alias("_nb"))
