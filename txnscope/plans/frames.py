@@ -43,9 +43,10 @@ def with_scalars(df: DataFrame, scalars: DataFrame) -> DataFrame:
     ``scalars`` must be a global aggregate (exactly one row), so broadcasting
     it is bounded by construction; the join is an equi-join on a constant.
     """
-    return (df.withColumn("_one", F.lit(1))
-            .join(F.broadcast(scalars.withColumn("_one", F.lit(1))), "_one")
-            .drop("_one"))
+    key = "__scalar_key"
+    return (df.withColumn(key, F.lit(1))
+            .join(F.broadcast(scalars.withColumn(key, F.lit(1))), key)
+            .drop(key))
 
 
 def align_columns(df: DataFrame, columns: list[str], fill=0) -> DataFrame:
