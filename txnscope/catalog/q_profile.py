@@ -454,7 +454,7 @@ SELECT '{c}' AS variable, d FROM (
          sqrt(((count(v) FILTER (WHERE g = 'BUILDING') - 1) * var_samp(v) FILTER (WHERE g = 'BUILDING') +
                (count(v) FILTER (WHERE g = 'AUTOMOBILE') - 1) * var_samp(v) FILTER (WHERE g = 'AUTOMOBILE')) /
               (count(v) FILTER (WHERE g = 'BUILDING') + count(v) FILTER (WHERE g = 'AUTOMOBILE') - 2)) AS d
-  FROM (SELECT client_id, first(segment) AS g, avg(CAST({c} AS DOUBLE)) AS v FROM txn_orders GROUP BY client_id))"""
+  FROM (SELECT client_id, min(segment) AS g, avg(CAST({c} AS DOUBLE)) AS v FROM txn_orders GROUP BY client_id))"""
     for c in ["amount", "y", "region"])
 COHEN_SQL = f"""SELECT variable, r6(d) AS d,
   CASE WHEN abs(d) < 0.2 THEN 'despreciable' WHEN abs(d) < 0.5 THEN 'chico' WHEN abs(d) < 0.8 THEN 'mediano'

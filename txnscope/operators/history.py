@@ -178,3 +178,34 @@ def group_value_to_rows(df: DataFrame, value: str, by: list[str] | None = None,
         return df.withColumn("_one", F.lit(1)).join(F.broadcast(agg), "_one").drop("_one")
     agg = df.groupBy(*by).agg(F.avg(value).alias(name))
     return df.join(agg, by, "left")
+
+
+def expanding_mode(df: DataFrame, value: str, name: str, key: str = "client_id",
+                   ts: str = "ts", tie: str = "txn_id") -> DataFrame:
+    """most frequent ``value`` among the client's earlier rows (smallest value on
+    ties; null for the first row).  Running per-value counts, then a running
+    max_by over them: counts only grow, so the max of (count, −value) seen so far
+    is the mode of the prefix.  ``value`` must be a small non-negative integer code."""
+    order = [F.col(ts).asc_nulls_last(), F.col(tie).asc_nulls_last()]
+    wv = Window.partitionBy(key, value).orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
+    x = df.withColumn("_cnt", F.count(F.lit(1)).over(wv))
+    w = Window.partitionBy(key).orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)
+    score = F.col("_cnt").cast("double") * 1e6 - F.col(value).cast("double")
+    return x.withColumn(name, F.max_by(F.col(value), score).over(w)).drop("_cnt")
+
+
+def client_profile_features(df: DataFrame, key: str = "client_id", ts: str = "ts",
+                            tie: str = "txn_id", amount: str = "amount",
+                            flag: str | None = None) -> DataFrame:
+    """running mean spend, coefficient of variation (sd / mean of earlier rows),
+    running share of a flag (e.g. card-not-present), favourite hour and weekday."""
+    order = [F.col(ts).asc_nulls_last(), F.col(tie).asc_nulls_last()]
+    w = Window.partitionBy(key).orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)
+    x = df.withColumn("running_mean", F.avg(amount).over(w)).withColumn(
+        "running_cv", F.stddev_samp(amount).over(w) / F.avg(amount).over(w))
+    if flag:
+        x = x.withColumn("running_flag_share", F.avg(F.col(flag).cast("double")).over(w))
+    x = x.withColumn("_hour", F.hour(ts)).withColumn("_wd", F.weekday(ts))
+    x = expanding_mode(x, "_hour", "fav_hour", key, ts, tie)
+    x = expanding_mode(x, "_wd", "fav_weekday", key, ts, tie)
+    return x.drop("_hour", "_wd")

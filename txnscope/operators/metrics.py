@@ -60,25 +60,33 @@ def add_rates(g: DataFrame) -> DataFrame:
 
 
 # ---------------------------------------------------------------- curves
-def score_groups(df: DataFrame, score: str = "score", label: str = "y") -> DataFrame:
-    """Collapse to (score, n, pos, neg); partial aggregation before the shuffle."""
+def score_groups(df: DataFrame, score: str = "score", label: str = "y",
+                 by: list[str] | None = None) -> DataFrame:
+    """Collapse to (by…, score, n, pos, neg); partial aggregation before the shuffle."""
     return (
         df.where(F.col(score).isNotNull())
-        .groupBy(F.col(score).cast("double").alias("score"))
+        .groupBy(*(by or []), F.col(score).cast("double").alias("score"))
         .agg(F.count(F.lit(1)).alias("n"), F.sum(F.col(label)).cast("long").alias("pos"))
         .withColumn("neg", F.col("n") - F.col("pos"))
     )
 
 
-def curve(df: DataFrame, score: str = "score", label: str = "y") -> DataFrame:
-    """M4: ROC / PR points, one row per distinct score (alert when >= score)."""
-    g = score_groups(df, score, label)
-    c = prefix_sum(g, "score", ["n", "pos", "neg"], descending=True)
-    tot = g.agg(F.sum("pos").alias("_pos_all"), F.sum("neg").alias("_neg_all"))
-    c = with_scalars(c, tot)
+def curve(df: DataFrame, score: str = "score", label: str = "y",
+          by: list[str] | None = None) -> DataFrame:
+    """M4: ROC / PR points, one row per distinct score (alert when >= score),
+    optionally per group ``by`` (one pass, grouped prefix sums)."""
+    by = by or []
+    g = score_groups(df, score, label, by)
+    c = prefix_sum(g, "score", ["n", "pos", "neg"], descending=True, by=by)
+    if by:
+        tot = g.groupBy(*by).agg(F.sum("pos").alias("_pos_all"), F.sum("neg").alias("_neg_all"))
+        c = c.join(tot, by)
+    else:
+        tot = g.agg(F.sum("pos").alias("_pos_all"), F.sum("neg").alias("_neg_all"))
+        c = with_scalars(c, tot)
     tp, fp = F.col("pos_cum"), F.col("neg_cum")
     return c.select(
-        "score", "n", "pos", "neg",
+        *by, "score", "n", "pos", "neg",
         F.col("n_cum").alias("alerts"), tp.alias("tp"), fp.alias("fp"),
         (F.col("_pos_all") - tp).alias("fn"), (F.col("_neg_all") - fp).alias("tn"),
         F.col("_pos_all").alias("total_pos"), F.col("_neg_all").alias("total_neg"),
@@ -90,6 +98,17 @@ def curve(df: DataFrame, score: str = "score", label: str = "y") -> DataFrame:
     )
 
 
+def grouped_ranking(df: DataFrame, score: str, label: str, by: list[str]) -> DataFrame:
+    """AP and ROC AUC per group."""
+    c = curve(df, score, label, by)
+    num_ap = F.sum(F.col("pos") * F.col("tp") / F.col("alerts"))
+    num_auc = F.sum(F.col("pos") * (F.col("total_neg") - F.col("fp") + 0.5 * F.col("neg")))
+    return c.groupBy(*by).agg(
+        F.when(F.max("total_pos") > 0, num_ap / F.max("total_pos")).alias("average_precision"),
+        F.when(F.max("total_pos") * F.max("total_neg") > 0,
+               num_auc / (F.max("total_pos") * F.max("total_neg"))).alias("roc_auc"))
+
+
 def average_precision(c: DataFrame) -> DataFrame:
     """M3 from a curve: Σ pos_s / P · precision_s."""
     return c.agg((F.sum(F.col("pos") * F.col("tp") / F.col("alerts")) / F.max("total_pos"))

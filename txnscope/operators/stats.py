@@ -172,7 +172,7 @@ def psi(props: DataFrame, ref: str = "ref_prop", new: str = "new_prop",
 def cohens_d(df: DataFrame, key: str, group: str, cols: list[str], g1, g2) -> DataFrame:
     """Cohen's d per variable on entity-level means between two groups,
     pooled sample variance; magnitude label."""
-    per = df.groupBy(key).agg(F.first(group, True).alias("_g"),
+    per = df.groupBy(key).agg(F.min(group).alias("_g"),
                               *[F.avg(F.col(c).cast("double")).alias(c) for c in cols])
     aggs = []
     for c in cols:

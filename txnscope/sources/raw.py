@@ -33,9 +33,8 @@ def raw_transactions(spark: SparkSession, sf_dir: str) -> DataFrame:
         (F.col("code") / 7).cast("int").alias("terminal"),
         F.when(F.col("amount") > 50, F.lit(2)).otherwise(F.lit(1)).alias("currency"),
         F.date_format(birth, "dd/MM/yyyy").alias("birth_txt"),
-        F.when(F.col("category").isin("click", "purchase"), F.lit("F"))
-        .when(F.col("category").isin("view", "signup"), F.lit("M"))
-        .otherwise(F.lit("X")).alias("sex"),
+        F.when((F.col("category") == "error") & (F.col("code") >= 95), F.lit("X"))
+        .when(F.col("client_id") % 2 == 0, F.lit("F")).otherwise(F.lit("M")).alias("sex"),
         F.col("y"),
     )
 
@@ -52,8 +51,8 @@ SELECT txn_id, client_id, ts, amount, code, category,
        CAST(trunc(code / 7) AS INT) AS terminal,
        CASE WHEN amount > 50 THEN 2 ELSE 1 END AS currency,
        strftime(DATE '1950-01-01' + CAST(client_id * 7 AS INT), '%d/%m/%Y') AS birth_txt,
-       CASE WHEN category IN ('click', 'purchase') THEN 'F'
-            WHEN category IN ('view', 'signup') THEN 'M' ELSE 'X' END AS sex,
+       CASE WHEN category = 'error' AND code >= 95 THEN 'X'
+            WHEN client_id % 2 = 0 THEN 'F' ELSE 'M' END AS sex,
        y
 FROM txn_events
 """
