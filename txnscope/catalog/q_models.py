@@ -2,8 +2,8 @@
 
 Models are stochastic or iterative, so these are rows-only checks; the
 invariants are exercised in tests.  The model table is the J13-preprocessed
-``txn_orders`` with a stratified 64/16/20 split, checkpointed once (lineage
-cut in the shared checkpoint folder) before the iterative fits.
+``txn_orders`` with a stratified 64/16/20 split, written once to the shared
+checkpoint folder (lineage cut) before the iterative fits.
 """
 
 from __future__ import annotations
@@ -15,13 +15,14 @@ from pyspark.sql import functions as F
 
 from txnscope.catalog.q_prep import SPLIT3, features
 from txnscope.catalog.registry import query
+from txnscope.plans.frames import materialize
 from txnscope.operators import encode as J
 from txnscope.operators import models as L
 from txnscope.operators import split as K
 from txnscope.operators.metrics import confusion, curve, best_f1_threshold, ranking_summary
 from txnscope.operators.order import chronological_cut
 from txnscope.plans.frames import with_scalars
-from txnscope.session import checkpoint_dir, scratch_path
+from txnscope.session import scratch_path
 from txnscope.sources import files as A
 from txnscope.sources import registry as REG
 
@@ -36,8 +37,7 @@ def model_data(spark, sf_dir):
     x = pp.transform(s)
     w = J.class_weights(x.where(F.col("split") == "fit"))
     x = J.with_weight(x, w)
-    checkpoint_dir(spark)
-    return x.checkpoint(), pp.columns
+    return materialize(x, "model-table"), pp.columns
 
 
 def _parts(x):

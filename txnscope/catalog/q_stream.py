@@ -22,7 +22,7 @@ def _events(spark, sf_dir):
     return txn_events(spark, sf_dir).withColumn("ts", F.col("ts").cast("timestamp"))
 
 
-def _replay(spark, df, name, slice_days=3, per_trigger=2):
+def _replay(spark, df, name, slice_days=5, per_trigger=3):
     path = S.new_run_dir(spark, name)
     S.write_time_slices(df, "ts", f"{path}/in", slice_days)
     return path, S.read_slices(spark, f"{path}/in", df.schema, per_trigger)

@@ -58,3 +58,16 @@ def align_columns(df: DataFrame, columns: list[str], fill=0) -> DataFrame:
 def safe_div(a: Column, b: Column, default=None) -> Column:
     d = F.lit(default) if default is not None else F.lit(None)
     return F.when(b != 0, a / b).otherwise(d)
+
+
+def materialize(df: DataFrame, name: str) -> DataFrame:
+    """Cut the lineage of a table reused by several branches: write it as parquet in
+    the shared checkpoint folder (``spark.checkpoint.dir``) and read it back.  A lost
+    executor then only costs re-reading files, not re-running the upstream shuffles."""
+    import uuid
+
+    from txnscope.session import scratch_path
+
+    path = scratch_path(df.sparkSession, f"{name}-{uuid.uuid4().hex[:12]}")
+    df.write.mode("overwrite").parquet(path)
+    return df.sparkSession.read.parquet(path)
