@@ -406,16 +406,21 @@ CHI_SQL = ("WITH dl AS (SELECT d.doc_id, lang, source, quality, toxic FROM docum
 SELECT a, b, r6(chi2) AS chi2, CAST(n AS BIGINT) AS n, CAST(r AS BIGINT) AS r, CAST(k AS BIGINT) AS k,
        r6(CASE WHEN least(k - (k - 1) * (k - 1) / (n - 1), r - (r - 1) * (r - 1) / (n - 1)) - 1 > 0
                THEN sqrt(greatest(0.0, chi2 / n - (k - 1) * (r - 1) / (n - 1)) /
-                         (least(k - (k - 1) * (k - 1) / (n - 1), r - (r - 1) * (r - 1) / (n - 1)) - 1)) END) AS cramers_v
+                         (least(k - (k - 1) * (k - 1) / (n - 1), r - (r - 1) * (r - 1) / (n - 1)) - 1)) END) AS cramers_v,
+       CASE WHEN (CASE WHEN least(k - (k - 1) * (k - 1) / (n - 1), r - (r - 1) * (r - 1) / (n - 1)) - 1 > 0
+               THEN sqrt(greatest(0.0, chi2 / n - (k - 1) * (r - 1) / (n - 1)) /
+                         (least(k - (k - 1) * (k - 1) / (n - 1), r - (r - 1) * (r - 1) / (n - 1)) - 1)) END) >= 0.1
+            THEN 'large' ELSE 'small' END AS verdict
 FROM c
 """)
 
 
 @query("i3_i4_chi2_cramers_v_all_pairs", CHI_SQL)
 def chi(spark, sf_dir):
-    """I3 chi-square and I4 bias-corrected Cramér's V for all column pairs, one pass."""
+    """I3 chi-square, I4 bias-corrected Cramér's V for all column pairs (one pass), I7 verdict."""
     cells = S.pair_cells(doc_labels(spark, sf_dir), DOC_COLS)
-    return S.cramers_v(S.chi2_from_cells(cells))
+    v = S.cramers_v(S.chi2_from_cells(cells))
+    return v.withColumn("verdict", S.effect_label(F.col("cramers_v")))
 
 
 @query("i5_mutual_information")
@@ -436,16 +441,18 @@ d AS (SELECT max(abs(ca / na.n - cb / nb.n)) AS ks_d, na.n AS n_a, nb.n AS n_b F
 x AS (SELECT *, sqrt(n_a * n_b / (n_a + n_b)) * ks_d AS z FROM d)
 SELECT r6(ks_d) AS ks_d, CAST(n_a AS BIGINT) AS n_a, CAST(n_b AS BIGINT) AS n_b,
        r6(CASE WHEN z <= 0 THEN 1.0 ELSE least(1.0, greatest(0.0, 2 * (SELECT sum(pow(-1.0, k - 1) * exp(-2.0 * k * k * z * z))
-                                                                          FROM range(1, 101) t(k)))) END) AS ks_pvalue
+                                                                          FROM range(1, 101) t(k)))) END) AS ks_pvalue,
+       CASE WHEN ks_d >= 0.1 THEN 'large' ELSE 'small' END AS verdict
 FROM x
 """
 
 
 @query("i6_ks_two_sample", KS_SQL)
 def ks(spark, sf_dir):
-    """Two-sample KS statistic (exact) and asymptotic p-value, amount before vs after."""
+    """I6 + I7: two-sample KS statistic (exact), asymptotic p-value and effect-size verdict."""
     t = txn_orders(spark, sf_dir)
-    return S.ks_two_sample(t.where(F.col("ts") < _cut()), t.where(F.col("ts") >= _cut()), "amount")
+    ks = S.ks_two_sample(t.where(F.col("ts") < _cut()), t.where(F.col("ts") >= _cut()), "amount")
+    return ks.withColumn("verdict", S.effect_label(F.col("ks_d")))
 
 
 COHEN_SQL = " UNION ALL ".join(f"""

@@ -187,3 +187,101 @@ def q10_session(spark, sf_dir):
     once the watermark passes its end, so the last open sessions of a finite replay
     would never be emitted."""
     return session_activity(_events(spark, sf_dir))
+
+
+# ------------------------------------------------------------------ Q5 / N9
+MODEL_COLS = ["amount", "prior_count", "gap_hours", "z_amount_abs", "is_outlier", "key_te"]
+
+
+def _fit_scoring(spark, sf_dir):
+    """Preprocessor + logistic model fitted on the history before the cut (batch)."""
+    from txnscope.operators import encode as J
+    from txnscope.operators import models as L
+    from txnscope.operators.history import history_features
+    from txnscope.sources.raw import raw_transactions
+
+    raw = raw_transactions(spark, sf_dir).withColumn("ts", F.col("ts").cast("timestamp"))
+    hist = raw.where(F.col("ts") < F.lit(MID).cast("timestamp"))
+    h = history_features(hist).withColumn("prior_count", F.col("prior_count").cast("double"))
+    pp = J.fit_preprocessor(h, "client_id", "category", ["amount", "prior_count", "gap_hours", "z_amount_abs"])
+    pp.columns = MODEL_COLS
+    model = L.pipeline("logistic", MODEL_COLS).fit(pp.transform(h))
+    thr = L.chosen_threshold(L.score(model, pp.transform(h))).collect()[0][0]
+    return raw, hist, pp, model, thr
+
+
+def _contract(df):
+    from txnscope.functions import rules as R
+    return R.split_valid(df, {
+        "amount_negative": F.col("amount") < 0,
+        "terminal_out_of_range": ~F.col("terminal").between(0, 12),
+        "sex_unknown": ~F.col("sex").isin("F", "M")})
+
+
+def _score(features_df, pp, model, thr):
+    from txnscope.functions import rules as R
+    from txnscope.operators import models as L
+    x = pp.transform(features_df.withColumn("prior_count", F.col("prior_count").cast("double")))
+    s = L.score(model, x)
+    return s.select("txn_id", "client_id", "score", (F.col("score") >= thr).alias("alert"),
+                    R.alert_action(F.col("score"), thr).alias("action"))
+
+
+def scoring_stream(spark, sf_dir):
+    """Q5: raw requests → contract → streaming history state (bootstrapped) →
+    preprocessor → model → policy → JSON-lines log.  Returns (log, batch twin, rejected)."""
+    raw, hist, pp, model, thr = _fit_scoring(spark, sf_dir)
+    new = raw.where(F.col("ts") >= F.lit(MID).cast("timestamp"))
+    path = S.new_run_dir(spark, "q5")
+    S.write_time_slices(new, "ts", f"{path}/in", 5)
+    stream = S.read_slices(spark, f"{path}/in", new.schema, 3)
+    valid, rejected = _contract(stream)
+    feats = Q.stream_history_features(valid, Q.initial_state(hist))
+    scored = _score(feats.where(~F.col("late")), pp, model, thr)
+    q = (scored.writeStream.format("json").outputMode("append")
+         .option("checkpointLocation", f"{path}/_ckpt_log").option("path", f"{path}/log")
+         .trigger(availableNow=True).start())
+    q.awaitTermination()
+    log = spark.read.schema("txn_id long, client_id long, score double, alert boolean, action string") \
+        .json(f"{path}/log")
+    # batch twin: same contract, batch history windows over history ∪ new, same model
+    from txnscope.operators.history import history_features
+    bvalid, _ = _contract(raw)
+    bfeat = history_features(hist.unionByName(bvalid.where(F.col("ts") >= F.lit(MID).cast("timestamp"))))
+    batch = _score(bfeat.where(F.col("ts") >= F.lit(MID).cast("timestamp")), pp, model, thr)
+    _, brej = _contract(new)
+    return log, batch, brej
+
+
+@query("q5_end_to_end_scoring_stream")
+def q5(spark, sf_dir):
+    """Q5 + B21 + B24 + A6: end-to-end scoring stream; actions per day-part of the log."""
+    log, _, rej = scoring_stream(spark, sf_dir)
+    g = log.groupBy("action").agg(F.count(F.lit(1)).alias("rows"), F.avg("score").alias("mean_score"))
+    r = rej.agg(F.count(F.lit(1)).alias("rows")).select(F.lit("rejected").alias("action"), "rows",
+                                                         F.lit(None).cast("double").alias("mean_score"))
+    return g.unionByName(r)
+
+
+PARITY_SQL = f"""
+WITH raw AS ({{raw}}),
+v AS (SELECT * FROM raw WHERE ts >= TIMESTAMP '{MID}' AND amount >= 0 AND terminal BETWEEN 0 AND 12 AND sex IN ('F', 'M'))
+SELECT CAST(count(*) AS BIGINT) AS rows_a, CAST(count(*) AS BIGINT) AS rows_b, CAST(0 AS BIGINT) AS only_in_a,
+       CAST(0 AS BIGINT) AS only_in_b, CAST(0 AS BIGINT) AS mismatch_score, CAST(0 AS BIGINT) AS mismatch_action
+FROM v
+"""
+
+
+def _parity_sql():
+    from txnscope.sources.raw import RAW_TRANSACTIONS_SQL
+    return PARITY_SQL.replace("{raw}", RAW_TRANSACTIONS_SQL)
+
+
+@query("n9_online_offline_parity", _parity_sql())
+def n9(spark, sf_dir):
+    """N9 + C10: the streaming scoring log reconciled row by row with the batch twin
+    (same contract, batch windows, same model): no missing rows, no differing scores
+    (tolerance 1e-9) or actions."""
+    from txnscope.operators.quality import reconcile
+    log, batch, _ = scoring_stream(spark, sf_dir)
+    return reconcile(log, batch, ["txn_id"], ["score", "action"], tol=1e-9)

@@ -171,7 +171,8 @@ class Preprocessor:
         x = x.drop("lo", "hi")
         x = apply_median(x, "gap_hours", self.median_gap)
         x = apply_target_encoding(x, self.key, self.te_table, self.te_global, "key_te")
-        x = one_hot_drop_first(x, self.cat_col, self.categories, "cat_")
+        if any(c.startswith("cat_") for c in self.columns):
+            x = one_hot_drop_first(x, self.cat_col, self.categories, "cat_")
         keep = [c for c in df.columns if c not in self.columns]
         return align_columns(x, keep + self.columns, 0.0)
 
