@@ -374,3 +374,20 @@ def o2(spark, sf_dir):
     log = scratch_path(spark, "decision-log")
     A.append_log(d, log)
     return d
+
+
+@query("l9_isolation_forest")
+def isolation(spark, sf_dir):
+    """Isolation forest (100 trees, ≤ 256 rows each) fitted on the fit part;
+    contamination = min(0.05, 3·positive rate); flag quality on test."""
+    from txnscope.operators import anomaly as AN
+    x, cols = model_data(spark, sf_dir)
+    fit, _, test = _parts(x)
+    num = ["amount", "prior_count", "gap_hours", "is_outlier", "key_te"]
+    nodes = AN.fit_isolation_forest(fit, num, "txn_id", trees=100, sample=256)
+    rate = fit.agg(F.avg("y")).collect()[0][0]
+    cont = min(0.05, 3 * rate)
+    s = AN.flag_top(AN.score_isolation_forest(test, nodes, num), "anomaly_score", cont)
+    c = confusion(s, "anomaly", "y").select("precision", "recall", "f1", "alert_rate")
+    r = ranking_summary(s, "anomaly_score", "y").select("roc_auc", "average_precision")
+    return with_scalars(c, r).withColumn("contamination", F.lit(float(cont)))

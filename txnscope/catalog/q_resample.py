@@ -55,3 +55,33 @@ def group_gap(spark, sf_dir):
     draws = B.cluster_bootstrap_f1(e, "client_id", b=300, seed=3, group="sex")
     obs = confusion(e, "p", "y", by=["sex"]).select("sex", "recall")
     return B.group_gap(draws, "sex", "recall", obs)
+
+
+@query("o9_weighted_sampling_with_replacement")
+def o9_sample(spark, sf_dir):
+    """5,000 draws with replacement weighted by amount; drawn rows, distinct rows and
+    the sample mean next to the exact weighted mean Σa²/Σa it estimates."""
+    from txnscope.sources import txn_events
+    e = txn_events(spark, sf_dir)
+    s = B.weighted_sample(e, "amount", 5000, "txn_id")
+    exp = e.agg((F.sum(F.col("amount") * F.col("amount")) / F.sum("amount")).alias("weighted_mean"))
+    got = s.agg(F.count(F.lit(1)).alias("draws"), F.count_distinct("txn_id").alias("distinct_rows"),
+                F.avg("amount").alias("sample_mean"))
+    return with_scalars(got, exp)
+
+
+MOVE_SQL = """
+WITH c AS (SELECT count(*) FILTER (WHERE category = 'view') AS nv FROM txn_events),
+m AS (SELECT CAST(round(nv * 0.2) AS BIGINT) AS moved FROM c),
+b AS (SELECT category, count(*) AS n FROM txn_events GROUP BY category)
+SELECT category, CAST(CASE WHEN category = 'view' THEN n - moved WHEN category = 'purchase' THEN n + moved ELSE n END AS BIGINT) AS rows
+FROM b, m
+"""
+
+
+@query("o9_share_limited_move", MOVE_SQL)
+def o9_move(spark, sf_dir):
+    """Move exactly 20 % of 'view' rows to 'purchase' (hash-rank quota)."""
+    from txnscope.sources import txn_events
+    e = B.move_share(txn_events(spark, sf_dir), "category", "view", "purchase", 0.2, "txn_id")
+    return e.groupBy("category").agg(F.count(F.lit(1)).alias("rows"))

@@ -100,7 +100,8 @@ def poisson_counts(df: DataFrame, mean: str, key: list[str], b: int, seed: int,
     drawn in Arrow batches from a hash seed."""
     x = _explode_reps(df, b).withColumn("_h", F.xxhash64(*[F.col(k) for k in key], F.col("rep"),
                                                          F.lit(seed)))
-    schema = x.drop("_h").schema.add(name, "long")
+    from pyspark.sql import types as T
+    schema = T.StructType(list(x.drop("_h").schema.fields) + [T.StructField(name, T.LongType())])
 
     def draw(batches):
         for pdf in batches:
@@ -224,3 +225,59 @@ def confusion_cells(df: DataFrame, pred: str | Column, label: str = "y") -> Data
     return df.agg(*[F.sum(F.when(c, 1).otherwise(0)).cast("long").alias(n) for n, c in (
         ("tp", (p == 1) & (y == 1)), ("fp", (p == 1) & (y == 0)),
         ("fn", (p == 0) & (y == 1)), ("tn", (p == 0) & (y == 0)))])
+
+
+# ------------------------------------------------------------------- O9
+def _hash01(*cols) -> Column:
+    """Uniform in [0, 1) from a 64-bit hash of the given columns."""
+    return (F.xxhash64(*cols).bitwiseAND(F.lit((1 << 53) - 1))).cast("double") / float(1 << 53)
+
+
+def weighted_sample(df: DataFrame, weight: str, m: int, id_col: str, seed: int = 11,
+                    ranges: int | None = None) -> DataFrame:
+    """M draws with replacement, row i drawn with probability w_i / W (exact).
+
+    Rows get cumulative intervals [start, start + w) from a distributed prefix sum;
+    draw j falls at u_j·W.  Rows and draws are cut into the same value ranges; inside
+    a range each draw takes the last row starting at or before it (as-of lookup with
+    an ordered window), and every range also receives the row covering its lower
+    boundary, so no draw crosses a range.  Returns the drawn rows with ``draw_id``."""
+    spark = df.sparkSession
+    p = ranges or max(2, int(spark.conf.get("spark.sql.shuffle.partitions", "8")))
+    rows = df.where(F.col(weight) > 0).withColumn("_w", F.col(weight).cast("double"))
+    rows = prefix_sum(rows, id_col, ["_w"]).withColumn("_start", F.col("_w_cum") - F.col("_w"))
+    total = rows.agg(F.sum("_w").alias("_W"))
+    cuts = rows.agg(F.percentile_approx("_start", [i / p for i in range(1, p)], 10000).alias("_cuts"))
+    rng = lambda c: F.size(F.filter("_cuts", lambda x: x <= c))
+    r = with_scalars(rows, cuts).withColumn("_r", rng(F.col("_start")))
+    draws = with_scalars(with_scalars(spark.range(m).withColumnRenamed("id", "draw_id"), total), cuts)
+    draws = draws.withColumn("_u", _hash01(F.col("draw_id"), F.lit(seed)) * F.col("_W")) \
+        .withColumn("_r", rng(F.col("_u")))
+    # row covering the lower boundary of each range = last row of the earlier ranges
+    last = r.groupBy("_r").agg(F.max_by(F.struct("_start", id_col), "_start").alias("_l"))
+    from pyspark.sql import Window
+    wl = Window.orderBy("_r").rowsBetween(Window.unboundedPreceding, -1)
+    carry = last.select(F.col("_r"), F.last("_l", True).over(wl).alias("_c")).where(F.col("_c").isNotNull()) \
+        .select("_r", F.col("_c._start").alias("_k"), F.col(f"_c.{id_col}").alias("_row"))
+    keys = (r.select("_r", F.col("_start").alias("_k"), F.col(id_col).alias("_row"))
+            .unionByName(carry).withColumn("draw_id", F.lit(None).cast("long"))
+            .unionByName(draws.select("_r", F.col("_u").alias("_k"), F.lit(None).cast(dict(df.dtypes)[id_col]).alias("_row"),
+                                      "draw_id")))
+    w = Window.partitionBy("_r").orderBy("_k", F.col("draw_id").asc_nulls_first()) \
+        .rowsBetween(Window.unboundedPreceding, 0)
+    hit = keys.withColumn("_pick", F.last("_row", True).over(w)).where(F.col("draw_id").isNotNull())
+    return hit.select("draw_id", F.col("_pick").alias(id_col)).join(df, id_col)
+
+
+def move_share(df: DataFrame, col: str, src: str, dst: str, share: float, id_col: str,
+               seed: int = 5) -> DataFrame:
+    """Move round(share·n_src) rows from category ``src`` to ``dst``, chosen by hash
+    rank (exact quota from a distributed prefix count)."""
+    x = df.withColumn("_is", (F.col(col) == src).cast("long")) \
+        .withColumn("_h", F.xxhash64(F.col(id_col), F.lit(seed)).cast("double"))
+    src_rows = prefix_sum(x.where(F.col("_is") == 1), "_h", ["_is"], tie=[id_col])
+    n = x.agg(F.sum("_is").alias("_n"))
+    src_rows = with_scalars(src_rows, n).withColumn(
+        col, F.when(F.col("_is_cum") <= F.round(F.col("_n") * share), F.lit(dst)).otherwise(F.col(col))) \
+        .drop("_is_cum", "_n")
+    return x.where(F.col("_is") == 0).unionByName(src_rows).drop("_is", "_h")
