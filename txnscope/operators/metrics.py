@@ -77,7 +77,7 @@ def curve(df: DataFrame, score: str = "score", label: str = "y",
     optionally per group ``by`` (one pass, grouped prefix sums)."""
     by = by or []
     g = score_groups(df, score, label, by)
-    c = prefix_sum(g, "score", ["n", "pos", "neg"], descending=True, by=by)
+    c = prefix_sum(g, "score", ["n", "pos", "neg"], descending=True, by=by, materialize_input=True)
     if by:
         tot = g.groupBy(*by).agg(F.sum("pos").alias("_pos_all"), F.sum("neg").alias("_neg_all"))
         c = c.join(tot, by)

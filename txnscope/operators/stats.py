@@ -40,7 +40,7 @@ def average_ranks(df: DataFrame, col: str, name: str) -> DataFrame:
     Ranks come from a distributed prefix count over the distinct values."""
     g = df.where(F.col(col).isNotNull()).groupBy(F.col(col).alias("_v")).agg(
         F.count(F.lit(1)).alias("_c"))
-    p = prefix_sum(g, "_v", ["_c"])
+    p = prefix_sum(g, "_v", ["_c"], materialize_input=True)
     ranks = p.select("_v", (F.col("_c_cum") - F.col("_c") + (F.col("_c") + 1) / 2.0).alias(name))
     return df.join(ranks, df[col] == ranks["_v"], "left").drop("_v")
 
@@ -141,11 +141,11 @@ def ks_two_sample(a: DataFrame, b: DataFrame, col: str, group: list[str] | None
     u = u.where(F.col("_v").isNotNull())
     g = u.groupBy(*group, "_v").agg(F.sum("_ia").alias("_ca"), F.sum("_ib").alias("_cb"))
     if group:
-        c = prefix_sum(g, "_v", ["_ca", "_cb"], by=group)
+        c = prefix_sum(g, "_v", ["_ca", "_cb"], by=group, materialize_input=True)
         tot = g.groupBy(*group).agg(F.sum("_ca").alias("_na"), F.sum("_cb").alias("_nb"))
         c = c.join(tot, group)
     else:
-        c = prefix_sum(g, "_v", ["_ca", "_cb"])
+        c = prefix_sum(g, "_v", ["_ca", "_cb"], materialize_input=True)
         c = with_scalars(c, g.agg(F.sum("_ca").alias("_na"), F.sum("_cb").alias("_nb")))
     d = F.abs(F.col("_ca_cum") / F.col("_na") - F.col("_cb_cum") / F.col("_nb"))
     agg = (c.groupBy(*group) if group else c.groupBy()).agg(

@@ -33,15 +33,22 @@ def _n_ranges(df: DataFrame, ranges: int | None) -> int:
 def prefix_sum(df: DataFrame, order: str, sums: list[str], descending: bool = False,
                tie: list[str] | None = None, ranges: int | None = None,
                suffix: str = "_cum", inclusive: bool = True,
-               by: list[str] | None = None) -> DataFrame:
+               by: list[str] | None = None, materialize_input: bool = False) -> DataFrame:
     """Add ``<col><suffix>`` running sums of ``sums`` in the order of ``order``.
 
     ``order`` must be numeric (cast timestamps to micros first).  Rows with
     equal ``order`` are ordered by ``tie`` when given; with
     ``inclusive=True`` the current row is included.  ``by`` restarts the sums
-    per group (cut points are shared by all groups).
+    per group (cut points are shared by all groups).  ``materialize_input`` writes
+    the input once to the checkpoint folder: worth it for collapsed (aggregated)
+    inputs with an expensive upstream plan, not for row-level inputs read from files.
     """
     by = by or []
+    if materialize_input:
+        # the input feeds three branches (cut points, running sums, range totals); written
+        # once, the upstream plan (joins, aggregations) is not recomputed per branch
+        from txnscope.plans.frames import materialize
+        df = materialize(df, "prefix-input")
     p = _n_ranges(df, ranges)
     probs = [i / p for i in range(1, p)]
     cuts = df.agg(F.percentile_approx(F.col(order).cast("double"), probs, 10000).alias("_cuts"))
