@@ -61,29 +61,38 @@ class ClientHistoryProcessor(StatefulProcessor):
     def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
         pdf = pd.concat(list(rows), ignore_index=True)
         pdf = pdf.sort_values(["ts", "txn_id"], kind="mergesort")
-        known = self.state.exists()
-        if known:
+        if self.state.exists():
             n, mean, m2, last_us = self.state.get()
+            n, last_us = int(n), int(last_us)
         else:
             n, mean, m2, last_us = 0, 0.0, 0.0, None
         ts_us = pdf["ts"].to_numpy(dtype="datetime64[us]").astype(np.int64)
-        out = []
-        for i, (txn, client, amt) in enumerate(pdf[["txn_id", "client_id", "amount"]]
-                                              .itertuples(index=False)):
-            t = int(ts_us[i])
-            late = last_us is not None and t < last_us
-            gap, pc, pm, sd, z, za = features_from_state(n, mean, m2, last_us, float(amt), t)
-            out.append((int(txn), int(client), pdf["ts"].iloc[i], float(amt), gap, pc, pm, sd, z, za,
-                        bool(known or n > 0), bool(late)))
-            if not late:
+        amt = pdf["amount"].to_numpy(dtype=np.float64)
+        k = len(pdf)
+        gap = np.full(k, np.nan)
+        pc = np.zeros(k, dtype=np.int64)
+        pm, sd, z = np.zeros(k), np.zeros(k), np.zeros(k)
+        known, late = np.zeros(k, dtype=bool), np.zeros(k, dtype=bool)
+        for i in range(k):
+            t, a = int(ts_us[i]), float(amt[i])
+            is_late = last_us is not None and t < last_us
+            g, pc[i], pm[i], sd[i], z[i], _ = features_from_state(n, mean, m2, last_us, a, t)
+            if g is not None:
+                gap[i] = g
+            known[i], late[i] = n > 0, is_late
+            if not is_late:
                 n += 1
-                d = float(amt) - mean
+                d = a - mean
                 mean += d / n
-                m2 += d * (float(amt) - mean)
+                m2 += d * (a - mean)
                 last_us = t
         if n > 0:
             self.state.update((int(n), float(mean), float(m2), int(last_us)))
-        yield pd.DataFrame(out, columns=[f.name for f in OUTPUT_SCHEMA.fields])
+        yield pd.DataFrame({
+            "txn_id": pdf["txn_id"].to_numpy(dtype=np.int64), "client_id": pdf["client_id"].to_numpy(dtype=np.int64),
+            "ts": pdf["ts"].to_numpy(), "amount": amt, "gap_hours": np.where(np.isnan(gap), None, gap),
+            "prior_count": pc, "prior_mean": pm, "prior_sd": sd, "z_amount": z, "z_amount_abs": np.abs(z),
+            "known": known, "late": late})
 
     def close(self) -> None:
         pass
