@@ -279,7 +279,7 @@ def imbalance(spark, sf_dir):
 @query("m20_robustness_schemes")
 def robustness(spark, sf_dir):
     """AP / prevalence, F1 at the validation threshold and oracle F1 on test, for a
-    random split, a client-grouped split and a temporal split."""
+    random split, a client-grouped split, a temporal split and rolling-origin folds."""
     x, cols = model_data(spark, sf_dir)
     base = x.drop("split")
     schemes = {
@@ -300,6 +300,23 @@ def robustness(spark, sf_dir):
         r = with_scalars(with_scalars(ap, oracle), f1).withColumn("scheme", F.lit(name))
         rows.append(r.withColumn("ap_over_prevalence", F.col("average_precision") /
                                  (F.col("positives") / (F.col("positives") + F.col("negatives")))))
+    # rolling origin (K5): for each test month from 2001-05, train on earlier months with the
+    # threshold from the previous month; metrics pooled over the rolling test months
+    roll = K.rolling_origin(base, "ts", "2001-05")
+    pooled = []
+    for fold in [r[0] for r in roll.select("fold").distinct().orderBy("fold").collect()]:
+        f = roll.where(F.col("fold") == fold)
+        m = L.pipeline("logistic", cols, weight="w").fit(f.where(F.col("role") == "train"))
+        thr = L.chosen_threshold(L.score(m, f.where(F.col("role") == "threshold")))
+        pooled.append(with_scalars(L.score(m, f.where(F.col("role") == "test")), thr))
+    st = reduce(lambda a, b: a.unionByName(b), pooled)
+    ap = ranking_summary(st, "score", "y").select("average_precision", "positives", "negatives")
+    oracle = best_f1_threshold(curve(st, "score", "y")).select(F.col("f1").alias("oracle_f1"))
+    f1 = confusion(st.withColumn("_p", (F.col("score") >= F.col("threshold")).cast("int")), "_p", "y") \
+        .select("f1")
+    r = with_scalars(with_scalars(ap, oracle), f1).withColumn("scheme", F.lit("rolling"))
+    rows.append(r.withColumn("ap_over_prevalence", F.col("average_precision") /
+                             (F.col("positives") / (F.col("positives") + F.col("negatives")))))
     return reduce(lambda a, b: a.unionByName(b), rows)
 
 
