@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 
 from txnscope.catalog.q_prep import SPLIT3, features
 from txnscope.catalog.registry import query
-from txnscope.plans.frames import materialize
+from txnscope.plans.frames import materialize, materialize_once
 from txnscope.operators import encode as J
 from txnscope.operators import models as L
 from txnscope.operators import split as K
@@ -29,15 +29,21 @@ from txnscope.sources import registry as REG
 NUMERIC = ["amount", "prior_count", "gap_hours"]
 
 
-def model_data(spark, sf_dir):
-    """(table with split + model columns, model column list)."""
+def _build_model_table(spark, sf_dir):
     f = features(spark, sf_dir).withColumn("prior_count", F.col("prior_count").cast("double"))
     s = K.stratified_split(f, "txn_id", "y", SPLIT3)
     pp = J.fit_preprocessor(s.where(F.col("split") == "fit"), "client_id", "category", NUMERIC)
     x = pp.transform(s)
     w = J.class_weights(x.where(F.col("split") == "fit"))
-    x = J.with_weight(x, w)
-    return materialize(x, "model-table"), pp.columns
+    return J.with_weight(x, w)
+
+
+def model_data(spark, sf_dir):
+    """(table with split + model columns, model column list).  Built and written once
+    per session and input folder; the model queries all read the same table."""
+    x = materialize_once(spark, ("model-table", sf_dir), lambda: _build_model_table(spark, sf_dir))
+    cols = NUMERIC + ["is_outlier", "key_te"] + sorted(c for c in x.columns if c.startswith("cat_"))
+    return x, cols
 
 
 def _parts(x):

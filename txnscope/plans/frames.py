@@ -60,14 +60,31 @@ def safe_div(a: Column, b: Column, default=None) -> Column:
     return F.when(b != 0, a / b).otherwise(d)
 
 
-def materialize(df: DataFrame, name: str) -> DataFrame:
-    """Cut the lineage of a table reused by several branches: write it as parquet in
-    the shared checkpoint folder (``spark.checkpoint.dir``) and read it back.  A lost
-    executor then only costs re-reading files, not re-running the upstream shuffles."""
+def write_scratch(df: DataFrame, name: str) -> str:
+    """Write ``df`` as parquet in the shared checkpoint folder; return the path."""
     import uuid
 
     from txnscope.session import scratch_path
 
     path = scratch_path(df.sparkSession, f"{name}-{uuid.uuid4().hex[:12]}")
     df.write.mode("overwrite").parquet(path)
-    return df.sparkSession.read.parquet(path)
+    return path
+
+
+def materialize(df: DataFrame, name: str) -> DataFrame:
+    """Cut the lineage of a table reused by several branches: write it as parquet in
+    the shared checkpoint folder (``spark.checkpoint.dir``) and read it back.  A lost
+    executor then only costs re-reading files, not re-running the upstream shuffles."""
+    return df.sparkSession.read.parquet(write_scratch(df, name))
+
+
+_WRITTEN: dict[tuple, str] = {}
+
+
+def materialize_once(spark, key: tuple, build) -> DataFrame:
+    """``materialize(build())`` once per session and key (e.g. (name, input folder)); later
+    calls read the written table.  For tables derived only from the key's inputs."""
+    k = (id(spark), spark.conf.get("spark.checkpoint.dir", ""), *key)
+    if k not in _WRITTEN:
+        _WRITTEN[k] = write_scratch(build(), str(key[0]))
+    return spark.read.parquet(_WRITTEN[k])
