@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 from txnscope.catalog.q_history import history_raw_sql
 from txnscope.catalog.q_prep import features
 from txnscope.catalog.registry import query
-from txnscope.plans.frames import materialize
+from txnscope.plans.frames import materialize_once
 from txnscope.functions.calendar import FOUR_BANDS, band
 from txnscope.operators import drift as N
 from txnscope.operators import lifecycle as O
@@ -25,7 +25,8 @@ CALENDAR = [
 
 
 def timeline_inputs(spark, sf_dir):
-    f = materialize(features(spark, sf_dir), "timeline-features").withColumn("priority", F.substring("category", 1, 1).cast("double")) \
+    f = materialize_once(spark, ("order-features", sf_dir), lambda: features(spark, sf_dir))
+    f = f.withColumn("priority", F.substring("category", 1, 1).cast("double")) \
         .withColumn("period", F.date_format("ts", "yyyy-MM")) \
         .withColumn("score", F.col("z_amount_abs") / 10.0)
     for c in COLS:

@@ -4,7 +4,7 @@ from pyspark.sql import functions as F
 
 from txnscope.catalog.q_history import history_raw_sql
 from txnscope.catalog.registry import query
-from txnscope.plans.frames import materialize
+from txnscope.plans.frames import materialize, materialize_once
 from txnscope.operators import drift as N
 from txnscope.operators import encode as J
 from txnscope.operators import history as H
@@ -282,7 +282,7 @@ REF_YEAR = 1999
 def drift_frames(spark, sf_dir):
     # the feature table feeds several branches (reference, batch, KS): written once to
     # the shared checkpoint folder instead of recomputing the windows per branch
-    f = materialize(features(spark, sf_dir), "drift-features").withColumn(
+    f = materialize_once(spark, ("order-features", sf_dir), lambda: features(spark, sf_dir)).withColumn(
         "priority", F.substring("category", 1, 1).cast("double"))
     for c in DRIFT_COLS:
         f = f.withColumn(c, F.col(c).cast("double"))
