@@ -18,7 +18,7 @@ ORACLES = E.oracle_sql()
 
 # rows-only queries (model fits, bootstrap, streams) are slow at any size because of
 # the number of jobs; by default a representative set runs, TXNSCOPE_FULL_TESTS=1 runs all
-ROWS_ONLY_DEFAULT = {"l5_l6_decision_tree_leaf_rules", "l15_l16_linear_attributions", "m13_bootstrap_f1_ci",
+ROWS_ONLY_DEFAULT = {"l5_l6_decision_tree_leaf_rules", "l15_l16_linear_attributions", "l15_l16_tree_attributions", "m13_bootstrap_f1_ci",
                      "m14_m16_paired_ap_bootstrap", "k7_group_kfold_disjoint", "a8_dataset_fingerprint",
                      "o9_weighted_sampling_with_replacement", "l9_isolation_forest", "o1_train_and_register"}
 FULL = os.environ.get("TXNSCOPE_FULL_TESTS") == "1"

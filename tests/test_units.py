@@ -202,3 +202,38 @@ def test_linear_attributions_are_additive(spark):
     r = E.queries()["l15_l16_linear_attributions"](spark, SF_SMALL).collect()
     assert max(x.max_additivity_error for x in r) < 1e-9
     assert sum(x.share for x in r) == pytest.approx(1.0, abs=1e-5)
+
+
+def test_tree_attributions_additive_and_exact_shapley(spark):
+    """Base + Σ contributions = the model margin (1e-9), and each row's values equal
+    Shapley values of the cover-weighted path expectation found by subset enumeration."""
+    from txnscope.catalog.q_models import _parts, model_data
+    from txnscope.operators import attribution as AT
+    from txnscope.operators import models as L
+
+    x, cols = model_data(spark, SF_SMALL)
+    fit, _, test = _parts(x)
+    for kind, kw in (("gbt", {"maxIter": 5, "maxDepth": 3}), ("forest", {"numTrees": 4, "maxDepth": 3})):
+        m = L.pipeline(kind, cols, weight="w", **kw).fit(fit)
+        c = AT.tree_contributions(m, test, cols, ["txn_id"]).toPandas()
+        assert len(c) == test.count()
+        assert (c.shap_margin - c.margin).abs().max() < 1e-9
+        plan = AT.compile_paths(m)
+        used = sorted({f for _, fe in plan["leaves"] for f, _, _ in fe})
+        sub = {"leaves": [(v, [(used.index(f), z, cd) for f, z, cd in fe]) for v, fe in plan["leaves"]],
+               "base": plan["base"]}
+        X = np.array(test.select(*[F.col(f"`{k}`").cast("double") for k in cols]).limit(4).collect(),
+                     dtype=float)
+        phi = AT.shap_matrix(X, plan)
+        for r in range(len(X)):
+            bf = AT.brute_force_shapley(X[r, used], sub, len(used))
+            assert np.abs(bf - phi[r, used]).max() < 1e-9
+            assert np.abs(np.delete(phi[r], used)).max(initial=0.0) == 0.0
+
+
+def test_tree_attribution_query(spark):
+    import __spark_entry__ as E
+
+    r = E.queries()["l15_l16_tree_attributions"](spark, SF_SMALL).collect()
+    assert max(x.max_additivity_error for x in r) < 1e-9
+    assert sum(x.share for x in r) == pytest.approx(1.0, abs=1e-5)

@@ -16,8 +16,10 @@ from pyspark.sql import functions as F
 from txnscope.catalog.q_prep import SPLIT3, features
 from txnscope.catalog.registry import query
 from txnscope.plans.frames import materialize, materialize_once
+from txnscope.operators import attribution as AT
 from txnscope.operators import encode as J
 from txnscope.operators import models as L
+from txnscope.operators import segments as G
 from txnscope.operators import split as K
 from txnscope.operators.metrics import confusion, curve, best_f1_threshold, ranking_summary
 from txnscope.operators.order import chronological_cut
@@ -189,6 +191,23 @@ def attributions(spark, sf_dir):
     return with_scalars(L.global_attribution(c), err)
 
 
+@query("l15_l16_tree_attributions")
+def tree_attributions(spark, sf_dir):
+    """L15 + L16 on the boosted model: exact per-row tree attributions in log-odds for
+    every test row, the global mean-|contribution| table, the max additivity error
+    against the model's own margin, and how often each variable is a top-5 reason (X5)."""
+    x, cols = model_data(spark, sf_dir)
+    fit, _, test = _parts(x)
+    m = L.pipeline("gbt", cols, weight="w", maxIter=20).fit(fit)
+    c = materialize(AT.tree_contributions(m, test, cols, ["txn_id"]), "tree-attributions")
+    err = c.agg(F.max(F.abs(F.col("shap_margin") - F.col("margin"))).alias("max_additivity_error"))
+    top = c.select(F.explode(G.top_contributions(F.col("contributions"), 5)).alias("t")) \
+        .groupBy(F.col("t.variable").alias("variable")).agg(F.count(F.lit(1)).alias("top5_rows"))
+    g = L.global_attribution(c).join(top, "variable", "left") \
+        .withColumn("top5_rows", F.coalesce("top5_rows", F.lit(0)))
+    return with_scalars(g, err)
+
+
 @query("l17_combined_detectors")
 def combined(spark, sf_dir):
     """Union of the model's alerts and a history-anomaly detector (|z| >= 3):
