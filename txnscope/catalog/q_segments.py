@@ -15,6 +15,7 @@ from txnscope.operators.stats import cohens_d
 from txnscope.plans.frames import with_scalars
 from txnscope.sources import load, scored_lines, txn_orders
 from txnscope.sources.raw import RAW_TRANSACTIONS_SQL, raw_transactions
+from txnscope.plans.quantile import exact_quantiles
 
 EV_CUT = "2024-01-20"
 
@@ -93,7 +94,7 @@ def seg_ap(spark, sf_dir):
     e = scored_events(spark, sf_dir)
     cut = F.lit(EV_CUT).cast("timestamp_ntz")
     tr, te = e.where(F.col("ts") < cut), e.where(F.col("ts") >= cut)
-    q = tr.groupBy("currency").agg(F.percentile("amount", [1 / 3, 2 / 3]).alias("_q"))
+    q = exact_quantiles(tr, "amount", [1 / 3, 2 / 3], by=["currency"])
     te = te.join(q, "currency")
     idx = F.size(F.filter("_q", lambda v: v < F.col("amount")))
     seg = F.concat(F.col("currency").cast("string"), F.lit("-"),

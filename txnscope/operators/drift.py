@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 
 from txnscope.operators.stats import ks_two_sample, psi_terms
 from txnscope.plans.frames import unpivot, with_scalars
+from txnscope.plans.quantile import exact_quantiles
 
 # fixed values: PSI cut-offs and trigger settings
 PSI_MODERATE = 0.10
@@ -38,11 +39,14 @@ def freeze_reference(train: DataFrame, cols: list[str], n_bins: int = 10,
     """
     long = _long(train, cols)
     ps = [i / n_bins for i in range(n_bins + 1)]
-    q = F.percentile("value", ps) if exact else F.percentile_approx("value", ps, 10000)
     stats = long.groupBy("variable").agg(
         F.count(F.lit(1)).alias("_n"), F.avg("value").alias("mean"),
         F.approx_count_distinct("value").alias("_nd"),
-        F.array_sort(F.array_distinct(q)).alias("_edges"))
+        *([] if exact else [F.percentile_approx("value", ps, 10000).alias("_q")]))
+    if exact:
+        # one row per variable (bounded); quantiles by the distributed exact plan
+        stats = stats.join(exact_quantiles(long, "value", ps, by=["variable"]), "variable", "left")
+    stats = stats.withColumn("_edges", F.array_sort(F.array_distinct("_q"))).drop("_q")
     # categorical variables
     cat_vars = stats.where(F.col("_nd") <= n_bins).select("variable", "_n", "mean")
     cat = (long.join(cat_vars, "variable", "left_semi")
@@ -181,7 +185,7 @@ def operational_metrics(log: DataFrame, ts: str, score: str, alert: str,
     tot = log.agg(F.count(F.lit(1)).alias("total"), F.avg(F.col(alert).cast("double")).alias("alert_rate"),
                   F.avg(score).alias("mean_score"))
     recent = log.orderBy(F.col(ts).desc()).limit(last_n)
-    p95 = recent.agg(F.percentile(score, 0.95).alias("p95_recent"))
+    p95 = recent.agg(F.percentile(score, 0.95).alias("p95_recent"))   # at most last_n rows
     return with_scalars(tot, p95)
 
 

@@ -15,13 +15,15 @@ from pyspark.sql import functions as F
 
 from txnscope.plans.frames import with_scalars
 from txnscope.plans.prefix import prefix_sum
+from txnscope.plans.quantile import exact_quantiles
 
 
 # ------------------------------------------------------------ imputation
 def fit_median(train: DataFrame, col: str, exact: bool = True) -> DataFrame:
     """One-row table with the train median of ``col`` (exact linear, or approximate)."""
-    x = F.col(col).cast("double")
-    m = F.percentile(x, 0.5) if exact else F.percentile_approx(x, 0.5, 10000).cast("double")
+    if exact:
+        return exact_quantiles(train, col, [0.5]).select(F.col("_q")[0].alias(f"{col}_median"))
+    m = F.percentile_approx(F.col(col).cast("double"), 0.5, 10000).cast("double")
     return train.agg(m.alias(f"{col}_median"))
 
 

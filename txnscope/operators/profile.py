@@ -11,6 +11,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from txnscope.plans.frames import with_scalars
+from txnscope.plans.quantile import exact_quantile_columns, exact_quantiles
 
 
 def value_counts(df: DataFrame, col: str, dropna: bool = True) -> DataFrame:
@@ -48,7 +49,6 @@ def profile(df: DataFrame, cols: list[str]) -> DataFrame:
     for c in cols:
         x = F.col(c).cast("double")
         aggs += [F.count(x).alias(f"{c}__n"), F.avg(x).alias(f"{c}__mean"),
-                 F.percentile(x, [0.25, 0.5, 0.75]).alias(f"{c}__q"),
                  F.stddev_samp(x).alias(f"{c}__sd"), F.var_samp(x).alias(f"{c}__var"),
                  F.min(x).alias(f"{c}__min"), F.max(x).alias(f"{c}__max"),
                  F.skewness(x).alias(f"{c}__g1"), F.kurtosis(x).alias(f"{c}__g2")]
@@ -58,31 +58,37 @@ def profile(df: DataFrame, cols: list[str]) -> DataFrame:
         n = F.col(f"{c}__n")
         rows.append(F.struct(
             F.lit(c).alias("variable"), n.alias("n"), F.col(f"{c}__mean").alias("mean"),
-            F.col(f"{c}__q")[1].alias("median"), F.col(f"{c}__sd").alias("sd"),
+            F.col(f"{c}__sd").alias("sd"),
             F.col(f"{c}__var").alias("var"), F.col(f"{c}__min").alias("min"),
-            F.col(f"{c}__max").alias("max"), F.col(f"{c}__q")[0].alias("q1"),
-            F.col(f"{c}__q")[2].alias("q3"),
+            F.col(f"{c}__max").alias("max"),
             _skew_adj(n, F.col(f"{c}__g1")).alias("skewness"),
             _kurt_adj(n, F.col(f"{c}__g2")).alias("kurtosis")))
-    return row.select(F.explode(F.array(*rows)).alias("s")).select("s.*")
+    moments = row.select(F.explode(F.array(*rows)).alias("s")).select("s.*")
+    # quartiles of all columns in one distributed exact pass (one row per column, bounded)
+    q = exact_quantile_columns(df, cols, [0.25, 0.5, 0.75])
+    return moments.join(F.broadcast(q), "variable", "left").select(
+        "variable", "n", "mean", F.col("_q")[1].alias("median"), "sd", "var", "min", "max",
+        F.col("_q")[0].alias("q1"), F.col("_q")[2].alias("q3"), "skewness", "kurtosis")
 
 
 def describe_by(df: DataFrame, col: str, by: list[str]) -> DataFrame:
     """Count, mean, std, min, quartiles, max of ``col`` per group."""
     x = F.col(col).cast("double")
-    return df.groupBy(*by).agg(
+    g = df.groupBy(*by).agg(
         F.count(x).alias("count"), F.avg(x).alias("mean"), F.stddev_samp(x).alias("std"),
-        F.min(x).alias("min"), F.percentile(x, 0.25).alias("q25"),
-        F.percentile(x, 0.5).alias("q50"), F.percentile(x, 0.75).alias("q75"),
-        F.max(x).alias("max"))
+        F.min(x).alias("min"), F.max(x).alias("max"))
+    q = exact_quantiles(df, col, [0.25, 0.5, 0.75], by=by)
+    return g.join(q, by, "left").select(
+        *by, "count", "mean", "std", "min", F.col("_q")[0].alias("q25"), F.col("_q")[1].alias("q50"),
+        F.col("_q")[2].alias("q75"), "max")
 
 
 def percentiles(df: DataFrame, col: str, ps: list[float], exact: bool = True,
                 accuracy: int = 10000) -> DataFrame:
     """(p, value); exact linear interpolation, or approximate for huge inputs."""
     x = F.col(col).cast("double")
-    arr = F.percentile(x, ps) if exact else F.percentile_approx(x, ps, accuracy)
-    row = df.agg(arr.alias("_v"))
+    row = exact_quantiles(df, col, ps, name="_v") if exact else \
+        df.agg(F.percentile_approx(x, ps, accuracy).alias("_v"))
     return row.select(F.posexplode("_v").alias("_i", "value")).select(
         F.element_at(F.array(*[F.lit(float(p)) for p in ps]), F.col("_i") + 1).alias("p"),
         "value")
@@ -139,9 +145,11 @@ def uplift(rate_a: Column, rate_b: Column) -> Column:
 def distinct_per_group(df: DataFrame, a: str, b: str) -> DataFrame:
     """Number of distinct ``b`` per ``a`` and the distribution of that number."""
     g = df.groupBy(a).agg(F.count_distinct(b).alias("n_distinct"))
-    return g.agg(F.count(F.lit(1)).alias("groups"), F.avg("n_distinct").alias("mean"),
-                 F.stddev_samp("n_distinct").alias("std"), F.min("n_distinct").alias("min"),
-                 F.percentile("n_distinct", 0.5).alias("median"), F.max("n_distinct").alias("max"))
+    s = g.agg(F.count(F.lit(1)).alias("groups"), F.avg("n_distinct").alias("mean"),
+              F.stddev_samp("n_distinct").alias("std"), F.min("n_distinct").alias("min"),
+              F.max("n_distinct").alias("max"))
+    med = exact_quantiles(g, "n_distinct", [0.5]).select(F.col("_q")[0].alias("median"))
+    return with_scalars(s, med).select("groups", "mean", "std", "min", "median", "max")
 
 
 def month_spine(df: DataFrame, ts: str) -> DataFrame:

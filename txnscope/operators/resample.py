@@ -138,6 +138,7 @@ def bootstrap_f1_cells(cells: DataFrame, b: int = 2000, seed: int = 0) -> DataFr
 def ci_summary(draws: DataFrame, value: str, point: DataFrame | None = None) -> DataFrame:
     """Percentile 95 % interval, population sd (numpy default), minimum distinguishable
     difference 2·sd and the effective number of replicates."""
+    # one row per replicate (B is a parameter), so the in-memory percentile is bounded
     s = draws.agg(F.percentile(value, [0.025, 0.975]).alias("_q"), F.stddev_pop(value).alias("sd"),
                   F.count(F.lit(1)).alias("effective_b"))
     s = s.select(F.col("_q")[0].alias("ci_lo"), F.col("_q")[1].alias("ci_hi"), "sd",

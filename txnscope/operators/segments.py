@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 from txnscope.operators.metrics import add_rates, grouped_ranking
 from txnscope.operators.stats import wilson
 from txnscope.plans.frames import with_scalars
+from txnscope.plans.quantile import exact_quantiles
 
 # fixed values: segment labels of the segment report
 AMOUNT_QUARTILE_LABELS = ["bajo", "medio-bajo", "medio-alto", "alto"]
@@ -33,9 +34,8 @@ def quantile_labels(df: DataFrame, col: str, labels: list[str], by: list[str] |
     """qcut-like labels: bins at exact quantiles, right-closed, lowest value included."""
     k = len(labels)
     ps = [i / k for i in range(1, k)]
-    q = F.percentile(F.col(col).cast("double"), ps).alias("_q")
-    cuts = df.groupBy(*by).agg(q) if by else df.agg(q)
-    x = df.join(cuts, by) if by else with_scalars(df, cuts)
+    cuts = exact_quantiles(df, col, ps, by=by)
+    x = df.join(cuts, by, "left") if by else with_scalars(df, cuts)
     idx = F.size(F.filter("_q", lambda e: e < F.col(col)))
     return x.withColumn(f"{col}_band", F.element_at(F.array(*[F.lit(v) for v in labels]), idx + 1)) \
         .drop("_q")

@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 
 from txnscope.plans.frames import with_scalars
 from txnscope.plans.prefix import prefix_sum
+from txnscope.plans.quantile import exact_quantiles
 
 
 # ----------------------------------------------------------- correlation
@@ -204,7 +205,7 @@ def wilson(k: Column, n: Column, z: float = 1.96) -> tuple[Column, Column]:
 
 def iqr_limits(df: DataFrame, col: str, k: float = 1.5) -> DataFrame:
     """Q1, Q3, IQR and the k·IQR outlier limits (exact linear quantiles)."""
-    q = df.agg(F.percentile(F.col(col).cast("double"), [0.25, 0.75]).alias("_q"))
+    q = exact_quantiles(df, col, [0.25, 0.75])
     return q.select(F.col("_q")[0].alias("q1"), F.col("_q")[1].alias("q3")).select(
         "q1", "q3", (F.col("q3") - F.col("q1")).alias("iqr"),
         (F.col("q1") - k * (F.col("q3") - F.col("q1"))).alias("lo"),
