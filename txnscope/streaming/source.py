@@ -23,22 +23,27 @@ def new_run_dir(spark: SparkSession, name: str) -> str:
 
 
 def write_time_slices(df: DataFrame, ts: str, path: str, slice_days: int = 3,
-                      start: str | None = None, end: str | None = None,
-                      limit: int | None = None) -> int:
+                      start: str | None = None, end: str | None = None) -> int:
     """Write ``df`` as one parquet folder per time slice, oldest first; optional
-    [start, end) period filter and row limit (in event-time order).  Returns the
-    number of slices.  The slice list is one value per slice (bounded)."""
+    [start, end) period filter.  Returns the number of slices.
+
+    The input is read once: it is staged partitioned by slice in the checkpoint
+    folder, then each slice folder is copied from its own partition (pruned read), in
+    event-time order so the file stream sees the slices in arrival order.  The slice
+    list is one value per slice (bounded)."""
     x = df
     if start:
         x = x.where(F.col(ts) >= F.lit(start).cast("timestamp"))
     if end:
         x = x.where(F.col(ts) < F.lit(end).cast("timestamp"))
-    if limit:
-        x = x.orderBy(ts).limit(limit)
     x = x.withColumn("_slice", F.floor(F.unix_seconds(F.col(ts).cast("timestamp")) / (86400 * slice_days)))
-    slices = sorted(r[0] for r in x.select("_slice").distinct().collect())
+    spark = df.sparkSession
+    staged = scratch_path(spark, f"slices-staged-{uuid.uuid4().hex[:12]}")
+    x.write.mode("overwrite").partitionBy("_slice").parquet(staged)
+    st = spark.read.parquet(staged)
+    slices = sorted(r[0] for r in st.select("_slice").distinct().collect())
     for i, s in enumerate(slices):
-        x.where(F.col("_slice") == s).drop("_slice").write.mode("overwrite") \
+        st.where(F.col("_slice") == s).drop("_slice").select(*df.columns).write.mode("overwrite") \
             .parquet(f"{path}/slice={i:06d}")
     return len(slices)
 
