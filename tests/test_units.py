@@ -237,3 +237,33 @@ def test_tree_attribution_query(spark):
     r = E.queries()["l15_l16_tree_attributions"](spark, SF_SMALL).collect()
     assert max(x.max_additivity_error for x in r) < 1e-9
     assert sum(x.share for x in r) == pytest.approx(1.0, abs=1e-5)
+
+
+@pytest.mark.parametrize("parts", [1, 3, 16])
+def test_exact_quantiles_match_numpy_for_any_partitioning(spark, parts):
+    """Distributed exact quantiles equal numpy's linear rule per group, with ties, nulls,
+    a hot group holding most rows, and any number of value ranges."""
+    from txnscope.plans.quantile import exact_quantiles
+
+    rng = np.random.default_rng(7)
+    rows = []
+    for g, n in (("hot", 3000), ("a", 40), ("b", 1), ("c", 2)):
+        vals = np.round(rng.gamma(2.0, 50.0, n), 0)   # many ties
+        rows += [(g, float(v) if i % 11 else None) for i, v in enumerate(vals)]
+    df = spark.createDataFrame(rows, "g string, v double").repartition(parts)
+    ps = [0.0, 0.1, 0.25, 1 / 3, 0.5, 0.9, 0.975, 1.0]
+    old = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", str(parts))
+    try:
+        got = {r.g: r._q for r in exact_quantiles(df, "v", ps, by=["g"]).collect()}
+        glob = exact_quantiles(df, "v", ps).collect()[0]._q
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", old)
+    for g in ("hot", "a", "b", "c"):
+        vals = np.array([v for gg, v in rows if gg == g and v is not None])
+        if len(vals) == 0:
+            assert g not in got
+            continue
+        assert np.allclose(got[g], np.quantile(vals, ps), rtol=0, atol=1e-9)
+    allv = np.array([v for _, v in rows if v is not None])
+    assert np.allclose(glob, np.quantile(allv, ps), rtol=0, atol=1e-9)
