@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 from txnscope.catalog.q_history import history_raw_sql
 from txnscope.catalog.q_prep import features
 from txnscope.catalog.registry import query
-from txnscope.plans.frames import materialize_once
+from txnscope.plans.frames import materialize, materialize_once
 from txnscope.functions.calendar import FOUR_BANDS, band
 from txnscope.operators import drift as N
 from txnscope.operators import lifecycle as O
@@ -38,7 +38,7 @@ def timeline_inputs(spark, sf_dir):
 
 def timeline(spark, sf_dir):
     ref, batch = timeline_inputs(spark, sf_dir)
-    reference = N.freeze_reference(ref, COLS)
+    reference = materialize(N.freeze_reference(ref, COLS), "timeline-reference")
     rate = ref.agg(F.avg((F.col("score") >= THRESHOLD).cast("double")).alias("alert_rate"))
     return O.monthly_timeline(batch, reference, COLS, rate, "score", THRESHOLD, monotone=["prior_count"])
 

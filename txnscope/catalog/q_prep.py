@@ -361,7 +361,9 @@ FROM t JOIN kp ON t.variable = kp.variable
 
 def drift_result(spark, sf_dir):
     ref, new = drift_frames(spark, sf_dir)
-    reference = N.freeze_reference(ref, DRIFT_COLS)
+    # the frozen reference is a fitted artifact (one row per variable × bin): written once,
+    # so its quantile plan is not re-run by each branch that bins the batch against it
+    reference = materialize(N.freeze_reference(ref, DRIFT_COLS), "drift-reference")
     return N.drift_table(reference, new, DRIFT_COLS, monotone=["prior_count"], train=ref)
 
 
