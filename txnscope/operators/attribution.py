@@ -41,7 +41,7 @@ from pyspark.sql.types import ArrayType, DoubleType
 
 from txnscope.session import scratch_path
 
-MAX_PLAN_BYTES = 256 << 20   # broadcast guard for the compiled leaf paths
+MAX_PLAN_BYTES = 64 << 20    # broadcast guard for the compiled leaf paths
 
 
 def _final(model):
