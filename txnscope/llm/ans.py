@@ -50,6 +50,8 @@ class Frequencies:
 
     @classmethod
     def scaled_from(cls, symbols: np.ndarray, counts: np.ndarray) -> "Frequencies":
+        if not len(symbols):
+            return cls(symbols, counts.astype(np.int64), 16)
         bits = max(16, int(len(symbols) - 1).bit_length() + 2)
         size = 1 << bits
         share = counts * ((size - len(counts)) / max(1, counts.sum()))

@@ -5,9 +5,9 @@ Fingerprint: words of the lower-cased (A-Z) text, shingles of ``shingle`` words,
 words is one shingle, one without words has fingerprint zero.  Two fingerprints link at
 ``distance`` or fewer differing bits.
 
-Search: 64 bits are cut into distance + 1 consecutive segments on a ring.  If two
+Search: 64 bits are cut into m = distance + 1 (at least 3) consecutive segments on a ring.  If two
 fingerprints differ in at most ``distance`` bits, some start i exists from which every
-chain of l segments differs in at most l * distance / (distance + 1) bits: none in the
+chain of l segments differs in at most l * distance / m bits: none in the
 first, at most one in the first two, and so on.  The first two steps of the chain are
 met by equality: a row for each start with both segments, and rows with one bit of the
 second segment cleared.  Rows that meet in a bucket are then filtered by the longer
@@ -88,19 +88,19 @@ def fingerprint(df: DataFrame, id_col: str, text_col: str, shingle: int) -> Data
 
 
 def segment_bounds(distance: int) -> list[tuple[int, int]]:
-    """(shift, width) of the distance + 1 segments, as even as can be."""
-    m = distance + 1
+    """(shift, width) of the segments, distance + 1 and at least three, as even as can be."""
+    m = max(3, distance + 1)
     edges = [round(i * 64 / m) for i in range(m + 1)]
     return [(a, b - a) for a, b in zip(edges, edges[1:])]
 
 
-def chain_viable(x: np.ndarray, segments: list[tuple[int, int]], distance: int, start: np.ndarray) -> np.ndarray:
-    """Whether each difference mask keeps every chain from its start within its share of the budget."""
+def chain_viable(x: np.ndarray, segments: list[tuple[int, int]], distance: int, start: int) -> np.ndarray:
+    """Whether each difference mask keeps every chain from ``start`` within its share of the budget."""
     m = len(segments)
-    each = np.stack([np.bitwise_count((x >> np.uint64(s)) & np.uint64((1 << w) - 1)) for s, w in segments]).astype(np.int64)
     ok, total = np.ones(len(x), dtype=bool), np.zeros(len(x), dtype=np.int64)
     for step in range(m):
-        total += each[(start + step) % m, np.arange(len(x))]
+        shift, width = segments[(start + step) % m]
+        total += np.bitwise_count((x >> np.uint64(shift)) & np.uint64((1 << width) - 1))
         ok &= total * m <= (step + 1) * distance
     return ok
 
@@ -109,8 +109,6 @@ def bucket_rows(fps: DataFrame, distance: int) -> DataFrame:
     """(bucket, fp, rep): for each start, both first segments of the chain, and again with each set bit of the second cleared."""
     segments = segment_bounds(distance)
     m = len(segments)
-    if m == 1:
-        return fps.select(F.col("fp").alias("bucket"), "fp", "rep")
     keys = []
     for i in range(m):
         (s, w), (s2, w2) = segments[i], segments[(i + 1) % m]
@@ -130,15 +128,15 @@ def _forest(fp: np.ndarray, rep: np.ndarray, start: int, segments, distance: int
         while frontier and len(left):
             here = frontier.pop()
             x = fp[left] ^ fp[here]
-            near = np.flatnonzero(np.bitwise_count(x) <= 3 * distance)  # cheap bound first
+            near = np.flatnonzero(chain_viable(x, segments, distance, start))
             if len(near):
-                ok = chain_viable(x[near], segments, distance, np.full(len(near), start)) & (np.bitwise_count(x[near]) <= distance)
-                hit = left[near[ok]]
+                near = near[np.bitwise_count(x[near]) <= distance]
+                hit = left[near]
                 if len(hit):
                     edges += [(int(rep[here]), int(r)) for r in rep[hit]]
                     frontier += hit.tolist()
                     keep = np.ones(len(left), dtype=bool)
-                    keep[near[ok]] = False
+                    keep[near] = False
                     left = left[keep]
     return edges
 
@@ -176,9 +174,10 @@ def links(fps: DataFrame, distance: int, block: int = 1 << 14) -> DataFrame:
         edge = np.flatnonzero(np.diff(bucket) | np.diff(pair)) + 1
         begin, end = np.r_[0, edge], np.r_[edge, len(frame)]
         two = begin[end - begin == 2]  # most groups: one comparison each, all at once
-        x = fp[two] ^ fp[two + 1]
-        ok = np.bitwise_count(x) <= distance
-        ok[ok] = chain_viable(x[ok], segments, distance, (bucket[two[ok]] >> 56) & 0xFF)
+        x, origin, ok = fp[two] ^ fp[two + 1], bucket[two] >> 56, np.zeros(len(two), dtype=bool)
+        for k in range(len(segments)):
+            ok[origin == k] = chain_viable(x[origin == k], segments, distance, k)
+        ok &= np.bitwise_count(x) <= distance
         found = list(zip(rep[two[ok]].tolist(), rep[two[ok] + 1].tolist()))
         for s, e in zip(begin[end - begin > 2].tolist(), end[end - begin > 2].tolist()):
             found += _forest(fp[s:e], rep[s:e], int(bucket[s]) >> 56, segments, distance)

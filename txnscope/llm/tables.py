@@ -25,10 +25,15 @@ def input_bytes(df: DataFrame) -> int:
 
 
 def pieces_for(df: DataFrame, mb: float, least: int = 8) -> int:
-    """How many pieces of about ``mb`` MB the table makes; at least the number of shuffle partitions."""
-    spark = df.sparkSession
-    size = min(input_bytes(df), 1 << 62)
-    return max(least, int(spark.conf.get("spark.sql.shuffle.partitions")), int(size / (mb * 1e6)) + 1)
+    """How many pieces of about ``mb`` MB the table makes; at least the number of shuffle partitions.
+
+    The estimate of files is their size; that of other tables can be no estimate at all, so it is then measured.
+    """
+    size = input_bytes(df)
+    if size > 1 << 56:
+        wide = [F.coalesce(F.octet_length(F.col(f"`{c}`")), F.lit(0)) for c, t in df.dtypes if t in ("string", "binary")]
+        size = df.agg(F.sum(sum(wide, F.lit(8 * len(df.columns)).cast("long")))).first()[0] or 0
+    return max(least, int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), int(size / (mb * 1e6)) + 1)
 
 
 def keyed(df: DataFrame, id_col: str, text_col: str) -> DataFrame:
