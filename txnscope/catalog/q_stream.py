@@ -24,16 +24,15 @@ def _events(spark, sf_dir):
 
 def _replay(spark, df, name, slice_days=5, per_trigger=3):
     path = S.new_run_dir(spark, name)
-    S.write_time_slices(df, "ts", f"{path}/in", slice_days)
-    return path, S.read_slices(spark, f"{path}/in", df.schema, per_trigger)
+    return path, S.read_slices(spark, f"{path}/in", df.schema), S.time_slices(df, "ts", f"{path}/in", slice_days, per_trigger)
 
 
 @query("q1_streaming_history_parity", history_sql("txn_events"))
 def q1(spark, sf_dir):
     """Q1 + Q6 + A9: per-client Welford state in transformWithStateInPandas over a
     chronological file stream; features equal the batch expanding windows."""
-    path, s = _replay(spark, _events(spark, sf_dir), "q1")
-    out = S.run_to_table(Q.stream_history_features(s), f"{path}/run")
+    path, s, feed = _replay(spark, _events(spark, sf_dir), "q1")
+    out = S.run_to_table(Q.stream_history_features(s), f"{path}/run", feed=feed)
     return out.select(*FEATURES)
 
 
@@ -52,8 +51,8 @@ def q2(spark, sf_dir):
     ev = _events(spark, sf_dir)
     cut = F.lit(MID).cast("timestamp")
     init = Q.initial_state(ev.where(F.col("ts") < cut))
-    path, s = _replay(spark, ev.where(F.col("ts") >= cut), "q2")
-    out = S.run_to_table(Q.stream_history_features(s, init), f"{path}/run")
+    path, s, feed = _replay(spark, ev.where(F.col("ts") >= cut), "q2")
+    out = S.run_to_table(Q.stream_history_features(s, init), f"{path}/run", feed=feed)
     return out.select(*FEATURES, "known")
 
 
@@ -79,8 +78,8 @@ def q4(spark, sf_dir):
     ev = _events(spark, sf_dir)
     cut = F.lit(MID).cast("timestamp")
     snap = Q.initial_state(ev.where(F.col("ts") < cut))
-    path, s = _replay(spark, ev.where(F.col("ts") >= cut), "q4")
-    out = S.run_to_table(Q.snapshot_features(s, snap), f"{path}/run")
+    path, s, feed = _replay(spark, ev.where(F.col("ts") >= cut), "q4")
+    out = S.run_to_table(Q.snapshot_features(s, snap), f"{path}/run", feed=feed)
     return out.select(*FEATURES, "known")
 
 
@@ -97,13 +96,13 @@ def q7(spark, sf_dir):
     (update mode, upserted per window)."""
     ev = _events(spark, sf_dir).withColumn("score", F.col("code") / 100.0) \
         .withColumn("alert", (F.col("code") >= 90).cast("double"))
-    path, s = _replay(spark, ev, "q7")
+    path, s, feed = _replay(spark, ev, "q7")
     agg = (s.withWatermark("ts", "2 days").groupBy(F.window("ts", "1 day"))
            .agg(F.count(F.lit(1)).alias("n"), F.avg("alert").alias("alert_rate"),
                 F.avg("score").alias("mean_score"))
            .select(F.date_format("window.start", "yyyy-MM-dd").alias("day"), "n", "alert_rate",
                    "mean_score"))
-    return S.run_upserts(agg, f"{path}/run", ["day"])
+    return S.run_upserts(agg, f"{path}/run", ["day"], feed)
 
 
 @query("q8_retry_safe_dedup", history_sql("txn_events"))
@@ -113,12 +112,15 @@ def q8(spark, sf_dir):
     does not advance twice; features equal the batch ones."""
     ev = _events(spark, sf_dir)
     path = S.new_run_dir(spark, "q8")
-    n = S.write_time_slices(ev, "ts", f"{path}/in", 3)
-    resent = ev.where((F.col("category") == "view") & (F.col("code") < 10))
-    resent.write.mode("overwrite").parquet(f"{path}/in/slice={n:06d}")
-    s = S.read_slices(spark, f"{path}/in", ev.schema, 2)
+    s = S.read_slices(spark, f"{path}/in", ev.schema)
     s = s.withWatermark("ts", "60 days").dropDuplicatesWithinWatermark(["txn_id"])
-    out = S.run_to_table(Q.stream_history_features(s), f"{path}/run")
+    resent = ev.where((F.col("category") == "view") & (F.col("code") < 10))
+
+    def feed():
+        yield from S.time_slices(ev, "ts", f"{path}/in", 5, 3)
+        yield S.deliver(resent, f"{path}/in", "resent")
+
+    out = S.run_to_table(Q.stream_history_features(s), f"{path}/run", feed=feed())
     return out.select(*FEATURES)
 
 
@@ -135,11 +137,13 @@ def q9(spark, sf_dir):
     late, emitted to the side output and do not move the client clock back."""
     ev = _events(spark, sf_dir)
     path = S.new_run_dir(spark, "q9")
-    n = S.write_time_slices(ev.where(F.col("code") != 7), "ts", f"{path}/in", 3)
-    ev.where(F.col("code") == 7).write.mode("overwrite").parquet(f"{path}/in/slice={n:06d}")
-    # one slice per micro-batch: the held rows arrive strictly after all others
-    s = S.read_slices(spark, f"{path}/in", ev.schema, 1)
-    out = S.run_to_table(Q.stream_history_features(s), f"{path}/run")
+    s = S.read_slices(spark, f"{path}/in", ev.schema)
+
+    def feed():
+        yield from S.time_slices(ev.where(F.col("code") != 7), "ts", f"{path}/in", 5, 3)
+        yield S.deliver(ev.where(F.col("code") == 7), f"{path}/in", "held")  # strictly after all others
+
+    out = S.run_to_table(Q.stream_history_features(s), f"{path}/run", feed=feed())
     return out.where("late").select("txn_id", "client_id")
 
 
@@ -153,11 +157,11 @@ SELECT client_id, strftime(ws, '%Y-%m-%d %H:%M') AS window_start, count(*) AS n
 @query("q10_sliding_activity_per_client", SLIDE_SQL)
 def q10_slide(spark, sf_dir):
     """Q10: one-day windows sliding every 12 hours: rows per client (streaming, upserts)."""
-    path, s = _replay(spark, _events(spark, sf_dir), "q10s")
+    path, s, feed = _replay(spark, _events(spark, sf_dir), "q10s")
     agg = (s.withWatermark("ts", "2 days").groupBy("client_id", F.window("ts", "1 day", "12 hours"))
            .agg(F.count(F.lit(1)).alias("n"))
            .select("client_id", F.date_format("window.start", "yyyy-MM-dd HH:mm").alias("window_start"), "n"))
-    return S.run_upserts(agg, f"{path}/run", ["client_id", "window_start"])
+    return S.run_upserts(agg, f"{path}/run", ["client_id", "window_start"], feed)
 
 
 SESSION_SQL = """
@@ -218,13 +222,13 @@ def _contract(df):
         "sex_unknown": ~F.col("sex").isin("F", "M")})
 
 
-def _score(features_df, pp, model, thr):
+def _score(features_df, pp, model, thr, also=()):
     from txnscope.functions import rules as R
     from txnscope.operators import models as L
     x = pp.transform(features_df.withColumn("prior_count", F.col("prior_count").cast("double")))
     s = L.score(model, x)
     return s.select("txn_id", "client_id", "score", (F.col("score") >= thr).alias("alert"),
-                    R.alert_action(F.col("score"), thr).alias("action"))
+                    R.alert_action(F.col("score"), thr).alias("action"), *also)
 
 
 def scoring_stream(spark, sf_dir):
@@ -233,17 +237,13 @@ def scoring_stream(spark, sf_dir):
     raw, hist, pp, model, thr = _fit_scoring(spark, sf_dir)
     new = raw.where(F.col("ts") >= F.lit(MID).cast("timestamp"))
     path = S.new_run_dir(spark, "q5")
-    S.write_time_slices(new, "ts", f"{path}/in", 5)
-    stream = S.read_slices(spark, f"{path}/in", new.schema, 3)
+    stream = S.read_slices(spark, f"{path}/in", new.schema)
     valid, rejected = _contract(stream)
     feats = Q.stream_history_features(valid, Q.initial_state(hist))
-    scored = _score(feats.where(~F.col("late")), pp, model, thr)
-    q = (scored.writeStream.format("json").outputMode("append")
-         .option("checkpointLocation", f"{path}/_ckpt_log").option("path", f"{path}/log")
-         .trigger(availableNow=True).start())
-    q.awaitTermination()
-    log = spark.read.schema("txn_id long, client_id long, score double, alert boolean, action string") \
-        .json(f"{path}/log")
+    # late rows are scored too, read-only from the client's current state, and marked
+    scored = _score(feats, pp, model, thr, ["late"])
+    log = S.run_to_table(scored, f"{path}/run", feed=S.time_slices(new, "ts", f"{path}/in", 5, 3), fmt="json",
+                         schema="txn_id long, client_id long, score double, alert boolean, action string, late boolean")
     # batch twin: same contract, batch history windows over history ∪ new, same model
     from txnscope.operators.history import history_features
     bvalid, _ = _contract(raw)

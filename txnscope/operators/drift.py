@@ -38,14 +38,17 @@ def freeze_reference(train: DataFrame, cols: list[str], n_bins: int = 10,
     fewer than 3 edges → skipped.  Quantiles are exact (linear) or approximate.
     """
     long = _long(train, cols)
+    # exact number of distinct values from the (variable, value) counts
+    kinds = long.where(F.col("value").isNotNull()).groupBy("variable", "value").agg(F.lit(1).alias("_v")) \
+        .groupBy("variable").agg(F.count(F.lit(1)).alias("_nd"))
     ps = [i / n_bins for i in range(n_bins + 1)]
     stats = long.groupBy("variable").agg(
         F.count(F.lit(1)).alias("_n"), F.avg("value").alias("mean"),
-        F.approx_count_distinct("value").alias("_nd"),
         *([] if exact else [F.percentile_approx("value", ps, 10000).alias("_q")]))
     if exact:
         # one row per variable (bounded); quantiles by the distributed exact plan
         stats = stats.join(exact_quantiles(long, "value", ps, by=["variable"]), "variable", "left")
+    stats = stats.join(kinds, "variable", "left").withColumn("_nd", F.coalesce("_nd", F.lit(0)))
     stats = stats.withColumn("_edges", F.array_sort(F.array_distinct("_q"))).drop("_q")
     # categorical variables
     cat_vars = stats.where(F.col("_nd") <= n_bins).select("variable", "_n", "mean")
@@ -179,12 +182,13 @@ def worst_variable(table: DataFrame) -> DataFrame:
 
 
 def operational_metrics(log: DataFrame, ts: str, score: str, alert: str,
-                        last_n: int = 10000) -> DataFrame:
+                        last_n: int = 10000, id_col: str | None = None) -> DataFrame:
     """Totals, alert rate, mean score over all rows, and p95 of the score over
-    the most recent ``last_n`` rows (top-k by time is the feature here)."""
+    the most recent ``last_n`` rows (top-k by time is the feature here; ``id_col`` breaks ties)."""
     tot = log.agg(F.count(F.lit(1)).alias("total"), F.avg(F.col(alert).cast("double")).alias("alert_rate"),
                   F.avg(score).alias("mean_score"))
-    recent = log.orderBy(F.col(ts).desc()).limit(last_n)
+    tie = [F.col(id_col).desc()] if id_col else []
+    recent = log.orderBy(F.col(ts).desc(), *tie).limit(last_n)
     p95 = recent.agg(F.percentile(score, 0.95).alias("p95_recent"))   # at most last_n rows
     return with_scalars(tot, p95)
 

@@ -156,12 +156,15 @@ def history_features_single_window(df: DataFrame, key: str = "client_id", ts: st
 def fill_within_key(df: DataFrame, cols: list[str], key: str = "client_id", ts: str = "ts",
                     tie: str = "txn_id") -> DataFrame:
     """forward fill then backward fill attributes inside each key, in event order."""
-    w = Window.partitionBy(key).orderBy(F.col(ts).asc_nulls_last(), F.col(tie).asc_nulls_last())
-    back = w.rowsBetween(Window.unboundedPreceding, 0)
-    ahead = w.rowsBetween(0, Window.unboundedFollowing)
-    for c in cols:
-        df = df.withColumn(c, F.coalesce(F.last(c, True).over(back), F.first(c, True).over(ahead)))
-    return df
+    asc = Window.partitionBy(key).orderBy(F.col(ts).asc_nulls_last(), F.col(tie).asc_nulls_last())
+    desc = Window.partitionBy(key).orderBy(F.col(ts).desc_nulls_first(), F.col(tie).desc_nulls_first())
+    back = asc.rowsBetween(Window.unboundedPreceding, 0)
+    # the next value ahead is the last one seen in reverse order: running frames only, linear in the rows
+    ahead = desc.rowsBetween(Window.unboundedPreceding, 0)
+    names = {c: f"_ahead_{i}" for i, c in enumerate(cols)}
+    out = df.select("*", *[F.last(c, True).over(ahead).alias(n) for c, n in names.items()])
+    filled = {c: F.coalesce(F.last(c, True).over(back), F.col(n)) for c, n in names.items()}
+    return out.select(*[filled[c].alias(c) if c in filled else F.col(c) for c in df.columns])
 
 
 def group_value_to_rows(df: DataFrame, value: str, by: list[str] | None = None,

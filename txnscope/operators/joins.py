@@ -69,9 +69,11 @@ def nearest_in_time(a: DataFrame, b: DataFrame, key: str, date: str,
          .unionByName(b.select(key, F.col(date).cast("date").alias("_d"))
                       .withColumn("_id", F.lit(None).cast(dict(a.dtypes)[a_id]))
                       .withColumn("_bd", F.col("_d"))))
+    # running frames in both directions (linear in the rows of a key); ``b`` rows of a day come first each way
     w = Window.partitionBy(key).orderBy("_d", F.col("_id").asc_nulls_first())
+    r = Window.partitionBy(key).orderBy(F.col("_d").desc(), F.col("_id").asc_nulls_first())
     prev = F.last("_bd", True).over(w.rowsBetween(Window.unboundedPreceding, 0))
-    nxt = F.first("_bd", True).over(w.rowsBetween(0, Window.unboundedFollowing))
+    nxt = F.last("_bd", True).over(r.rowsBetween(Window.unboundedPreceding, 0))
     x = u.withColumn("_p", prev).withColumn("_n", nxt).where(F.col("_id").isNotNull())
     dist = F.least(F.datediff("_d", "_p"), F.datediff("_n", "_d"))
     return x.select(F.col("_id").alias(a_id), key, dist.alias("days_to_nearest"))

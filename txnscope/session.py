@@ -48,6 +48,8 @@ def checkpoint_dir(spark: SparkSession) -> str:
     """
     conf = spark.conf.get("spark.checkpoint.dir", None)
     if not conf:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         conf = tempfile.mkdtemp(prefix="txnscope-ckpt-", dir="/tmp")
         spark.conf.set("spark.checkpoint.dir", conf)
     spark.sparkContext.setCheckpointDir(conf)

@@ -48,9 +48,12 @@ def append_log(df: DataFrame, path: str) -> None:
 
 
 def fingerprint(df: DataFrame, cols: list[str] | None = None) -> DataFrame:
-    """Order-insensitive table fingerprint: row count and the XOR of 64-bit row
-    hashes as 16 hex digits (independent of partitioning and row order)."""
+    """Order-insensitive table fingerprint of 16 hex digits: a hash of the row count, the XOR
+    of 64-bit row hashes and the sum of a second row hash (pairs of equal rows cancel in the XOR
+    but not in the sum).  Independent of partitioning and row order."""
     cols = cols or df.columns
     h = F.xxhash64(*[F.col(f"`{c}`") for c in cols])
-    return df.agg(F.count(F.lit(1)).alias("rows"),
-                  F.lpad(F.lower(F.hex(F.bit_xor(h))), 16, "0").alias("fingerprint"))
+    second = F.xxhash64(h, F.lit(1)).cast("decimal(38,0)")
+    parts = df.agg(F.count(F.lit(1)).alias("rows"), F.bit_xor(h).alias("_x"), F.sum(second).alias("_s"))
+    digest = F.xxhash64("rows", F.coalesce("_x", F.lit(0)), F.coalesce(F.col("_s").cast("string"), F.lit("")))
+    return parts.select("rows", F.lpad(F.lower(F.hex(digest)), 16, "0").alias("fingerprint"))

@@ -11,6 +11,7 @@ from __future__ import annotations
 
 import datetime as dt
 
+from pyspark.errors import AnalysisException
 from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -25,8 +26,10 @@ def _exists(spark: SparkSession, path: str) -> bool:
     try:
         spark.read.parquet(path).limit(1).collect()
         return True
-    except Exception:  # noqa: BLE001 - missing folder
-        return False
+    except AnalysisException as e:  # a missing folder only; any other read error is the caller's to see
+        if e.getCondition() in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
+            return False
+        raise
 
 
 def versions(spark: SparkSession, root: str) -> DataFrame:
@@ -43,9 +46,11 @@ def next_version(spark: SparkSession, root: str) -> int:
 def register(spark: SparkSession, root: str, model: PipelineModel, threshold: float, rows: int,
              features: list[str], metrics: dict[str, float], params: dict[str, str],
              data_fingerprint: str, promote: bool = True, reason: str = "initial") -> int:
-    """Save the model as the next version, append its metadata and (optionally) promote it."""
+    """Save the model as the next version, append its metadata and (optionally) promote it.
+
+    A version's folder is never overwritten: if another writer has taken the number, saving fails."""
     v = next_version(spark, root)
-    model.write().overwrite().save(f"{root}/models/v={v}")
+    model.write().save(f"{root}/models/v={v}")
     now = dt.datetime.now(dt.timezone.utc).isoformat()
     row = [(v, now, float(threshold), int(rows), list(features),
             {k: float(x) for k, x in metrics.items()}, {k: str(x) for k, x in params.items()},

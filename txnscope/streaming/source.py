@@ -1,36 +1,56 @@
 """Chronological file source and stream runner.
 
-``write_time_slices`` replays a table as a sequence of time-sliced parquet
-folders written in event-time order (a stand-in for a real feed); a file
-stream over them with ``maxFilesPerTrigger`` delivers the slices in order.
-``run_to_table`` drives a streaming query to completion with
-``trigger(availableNow=True)`` into a parquet sink and returns the result as a
-batch DataFrame.  All folders live under the shared checkpoint directory.
+``time_slices`` replays a table as a feed (a stand-in for a real one): each step
+delivers some time slices, oldest first, into the folder that a file stream reads.
+``run_to_table`` runs the query to completion (``trigger(availableNow=True)``) after
+each step, from one checkpoint.  A step is one micro-batch, however many files its
+slices have, so order across batches is event-time order; order inside a batch
+is the state processor's, which sorts a client's rows.  The state store provider that
+the processors need is set where a query starts and restored afterwards.  All folders
+live under the shared checkpoint directory.
 """
 
 from __future__ import annotations
 
 import uuid
+from collections.abc import Iterable, Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from txnscope.session import scratch_path
 
+PROVIDER = "spark.sql.streaming.stateStore.providerClass"
+ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+
 
 def new_run_dir(spark: SparkSession, name: str) -> str:
     return scratch_path(spark, f"{name}-{uuid.uuid4().hex[:12]}")
 
 
-def write_time_slices(df: DataFrame, ts: str, path: str, slice_days: int = 3,
-                      start: str | None = None, end: str | None = None) -> int:
-    """Write ``df`` as one parquet folder per time slice, oldest first; optional
-    [start, end) period filter.  Returns the number of slices.
+@contextmanager
+def state_provider(spark: SparkSession) -> Iterator[None]:
+    """Several state variables per operator need the RocksDB provider; the caller's setting comes back."""
+    before = spark.conf.get(PROVIDER, None)
+    spark.conf.set(PROVIDER, ROCKSDB)
+    try:
+        yield
+    finally:
+        if before is None:
+            spark.conf.unset(PROVIDER)
+        else:
+            spark.conf.set(PROVIDER, before)
+
+
+def time_slices(df: DataFrame, ts: str, path: str, slice_days: int = 3, per_step: int = 1,
+                start: str | None = None, end: str | None = None) -> Iterator[int]:
+    """Deliver ``df`` into ``path`` as one parquet folder per time slice, oldest first,
+    ``per_step`` slices before each yield (of how many are there); optional [start, end) filter.
 
     The input is read once: it is staged partitioned by slice in the checkpoint
-    folder, then each slice folder is copied from its own partition (pruned read), in
-    event-time order so the file stream sees the slices in arrival order.  The slice
-    list is one value per slice (bounded)."""
+    folder, then each slice folder is copied from its own partition (pruned read).  The
+    slice list is one value per slice (bounded)."""
     x = df
     if start:
         x = x.where(F.col(ts) >= F.lit(start).cast("timestamp"))
@@ -40,40 +60,53 @@ def write_time_slices(df: DataFrame, ts: str, path: str, slice_days: int = 3,
     spark = df.sparkSession
     staged = scratch_path(spark, f"slices-staged-{uuid.uuid4().hex[:12]}")
     x.write.mode("overwrite").partitionBy("_slice").parquet(staged)
-    st = spark.read.parquet(staged)
+    st = spark.read.schema(x.schema).parquet(staged)
     slices = sorted(r[0] for r in st.select("_slice").distinct().collect())
-    for i, s in enumerate(slices):
-        st.where(F.col("_slice") == s).drop("_slice").select(*df.columns).write.mode("overwrite") \
-            .parquet(f"{path}/slice={i:06d}")
-    return len(slices)
-
-
-def read_slices(spark: SparkSession, path: str, schema, files_per_trigger: int = 1) -> DataFrame:
-    """Streaming read of the slices in arrival (modification-time) order."""
-    return (spark.readStream.schema(schema).option("maxFilesPerTrigger", files_per_trigger)
-            .option("recursiveFileLookup", "true").parquet(path))
-
-
-def run_to_table(stream: DataFrame, path: str, output_mode: str = "append") -> DataFrame:
-    """Run a stream to completion (availableNow) into parquet and read it back."""
-    q = (stream.writeStream.format("parquet").outputMode(output_mode)
-         .option("checkpointLocation", f"{path}/_checkpoint").option("path", f"{path}/out")
-         .trigger(availableNow=True).start())
-    q.awaitTermination()
-    return stream.sparkSession.read.parquet(f"{path}/out")
-
-
-def run_upserts(stream: DataFrame, path: str, keys: list[str]) -> DataFrame:
-    """Run an aggregating stream in update mode; every micro-batch appends its
-    updated rows with the batch id, and the result keeps the latest version of
-    each key (an upsert without a table format)."""
+    for i, s in enumerate(slices, 1):
+        deliver(st.where(F.col("_slice") == s).select(*df.columns), path, f"{i:06d}")
+        if i % per_step == 0 or i == len(slices):
+            yield i
+
+
+def deliver(df: DataFrame, path: str, name: str) -> None:
+    """One more slice folder of the feed."""
+    df.write.mode("overwrite").parquet(f"{path}/slice={name}")
+
+
+def read_slices(spark: SparkSession, path: str, schema) -> DataFrame:
+    """Streaming read of a feed; every file that is there is in the next micro-batch."""
+    spark.createDataFrame([], schema).write.mode("append").parquet(f"{path}/slice=000000")
+    return spark.readStream.schema(schema).option("recursiveFileLookup", "true").parquet(path)
+
+
+def run_to_table(stream: DataFrame, path: str, output_mode: str = "append",
+                 feed: Iterable = (None,), fmt: str = "parquet", schema: str | None = None) -> DataFrame:
+    """Run a stream to completion (availableNow) after each step of ``feed`` into a file sink
+    and read it back."""
+    spark = stream.sparkSession
+    with state_provider(spark):
+        for _ in feed:
+            q = (stream.writeStream.format(fmt).outputMode(output_mode)
+                 .option("checkpointLocation", f"{path}/_checkpoint").option("path", f"{path}/out")
+                 .trigger(availableNow=True).start())
+            q.awaitTermination()
+    reader = spark.read.schema(schema) if schema else spark.read
+    return reader.format(fmt).load(f"{path}/out")
+
+
+def run_upserts(stream: DataFrame, path: str, keys: list[str], feed: Iterable = (None,)) -> DataFrame:
+    """Run an aggregating stream in update mode; every micro-batch writes its updated rows
+    under its batch id (a retried batch replaces its own folder), and the result keeps the
+    latest version of each key (an upsert without a table format)."""
     def sink(batch_df, batch_id):
-        batch_df.withColumn("_batch", F.lit(batch_id)).write.mode("append").parquet(f"{path}/out")
-
-    q = (stream.writeStream.outputMode("update").foreachBatch(sink)
-         .option("checkpointLocation", f"{path}/_checkpoint").trigger(availableNow=True).start())
-    q.awaitTermination()
-    out = stream.sparkSession.read.parquet(f"{path}/out")
+        batch_df.write.mode("overwrite").parquet(f"{path}/out/_batch={batch_id}")
+
+    with state_provider(stream.sparkSession):
+        for _ in feed:
+            q = (stream.writeStream.outputMode("update").foreachBatch(sink)
+                 .option("checkpointLocation", f"{path}/_checkpoint").trigger(availableNow=True).start())
+            q.awaitTermination()
+    out = stream.sparkSession.read.option("basePath", f"{path}/out").parquet(f"{path}/out/_batch=*")
     cols = [c for c in out.columns if c not in keys and c != "_batch"]
     latest = out.groupBy(*keys).agg(F.max_by(F.struct(*cols), F.col("_batch")).alias("_v"))
     return latest.select(*keys, "_v.*")

@@ -12,10 +12,12 @@ never moves back).
 from __future__ import annotations
 
 import math
+import sys
 from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
+from pyspark import cloudpickle
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -23,6 +25,9 @@ from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 
 from txnscope.operators.history import Z_LIMIT
 
+# the processor travels by value: workers that start a state runner need not have this package
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
 STATE_SCHEMA = T.StructType([
     T.StructField("n", T.LongType()), T.StructField("mean", T.DoubleType()),
     T.StructField("m2", T.DoubleType()), T.StructField("last_us", T.LongType()),
