@@ -63,10 +63,15 @@ def densified(table: np.ndarray, bins: int) -> np.ndarray:
     return out
 
 
-def packed(signature: np.ndarray, bits: int = BITS) -> list[str]:
-    """Hexadecimal digits of the low bits, bin after bin."""
+def packed_bytes(signature: np.ndarray, bits: int = BITS) -> list[bytes]:
+    """The low bits of each row, bin after bin."""
     cells = np.unpackbits(signature.astype(">u8").view(np.uint8).reshape(*signature.shape, 8), axis=2)[:, :, 64 - bits:]
-    return [row.tobytes().hex() for row in np.packbits(cells.reshape(len(signature), -1), axis=1)]
+    return [row.tobytes() for row in np.packbits(cells.reshape(len(signature), -1), axis=1)]
+
+
+def packed(signature: np.ndarray, bits: int = BITS) -> list[str]:
+    """The same in hexadecimal digits."""
+    return [row.hex() for row in packed_bytes(signature, bits)]
 
 
 def likeness(a: np.ndarray, b: np.ndarray, has_a: np.ndarray, has_b: np.ndarray, bits: int = BITS) -> np.ndarray:
@@ -104,9 +109,10 @@ def edited(text: str, following: str) -> str:
     return text[:len(text) - half] + following[:half]
 
 
-RESULT = [("n_chars", pa.int64()), ("edited_sha256", pa.string()), ("fingerprint", pa.string()), ("edited_fingerprint", pa.string()),
+# binary until the last step: half the size of digits
+RESULT = [("n_chars", pa.int64()), ("edited_sha256", pa.binary()), ("fingerprint", pa.binary()), ("edited_fingerprint", pa.binary()),
           ("near_edited", pa.float64()), ("near_next", pa.float64())]
-RESULT_DDL = "n_chars long, edited_sha256 string, fingerprint string, edited_fingerprint string, near_edited double, near_next double"
+RESULT_DDL = "n_chars long, edited_sha256 binary, fingerprint binary, edited_fingerprint binary, near_edited double, near_next double"
 
 
 def compared(texts: list[str], following: list[str]) -> list[pa.Array]:
@@ -120,7 +126,7 @@ def compared(texts: list[str], following: list[str]) -> list[pa.Array]:
         after_signs, after_has = signs[after], has[after]
     else:
         after_signs, after_has = signatures(following), _has_words(following)
-    columns = [[len(t) for t in texts], [hashlib.sha256(t.encode("utf-8", "surrogatepass")).hexdigest() for t in changed], packed(signs[own]), packed(signs[altered]),
+    columns = [[len(t) for t in texts], [hashlib.sha256(t.encode("utf-8", "surrogatepass")).digest() for t in changed], packed_bytes(signs[own]), packed_bytes(signs[altered]),
                likeness(signs[own], signs[altered], has[own], has[altered]), likeness(signs[own], after_signs, has[own], after_has)]
     return [pa.array(c, t) for c, (_, t) in zip(columns, RESULT)]
 
@@ -182,4 +188,5 @@ def edit_likeness(df: DataFrame, id_col: str = "doc_id", text_col: str = "text")
                 yield pa.record_batch([row.column("key"), *compared(row.column("text").to_pylist(), row.column("following").to_pylist())], names=["key", *names])
 
     everything = done.where("kind = 'row'").select("key", *names).union(pairs.mapInArrow(seam, f"key long, {RESULT_DDL}"))
-    return everything.select(F.when(F.col("key") != NO_ID, F.col("key")).alias(id_col), *names)
+    digits = [F.lower(F.hex(n)).alias(n) if pa.types.is_binary(t) else F.col(n) for n, t in RESULT]
+    return everything.select(F.when(F.col("key") != NO_ID, F.col("key")).alias(id_col), *digits)
