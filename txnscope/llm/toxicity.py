@@ -23,8 +23,8 @@ from pyspark.sql import functions as F
 from txnscope.llm.tables import bounded_batches, keyed, relaxed, with_columns
 from txnscope.llm.words import column_bytes, hash_spans, mix, text_bytes, word_spans
 
-FIT_DOCUMENTS = {1: 1000, 0: 2000}
-FIT_BYTES = 1 << 16
+FIT_DOCUMENTS = {1: 800, 0: 1000}
+FIT_BYTES = 1 << 15
 PREFIXES = (4, 5, 6, 8)  # bytes
 SEED_SHARE, SEED_SURPRISE = 0.9, 15.0
 
