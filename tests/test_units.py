@@ -132,6 +132,60 @@ def test_bootstrap_f1_matches_published_spread(spark):
     assert s.effective_b == 2000
 
 
+@pytest.mark.parametrize("mean", [1.0, 1e3, 1e6])
+def test_poisson_counts_follow_the_law_at_every_mean(mean):
+    from txnscope.operators.resample import poisson_matrix
+
+    seeds = np.arange(1, 401, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15)
+    w = poisson_matrix(seeds, np.full(400, mean), 250)
+    n = w.size
+    assert abs(w.mean() - mean) < 5 * math.sqrt(mean / n)
+    assert abs(w.var() / mean - 1) < 5 * math.sqrt((2 + 1 / mean) / n)
+    skew = ((w - w.mean()) ** 3).mean() / w.std() ** 3
+    assert abs(skew - mean ** -0.5) < 0.05 + 5 * math.sqrt(6 / n)
+    assert (w == poisson_matrix(seeds, np.full(400, mean), 250)).all()
+
+
+@pytest.mark.parametrize("ranges", [1, 7])
+def test_bootstrap_average_precision_equals_brute_force(spark, ranges, monkeypatch):
+    """AP of each replicate from the score ranges equals AP of the weighted rows: ties over several ranges, nulls."""
+    from txnscope.operators import resample as B
+
+    rng = np.random.default_rng(3)
+    rows = [(i, float(v) if i % 17 else None, int(y)) for i, (v, y) in
+            enumerate(zip(np.where(rng.random(300) < 0.4, 5, rng.integers(0, 30, 300)), rng.random(300) < 0.3))]
+    df = B.weighted(spark.createDataFrame(rows, "id long, s double, y int"), ["id"], 9)
+    monkeypatch.setattr(B, "DRAW_ROWS", 13)
+    spark.conf.set("spark.sql.shuffle.partitions", str(ranges))
+    try:
+        got = {r.rep: r.ap for r in B.ap_draws(df, "s", 20).collect()}
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", "8")
+    p = df.where("s IS NOT NULL").toPandas()
+    w = B.poisson_matrix(p["_h"].to_numpy().view(np.uint64), p["_mean"].to_numpy(), 20)
+    for rep in range(20):
+        ap = 0.0
+        for s in p["s"].unique():
+            above = p["s"] >= s
+            n, pos = w[above, rep].sum(), (w[above, rep] * p["y"][above]).sum()
+            ap += (w[p["s"] == s, rep] * p["y"][p["s"] == s]).sum() * pos / n if n else 0.0
+        assert got[rep] == pytest.approx(ap / (w[:, rep] * p["y"]).sum(), abs=1e-9)
+
+
+def test_bootstrap_sums_match_closed_form_spread(spark):
+    """Sums over entities with one Poisson(1) count each: mean Σx, variance Σx²; groups apart, null group kept."""
+    from txnscope.operators import resample as B
+
+    rows = [(i, "a" if i % 3 else None, float(1 + i % 5)) for i in range(600)]
+    df = spark.createDataFrame(rows, "id long, g string, x double").repartition(5)
+    got = B.bootstrap_sums(B.weighted(df, ["id"], 4), ["x"], 2000, ["g"]).toPandas()
+    for g, part in got.groupby("g", dropna=False):
+        x = np.array([v for _, k, v in rows if (k is None) == (g is None or g != g) and (k is None or k == g)])
+        assert len(part) == 2000
+        assert abs(part["x"].mean() - x.sum()) < 5 * math.sqrt((x ** 2).sum() / 2000)
+        assert part["x"].var() == pytest.approx((x ** 2).sum(), rel=0.2)
+
+
 def test_ks_statistic_and_pvalue(spark):
     from txnscope.operators.stats import ks_two_sample
 
@@ -204,6 +258,38 @@ def test_linear_attributions_are_additive(spark):
     assert sum(x.share for x in r) == pytest.approx(1.0, abs=1e-5)
 
 
+def brute_force_shapley(x: np.ndarray, plan: dict, p: int) -> np.ndarray:
+    """Exact Shapley values of the path-dependent expectation by enumerating feature
+    subsets (2^p); for tests on small models only."""
+    from itertools import combinations
+
+    from txnscope.operators import attribution as AT
+
+    def value(S):
+        tot = 0.0
+        for v, feats in plan["leaves"]:
+            prod = v
+            for f, z, conds in feats:
+                if f in S:
+                    ok = all(bool(AT._branch(np.array([x[f]]), t, s)[0]) for t, s in conds)
+                    prod *= 1.0 if ok else 0.0
+                else:
+                    prod *= z
+            tot += prod
+        return tot
+
+    phi = np.zeros(p)
+    allf = list(range(p))
+    for i in allf:
+        rest = [f for f in allf if f != i]
+        for k in range(p):
+            w = math.factorial(k) * math.factorial(p - k - 1) / math.factorial(p)
+            for S in combinations(rest, k):
+                s = set(S)
+                phi[i] += w * (value(s | {i}) - value(s))
+    return phi
+
+
 def test_tree_attributions_additive_and_exact_shapley(spark):
     """Base + Σ contributions = the model margin (1e-9), and each row's values equal
     Shapley values of the cover-weighted path expectation found by subset enumeration."""
@@ -225,8 +311,11 @@ def test_tree_attributions_additive_and_exact_shapley(spark):
         X = np.array(test.select(*[F.col(f"`{k}`").cast("double") for k in cols]).limit(4).collect(),
                      dtype=float)
         phi = AT.shap_matrix(X, plan)
+        blocks = AT.plan_blocks(plan, 3)
+        assert len(blocks) > 1
+        assert np.abs(sum(AT.shap_matrix(X, {"leaves": k}) for k in blocks) - phi).max() < 1e-12
         for r in range(len(X)):
-            bf = AT.brute_force_shapley(X[r, used], sub, len(used))
+            bf = brute_force_shapley(X[r, used], sub, len(used))
             assert np.abs(bf - phi[r, used]).max() < 1e-9
             assert np.abs(np.delete(phi[r], used)).max(initial=0.0) == 0.0
 

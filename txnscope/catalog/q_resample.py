@@ -1,13 +1,16 @@
 """Resampling queries (M13–M16, D10, P3, P4).  Random by construction, so they
 are checked by invariants (tests) rather than by an SQL oracle."""
 
+from functools import reduce
+
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from txnscope.catalog.registry import query
 from txnscope.catalog.q_segments import scored_events
 from txnscope.operators import resample as B
 from txnscope.operators.metrics import confusion, ranking_summary
-from txnscope.plans.frames import with_scalars
+from txnscope.plans.frames import materialize, with_scalars
 from txnscope.sources import scored_lines
 
 
@@ -27,34 +30,46 @@ def boot_f1(spark, sf_dir):
     return B.ci_summary(draws, "f1", point)
 
 
+METRICS = ("precision", "recall", "f1", "ap")
+
+
 @query("m14_m16_paired_ap_bootstrap")
 def paired(spark, sf_dir):
-    """M14 + M16 + D10: AP of a fine and a coarse score on shared Poisson resamples;
-    observed difference, CI, P(fine > coarse), includes-zero flag."""
+    """M14 + M16 + D10: precision, recall, F1 (at 60) and AP of a fine and a coarse score on 1,000 shared Poisson
+    resamples; per metric the observed difference, CI, P(fine > coarse), includes-zero flag."""
     s = _lines(spark, sf_dir)
-    draws = B.paired_ap_draws(s, "score_i", "score_coarse", "y", b=200, seed=1)
-    obs_a = ranking_summary(s, "score_i", "y").select(F.col("average_precision").alias("ap_a"))
-    obs_b = ranking_summary(s, "score_coarse", "y").select(F.col("average_precision").alias("ap_b"))
-    return B.paired_difference(draws, "ap_a", "ap_b", with_scalars(obs_a, obs_b))
+    draws = materialize(B.paired_draws(s, "score_i", "score_coarse", 60, 7, "y", b=1000, seed=1), "paired-draws")
+    obs = None
+    for m, score, at in (("_a", "score_i", 60), ("_b", "score_coarse", 7)):
+        c = confusion(s.withColumn("p", (F.col(score) >= at).cast("int")), "p", "y").select(*[F.col(k).alias(k + m) for k in METRICS[:3]])
+        c = with_scalars(c, ranking_summary(s, score, "y").select(F.col("average_precision").alias("ap" + m)))
+        obs = c if obs is None else with_scalars(obs, c)
+    obs = materialize(obs, "paired-observed")
+    rows = [B.paired_difference(draws, k + "_a", k + "_b", obs).withColumn("metric", F.lit(k)) for k in METRICS]
+    return reduce(DataFrame.unionByName, rows)
 
 
 @query("m15_cluster_bootstrap_f1")
 def cluster(spark, sf_dir):
-    """F1 interval resampling whole clients (one weight per client and replicate)."""
+    """Intervals of precision, recall, F1 and AP, 1,000 times resampling whole clients."""
     s = _lines(spark, sf_dir)
-    draws = B.cluster_bootstrap_f1(s, "client_id", b=300, seed=2)
-    point = confusion(s, "p", "y").select(F.col("f1").alias("f1_point"))
-    return B.ci_summary(draws, "f1", point)
+    draws = materialize(B.cluster_bootstrap(s, "client_id", b=1000, seed=2, score="score_i"), "cluster-draws")
+    point = with_scalars(confusion(s, "p", "y").select(*METRICS[:3]),
+                         ranking_summary(s, "score_i", "y").select(F.col("average_precision").alias("ap")))
+    point = materialize(point, "cluster-point")
+    rows = [B.ci_summary(draws, k, point.select(F.lit(k).alias("metric"), F.col(k).alias("point"))) for k in METRICS]
+    return reduce(DataFrame.unionByName, rows)
 
 
 @query("p3_p4_group_recall_gap_ci")
 def group_gap(spark, sf_dir):
-    """P3 + P4: recall per group with client-resampled replicates inside each group;
-    max−min gap across groups with CI and a distinguishable flag."""
-    e = scored_events(spark, sf_dir).where(F.col("sex").isin("F", "M"))
-    draws = B.cluster_bootstrap_f1(e, "client_id", b=300, seed=3, group="sex")
-    obs = confusion(e, "p", "y", by=["sex"]).select("sex", "recall")
-    return B.group_gap(draws, "sex", "recall", obs)
+    """P3 + P4: precision, recall and false-positive rate per group, 1,000 times resampling clients inside each
+    group; max−min gap across groups with CI and a distinguishable flag."""
+    e = scored_events(spark, sf_dir).where(F.col("sex").isNotNull())
+    draws = materialize(B.cluster_bootstrap(e, "client_id", b=1000, seed=3, group="sex"), "group-draws")
+    sums = B.with_cells(e, "p").groupBy("sex").agg(*[F.sum(c).alias(c) for c in B.CELLS])
+    obs = materialize(sums.select("sex", *[v.alias(k) for k, v in B.cell_metrics().items()]), "group-observed")
+    return reduce(DataFrame.unionByName, [B.group_gap(draws, "sex", k, obs) for k in ("precision", "recall", "fpr")])
 
 
 @query("o9_weighted_sampling_with_replacement")

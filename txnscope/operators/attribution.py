@@ -15,7 +15,8 @@ and the tree's are the sum over leaves (features off the path are null players).
 attributions add up exactly to the margin.
 
 Spark plan: the node tables come from the saved model (size bounded by
-trees × 2^(depth+1), checked) and are broadcast; the rows are scored in Arrow
+trees × 2^(depth+1), not by data) and are broadcast in blocks of leaves whose
+attributions are added, for a model of any size; the rows are scored in Arrow
 batches by ``mapInPandas`` (numpy, vectorised over the rows of a batch for each
 leaf path).  Nothing row-sized passes through the driver.
 
@@ -27,7 +28,6 @@ and single trees → probability of class 1.
 from __future__ import annotations
 
 import math
-import pickle
 import uuid
 
 import numpy as np
@@ -41,7 +41,7 @@ from pyspark.sql.types import ArrayType, DoubleType
 
 from txnscope.session import scratch_path
 
-MAX_PLAN_BYTES = 64 << 20    # broadcast guard for the compiled leaf paths
+BLOCK_LEAVES = 20_000    # leaf paths sent to the executors in one broadcast
 
 
 def _final(model):
@@ -124,11 +124,12 @@ def compile_paths(model) -> dict:
             return acc
 
         base += walk(root, {})
-    plan = {"leaves": leaves, "base": base}
-    size = len(pickle.dumps(plan))
-    if size > MAX_PLAN_BYTES:
-        raise ValueError(f"compiled tree paths take {size} bytes, above the broadcast bound")
-    return plan
+    return {"leaves": leaves, "base": base}
+
+
+def plan_blocks(plan: dict, size: int = BLOCK_LEAVES) -> list[list]:
+    """The leaf paths in blocks: attributions are a sum over leaves, so blocks add up."""
+    return [plan["leaves"][i:i + size] for i in range(0, len(plan["leaves"]), size)]
 
 
 def _shapley_weights(d: int) -> np.ndarray:
@@ -186,7 +187,8 @@ def tree_contributions(model, df: DataFrame, cols: list[str], keep: list[str]) -
     """
     spark = df.sparkSession
     plan = compile_paths(model)
-    bc = spark.sparkContext.broadcast(plan)
+    base = plan["base"]
+    blocks = [spark.sparkContext.broadcast(block) for block in plan_blocks(plan)]
     m = _final(model)
     scored = model.transform(df)
     own = (2.0 * vector_to_array("rawPrediction")[1]) if isinstance(m, GBTClassificationModel) \
@@ -198,12 +200,13 @@ def tree_contributions(model, df: DataFrame, cols: list[str], keep: list[str]) -
     xcols = [f"_x{i}" for i in range(len(cols))]
 
     def run(batches):
-        p = bc.value
         for b in batches:
             X = b[xcols].to_numpy(dtype=float, na_value=np.nan)
-            phi = shap_matrix(X, p)
+            phi = np.zeros(X.shape)
+            for block in blocks:
+                phi += shap_matrix(X, {"leaves": block.value})
             out = b.drop(columns=xcols)
-            out["base"] = p["base"]
+            out["base"] = base
             out["phi"] = list(phi)
             yield out
 
@@ -216,34 +219,4 @@ def tree_contributions(model, df: DataFrame, cols: list[str], keep: list[str]) -
                       contribs.alias("contributions"))
 
 
-def brute_force_shapley(x: np.ndarray, plan: dict, p: int) -> np.ndarray:
-    """Exact Shapley values of the path-dependent expectation by enumerating feature
-    subsets (2^p); for tests on small models only."""
-    from itertools import combinations
-
-    def value(S):
-        tot = 0.0
-        for v, feats in plan["leaves"]:
-            prod = v
-            for f, z, conds in feats:
-                if f in S:
-                    ok = all(bool(_branch(np.array([x[f]]), t, s)[0]) for t, s in conds)
-                    prod *= 1.0 if ok else 0.0
-                else:
-                    prod *= z
-            tot += prod
-        return tot
-
-    phi = np.zeros(p)
-    allf = list(range(p))
-    for i in allf:
-        rest = [f for f in allf if f != i]
-        for k in range(p):
-            w = math.factorial(k) * math.factorial(p - k - 1) / math.factorial(p)
-            for S in combinations(rest, k):
-                s = set(S)
-                phi[i] += w * (value(s | {i}) - value(s))
-    return phi
-
-
-__all__ = ["compile_paths", "shap_matrix", "tree_contributions", "brute_force_shapley"]
+__all__ = ["compile_paths", "plan_blocks", "shap_matrix", "tree_contributions"]

@@ -5,13 +5,15 @@ Rows are never exploded × replicates:
 * row bootstrap of a confusion-based metric: the four confusion cells are
   computed once; each replicate draws a multinomial sample of the cells
   (exactly the distribution of resampling rows with replacement);
-* ranking metrics (AP) per replicate: rows are collapsed to distinct
-  (score, label) groups first and each (group, replicate) gets a Poisson
-  count with mean = group size (Poisson bootstrap);
-* cluster bootstrap: per-entity sums × replicates with one Poisson(1) weight
-  per entity and replicate.
-
-Random draws are seeded from a hash of (key, replicate, seed), so results do
+* other bootstraps weigh rows: rows alike are one row with its number, and a row
+  (or a whole entity) gets a Poisson count for each replicate.  The counts of all
+  replicates are drawn inside the Arrow batch and added to one sum per replicate,
+  so a task returns B rows however many it reads;
+* average precision needs the order of scores: rows are cut into ranges of the
+  score, and two passes (totals of a range, then sums inside it) draw the same
+  counts.
+
+Random draws are seeded from a hash of (key, seed), so results do
 not depend on partitioning, retries or the number of executors.
 """
 
@@ -19,70 +21,20 @@ from __future__ import annotations
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from txnscope.plans.frames import with_scalars
 from txnscope.plans.prefix import prefix_sum
 
-SPLITMIX = np.uint64(0x9E3779B97F4A7C15)
-
-
-def _uniform(h: np.ndarray) -> np.ndarray:
-    """64-bit hash → uniform in (0, 1) (upper 53 bits)."""
-    u = (h.astype(np.uint64) >> np.uint64(11)).astype(np.float64)
-    return (u + 0.5) / float(1 << 53)
-
-
-def _poisson_inv(mean: np.ndarray, u: np.ndarray) -> np.ndarray:
-    """Vectorised inverse CDF of Poisson(mean) at u (normal approximation for mean > 500)."""
-    mean = mean.astype(np.float64)
-    out = np.zeros(len(mean), dtype=np.int64)
-    small = mean <= 500
-    if small.any():
-        m, uu = mean[small], u[small]
-        p = np.exp(-m)
-        cdf = p.copy()
-        k = np.zeros(len(m), dtype=np.int64)
-        active = cdf < uu
-        kmax = int(m.max() + 12 * np.sqrt(m.max()) + 30)
-        for i in range(1, kmax + 1):
-            if not active.any():
-                break
-            p = np.where(active, p * m / i, p)
-            cdf = np.where(active, cdf + p, cdf)
-            k = np.where(active, i, k)
-            active = active & (cdf < uu)
-        out[small] = k
-    big = ~small
-    if big.any():
-        m = mean[big]
-        z = np.sqrt(2.0) * _erfinv(2.0 * u[big] - 1.0)
-        out[big] = np.maximum(0, np.round(m + np.sqrt(m) * z)).astype(np.int64)
-    return out
-
-
-def _erfinv(y: np.ndarray) -> np.ndarray:
-    """Inverse error function (Giles' single-precision approximation refined by Newton)."""
-    w = -np.log((1.0 - y) * (1.0 + y))
-    x = np.where(w < 5.0, _poly(w - 2.5, [2.81022636e-08, 3.43273939e-07, -3.5233877e-06,
-                                          -4.39150654e-06, 0.00021858087, -0.00125372503,
-                                          -0.00417768164, 0.246640727, 1.50140941]),
-                 _poly(np.sqrt(np.maximum(w, 5.0)) - 3.0,
-                       [-0.000200214257, 0.000100950558, 0.00134934322, -0.00367342844,
-                        0.00573950773, -0.0076224613, 0.00943887047, 1.00167406, 2.83297682])) * y
-    from math import erf, sqrt, pi
-    verf = np.vectorize(erf)
-    for _ in range(2):
-        x = x - (verf(x) - y) / (2.0 / sqrt(pi) * np.exp(-x * x))
-    return x
+DRAW_ROWS = 500          # rows whose counts are drawn at once (× B numbers)
+RANGE_ROWS = 50_000      # rows of one score range
+OPEN_GROUPS = 100        # groups a task sums before it hands on what it has
 
 
-def _poly(t, coeffs):
-    p = np.zeros_like(t) + coeffs[0]
-    for c in coeffs[1:]:
-        p = p * t + c
-    return p
+def poisson_matrix(seeds: np.ndarray, mean: np.ndarray, b: int) -> np.ndarray:
+    """(rows, B) counts, row i from Poisson(mean[i]) and the generator seeded by its hash: exact at every mean."""
+    return np.stack([np.random.Generator(np.random.Philox(key=int(h))).poisson(m, b) for h, m in zip(seeds, mean)])
 
 
 def replicates(spark, b: int) -> DataFrame:
@@ -90,25 +42,132 @@ def replicates(spark, b: int) -> DataFrame:
     return spark.range(b).select(F.col("id").cast("int").alias("rep"))
 
 
-def _explode_reps(df: DataFrame, b: int) -> DataFrame:
-    return df.withColumn("rep", F.explode(F.sequence(F.lit(0), F.lit(b - 1))))
+def weighted(df: DataFrame, key: list[str], seed: int, mean=None, times=None) -> DataFrame:
+    """Add what a draw needs: each row counts ``times`` · Poisson(``mean``), seeded by the hash of ``key``."""
+    return df.withColumn("_h", F.xxhash64(*[F.col(k) for k in key], F.lit(seed))) \
+        .withColumn("_mean", (F.lit(1.0) if mean is None else F.col(mean)).cast("double")) \
+        .withColumn("_times", (F.lit(1.0) if times is None else F.col(times)).cast("double"))
 
 
-def poisson_counts(df: DataFrame, mean: str, key: list[str], b: int, seed: int,
-                   name: str = "w") -> DataFrame:
-    """(rows of ``df``) × replicates with a Poisson(mean) count per (key, replicate),
-    drawn in Arrow batches from a hash seed."""
-    x = _explode_reps(df, b).withColumn("_h", F.xxhash64(*[F.col(k) for k in key], F.col("rep"),
-                                                         F.lit(seed)))
-    from pyspark.sql import types as T
-    schema = T.StructType(list(x.drop("_h").schema.fields) + [T.StructField(name, T.LongType())])
+def _draw_chunks(pdf: pd.DataFrame, b: int):
+    """(slice, counts) of the rows, ``DRAW_ROWS`` at a time."""
+    seeds = pdf["_h"].to_numpy(dtype=np.int64).view(np.uint64)
+    mean, times = pdf["_mean"].to_numpy(), pdf["_times"].to_numpy()
+    for lo in range(0, len(pdf), DRAW_ROWS):
+        part = slice(lo, lo + DRAW_ROWS)
+        yield part, poisson_matrix(seeds[part], mean[part], b) * times[part, None]
 
-    def draw(batches):
+
+def bootstrap_sums(df: DataFrame, sums: list[str], b: int, by: list[str] | None = None) -> DataFrame:
+    """(by, rep, sums): weighted sums of the columns for every replicate of a ``weighted`` table.
+
+    A task keeps B sums for each of at most ``OPEN_GROUPS`` groups; partial sums are added afterwards."""
+    by = by or []
+    x = df.select(*by, *[F.col(c).cast("double").alias(c) for c in sums], "_h", "_mean", "_times")
+    schema = ", ".join([*[f"`{c}` {x.schema[c].dataType.simpleString()}" for c in by], "rep int", *[f"`{c}` double" for c in sums]])
+
+    def table(open_groups):
+        for head, total in open_groups.values():
+            out = pd.DataFrame(total, columns=sums)
+            out.insert(0, "rep", np.arange(b, dtype=np.int32))
+            for c in by:
+                out[c] = [head[c]] * b
+            yield out[[*by, "rep", *sums]]
+
+    def run(batches):
+        open_groups: dict = {}
         for pdf in batches:
-            u = _uniform(pdf["_h"].to_numpy().view(np.uint64))
-            pdf[name] = _poisson_inv(pdf[mean].to_numpy(dtype=np.float64), u)
-            yield pdf.drop(columns=["_h"])
-    return x.mapInPandas(draw, schema)
+            groups = pdf.groupby(by, dropna=False, sort=False) if by else [((), pdf)]
+            for key, rows in groups:
+                key = tuple("null" if pd.isna(k) else (k,) for k in key)
+                if key not in open_groups:
+                    if len(open_groups) >= OPEN_GROUPS:
+                        yield from table(open_groups)
+                        open_groups = {}
+                    open_groups[key] = ({c: rows[c].iloc[0] for c in by}, np.zeros((b, len(sums))))
+                values = rows[sums].to_numpy(dtype=np.float64)
+                for part, w in _draw_chunks(rows, b):
+                    open_groups[key][1][:] += w.T @ values[part]
+        yield from table(open_groups)
+
+    return x.mapInPandas(run, schema).groupBy(*by, "rep").agg(*[F.sum(c).alias(c) for c in sums])
+
+
+def ap_draws(df: DataFrame, score: str, b: int, name: str = "ap", label: str = "y") -> DataFrame:
+    """(rep, ap): step average precision of every replicate of a ``weighted`` table (null scores are left out).
+
+    Ranges are cut by (score, hash), so a score that many rows share is spread too: a range reports its first
+    and last score apart, and these are joined with the neighbours' before they count."""
+    from txnscope.plans.frames import materialize
+
+    x = df.where(F.col(score).isNotNull()).select(F.col(score).cast("double").alias("s"), F.col(label).cast("double").alias("pos"),
+                                                  F.lit(1.0).alias("n"), "_h", "_mean", "_times")
+    x = materialize(x, "bootstrap-rows")
+    ranges = max(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), x.count() // RANGE_ROWS + 1)
+    x = materialize(x.repartitionByRange(ranges, F.col("s").desc(), "_h").withColumn("part", F.spark_partition_id()), "bootstrap-ranges")
+    before = Window.partitionBy("rep").orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = bootstrap_sums(x, ["n", "pos"], b, ["part"]).select(
+        "part", "rep", *[F.coalesce(F.sum(c).over(before), F.lit(0.0)).alias(c) for c in ("n", "pos")])
+
+    def inside(rows: pd.DataFrame, offset: pd.DataFrame) -> pd.DataFrame:
+        rows = rows.sort_values("s", ascending=False, kind="stable")
+        offset = offset.sort_values("rep")
+        n, pos = offset["n"].to_numpy(), offset["pos"].to_numpy()
+        score_of, label_of = rows["s"].to_numpy(), rows["pos"].to_numpy()
+        middle, ends = np.zeros((3, b)), []  # n, pos and the precision sum of the scores between the ends
+        open_score, open_sums = None, None
+
+        def close():
+            nonlocal n, pos
+            n, pos = n + open_sums[0], pos + open_sums[1]
+            if not ends:
+                ends.append((0, open_score, *open_sums))
+                return
+            middle[:2] += open_sums
+            middle[2] += open_sums[1] * pos / np.maximum(n, 1.0)
+
+        for part, w in _draw_chunks(rows, b):
+            at = score_of[part]
+            starts = np.flatnonzero(np.r_[True, at[1:] != at[:-1]])
+            for i, sums in zip(starts, zip(np.add.reduceat(w, starts), np.add.reduceat(w * label_of[part, None], starts))):
+                if open_score is not None and open_score != at[i]:
+                    close()
+                    open_sums = np.zeros((2, b))
+                open_sums = np.stack(sums) + (open_sums if open_score == at[i] else 0.0)
+                open_score = at[i]
+        ends.append((2, open_score, *open_sums))
+        out = [pd.DataFrame({"seq": q, "s": s, "rep": np.arange(b), "n": e0, "pos": e1, "ap": 0.0}) for q, s, e0, e1 in ends]
+        out.append(pd.DataFrame({"seq": 1, "s": np.nan, "rep": np.arange(b), "n": middle[0], "pos": middle[1], "ap": middle[2]}))
+        return pd.concat(out).assign(part=rows["part"].iloc[0])[["part", "seq", "s", "rep", "n", "pos", "ap"]]
+
+    sums = x.groupBy("part").cogroup(offsets.groupBy("part")).applyInPandas(
+        inside, "part int, seq int, s double, rep int, n double, pos double, ap double")
+    upto = Window.partitionBy("rep").orderBy("part", "seq").rowsBetween(Window.unboundedPreceding, 0)
+    sums = sums.withColumn("n_cum", F.sum("n").over(upto)).withColumn("pos_cum", F.sum("pos").over(upto))
+    steps = sums.groupBy("rep", "s").agg(F.sum("pos").alias("pos"), F.sum("ap").alias("ap"),
+                                         F.max("n_cum").alias("n_cum"), F.max("pos_cum").alias("pos_cum"))
+    step = F.when(F.col("s").isNull() | F.isnan("s"), F.col("ap")).when(F.col("n_cum") > 0, F.col("pos") * F.col("pos_cum") / F.col("n_cum")).otherwise(0.0)
+    total = F.sum("pos")
+    return steps.groupBy("rep").agg(F.when(total > 0, F.sum(step) / total).alias(name))
+
+
+CELLS = ("tp", "fp", "fn", "neg")
+
+
+def with_cells(df: DataFrame, pred: str | Column, label: str = "y", suffix: str = "") -> DataFrame:
+    """Add 0/1 confusion columns of a prediction."""
+    p = F.col(pred) if isinstance(pred, str) else pred
+    y = F.col(label)
+    for c, when in zip(CELLS, ((p == 1) & (y == 1), (p == 1) & (y == 0), (p == 0) & (y == 1), y == 0)):
+        df = df.withColumn(c + suffix, F.when(when, 1.0).otherwise(0.0))
+    return df
+
+
+def cell_metrics(suffix: str = "") -> dict[str, Column]:
+    """Precision (0 without alerts), recall, F1 and false-positive rate from summed cells."""
+    tp, fp, fn, neg = (F.col(c + suffix) for c in CELLS)
+    return {"precision": F.when(tp + fp > 0, tp / (tp + fp)).otherwise(0.0), "recall": F.when(tp + fn > 0, tp / (tp + fn)),
+            "f1": F.when(tp + fn > 0, 2 * tp / (2 * tp + fp + fn)), "fpr": F.when(neg > 0, fp / neg)}
 
 
 # ----------------------------------------------------------------- M13
@@ -147,23 +206,22 @@ def ci_summary(draws: DataFrame, value: str, point: DataFrame | None = None) ->
 
 
 # ------------------------------------------------------------ M14 / M16
-def paired_ap_draws(df: DataFrame, score_a: str, score_b: str, label: str = "y",
-                    b: int = 200, seed: int = 1) -> DataFrame:
-    """M14 + D10: AP of two scores on the same Poisson resamples: rows collapsed to
-    (score_a, score_b, label) groups, one Poisson count per (group, replicate) shared
-    by both models; weighted step AP per replicate via grouped prefix sums."""
+def paired_draws(df: DataFrame, score_a: str, score_b: str, at_a: float, at_b: float, label: str = "y",
+                 b: int = 1000, seed: int = 1) -> DataFrame:
+    """M14 + D10: precision, recall, F1 (scores at ``at_a`` and ``at_b``) and AP of two scores on the same Poisson
+    resamples of the rows: (rep, <metric>_a, <metric>_b).  Rows are collapsed to (score_a, score_b, label) first;
+    replicates without positives are left out."""
+    from txnscope.plans.frames import materialize
+
     g = df.groupBy(F.col(score_a).cast("double").alias("sa"), F.col(score_b).cast("double").alias("sb"),
                    F.col(label).alias("y")).agg(F.count(F.lit(1)).cast("double").alias("c"))
-    w = poisson_counts(g, "c", ["sa", "sb", "y"], b, seed).where(F.col("w") > 0)
-    aps = []
-    for name, s in (("ap_a", "sa"), ("ap_b", "sb")):
-        per = w.groupBy("rep", F.col(s).alias("score")).agg(
-            F.sum("w").alias("n"), F.sum(F.col("w") * F.col("y")).alias("pos"))
-        c = prefix_sum(per, "score", ["n", "pos"], descending=True, by=["rep"])
-        ap = c.groupBy("rep").agg((F.sum(F.col("pos") * F.col("pos_cum") / F.col("n_cum")) /
-                                   F.sum("pos")).alias(name))
-        aps.append(ap)
-    return aps[0].join(aps[1], "rep").where(F.col("ap_a").isNotNull() & F.col("ap_b").isNotNull())
+    g = materialize(weighted(g, ["sa", "sb", "y"], seed, mean="c"), "bootstrap-groups")
+    x = with_cells(with_cells(g, (F.col("sa") >= at_a).cast("int"), suffix="_a"), (F.col("sb") >= at_b).cast("int"), suffix="_b")
+    cells = bootstrap_sums(x, [c + m for m in ("_a", "_b") for c in CELLS], b)
+    out = cells.select("rep", *[v.alias(k + m) for m in ("_a", "_b") for k, v in cell_metrics(m).items() if k != "fpr"])
+    for m, s in (("_a", "sa"), ("_b", "sb")):
+        out = out.join(ap_draws(g, s, b, "ap" + m), "rep")
+    return out.where(F.col("ap_a").isNotNull() & F.col("ap_b").isNotNull())
 
 
 def paired_difference(draws: DataFrame, a: str, b: str, observed: DataFrame) -> DataFrame:
@@ -180,25 +238,19 @@ def paired_difference(draws: DataFrame, a: str, b: str, observed: DataFrame) ->
 
 
 # ------------------------------------------------------------- M15 / P3
-def cluster_bootstrap_f1(df: DataFrame, key: str, pred: str = "p", label: str = "y",
-                         b: int = 1000, seed: int = 2, group: str | None = None) -> DataFrame:
-    """F1 per replicate resampling whole entities (Poisson(1) weight per
-    entity and replicate); optionally inside each group."""
+def cluster_bootstrap(df: DataFrame, key: str, pred: str = "p", label: str = "y", b: int = 1000, seed: int = 2,
+                      group: str | None = None, score: str | None = None) -> DataFrame:
+    """Precision, recall, F1 and false-positive rate of replicates that resample whole entities (one
+    Poisson(1) count an entity), optionally inside each group; with ``score`` also AP, without groups.
+    Replicates without positives are left out."""
     gcols = [group] if group else []
-    per = df.groupBy(*gcols, key).agg(
-        F.sum(F.when((F.col(pred) == 1) & (F.col(label) == 1), 1).otherwise(0)).alias("tp"),
-        F.sum(F.when((F.col(pred) == 1) & (F.col(label) == 0), 1).otherwise(0)).alias("fp"),
-        F.sum(F.when((F.col(pred) == 0) & (F.col(label) == 1), 1).otherwise(0)).alias("fn"),
-        F.sum(F.when(F.col(label) == 0, 1).otherwise(0)).alias("neg"),
-    ).withColumn("_one", F.lit(1.0))
-    w = poisson_counts(per, "_one", [key], b, seed)
-    agg = w.groupBy(*gcols, "rep").agg(*[F.sum(F.col(c) * F.col("w")).alias(c)
-                                         for c in ("tp", "fp", "fn", "neg")])
-    agg = agg.where(F.col("tp") + F.col("fn") > 0)
-    return agg.select(*gcols, "rep",
-                      (2 * F.col("tp") / (2 * F.col("tp") + F.col("fp") + F.col("fn"))).alias("f1"),
-                      (F.col("tp") / (F.col("tp") + F.col("fn"))).alias("recall"),
-                      F.when(F.col("neg") > 0, F.col("fp") / F.col("neg")).alias("fpr"))
+    per = with_cells(df, pred, label).groupBy(*gcols, key).agg(*[F.sum(c).alias(c) for c in CELLS])
+    sums = bootstrap_sums(weighted(per, [key], seed), list(CELLS), b, gcols)
+    out = sums.where(F.col("tp") + F.col("fn") > 0).select(*gcols, "rep", *[v.alias(k) for k, v in cell_metrics().items()])
+    if score and not group:
+        rows = df.groupBy(key, F.col(score).cast("double").alias("s"), F.col(label).alias("y")).agg(F.count(F.lit(1)).alias("c"))
+        out = out.join(ap_draws(weighted(rows, [key], seed, times="c"), "s", b), "rep")
+    return out
 
 
 def group_gap(draws: DataFrame, group: str, metric: str, observed: DataFrame) -> DataFrame:
