@@ -38,7 +38,7 @@ def timeline_inputs(spark, sf_dir):
 
 def timeline(spark, sf_dir):
     ref, batch = timeline_inputs(spark, sf_dir)
-    reference = materialize(N.freeze_reference(ref, COLS), "timeline-reference")
+    reference = materialize(N.freeze_reference(materialize(N.value_counts(ref, COLS), "timeline-counts"), COLS), "timeline-reference")
     rate = ref.agg(F.avg((F.col("score") >= THRESHOLD).cast("double")).alias("alert_rate"))
     return O.monthly_timeline(batch, reference, COLS, rate, "score", THRESHOLD, monotone=["prior_count"])
 

@@ -361,8 +361,9 @@ FROM t JOIN kp ON t.variable = kp.variable
 
 def drift_result(spark, sf_dir):
     ref, new = drift_frames(spark, sf_dir)
-    # the frozen reference is a fitted artifact (one row per variable × bin): written once,
-    # so its quantile plan is not re-run by each branch that bins the batch against it
+    # value counts of both sides and the frozen reference (one row per variable × bin) are
+    # written once: every branch below reads these, not the rows
+    ref, new = (materialize(N.value_counts(x, DRIFT_COLS), "drift-counts") for x in (ref, new))
     reference = materialize(N.freeze_reference(ref, DRIFT_COLS), "drift-reference")
     return N.drift_table(reference, new, DRIFT_COLS, monotone=["prior_count"], train=ref)
 
@@ -446,8 +447,8 @@ def report_n6(spark, sf_dir):
 
 
 OPS_SQL = """
-WITH l AS (SELECT ts, code / 100.0 AS s, code >= 90 AS alert FROM txn_events),
-r AS (SELECT s FROM l ORDER BY ts DESC LIMIT 10000)
+WITH l AS (SELECT ts, txn_id, code / 100.0 AS s, code >= 90 AS alert FROM txn_events),
+r AS (SELECT s FROM l ORDER BY ts DESC, txn_id DESC LIMIT 10000)
 SELECT count(*) AS total, r6(avg(CAST(alert AS DOUBLE))) AS alert_rate, r6(avg(s)) AS mean_score,
        r6((SELECT quantile_cont(s, 0.95) FROM r)) AS p95_recent FROM l
 """
@@ -458,7 +459,7 @@ def ops(spark, sf_dir):
     """Totals, alert rate, mean score; p95 of the last 10,000 scores by time."""
     e = txn_events(spark, sf_dir).withColumn("s", F.col("code") / 100.0) \
         .withColumn("alert", F.col("code") >= 90)
-    return N.operational_metrics(e, "ts", "s", "alert")
+    return N.operational_metrics(e, "ts", "s", "alert", id_col="txn_id")
 
 
 WORST_SQL = f"""WITH d AS ({DRIFT_SQL})

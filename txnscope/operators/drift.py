@@ -25,36 +25,42 @@ MIN_DRIFTING = 3
 ALERT_FACTOR_LIMIT = 2.0
 
 
-def _long(df: DataFrame, cols: list[str]) -> DataFrame:
-    return unpivot(df.select(*cols), [], cols, "variable", "value")
+def value_counts(df: DataFrame, cols: list[str]) -> DataFrame:
+    """(variable, value, rows) of the columns: all that the operators below need, so one pass over a table
+    (collapsed before its shuffle) serves the frozen reference, the proportions and the KS test."""
+    long = unpivot(df.select(*cols), [], cols, "variable", "value")
+    return long.groupBy("variable", "value").agg(F.count(F.lit(1)).alias("rows"))
 
 
-def freeze_reference(train: DataFrame, cols: list[str], n_bins: int = 10,
-                     exact: bool = True) -> DataFrame:
+def _counts(df: DataFrame, cols: list[str]) -> DataFrame:
+    return df.where(F.col("variable").isin(*cols)) if df.columns == ["variable", "value", "rows"] else value_counts(df, cols)
+
+
+def _mean() -> Column:
+    known = F.sum(F.when(F.col("value").isNotNull(), F.col("rows")))
+    return F.sum(F.col("value") * F.col("rows")) / known
+
+
+def freeze_reference(train: DataFrame, cols: list[str], n_bins: int = 10) -> DataFrame:
     """Freeze the train distribution of each column.
 
     ≤ n_bins distinct values → categorical proportions; otherwise quantile edges
     at 0, 1/n … 1 (deduplicated, ends replaced by ±inf) and bin proportions;
-    fewer than 3 edges → skipped.  Quantiles are exact (linear) or approximate.
+    fewer than 3 edges → skipped.  Quantiles are exact (linear).
+    ``train`` is a table of rows or its ``value_counts``.
     """
-    long = _long(train, cols)
-    # exact number of distinct values from the (variable, value) counts
-    kinds = long.where(F.col("value").isNotNull()).groupBy("variable", "value").agg(F.lit(1).alias("_v")) \
-        .groupBy("variable").agg(F.count(F.lit(1)).alias("_nd"))
+    long = _counts(train, cols)
     ps = [i / n_bins for i in range(n_bins + 1)]
     stats = long.groupBy("variable").agg(
-        F.count(F.lit(1)).alias("_n"), F.avg("value").alias("mean"),
-        *([] if exact else [F.percentile_approx("value", ps, 10000).alias("_q")]))
-    if exact:
-        # one row per variable (bounded); quantiles by the distributed exact plan
-        stats = stats.join(exact_quantiles(long, "value", ps, by=["variable"]), "variable", "left")
-    stats = stats.join(kinds, "variable", "left").withColumn("_nd", F.coalesce("_nd", F.lit(0)))
+        F.sum("rows").alias("_n"), _mean().alias("mean"), F.count("value").alias("_nd"))
+    # one row per variable (bounded); quantiles by the distributed exact plan
+    stats = stats.join(exact_quantiles(long, "value", ps, by=["variable"], rows="rows"), "variable", "left")
     stats = stats.withColumn("_edges", F.array_sort(F.array_distinct("_q"))).drop("_q")
     # categorical variables
     cat_vars = stats.where(F.col("_nd") <= n_bins).select("variable", "_n", "mean")
     cat = (long.join(cat_vars, "variable", "left_semi")
            .groupBy("variable", F.col("value").alias("category"))
-           .agg(F.count(F.lit(1)).alias("_c"))
+           .agg(F.sum("rows").alias("_c"))
            .join(cat_vars, "variable")
            .select("variable", F.lit("categorical").alias("kind"), "category",
                    F.lit(None).cast("double").alias("lo"), F.lit(None).cast("double").alias("hi"),
@@ -63,7 +69,7 @@ def freeze_reference(train: DataFrame, cols: list[str], n_bins: int = 10,
     cont_vars = stats.where((F.col("_nd") > n_bins) & (F.size("_edges") >= 3))
     edges = cont_vars.select("variable", "_n", "mean", _open_ends("_edges").alias("_e"))
     binned = _bin_continuous(long, edges.select("variable", "_e"))
-    counts = binned.groupBy("variable", "bin_id").agg(F.count(F.lit(1)).alias("_c"))
+    counts = binned.groupBy("variable", "bin_id").agg(F.sum("rows").alias("_c"))
     bins = edges.select("variable", "_n", "mean", "_e",
                         F.explode(F.sequence(F.lit(0), F.size("_e") - 2)).alias("bin_id"))
     cont = (bins.join(counts, ["variable", "bin_id"], "left")
@@ -104,15 +110,15 @@ def batch_proportions(batch: DataFrame, reference: DataFrame, cols: list[str]) -
     Categories unseen in the reference are ignored (not renormalised, T19) and
     reported as ``unseen_share``.
     """
-    long = _long(batch, [c for c in cols])
-    n = long.groupBy("variable").agg(F.count(F.lit(1)).alias("_nb"), F.avg("value").alias("mean_batch"))
+    long = _counts(batch, cols)
+    n = long.groupBy("variable").agg(F.sum("rows").alias("_nb"), _mean().alias("mean_batch"))
     kinds = reference.select("variable", "kind").distinct()
     cat_long = long.join(kinds.where(F.col("kind") == "categorical"), "variable", "left_semi")
     cat_counts = cat_long.groupBy("variable", F.col("value").alias("category")).agg(
-        F.count(F.lit(1)).alias("_c"))
+        F.sum("rows").alias("_c"))
     cont_long = long.join(kinds.where(F.col("kind") == "continuous"), "variable", "left_semi")
     cont_counts = _bin_continuous(cont_long, edges_of(reference)).groupBy(
-        "variable", F.col("bin_id").cast("double").alias("category")).agg(F.count(F.lit(1)).alias("_c"))
+        "variable", F.col("bin_id").cast("double").alias("category")).agg(F.sum("rows").alias("_c"))
     counts = cat_counts.unionByName(cont_counts)
     j = reference.join(counts, ["variable", "category"], "left").join(n, "variable", "left")
     props = j.select("variable", "kind", "category", "lo", "hi", "ref_prop", "mean", "mean_batch",
@@ -139,7 +145,7 @@ def drift_table(reference: DataFrame, batch: DataFrame, cols: list[str],
     mono = F.col("variable").isin(*monotone) if monotone else F.lit(False)
     t = t.withColumn("state", psi_state(F.col("psi"), mono))
     if train is not None:
-        ks = ks_two_sample(_long(train, cols), _long(batch, cols), "value", group=["variable"])
+        ks = ks_two_sample(_counts(train, cols), _counts(batch, cols), "value", group=["variable"], rows="rows")
         t = t.join(ks.select("variable", "ks_pvalue"), "variable", "left")
     return t
 

@@ -144,7 +144,7 @@ def undersample(df: DataFrame, id_col: str, label: str = "y", ratio: float = 10.
     x = df.withColumn("_h", hash_order(id_col, seed).cast("double")).withColumn(
         "_neg", (F.col(label) == 0).cast("long"))
     pos = df.agg(F.sum(label).alias("_P"))
-    x = prefix_sum(x.where(F.col(label) == 0), "_h", ["_neg"], tie=[id_col])
+    x = prefix_sum(x.where(F.col(label) == 0), "_h", ["_neg"], tie=[id_col], hashed=True)
     x = with_scalars(x, pos).where(F.col("_neg_cum") <= F.col("_P") * ratio)
     keep_neg = x.drop("_h", "_neg", "_neg_cum", "_P")
     return df.where(F.col(label) == 1).unionByName(keep_neg)

@@ -23,7 +23,7 @@ import math
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from txnscope.plans.frames import with_scalars
+from txnscope.plans.frames import materialize, with_scalars
 from txnscope.plans.prefix import prefix_sum
 
 INF = float("inf")
@@ -76,8 +76,9 @@ def curve(df: DataFrame, score: str = "score", label: str = "y",
     """M4: ROC / PR points, one row per distinct score (alert when >= score),
     optionally per group ``by`` (one pass, grouped prefix sums)."""
     by = by or []
-    g = score_groups(df, score, label, by)
-    c = prefix_sum(g, "score", ["n", "pos", "neg"], descending=True, by=by, materialize_input=True)
+    # written once: cut points, running sums and totals all read it
+    g = materialize(score_groups(df, score, label, by), "score-groups")
+    c = prefix_sum(g, "score", ["n", "pos", "neg"], descending=True, by=by)
     if by:
         tot = g.groupBy(*by).agg(F.sum("pos").alias("_pos_all"), F.sum("neg").alias("_neg_all"))
         c = c.join(tot, by)
@@ -241,7 +242,7 @@ def cost_thresholds(fit: DataFrame, test: DataFrame, ratios: list[float],
     threshold minimising fp + r·fn on ``fit`` (highest threshold on ties,
     +inf = no alerts), then report the cost on ``test`` against the F1
     threshold and against not alerting."""
-    c = curve(fit, score, label)
+    c = materialize(curve(fit, score, label), "fit-curve")
     none = c.agg(F.lit(INF).alias("score"), F.lit(0).cast("long").alias("fp"),
                  F.max("total_pos").alias("fn"))
     pts = c.select("score", "fp", "fn").unionByName(none)

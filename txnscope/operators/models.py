@@ -191,10 +191,10 @@ def permute_columns(df: DataFrame, cols: list[str], id_col: str, seed: int) -> D
     the group's values move from rank r of one order to rank r of the other
     (distributed prefix counts, equi-join on the rank)."""
     a = df.withColumn("_h1", F.xxhash64(id_col, F.lit(seed)).cast("double")).withColumn("_one", F.lit(1))
-    a = prefix_sum(a, "_h1", ["_one"], tie=[id_col]).withColumnRenamed("_one_cum", "_r").drop("_one", "_h1")
+    a = prefix_sum(a, "_h1", ["_one"], tie=[id_col], hashed=True).withColumnRenamed("_one_cum", "_r").drop("_one", "_h1")
     b = df.select(id_col, *cols).withColumn("_h2", F.xxhash64(id_col, F.lit(seed + 7919)).cast("double")) \
         .withColumn("_one", F.lit(1))
-    b = prefix_sum(b, "_h2", ["_one"], tie=[id_col]).select(F.col("_one_cum").alias("_r"),
+    b = prefix_sum(b, "_h2", ["_one"], tie=[id_col], hashed=True).select(F.col("_one_cum").alias("_r"),
                                                            *[F.col(c).alias(f"_perm_{c}") for c in cols])
     j = a.join(b, "_r")
     for c in cols:

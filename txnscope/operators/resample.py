@@ -328,7 +328,7 @@ def move_share(df: DataFrame, col: str, src: str, dst: str, share: float, id_col
     rank (exact quota from a distributed prefix count)."""
     x = df.withColumn("_is", (F.col(col) == src).cast("long")) \
         .withColumn("_h", F.xxhash64(F.col(id_col), F.lit(seed)).cast("double"))
-    src_rows = prefix_sum(x.where(F.col("_is") == 1), "_h", ["_is"], tie=[id_col])
+    src_rows = prefix_sum(x.where(F.col("_is") == 1), "_h", ["_is"], tie=[id_col], hashed=True)
     n = x.agg(F.sum("_is").alias("_n"))
     src_rows = with_scalars(src_rows, n).withColumn(
         col, F.when(F.col("_is_cum") <= F.round(F.col("_n") * share), F.lit(dst)).otherwise(F.col(col))) \

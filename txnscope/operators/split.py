@@ -17,7 +17,7 @@ from txnscope.plans.prefix import prefix_sum
 
 def _class_rank(df: DataFrame, id_col: str, label: str, seed: int) -> DataFrame:
     x = df.withColumn("_h", hash_order(id_col, seed).cast("double")).withColumn("_one", F.lit(1))
-    x = prefix_sum(x, "_h", ["_one"], tie=[id_col], by=[label])
+    x = prefix_sum(x, "_h", ["_one"], tie=[id_col], by=[label], hashed=True)
     n = df.groupBy(label).agg(F.count(F.lit(1)).alias("_n_class"))
     return x.join(n, label).withColumnRenamed("_one_cum", "_rank").drop("_one", "_h")
 

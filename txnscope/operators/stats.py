@@ -129,16 +129,16 @@ def _kolmogorov_sf(x: Column, terms: int = 100) -> Column:
     return F.when(x <= 0, F.lit(1.0)).otherwise(F.least(F.lit(1.0), F.greatest(F.lit(0.0), 2 * s)))
 
 
-def ks_two_sample(a: DataFrame, b: DataFrame, col: str, group: list[str] | None = None
-                  ) -> DataFrame:
+def ks_two_sample(a: DataFrame, b: DataFrame, col: str, group: list[str] | None = None,
+                  rows: str | None = None) -> DataFrame:
     """Two-sample Kolmogorov–Smirnov statistic D = max |F_a − F_b| and the
     asymptotic p-value, optionally per group (e.g. per variable).  The empirical
-    CDFs come from a distributed prefix sum over distinct values."""
+    CDFs come from a distributed prefix sum over distinct values.  ``rows`` names a
+    column with how many rows each row stands for."""
     group = group or []
-    u = (a.select(*group, F.col(col).cast("double").alias("_v")).withColumn("_ia", F.lit(1))
-         .withColumn("_ib", F.lit(0))
-         .unionByName(b.select(*group, F.col(col).cast("double").alias("_v"))
-                      .withColumn("_ia", F.lit(0)).withColumn("_ib", F.lit(1))))
+    v, many = F.col(col).cast("double").alias("_v"), F.col(rows) if rows else F.lit(1)
+    u = a.select(*group, v, many.alias("_ia"), F.lit(0).alias("_ib")).unionByName(
+        b.select(*group, v, F.lit(0).alias("_ia"), many.alias("_ib")))
     u = u.where(F.col("_v").isNotNull())
     g = u.groupBy(*group, "_v").agg(F.sum("_ia").alias("_ca"), F.sum("_ib").alias("_cb"))
     if group:

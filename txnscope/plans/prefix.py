@@ -4,7 +4,8 @@ A window ordered over the whole table without ``partitionBy`` runs in one
 task.  Instead:
 
 1. the order column is cut into ``P`` ranges at approximate quantiles of its
-   values (one aggregate; the cut points are a one-row table);
+   values (one aggregate; the cut points are a one-row table), or evenly where the
+   order is a hash;
 2. running sums are taken inside each range with a window partitioned by
    the range id (P parallel tasks);
 3. the per-range totals (P rows, bounded by construction) get an exclusive
@@ -33,7 +34,7 @@ def _n_ranges(df: DataFrame, ranges: int | None) -> int:
 def prefix_sum(df: DataFrame, order: str, sums: list[str], descending: bool = False,
                tie: list[str] | None = None, ranges: int | None = None,
                suffix: str = "_cum", inclusive: bool = True,
-               by: list[str] | None = None, materialize_input: bool = False) -> DataFrame:
+               by: list[str] | None = None, materialize_input: bool = False, hashed: bool = False) -> DataFrame:
     """Add ``<col><suffix>`` running sums of ``sums`` in the order of ``order``.
 
     ``order`` must be numeric (cast timestamps to micros first).  Rows with
@@ -42,6 +43,7 @@ def prefix_sum(df: DataFrame, order: str, sums: list[str], descending: bool = Fa
     per group (cut points are shared by all groups).  ``materialize_input`` writes
     the input once to the checkpoint folder: worth it for collapsed (aggregated)
     inputs with an expensive upstream plan, not for row-level inputs read from files.
+    ``hashed`` says that ``order`` is a 64-bit hash: its ranges are even by arithmetic, without a pass for cut points.
     """
     by = by or []
     if materialize_input:
@@ -50,11 +52,15 @@ def prefix_sum(df: DataFrame, order: str, sums: list[str], descending: bool = Fa
         from txnscope.plans.frames import materialize
         df = materialize(df, "prefix-input")
     p = _n_ranges(df, ranges)
-    probs = [i / p for i in range(1, p)]
-    cuts = df.agg(F.percentile_approx(F.col(order).cast("double"), probs, 10000).alias("_cuts"))
-    x = with_scalars(df, cuts)
-    x = x.withColumn("_rng", F.size(F.filter("_cuts", lambda c: c < F.col(order).cast("double"))))
-    x = x.drop("_cuts")
+    if hashed:
+        place = F.floor((F.col(order).cast("double") / 2.0 ** 64 + 0.5) * p)
+        x = df.withColumn("_rng", F.least(place, F.lit(p - 1)).cast("int"))
+    else:
+        probs = [i / p for i in range(1, p)]
+        cuts = df.agg(F.percentile_approx(F.col(order).cast("double"), probs, 10000).alias("_cuts"))
+        x = with_scalars(df, cuts)
+        x = x.withColumn("_rng", F.size(F.filter("_cuts", lambda c: c < F.col(order).cast("double"))))
+        x = x.drop("_cuts")
 
     okey = F.col(order).desc() if descending else F.col(order).asc()
     tie_keys = [F.col(t).asc_nulls_last() for t in (tie or [])]

@@ -25,13 +25,14 @@ from txnscope.plans.prefix import prefix_sum
 
 
 def exact_quantiles(df: DataFrame, value: str | Column, probs: list[float], by: list[str] | None = None,
-                    name: str = "_q") -> DataFrame:
+                    name: str = "_q", rows: str | None = None) -> DataFrame:
     """One row per group of ``by`` (exactly one row without ``by``, also for empty input)
-    with ``name`` = array<double> of the exact quantiles at ``probs``, in that order."""
+    with ``name`` = array<double> of the exact quantiles at ``probs``, in that order.
+    ``rows`` names a column with how many rows each row stands for."""
     by = list(by or [])
     v = (F.col(value) if isinstance(value, str) else value).cast("double")
-    base = df.select(*by, v.alias("_v")).where(F.col("_v").isNotNull())
-    cnt = base.groupBy(*by, "_v").agg(F.count(F.lit(1)).alias("_c"))
+    base = df.select(*by, v.alias("_v"), (F.col(rows) if rows else F.lit(1).cast("long")).alias("_c")).where(F.col("_v").isNotNull())
+    cnt = base.groupBy(*by, "_v").agg(F.sum("_c").alias("_c"))
     x = prefix_sum(cnt, "_v", ["_c"], by=by, inclusive=False, suffix="_before")
     n = cnt.groupBy(*by).agg(F.sum("_c").alias("_n"))
     x = x.join(n, by) if by else with_scalars(x, n)
