@@ -186,6 +186,35 @@ def test_bootstrap_sums_match_closed_form_spread(spark):
         assert part["x"].var() == pytest.approx((x ** 2).sum(), rel=0.2)
 
 
+def test_one_hot_has_no_category_limit(spark):
+    """5,000 categories: a sparse indicator each but for the first; unseen and null are zeros."""
+    from txnscope.operators import encode as J
+
+    names = [f"c{i:05d}" for i in range(5000)]
+    train = spark.createDataFrame([(n,) for n in names + names[:10]] + [(None,)], "c string")
+    table = J.category_table(train, "c")
+    assert sorted(r["index"] for r in table.collect()) == list(range(4999))
+    assert J.fit_categories(train, "c") == names
+    new = spark.createDataFrame([("c00000",), ("c00001",), ("c04999",), ("other",), (None,)], "c string")
+    index = {r["category"]: r["index"] for r in table.collect()}
+    for r in J.one_hot_sparse(new, "c", table, "v").collect():
+        assert r.v.size == 4999
+        assert list(r.v.indices) == ([index[r.c]] if r.c in index else [])
+
+
+def test_rolling_fold_agrees_with_the_monthly_sums(spark):
+    from txnscope.operators import split as K
+
+    rows = [(f"2001-{m:02d}-{d:02d} 00:00:00", (m + d) % 2) for m in (1, 2, 3, 5, 6) for d in range(1, 2 + m)]
+    df = spark.createDataFrame(rows, "t string, y int").select(F.col("t").cast("timestamp").alias("ts"), "y")
+    got = {(r.fold, r.role): (r.rows, r.positives) for r in K.rolling_origin(df, "ts", "2001-02").collect()}
+    want = {}
+    for fold in ("2001-02", "2001-03", "2001-05", "2001-06"):
+        for r in K.rolling_fold(df, "ts", fold).groupBy("role").agg(F.count("*").alias("n"), F.sum("y").alias("p")).collect():
+            want[fold, r.role] = (r.n, r.p)
+    assert got == want
+
+
 def test_ks_statistic_and_pvalue(spark):
     from txnscope.operators.stats import ks_two_sample
 

@@ -327,10 +327,10 @@ def robustness(spark, sf_dir):
                                  (F.col("positives") / (F.col("positives") + F.col("negatives")))))
     # rolling origin (K5): for each test month from 2001-05, train on earlier months with the
     # threshold from the previous month; metrics pooled over the rolling test months
-    roll = K.rolling_origin(base, "ts", "2001-05")
+    months = base.select(F.date_format("ts", "yyyy-MM").alias("m")).distinct().where(F.col("m") >= "2001-05")
     pooled = []
-    for fold in [r[0] for r in roll.select("fold").distinct().orderBy("fold").collect()]:
-        f = roll.where(F.col("fold") == fold)
+    for fold in sorted(r.m for r in months.collect()):
+        f = K.rolling_fold(base, "ts", fold)
         m = L.pipeline("logistic", cols, weight="w").fit(f.where(F.col("role") == "train"))
         thr = L.chosen_threshold(L.score(m, f.where(F.col("role") == "threshold")))
         pooled.append(with_scalars(L.score(m, f.where(F.col("role") == "test")), thr))

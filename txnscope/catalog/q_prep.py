@@ -237,9 +237,7 @@ FROM t JOIN f ON t.p <= f.fold GROUP BY ALL
 @query("k5_rolling_origin_folds", ROLL_SQL)
 def rolling(spark, sf_dir):
     """K5: rolling origin folds from 2001-01: train earlier, threshold previous, test month."""
-    r = K.rolling_origin(txn_orders(spark, sf_dir), "ts", "2001-01")
-    return r.groupBy("fold", "role").agg(F.count(F.lit(1)).alias("rows"),
-                                         F.sum("y").cast("long").alias("positives"))
+    return K.rolling_origin(txn_orders(spark, sf_dir), "ts", "2001-01")
 
 
 KF_SQL = """
@@ -434,7 +432,22 @@ def trig(spark, sf_dir):
                     F.array_join("triggers", ",").alias("triggers"), "alarm")
 
 
-@query("n6_monitoring_report")
+REPORT_N6_SQL = f"""WITH tr AS ({TRIG_SQL}),
+b AS (SELECT score_i / 100.0 AS s, y FROM scored_lines WHERE ts >= TIMESTAMP '{PRED_CUT}'),
+f AS (SELECT count(*) FILTER (WHERE s >= 0.6 AND y = 1) AS tp, count(*) FILTER (WHERE s >= 0.6 AND y = 0) AS fp,
+             count(*) FILTER (WHERE s < 0.6 AND y = 1) AS fn, count(*) AS n FROM b),
+g AS (SELECT s, sum(y) AS pos, sum(1 - y) AS neg FROM b GROUP BY s),
+c AS (SELECT pos, neg, sum(pos) OVER w AS tp, sum(neg) OVER w AS fp, sum(pos) OVER () AS p, sum(neg) OVER () AS q
+      FROM g WINDOW w AS (ORDER BY s DESC)),
+rk AS (SELECT sum(pos * tp / (tp + fp)) / max(p) AS ap, sum(pos * (q - fp + 0.5 * neg)) / (max(p) * max(q)) AS auc FROM c)
+SELECT variables_drifting, variables_structural, r6(alert_factor) AS alert_factor, triggers, alarm, r6(tp / (tp + fp)) AS precision,
+       r6(tp / (tp + fn)) AS recall, r6(2 * tp / (2 * tp + fp + fn)) AS f1, r6((tp + fp) / n) AS alert_rate,
+       r6(ap) AS average_precision, r6(auc) AS roc_auc
+FROM tr, f, rk
+"""
+
+
+@query("n6_monitoring_report", REPORT_N6_SQL)
 def report_n6(spark, sf_dir):
     """Monitoring report: drift summary, triggers, and labelled performance of the
     batch at the threshold (precision, recall, F1, ROC AUC, AP)."""

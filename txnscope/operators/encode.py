@@ -10,10 +10,11 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
+from pyspark.ml.feature import OneHotEncoder
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from txnscope.plans.frames import with_scalars
+from txnscope.plans.frames import materialize, with_scalars
 from txnscope.plans.prefix import prefix_sum
 from txnscope.plans.quantile import exact_quantiles
 
@@ -73,12 +74,10 @@ def smoothing_sensitivity(train: DataFrame, key: str, ms: list[float], label: st
 
 
 # ---------------------------------------------------------------- one-hot
-def fit_categories(train: DataFrame, col: str, max_categories: int = 1000) -> list[str]:
-    """The sorted category list frozen at fit time (small by nature; size checked)."""
-    cats = train.where(F.col(col).isNotNull()).select(F.col(col).cast("string").alias("c")) \
-        .distinct().limit(max_categories + 1).collect()
-    if len(cats) > max_categories:
-        raise ValueError(f"{col}: more than {max_categories} categories; use target encoding")
+def fit_categories(train: DataFrame, col: str) -> list[str]:
+    """The sorted category list frozen at fit time: the names of the columns to come, so as long as the
+    result is wide.  ``category_table`` and ``one_hot_sparse`` are the form for many categories."""
+    cats = train.where(F.col(col).isNotNull()).select(F.col(col).cast("string").alias("c")).distinct().collect()
     return sorted(r.c for r in cats)
 
 
@@ -87,11 +86,30 @@ def one_hot_drop_first(df: DataFrame, col: str, categories: list[str],
     """One 0/1 column per frozen category except the alphabetically first.
     Unseen categories get all zeros; a batch never changes the column set (T1)."""
     prefix = prefix or f"{col}_"
-    out = df
-    for c in categories[1:]:
-        out = out.withColumn(f"{prefix}{c}", (F.col(col).cast("string") == F.lit(c))
-                             .cast("double"))
-    return out
+    return df.withColumns({f"{prefix}{c}": (F.col(col).cast("string") == F.lit(c)).cast("double")
+                           for c in categories[1:]})
+
+
+def category_table(train: DataFrame, col: str) -> DataFrame:
+    """(category, index) of the frozen categories except the alphabetically first, for any number of them:
+    the index is a distributed rank in hash order, and the table is written once."""
+    cats = train.where(F.col(col).isNotNull()).select(F.col(col).cast("string").alias("category")).distinct()
+    cats = materialize(cats, "categories")
+    x = with_scalars(cats, cats.agg(F.min("category").alias("_first"))).where(F.col("category") != F.col("_first"))
+    x = x.select("category", F.xxhash64("category").alias("_h"), F.lit(1).alias("index"))
+    x = prefix_sum(x, "_h", ["index"], tie=["category"], inclusive=False, hashed=True)
+    return materialize(x.select("category", F.col("index_cum").cast("int").alias("index")), "category-index")
+
+
+def one_hot_sparse(df: DataFrame, col: str, table: DataFrame, name: str) -> DataFrame:
+    """The indicators of ``category_table`` as one sparse vector, by an equi-join on the category.
+    The first category, unseen ones and nulls are all zeros (the index after the last, which is left out)."""
+    size = table.count()
+    x = df.join(table.select(F.col("category").alias("_category"), F.col("index").alias("_index")),
+                F.col(col).cast("string") == F.col("_category"), "left")
+    x = x.withColumn("_index", F.coalesce(F.col("_index"), F.lit(size)).cast("double")).drop("_category")
+    known = df.sparkSession.range(1).select(F.lit(float(size)).alias("_index"))
+    return OneHotEncoder(inputCol="_index", outputCol=name, dropLast=True).fit(known).transform(x).drop("_index")
 
 
 # ------------------------------------------------------------ scaling

@@ -8,7 +8,7 @@ partitioning, retries or executor loss.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from txnscope.operators.encode import hash_order
@@ -57,19 +57,34 @@ def temporal_split(df: DataFrame, ts: str, cuts: list[tuple[str, str]], last: st
     return df.withColumn(tag, expr.otherwise(F.lit(last)))
 
 
-def rolling_origin(df: DataFrame, ts: str, first_test: str) -> DataFrame:
-    """K5: for each test month m >= first_test: train = months < m−1, threshold = m−1,
-    test = m.  Returns (fold, role, row…) — a row appears once per fold it serves.
-    The fold table has one row per month (bounded) and is broadcast."""
-    x = df.withColumn("_p", F.date_format(ts, "yyyy-MM"))
-    months = x.select("_p").distinct().where(F.col("_p") >= first_test) \
-        .withColumnRenamed("_p", "fold")
-    folds = F.broadcast(months.withColumn(
-        "_thr", F.date_format(F.add_months(F.to_date(F.concat("fold", F.lit("-01"))), -1), "yyyy-MM")))
-    j = x.join(folds, F.col("_p") <= F.col("fold"))
-    role = (F.when(F.col("_p") == F.col("fold"), F.lit("test"))
-            .when(F.col("_p") == F.col("_thr"), F.lit("threshold")).otherwise(F.lit("train")))
-    return j.withColumn("role", role).drop("_p", "_thr")
+def _month_before(month: Column) -> Column:
+    return F.date_format(F.add_months(F.to_date(F.concat(month, F.lit("-01"))), -1), "yyyy-MM")
+
+
+def rolling_fold(df: DataFrame, ts: str, fold: str) -> DataFrame:
+    """K5: rows of one fold with their ``role``: the test month ``fold``, the month before it for the threshold,
+    all earlier ones to train.  A filter on the month; no row is copied."""
+    month, upto = F.date_format(ts, "yyyy-MM"), F.lit(fold)
+    role = F.when(month == upto, "test").when(month == _month_before(upto), "threshold").otherwise("train")
+    return df.withColumn("role", role).where(month <= upto)
+
+
+def rolling_origin(df: DataFrame, ts: str, first_test: str, label: str = "y") -> DataFrame:
+    """K5: (fold, role, rows, positives) of every month >= first_test as a test month: one aggregate by month,
+    then running sums over the months (one row each, so their window is bounded)."""
+    m = df.groupBy(F.date_format(ts, "yyyy-MM").alias("fold")).agg(F.count(F.lit(1)).alias("rows"),
+                                                                   F.sum(label).cast("long").alias("positives"))
+    upto = Window.orderBy("fold").rowsBetween(Window.unboundedPreceding, -1)
+    last = Window.orderBy("fold")
+    is_thr = F.lag("fold").over(last) == _month_before(F.col("fold"))
+    cols = ("rows", "positives")
+    x = m.select("fold", *cols, *[F.when(is_thr, F.lag(c).over(last)).alias(f"thr_{c}") for c in cols],
+                 *[F.sum(c).over(upto).alias(f"all_{c}") for c in cols]).where(F.col("fold") >= first_test)
+    roles = F.array(
+        F.struct(F.lit("test").alias("role"), *cols),
+        F.struct(F.lit("threshold").alias("role"), *[F.col(f"thr_{c}").alias(c) for c in cols]),
+        F.struct(F.lit("train").alias("role"), *[(F.col(f"all_{c}") - F.coalesce(f"thr_{c}", F.lit(0))).alias(c) for c in cols]))
+    return x.select("fold", F.explode(roles).alias("r")).select("fold", "r.*").where(F.col("rows") > 0)
 
 
 def stratified_kfold(df: DataFrame, id_col: str, k: int, label: str = "y", seed: int = 42,
