@@ -190,7 +190,7 @@ def o6(spark, sf_dir):
 SHIFT_SQL = f"""
 WITH old AS (SELECT * FROM txn_orders WHERE ts < TIMESTAMP '1999-01-01'),
 new AS (SELECT txn_id + 100000000 AS txn_id, client_id, ts + INTERVAL 364 DAY AS ts, amount, category, segment, region, y
-        FROM txn_orders WHERE ts >= TIMESTAMP '1999-01-01' AND ts < TIMESTAMP '2000-01-01'),
+        FROM txn_orders WHERE ts >= TIMESTAMP '1999-01-01'),
 u AS (SELECT * FROM old UNION ALL SELECT * FROM new),
 h AS ({history_raw_sql('u')})
 SELECT txn_id, strftime(ts, '%Y-%m') AS period, CAST(isodow(ts) - 1 AS INT) AS weekday, prior_count,
@@ -200,12 +200,11 @@ SELECT txn_id, strftime(ts, '%Y-%m') AS period, CAST(isodow(ts) - 1 AS INT) AS w
 
 @query("o7_o8_time_shift_and_continued_history", SHIFT_SQL)
 def o78(spark, sf_dir):
-    """A year of orders moved by 364 days (weekday kept, period re-derived); O8: history
-    features continue across the union of the old table and the shifted year."""
+    """Orders from 1999 on moved by 364 days (weekday kept, period re-derived); O8: history
+    features continue across the union of the old table and the shifted rows."""
     t = txn_orders(spark, sf_dir)
     old = t.where(F.col("ts") < F.lit("1999-01-01").cast("timestamp_ntz"))
-    new = t.where((F.col("ts") >= F.lit("1999-01-01").cast("timestamp_ntz")) &
-                  (F.col("ts") < F.lit("2000-01-01").cast("timestamp_ntz"))) \
+    new = t.where(F.col("ts") >= F.lit("1999-01-01").cast("timestamp_ntz")) \
         .withColumn("txn_id", F.col("txn_id") + 100000000)
     new = O.time_shift(new, "ts", 364).drop("period")
     h = O.continue_history(old, new, chunk_hours=24 * 90)

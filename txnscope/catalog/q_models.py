@@ -301,30 +301,37 @@ def imbalance(spark, sf_dir):
     return reduce(lambda a, b: a.unionByName(b), out).select("technique", "average_precision", "roc_auc")
 
 
+def _pooled(scheme, scored):
+    """One row of M20 from scored test rows that carry their ``threshold``."""
+    ap = ranking_summary(scored, "score", "y").select("average_precision", "positives", "negatives")
+    oracle = best_f1_threshold(curve(scored, "score", "y")).select(F.col("f1").alias("oracle_f1"))
+    f1 = confusion(scored.withColumn("_p", (F.col("score") >= F.col("threshold")).cast("int")), "_p", "y").select("f1")
+    return with_scalars(with_scalars(ap, oracle), f1).withColumn("scheme", F.lit(scheme)).withColumn(
+        "ap_over_prevalence", F.col("average_precision") / (F.col("positives") / (F.col("positives") + F.col("negatives"))))
+
+
 @query("m20_robustness_schemes")
 def robustness(spark, sf_dir):
     """AP / prevalence, F1 at the validation threshold and oracle F1 on test, for a
-    random split, a client-grouped split, a temporal split and rolling-origin folds."""
+    random split, five client-grouped folds, a temporal split and rolling-origin folds."""
     x, cols = model_data(spark, sf_dir)
     base = x.drop("split")
+    folds = materialize(K.group_kfold(base, "client_id", 5), "client-folds")
+    random = materialize(K.stratified_split(base, "txn_id", "y", [("train", 0.8), ("test", 0.2)]), "random-split")
+    temporal = K.temporal_split(base, "ts", [("train", "1999-12")], "test")
+    # (train, test) pairs of each scheme; the metrics are pooled over its test parts
     schemes = {
-        "random": K.stratified_split(base, "txn_id", "y", [("train", 0.8), ("test", 0.2)]),
-        "group": K.group_kfold(base, "client_id", 5).withColumn(
-            "split", F.when(F.col("fold") == 0, "test").otherwise("train")),
-        "temporal": K.temporal_split(base, "ts", [("train", "1999-12")], "test"),
+        "random": [(random.where("split = 'train'"), random.where("split = 'test'"))],
+        "group": [(folds.where(F.col("fold") != k), folds.where(F.col("fold") == k)) for k in range(5)],
+        "temporal": [(temporal.where("split = 'train'"), temporal.where("split = 'test'"))],
     }
     rows = []
-    for name, d in schemes.items():
-        tr, te = d.where(F.col("split") == "train"), d.where(F.col("split") == "test")
-        m = L.pipeline("logistic", cols, weight="w").fit(tr)
-        st = L.score(m, te)
-        ap = ranking_summary(st, "score", "y").select("average_precision", "positives", "negatives")
-        oracle = best_f1_threshold(curve(st, "score", "y")).select(F.col("f1").alias("oracle_f1"))
-        thr = L.chosen_threshold(L.score(m, tr))
-        f1 = L.evaluate(with_scalars(st, thr), F.col("threshold")).select("f1")
-        r = with_scalars(with_scalars(ap, oracle), f1).withColumn("scheme", F.lit(name))
-        rows.append(r.withColumn("ap_over_prevalence", F.col("average_precision") /
-                                 (F.col("positives") / (F.col("positives") + F.col("negatives")))))
+    for name, pairs in schemes.items():
+        scored = []
+        for tr, te in pairs:
+            m = L.pipeline("logistic", cols, weight="w").fit(tr)
+            scored.append(with_scalars(L.score(m, te), L.chosen_threshold(L.score(m, tr))))
+        rows.append(_pooled(name, materialize(reduce(lambda a, b: a.unionByName(b), scored), "scored-" + name)))
     # rolling origin (K5): for each test month from 2001-05, train on earlier months with the
     # threshold from the previous month; metrics pooled over the rolling test months
     months = base.select(F.date_format("ts", "yyyy-MM").alias("m")).distinct().where(F.col("m") >= "2001-05")
@@ -334,14 +341,7 @@ def robustness(spark, sf_dir):
         m = L.pipeline("logistic", cols, weight="w").fit(f.where(F.col("role") == "train"))
         thr = L.chosen_threshold(L.score(m, f.where(F.col("role") == "threshold")))
         pooled.append(with_scalars(L.score(m, f.where(F.col("role") == "test")), thr))
-    st = reduce(lambda a, b: a.unionByName(b), pooled)
-    ap = ranking_summary(st, "score", "y").select("average_precision", "positives", "negatives")
-    oracle = best_f1_threshold(curve(st, "score", "y")).select(F.col("f1").alias("oracle_f1"))
-    f1 = confusion(st.withColumn("_p", (F.col("score") >= F.col("threshold")).cast("int")), "_p", "y") \
-        .select("f1")
-    r = with_scalars(with_scalars(ap, oracle), f1).withColumn("scheme", F.lit("rolling"))
-    rows.append(r.withColumn("ap_over_prevalence", F.col("average_precision") /
-                             (F.col("positives") / (F.col("positives") + F.col("negatives")))))
+    rows.append(_pooled("rolling", materialize(reduce(lambda a, b: a.unionByName(b), pooled), "scored-rolling")))
     return reduce(lambda a, b: a.unionByName(b), rows)
 
 

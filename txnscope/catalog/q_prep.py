@@ -285,7 +285,7 @@ def drift_frames(spark, sf_dir):
     for c in DRIFT_COLS:
         f = f.withColumn(c, F.col(c).cast("double"))
     ref = f.where(F.year("ts") <= REF_YEAR)
-    new = f.where(F.year("ts") == REF_YEAR + 1)
+    new = f.where(F.year("ts") > REF_YEAR)
     return ref, new
 
 
@@ -294,7 +294,7 @@ f2 AS (SELECT ts, CAST(amount AS DOUBLE) AS amount, CAST(region AS DOUBLE) AS re
               CAST(prior_count AS DOUBLE) AS prior_count, CAST(substr(category, 1, 1) AS DOUBLE) AS priority FROM feat),
 lr AS (UNPIVOT (SELECT amount, region, prior_count, priority FROM f2 WHERE year(ts) <= {REF_YEAR})
        ON amount, region, prior_count, priority INTO NAME variable VALUE value),
-lb AS (UNPIVOT (SELECT amount, region, prior_count, priority FROM f2 WHERE year(ts) = {REF_YEAR + 1})
+lb AS (UNPIVOT (SELECT amount, region, prior_count, priority FROM f2 WHERE year(ts) > {REF_YEAR})
        ON amount, region, prior_count, priority INTO NAME variable VALUE value),
 st AS (SELECT variable, count(*) AS n, avg(value) AS mean, count(DISTINCT value) AS nd,
               list_sort(list_distinct(quantile_cont(value, [0.0, 0.1, 0.2, 0.3, 0.4, 0.5, 0.6, 0.7, 0.8, 0.9, 1.0]))) AS e
