@@ -107,7 +107,7 @@ def tree(spark, sf_dir):
 def forest(spark, sf_dir):
     """Class-balanced random forest."""
     x, cols = model_data(spark, sf_dir)
-    return fit_and_report("random_forest", "forest", x, cols, weight="w", numTrees=30, maxDepth=6)[0]
+    return fit_and_report("random_forest", "forest", x, cols, weight="w", numTrees=100, maxDepth=6)[0]
 
 
 @query("l8_gradient_boosted_trees")
