@@ -172,6 +172,20 @@ def test_toxicity_odd_cases(spark, odd, nothing, toxic_texts):
     assert toxicity.score_toxicity(odd, alone).where("score != 0.5").count() == 0
 
 
+def test_toxicity_training_labels(spark, toxic_texts, monkeypatch):
+    texts, labels = toxic_texts
+    docs = spark.createDataFrame([*enumerate(texts), (None, "zorgish"), (700, None)], "doc_id long, text string")
+    marks = [(i, int(t)) for i, t in enumerate(labels)]
+    extra = [(0, 0), (0, 1), (1, None), (None, 1), (700, 0), (9999, 1)]  # both ways, without label, id, text or document
+    seen = []
+    monkeypatch.setattr(toxicity, "fit", lambda texts, toxic, weight: seen.append(sorted(zip(texts, toxic.tolist()))))
+    for rows in (marks, marks + extra, extra + marks[::-1]):
+        toxicity.trained(docs, spark.createDataFrame(rows, "doc_id long, toxic long"))
+    kept = {texts[i]: bool(t) for i, t in enumerate(labels) if zlib.crc32(str(i).encode()) % 5}
+    assert dict(seen[0]) == kept and seen[1] == seen[2]
+    assert dict(seen[1]) == kept | ({texts[0]: True} if zlib.crc32(b"0") % 5 else {})
+
+
 def test_toxicity_spans_are_code_points(toxic_texts):
     model = toxicity.fit(*toxic_texts)
     text = "ñandú 日本語 zorgish ok"
@@ -491,8 +505,15 @@ def test_decontamination_blocks_of_items(spark, monkeypatch):
     rows = [(i, " ".join(f"i{i}w{k}" for k in range(12)) + ". Answer " + " ".join(f"a{i}w{k}" for k in range(4))) for i in range(30)]
     items = spark.createDataFrame(rows, "item_id long, text string")
     docs = spark.createDataFrame([(i, "lead " * 40 + t) for i, t in rows], "doc_id long, text string")
-    monkeypatch.setattr(decontaminate, "INDEX_ITEMS", 7)
-    assert all(r["item_ids"] == [r["doc_id"]] for r in decontaminate.find_benchmark(docs, items).collect())
+    both = spark.createDataFrame([(100, "lead " * 9 + rows[3][1] + " between " * 9 + rows[29][1]), (100, "lead " * 9 + rows[3][1] + " between " * 9 + rows[29][1]), (101, None)], docs.schema)
+    docs = docs.union(both)
+    expected = sorted([(i, [i]) for i in range(30)] + [(100, [3, 29])] * 2 + [(101, [])])
+    whole = {r["doc_id"]: r["best_score"] for r in decontaminate.find_benchmark(docs, items).collect()}
+    assert all(s > 0.99 for i, s in whole.items() if i != 101) and whole[101] == 0.0
+    for limit, most in (("INDEX_ITEMS", 7), ("INDEX_BYTES", 400)):  # several passes
+        with monkeypatch.context() as m:
+            m.setattr(decontaminate, limit, most)
+            assert sorted((r["doc_id"], r["item_ids"]) for r in decontaminate.find_benchmark(docs, items).collect()) == expected
 
 
 # 10 licences

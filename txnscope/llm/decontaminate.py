@@ -10,7 +10,7 @@ threshold, block bounds are tried before any item is scored.  Then the item is v
 passage must hold the stated share of the question's shingles, and of the answer's.
 
 The index covers at most ``INDEX_ITEMS`` items at a time; more are searched in further
-passes over the documents.  The words of all documents stay where they are: no shuffle.
+passes over the documents.  With one index the words of all documents stay where they are.
 """
 
 from __future__ import annotations
@@ -26,8 +26,10 @@ from pyspark.sql import functions as F
 
 from txnscope.llm.tables import bounded_batches, keyed, relaxed, with_columns
 from txnscope.llm.words import column_bytes, gram_hashes, hash_spans, text_bytes, word_spans
+from txnscope.plans.frames import materialize
 
 INDEX_ITEMS = 4_000
+INDEX_BYTES = 8 << 20  # of item texts
 COARSE = 32  # wide blocks of an index, whose bounds are taken for all passages at once
 BLOCK = 16  # items a block of a posting list spans
 K1, B = 1.2, 0.75
@@ -38,6 +40,7 @@ _PLAIN = np.arange(256, dtype=np.uint8)
 _PLAIN[0x41:0x5B] += 0x20
 _PLAIN[[c for c in range(128) if not chr(c).isalnum()]] = 0x20
 _END = re.compile(r"(?<=[.!?])\s+")
+_HITS, _HITS_DDL = pa.list_(pa.struct([("item", pa.int64()), ("score", pa.float64())])), "array<struct<item:long,score:double>>"
 
 
 def plain_words(buf: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -207,46 +210,72 @@ class Index:
         return out
 
 
-def indexes(items: DataFrame, id_col: str, text_col: str) -> list[Index]:
-    """Indexes of at most ``INDEX_ITEMS`` items each; null texts and texts without words are in none."""
+def indexes(items: DataFrame, id_col: str, text_col: str):
+    """Yields indexes of at most ``INDEX_ITEMS`` items and ``INDEX_BYTES`` of text (or one longer item) each; null texts and texts without words are in none."""
     rows = items.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text")).where("text is not null").distinct().orderBy("id", "text")
-    out, ids, texts = [], [], []
+    ids, texts, held = [], [], 0
     for row in rows.toLocalIterator():  # one partition at a time; the test items are the stated query set
+        size = len(row["text"].encode("utf-8", "surrogatepass"))
+        if ids and (len(ids) == INDEX_ITEMS or held + size > INDEX_BYTES):
+            yield Index(ids, texts)
+            ids, texts, held = [], [], 0
         ids.append(row["id"])
         texts.append(row["text"])
-        if len(ids) == INDEX_ITEMS:
-            out.append(Index(ids, texts))
-            ids, texts = [], []
-    return out + ([Index(ids, texts)] if ids else [])
+        held += size
+    yield Index(ids, texts)
 
 
-def find_benchmark(df: DataFrame, items: DataFrame, id_col: str = "doc_id", text_col: str = "text", item_id: str = "item_id", item_text: str = "text",
-                   threshold: float = 0.65, share: float = 0.8) -> DataFrame:
-    """``df`` with item_ids (ascending), best_score and contaminated.
-
-    A null or empty text has no items; a null item id is listed as null's stand-in -1; repeated rows are judged each;
-    without items no row is contaminated; columns of ``df`` that bear a result's name are replaced by it.
-    """
-    bounded_batches(df.sparkSession)
-    built = indexes(items, item_id, item_text)
-    rows = keyed(df, id_col, text_col).select("row", "text")
-
+def one_pass(index: Index, threshold: float, share: float, keep: str, only_hits: bool):
+    """A function over Arrow batches (``keep``, text[, known]): ``keep`` with item_ids and best_score, those of ``known`` included."""
     def run(batches):
         for batch in batches:
             buf, offsets = column_bytes(batch.column("text"))
+            known = batch.column("known").to_pylist() if "known" in batch.schema.names else None
             lo = 0
             while lo < batch.num_rows:  # about 1 MB of text at a time
                 hi = min(batch.num_rows, max(lo + 1, int(np.searchsorted(offsets, offsets[lo] + (1 << 20))) - 1))
                 words, first = plain_words(buf[offsets[lo]:offsets[hi]], offsets[lo:hi + 1] - offsets[lo])
                 merged: list[dict[int, float]] = [{} for _ in range(hi - lo)]
-                for index in built:
-                    for best, found in zip(merged, index.matches(words, first, threshold, share)):
-                        for item, score in found.items():
-                            name = -1 if index.ids[item] is None else index.ids[item]
-                            best[name] = max(score, best.get(name, 0.0))
-                yield pa.record_batch([relaxed(batch.column("row").slice(lo, hi - lo)), pa.array([sorted(b) for b in merged], pa.list_(pa.int64())),
-                                       pa.array([max(b.values(), default=0.0) for b in merged], pa.float64())], names=["row", "item_ids", "best_score"])
+                for best, found in zip(merged, index.matches(words, first, threshold, share)):
+                    for item, score in found.items():
+                        name = -1 if index.ids[item] is None else index.ids[item]
+                        best[name] = max(score, best.get(name, 0.0))
+                if known is not None:
+                    for best, earlier in zip(merged, known[lo:hi]):
+                        for hit in earlier or ():
+                            best[hit["item"]] = max(hit["score"], best.get(hit["item"], 0.0))
+                out = pa.table([relaxed(batch.column(keep).slice(lo, hi - lo)), pa.array([[{"item": i, "score": b[i]} for i in sorted(b)] for b in merged], _HITS)], names=[keep, "hits"])
+                if only_hits:
+                    out = out.filter(pa.array([bool(b) for b in merged], pa.bool_()))
+                yield from out.to_batches()
                 lo = hi
 
-    out = rows.mapInArrow(run, f"row {rows.schema['row'].dataType.simpleString()}, item_ids array<long>, best_score double")
-    return with_columns(out, df.columns, item_ids=F.col("item_ids"), best_score=F.col("best_score"), contaminated=F.size("item_ids") > 0)
+    return run
+
+
+def find_benchmark(df: DataFrame, items: DataFrame, id_col: str = "doc_id", text_col: str = "text", item_id: str = "item_id", item_text: str = "text",
+                   threshold: float = 0.65, share: float = 0.8) -> DataFrame:
+    """``df`` with item_ids (ascending), best_score and contaminated.
+
+    A null or empty text has no items; a null item id is listed as null's stand-in -1; repeated rows are judged each;
+    without items no row is contaminated; columns of ``df`` that bear a result's name are replaced by it.
+
+    One index is held at a time.  The passes before the last write only the texts with hits, by their SHA-256, and the
+    last takes these in; with items for one index there is one pass and no shuffle.
+    """
+    bounded_batches(df.sparkSession)
+    rows = keyed(df, id_col, text_col).select("row", "text")
+    built = indexes(items, item_id, item_text)
+    index, earlier = next(built), None
+    for following in built:
+        marked = rows.select(F.sha2("text", 256).alias("mark"), "text")
+        hits = marked.mapInArrow(one_pass(index, threshold, share, "mark", True), f"mark string, hits {_HITS_DDL}").dropDuplicates(["mark"])
+        hits = materialize(hits, "benchmark-hits")
+        earlier = hits if earlier is None else earlier.union(hits)
+        index = following
+    if earlier is not None:
+        earlier = earlier.groupBy("mark").agg(F.flatten(F.collect_list("hits")).alias("known"))  # a row for each pass at most
+        rows = rows.withColumn("mark", F.sha2("text", 256)).join(earlier, "mark", "left").select("row", "text", "known")
+    out = rows.mapInArrow(one_pass(index, threshold, share, "row", False), f"row {rows.schema['row'].dataType.simpleString()}, hits {_HITS_DDL}")
+    ids, scores = F.transform("hits", lambda h: h["item"]), F.transform("hits", lambda h: h["score"])
+    return with_columns(out, df.columns, item_ids=ids, best_score=F.coalesce(F.array_max(scores), F.lit(0.0)), contaminated=F.size("hits") > 0)

@@ -309,8 +309,11 @@ def held_out(id_col: str):
 
 
 def trained(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "toxic") -> Model:
-    """The model fitted on labelled documents outside the held-out fold."""
-    marked = labels.select(F.col(id_col), F.col(label_col)).where(F.col(label_col).isNotNull() & ~held_out(id_col)).dropDuplicates([id_col])
+    """The model fitted on labelled documents outside the held-out fold.
+
+    Rows without an id or a label, and ids without a document or a text, teach nothing; an id labelled both ways counts as toxic.
+    """
+    marked = labels.where(F.col(label_col).isNotNull() & ~held_out(id_col)).groupBy(id_col).agg(F.max(F.col(label_col).cast("int")).alias(label_col))
     # labels whose documents can be in the sample; their number is bounded, so the texts are found by a semi-join on few ids
     chosen = None
     for mark in (0, 1):
