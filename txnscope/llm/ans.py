@@ -21,6 +21,7 @@ import zlib
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -163,8 +164,9 @@ def frequencies(tokens: DataFrame) -> Frequencies:
     def run(batches):
         total = np.zeros(1 << 16, dtype=np.int64)
         for batch in batches:
-            for cell, n in zip(batch.column("ids").to_pylist(), batch.column("n_tokens").to_pylist()):
-                found = np.bincount(_wide(cell, n))
+            cells = batch.column("ids").to_pylist()
+            if cells:  # all ids of a table have one width; the batch is counted at once
+                found = np.bincount(_wide(b"".join(cells), int(pc.sum(batch.column("n_tokens")).as_py())))
                 if len(found) > len(total):
                     total = np.concatenate([total, np.zeros(len(found) - len(total), dtype=np.int64)])
                 total[:len(found)] += found
