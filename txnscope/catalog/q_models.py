@@ -10,13 +10,13 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.ml.tuning import CrossValidator, ParamGridBuilder
 from pyspark.sql import functions as F
 
 from txnscope.catalog.q_prep import SPLIT3, features
 from txnscope.catalog.registry import query
 from txnscope.plans.frames import materialize, materialize_once
 from txnscope.operators import attribution as AT
+from txnscope.operators import drift as N
 from txnscope.operators import encode as J
 from txnscope.operators import models as L
 from txnscope.operators import segments as G
@@ -24,9 +24,9 @@ from txnscope.operators import split as K
 from txnscope.operators.metrics import confusion, curve, best_f1_threshold, ranking_summary
 from txnscope.operators.order import chronological_cut
 from txnscope.plans.frames import with_scalars
-from txnscope.session import scratch_path
 from txnscope.sources import files as A
 from txnscope.sources import registry as REG
+from txnscope.streaming.source import new_run_dir
 
 NUMERIC = ["amount", "prior_count", "gap_hours"]
 
@@ -64,7 +64,25 @@ def fit_and_report(name, kind, x, cols, **kw):
     return with_scalars(with_scalars(with_scalars(at_thr, at_05), v), thr).withColumn("model", F.lit(name)), m
 
 
-@query("l1_l2_baselines")
+# the rows of each part as ``stratified_split`` deals them
+PARTS_SQL = f"""
+h AS (SELECT txn_id, y, CAST({J.hash_order_sql('txn_id', 42)} AS DOUBLE) AS h FROM txn_orders),
+rk AS (SELECT txn_id, y, row_number() OVER (PARTITION BY y ORDER BY h, txn_id) AS r, count(*) OVER (PARTITION BY y) AS n FROM h),
+parts AS (SELECT txn_id, y, CASE WHEN r <= round(n * 0.64) THEN 'fit' WHEN r <= round(n * 0.8) THEN 'validation' ELSE 'test' END AS split FROM rk)"""
+BASELINE_SQL = f"""
+WITH {PARTS_SQL},
+rate AS (SELECT avg(y) AS rate FROM parts WHERE split = 'fit'),
+p AS (SELECT 'constant' AS model, y, 0 AS p FROM parts WHERE split = 'test'
+      UNION ALL SELECT 'stratified_random', y, CAST({J.hash60_sql('txn_id', 4242)} % 1000000 / 1000000 < rate AS INT) FROM parts, rate WHERE split = 'test'),
+c AS (SELECT model, count(*) FILTER (WHERE p = 1 AND y = 1) AS tp, count(*) FILTER (WHERE p = 1 AND y = 0) AS fp,
+             count(*) FILTER (WHERE p = 0 AND y = 1) AS fn, count(*) FILTER (WHERE p = 0 AND y = 0) AS tn, count(*) AS n FROM p GROUP BY model)
+SELECT model, tp, fp, fn, tn, n, r6((tp + tn) / n) AS accuracy, r6(CASE WHEN tp + fp > 0 THEN tp / (tp + fp) ELSE 0 END) AS precision,
+       r6(CASE WHEN tp + fn > 0 THEN tp / (tp + fn) END) AS recall, r6(CASE WHEN 2 * tp + fp + fn > 0 THEN 2 * tp / (2 * tp + fp + fn) ELSE 0 END) AS f1,
+       r6((tp + fp) / n) AS alert_rate FROM c
+"""
+
+
+@query("l1_l2_baselines", BASELINE_SQL)
 def baselines(spark, sf_dir):
     """L1 constant majority and L2 stratified random baselines on test."""
     x, _ = model_data(spark, sf_dir)
@@ -103,6 +121,19 @@ def tree(spark, sf_dir):
     return L.leaf_rules(m.stages[-1], test, cols)
 
 
+@query("l5_decision_tree_variants")
+def tree_variants(spark, sf_dir):
+    """The tree free, limited in depth, and readable: test metrics, F1 on the rows it was fitted on, depth, leaves."""
+    x, cols = model_data(spark, sf_dir)
+    out = []
+    for name, kw in (("free", {"maxDepth": 30, "minInstancesPerNode": 1}), ("depth_6", {"maxDepth": 6, "minInstancesPerNode": 1}), ("readable", {})):
+        r, m = fit_and_report(name, "tree", x, cols, weight="w", **kw)
+        own = L.evaluate(L.score(m, _parts(x)[0]), 0.5).select(F.col("f1").alias("f1_fit_at_0_5"))
+        t = m.stages[-1]
+        out.append(with_scalars(r, own).withColumn("depth", F.lit(t.depth)).withColumn("leaves", F.lit((t.numNodes + 1) // 2)))
+    return reduce(lambda a, b: a.unionByName(b), out)
+
+
 @query("l7_random_forest_balanced")
 def forest(spark, sf_dir):
     """Class-balanced random forest."""
@@ -119,21 +150,19 @@ def gbt(spark, sf_dir):
 
 @query("l10_l11_cross_validated_grid")
 def grid(spark, sf_dir):
-    """L10 + L11: stratified 3-fold CrossValidator (foldCol) over the regularisation grid
-    of a weighted logistic regression, scored with step AP (validation curve)."""
+    """L10 + L11: stratified 3-fold validation curve over the regularisation of a weighted
+    logistic regression: step AP on held-out and training folds."""
+    x, cols = model_data(spark, sf_dir)
+    t = L.search(_parts(x)[0], cols, "logistic", [{"regParam": r} for r in (0.0, 0.001, 0.01, 0.1, 1.0)])
+    return t.withColumn("reg_param", F.get_json_object("setting", "$.regParam").cast("double")).drop("setting")
+
+
+@query("l10_randomised_search")
+def random_search(spark, sf_dir):
+    """Six random settings of a forest, each on three stratified folds, ranked by held-out AP."""
     x, cols = model_data(spark, sf_dir)
-    fit, _, _ = _parts(x)
-    fit = K.stratified_kfold(fit, "txn_id", 3, name="fold")
-    pipe = L.pipeline("logistic", cols, weight="w")
-    lr = pipe.getStages()[-1]
-    regs = [0.0, 0.01, 0.1]
-    grid_ = ParamGridBuilder().addGrid(lr.regParam, regs).build()
-    cv = CrossValidator(estimator=pipe, estimatorParamMaps=grid_, evaluator=L.AveragePrecisionEvaluator(),
-                        foldCol="fold", parallelism=2)
-    m = cv.fit(fit)
-    std = getattr(m, "stdMetrics", None) or [None] * len(regs)
-    rows = [(float(r), float(a), float(s) if s is not None else None) for r, a, s in zip(regs, m.avgMetrics, std)]
-    return spark.createDataFrame(rows, "reg_param double, mean_ap double, sd_ap double")
+    space = {"numTrees": [10, 20], "maxDepth": [4, 6, 8], "minInstancesPerNode": [1, 3, 5], "subsamplingRate": [0.2, 0.4, 0.6]}
+    return L.search(_parts(x)[0], cols, "forest", L.drawn_settings(space, 6))
 
 
 def oof_scores(x, cols, k=3, kind="logistic", weight="w", train=None):
@@ -169,7 +198,7 @@ GROUPS = {"amount": ["amount", "is_outlier"], "history": ["prior_count", "gap_ho
 
 @query("l14_permutation_importance")
 def perm(spark, sf_dir):
-    """AP drop on test when a variable group is shuffled across rows (2 repeats)."""
+    """AP drop on test when a variable group is shuffled across rows (5 repeats)."""
     x, cols = model_data(spark, sf_dir)
     fit, _, test = _parts(x)
     m = L.pipeline("logistic", cols, weight="w").fit(fit)
@@ -284,21 +313,29 @@ def choice(spark, sf_dir):
 
 @query("m19_imbalance_techniques")
 def imbalance(spark, sf_dir):
-    """Out-of-fold AP with no treatment, class weights, and 1:10 undersampling."""
+    """M19 + J11: out-of-fold AP, F1 at the best threshold and recall at 0.5 with no treatment, class weights,
+    1:10 undersampling and approximate 1:10 SMOTE (inside each training part)."""
     x, cols = model_data(spark, sf_dir)
     fit = _parts(x)[0]
-    out = [ranking_summary(oof_scores(x, cols, weight=None), "score", "y").withColumn("technique", F.lit("none")),
-           ranking_summary(oof_scores(x, cols, weight="w"), "score", "y").withColumn("technique", F.lit("weights"))]
+    scored = {"none": oof_scores(x, cols, weight=None), "weights": oof_scores(x, cols, weight="w")}
     under = J.undersample(fit, "txn_id", "y", 10.0)
-    folds = K.stratified_kfold(fit, "txn_id", 3, name="fold")
-    parts = []
-    for f in range(3):
-        tr = under.join(folds.where(F.col("fold") != f).select("txn_id"), "txn_id", "left_semi")
-        m = L.pipeline("logistic", cols).fit(tr)
-        parts.append(L.score(m, folds.where(F.col("fold") == f)))
-    out.append(ranking_summary(reduce(lambda a, b: a.unionByName(b), parts), "score", "y")
-               .withColumn("technique", F.lit("undersample_1_10")))
-    return reduce(lambda a, b: a.unionByName(b), out).select("technique", "average_precision", "roc_auc")
+    folds = materialize(K.stratified_kfold(fit, "txn_id", 3, name="fold"), "imbalance-folds")
+    resampled = {"undersample_1_10": lambda tr: under.join(tr.select("txn_id"), "txn_id", "left_semi"),
+                 "smote_1_10": lambda tr: J.smote_approx(tr, "txn_id", cols, ratio=0.1)}
+    for name, made in resampled.items():
+        parts = []
+        for f in range(3):
+            m = L.pipeline("logistic", cols).fit(made(folds.where(F.col("fold") != f)))
+            parts.append(L.score(m, folds.where(F.col("fold") == f)))
+        scored[name] = reduce(lambda a, b: a.unionByName(b), parts)
+    out = []
+    for name, s in scored.items():
+        s = materialize(s.select("y", "score"), "imbalance-scores")
+        r = ranking_summary(s, "score", "y").select(F.lit(name).alias("technique"), "average_precision", "roc_auc", "positives", "negatives")
+        best = best_f1_threshold(curve(s, "score", "y")).select(F.col("f1").alias("best_f1"))
+        at = L.evaluate(s, 0.5).select(F.col("recall").alias("recall_at_0_5"))
+        out.append(with_scalars(with_scalars(r, best), at))
+    return reduce(lambda a, b: a.unionByName(b), out)
 
 
 def _pooled(scheme, scored):
@@ -364,7 +401,7 @@ def thresholds(spark, sf_dir):
 
 def train_run(spark, sf_dir, root):
     """O1: features → 3-way split → fit → threshold on validation → evaluate at the chosen
-    threshold and 0.5 → register (metadata, data fingerprint, current pointer)."""
+    threshold and 0.5 → register (metadata, data fingerprint, drift reference, current pointer)."""
     x, cols = model_data(spark, sf_dir)
     fit, val, test = _parts(x)
     m = L.pipeline("gbt", cols, weight="w", maxIter=20).fit(fit)
@@ -374,21 +411,52 @@ def train_run(spark, sf_dir, root):
     fp = A.fingerprint(fit.select("txn_id", "amount", "y")).collect()[0]
     metrics = dict(ev, f1_at_0_5=f05)
     v = REG.register(spark, root, m, thr, fp["rows"], cols, metrics, {"learner": "gbt", "maxIter": 20},
-                     fp["fingerprint"])
+                     fp["fingerprint"], reference=N.freeze_reference(fit, NUMERIC))
     return v, thr, metrics
 
 
 @query("o1_train_and_register")
 def o1(spark, sf_dir):
-    """O1 + A7 + A8: train run registered as a new version with metadata and pointer."""
-    root = scratch_path(spark, "registry-o1")
+    """O1 + A7 + A8 + N1: train run registered as a new version with metadata, pointer and frozen drift reference."""
+    root = new_run_dir(spark, "registry-o1")
     train_run(spark, sf_dir, root)
     vers = REG.versions(spark, root)
     cur = REG.current_version(spark, root)
     return vers.select("version", "threshold", "rows", F.col("metrics")["f1"].alias("f1"),
                        F.col("metrics")["average_precision"].alias("average_precision"),
                        F.size("features").alias("n_features"), "data_fingerprint") \
-        .withColumn("is_current", F.col("version") == F.lit(cur))
+        .withColumn("is_current", F.col("version") == F.lit(cur)) \
+        .withColumn("reference_variables", F.lit(REG.load_reference(spark, root).select("variable").distinct().count()))
+
+
+A7_SQL = f"""
+WITH {PARTS_SQL}, t AS (SELECT count(*) AS n FROM parts WHERE split = 'test')
+SELECT asked, CAST(version AS INT) AS version, n AS rows, CAST(0 AS BIGINT) AS differing,
+       CAST((SELECT 4 + count(DISTINCT category) FROM txn_orders) AS INT) AS n_features, r6(thr) AS threshold
+FROM t, (VALUES ('current', 1, 0.5), ('given', 2, 0.25)) v(asked, version, thr)
+"""
+
+
+@query("a7_load_and_score", A7_SQL)
+def a7(spark, sf_dir):
+    """Two versions registered, only the first promoted; the current version and version 2 are loaded and score the
+    test part; rows whose score differs from that of the model in memory are counted."""
+    x, cols = model_data(spark, sf_dir)
+    fit, _, test = _parts(x)
+    root, models, rows = new_run_dir(spark, "registry-a7"), {}, []
+    fp = A.fingerprint(fit.select("txn_id", "amount", "y")).first()
+    for reg, thr in ((0.01, 0.5), (0.1, 0.25)):
+        m = L.pipeline("logistic", cols, weight="w", regParam=reg).fit(fit)
+        v = REG.register(spark, root, m, thr, fp["rows"], cols, {}, {"regParam": reg}, fp["fingerprint"], promote=not models)
+        models[v] = m
+    for asked, version in (("current", None), ("given", 2)):
+        m, meta = REG.load(spark, root, version)
+        here = L.score(models[meta["version"]], test).select("txn_id", F.col("score").alias("_b"))
+        both = L.score(m, test).select("txn_id", "score").join(here, "txn_id")
+        rows.append(both.agg(F.count(F.lit(1)).alias("rows"), F.sum((F.abs(F.col("score") - F.col("_b")) > 1e-12).cast("long")).alias("differing"))
+                    .select(F.lit(asked).alias("asked"), F.lit(meta["version"]).alias("version"), "rows", "differing",
+                            F.lit(len(meta["features"])).alias("n_features"), F.lit(meta["threshold"]).alias("threshold")))
+    return reduce(lambda a, b: a.unionByName(b), rows)
 
 
 @query("o2_champion_challenger")
@@ -413,20 +481,20 @@ def o2(spark, sf_dir):
     d = with_scalars(with_scalars(rows["champion"], rows["challenger"]), rows["oracle"])
     d = d.withColumn("delta_f1", F.col("f1_challenger") - F.col("f1_champion")) \
         .withColumn("decision", F.when(F.col("delta_f1") > 0.01, "promote").otherwise("keep_champion"))
-    log = scratch_path(spark, "decision-log")
+    log = new_run_dir(spark, "decision-log")
     A.append_log(d, log)
     return d
 
 
 @query("l9_isolation_forest")
 def isolation(spark, sf_dir):
-    """Isolation forest (100 trees, ≤ 256 rows each) fitted on the fit part;
+    """Isolation forest (300 trees, 256 rows each) fitted on the fit part;
     contamination = min(0.05, 3·positive rate); flag quality on test."""
     from txnscope.operators import anomaly as AN
     x, cols = model_data(spark, sf_dir)
     fit, _, test = _parts(x)
     num = ["amount", "prior_count", "gap_hours", "is_outlier", "key_te"]
-    nodes = AN.fit_isolation_forest(fit, num, "txn_id", trees=100, sample=256)
+    nodes = AN.fit_isolation_forest(fit, num, "txn_id", trees=300, sample=256)
     rate = fit.agg(F.avg("y")).collect()[0][0]
     cont = min(0.05, 3 * rate)
     s = AN.flag_top(AN.score_isolation_forest(test, nodes, num), "anomaly_score", cont)

@@ -253,7 +253,18 @@ def kfold(spark, sf_dir):
     return k.groupBy("fold", "y").agg(F.count(F.lit(1)).alias("rows"))
 
 
-@query("k7_group_kfold_disjoint")
+GROUP_FOLD_SQL = f"""
+WITH ent AS (SELECT client_id, sum(y) AS pos FROM txn_orders GROUP BY client_id),
+o AS (SELECT client_id, row_number() OVER (ORDER BY -(CAST(pos AS DOUBLE) * 1e12) + CAST({J.hash60_sql('client_id', 42)} % 1000000 AS DOUBLE),
+                                                    client_id) - 1 AS r FROM ent),
+f AS (SELECT client_id, CASE WHEN (r // 5) % 2 = 0 THEN r % 5 ELSE 4 - r % 5 END AS fold FROM o)
+SELECT CAST(fold AS INT) AS fold, count(*) AS rows, CAST(sum(y) AS BIGINT) AS positives, count(DISTINCT t.client_id) AS clients,
+       CAST(0 AS BIGINT) AS entities_in_several_folds
+FROM txn_orders t JOIN f ON t.client_id = f.client_id GROUP BY fold
+"""
+
+
+@query("k7_group_kfold_disjoint", GROUP_FOLD_SQL)
 def gkfold(spark, sf_dir):
     """K7: stratified group 5-fold by client: folds, rows, positives, clients; plus the
     number of clients found in several folds (must be 0)."""
@@ -263,7 +274,13 @@ def gkfold(spark, sf_dir):
     return with_scalars(per, K.fold_disjoint(k, "client_id"))
 
 
-@query("k8_holdout_by_client")
+HOLDOUT_SQL = f"""
+SELECT CAST({J.hash60_sql('client_id', 7)} % 1000000 < 250000 AS INT) AS holdout, count(*) AS rows, count(DISTINCT client_id) AS clients
+FROM txn_orders WHERE ts < TIMESTAMP '{CUT}' GROUP BY 1
+"""
+
+
+@query("k8_holdout_by_client", HOLDOUT_SQL)
 def hold(spark, sf_dir):
     """K8: hold out 25 % of clients (hash) inside train; rows and clients per side."""
     tr, _ = train_test(spark, sf_dir)

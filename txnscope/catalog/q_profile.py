@@ -423,7 +423,21 @@ def chi(spark, sf_dir):
     return v.withColumn("verdict", S.effect_label(F.col("cramers_v")))
 
 
-@query("i5_mutual_information")
+MI_SQL = """
+WITH l AS (UNPIVOT (SELECT y, coalesce(CAST(amount AS DOUBLE), 0) AS amount, coalesce(CAST(code AS DOUBLE), 0) AS code,
+                           coalesce(CAST(hour(ts) AS DOUBLE), 0) AS hour FROM txn_events)
+           ON amount, code, hour INTO NAME variable VALUE value),
+q AS (SELECT variable, quantile_cont(value, [0.1, 0.2, 0.3, 0.4, 0.5, 0.6, 0.7, 0.8, 0.9]) AS e FROM l GROUP BY variable),
+e AS (SELECT variable, list_distinct([round(x, 9) for x in e]) AS e FROM q),
+c AS (SELECT l.variable, len([x for x in e.e if x < l.value]) AS bin, y, CAST(count(*) AS DOUBLE) AS n
+      FROM l JOIN e ON l.variable = e.variable GROUP BY 1, 2, 3),
+t AS (SELECT *, sum(n) OVER (PARTITION BY variable, bin) AS nb, sum(n) OVER (PARTITION BY variable, y) AS ny,
+             sum(n) OVER (PARTITION BY variable) AS nt FROM c)
+SELECT variable, r6(sum(n / nt * ln(n * nt / (nb * ny)))) AS mutual_info FROM t GROUP BY variable
+"""
+
+
+@query("i5_mutual_information", MI_SQL)
 def mi(spark, sf_dir):
     """Plug-in mutual information with the label on quantile bins (ranking use)."""
     return S.mutual_information(txn_events(spark, sf_dir).withColumn("hour", F.hour("ts")),

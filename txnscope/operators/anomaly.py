@@ -1,8 +1,8 @@
 """Isolation forest.
 
-* sampling (Spark): one hash-based Bernoulli pass keeps ~1.5·T·ψ rows; each kept
-  row is dealt to a tree by a second hash and each tree keeps its ψ lowest-ranked
-  rows — the per-tree samples are bounded (ψ ≤ 256) whatever the table size;
+* sampling (Spark): one hash-based Bernoulli pass keeps a pool of ~1.5·T·ψ rows (all
+  rows of a smaller table); each tree draws its own ψ rows from the pool, those with the
+  smallest hash of (row, tree), so pool and samples are bounded whatever the table size;
 * fitting (``applyInPandas`` by tree): each tree is grown on ≤ ψ rows with numpy;
   the output is a node table (tree, node, feature, threshold, left, right, size);
 * scoring (``mapInPandas``): the node tables (≤ T·(2ψ−1) rows, bounded) are
@@ -59,15 +59,19 @@ def _grow(x: np.ndarray, rng: np.random.Generator, limit: int) -> list[tuple]:
     return nodes
 
 
-def fit_isolation_forest(df: DataFrame, cols: list[str], id_col: str, trees: int = 100,
+def fit_isolation_forest(df: DataFrame, cols: list[str], id_col: str, trees: int = 300,
                          sample: int = 256, seed: int = 42) -> DataFrame:
-    """L9 fit: node tables of ``trees`` isolation trees on ≤ ``sample`` rows each."""
+    """L9 fit: node tables of ``trees`` isolation trees on ``sample`` rows each (all rows of a smaller table)."""
     n = df.count()
     rate = min(1.0, 1.5 * trees * sample / max(n, 1))
     u = (F.xxhash64(F.col(id_col), F.lit(seed)).bitwiseAND(F.lit((1 << 53) - 1))).cast("double") / float(1 << 53)
     s = df.where(u < rate).select(id_col, *[F.col(c).cast("double").alias(c) for c in cols])
-    s = s.withColumn("tree", (F.abs(F.xxhash64(F.col(id_col), F.lit(seed + 1))) % trees).cast("int")) \
-        .withColumn("_r", F.xxhash64(F.col(id_col), F.lit(seed + 2)))
+    # a tree's draw is twice its rows before the smallest are kept; a pool of under 2ψ rows goes to every tree
+    chance = min(1.0, 2.0 * sample / max(1.0, n * rate))
+    limit_ = F.lit(int(chance * (1 << 52)))
+    drawn = F.filter(F.sequence(F.lit(0), F.lit(trees - 1)),
+                     lambda t: F.xxhash64(F.col(id_col), t, F.lit(seed + 1)).bitwiseAND(F.lit((1 << 52) - 1)) < limit_)
+    s = s.withColumn("tree", F.explode(drawn)).withColumn("_r", F.xxhash64(F.col(id_col), "tree", F.lit(seed + 2)))
     limit = int(math.ceil(math.log2(max(sample, 2))))
 
     def grow(pdf: pd.DataFrame) -> pd.DataFrame:

@@ -149,10 +149,24 @@ def with_weight(df: DataFrame, weights: DataFrame, label: str = "y", name: str =
         .drop("w_pos", "w_neg")
 
 
-def hash_order(id_col: str | Column, seed: int) -> Column:
-    """Deterministic pseudo-random order key from an id (independent of partitioning)."""
+def hash60(id_col: str | Column, seed: int) -> Column:
+    """60 bits of the MD5 of id and seed (a hash that SQL engines have in common), as a long from 0."""
     c = F.col(id_col) if isinstance(id_col, str) else id_col
-    return F.xxhash64(c, F.lit(seed))
+    return F.conv(F.substring(F.md5(F.concat_ws("|", c.cast("string"), F.lit(str(seed)))), 1, 15), 16, 10).cast("long")
+
+
+def hash60_sql(id_col: str, seed: int) -> str:
+    """The same for DuckDB."""
+    return f"CAST('0x' || substr(md5(CAST({id_col} AS VARCHAR) || '|{seed}'), 1, 15) AS BIGINT)"
+
+
+def hash_order(id_col: str | Column, seed: int) -> Column:
+    """Deterministic pseudo-random order key from an id (independent of partitioning), over the range of a long."""
+    return (hash60(id_col, seed) - F.lit(1 << 59)) * F.lit(16)
+
+
+def hash_order_sql(id_col: str, seed: int) -> str:
+    return f"(({hash60_sql(id_col, seed)} - {1 << 59}) * 16)"
 
 
 def undersample(df: DataFrame, id_col: str, label: str = "y", ratio: float = 10.0,
@@ -168,6 +182,48 @@ def undersample(df: DataFrame, id_col: str, label: str = "y", ratio: float = 10.
     return df.where(F.col(label) == 1).unionByName(keep_neg)
 
 
+def smote_approx(df: DataFrame, id_col: str, cols: list[str], label: str = "y", ratio: float = 0.1,
+                 projections: int = 3, seed: int = 42) -> DataFrame:
+    """J11, approximate: (id, *cols, label) with synthetic positives until there are ``ratio`` x negatives.
+
+    Exact neighbours need all pairs of minority rows.  Here the minority is ordered along ``projections`` random
+    directions (of standardised columns) by the distributed row number; a synthetic row lies at a random place between a
+    row and the one next to it in an order.  Copies are spread evenly over the ranks and their number is exact.
+    Synthetic rows have no id; nothing is added without positives or above the ratio.
+    """
+    import random
+
+    from txnscope.plans.prefix import global_row_number
+
+    rows = df.select(id_col, *[F.col(c).cast("double").alias(c) for c in cols], label)
+    n = df.agg(F.coalesce(F.sum((F.col(label) == 1).cast("long")), F.lit(0)).alias("pos"),
+               F.coalesce(F.sum((F.col(label) == 0).cast("long")), F.lit(0)).alias("neg")).first()
+    need = int(n["neg"] * ratio) - n["pos"]
+    if need <= 0 or not n["pos"]:
+        return rows
+    minority = materialize(rows.where(F.col(label) == 1), "minority")
+    spread = minority.agg(*[F.stddev_pop(c).alias(f"_s{i}") for i, c in enumerate(cols)]).first()
+    draw, made = random.Random(seed), rows
+    for p in range(projections):
+        along = F.lit(0.0)
+        for i, c in enumerate(cols):
+            if spread[i]:
+                along = along + F.coalesce(F.col(c), F.lit(0.0)) * F.lit(draw.gauss(0, 1) / spread[i])
+        ranked = materialize(global_row_number(minority.withColumn("_along", along), "_along", tie=[id_col], name="_rn").drop("_along"), "minority-ranks")
+        share = need // projections + (p < need % projections)
+        whole, rest, last = share // n["pos"], share % n["pos"], F.lit(n["pos"])
+        extra = F.floor(F.col("_rn") * rest / last) - F.floor((F.col("_rn") - 1) * rest / last)
+        copies = ranked.withColumn("_copy", F.explode(F.when(extra + whole > 0, F.sequence(F.lit(1).cast("long"), extra + whole))))
+        up = F.col("_rn") + F.when(hash60(F.concat_ws("|", F.col(id_col).cast("string"), F.col("_copy").cast("string")), seed + p) % 2 == 0, 1).otherwise(-1)
+        other = F.when(last == 1, F.col("_rn")).when(F.col("_rn") == 1, 2).when(F.col("_rn") == last, last - 1).otherwise(up)
+        at = (hash60(F.concat_ws("|", F.col(id_col).cast("string"), F.col("_copy").cast("string")), seed + 1000 + p) % 1000000) / 1000000.0
+        near = ranked.select(F.col("_rn").alias("_other"), *[F.col(c).alias(f"_n{i}") for i, c in enumerate(cols)])
+        pairs = copies.withColumn("_other", other.cast("long")).withColumn("_at", at).join(near, "_other")
+        made = made.unionByName(pairs.select(F.lit(None).cast(rows.schema[id_col].dataType).alias(id_col),
+                                             *[(F.col(c) + F.col("_at") * (F.col(f"_n{i}") - F.col(c))).alias(c) for i, c in enumerate(cols)], label))
+    return made
+
+
 # ------------------------------------------------------- preprocessor
 @dataclass
 class Preprocessor:

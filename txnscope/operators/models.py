@@ -8,6 +8,9 @@ attributions, permutation importance, ablations and model choice.
 
 from __future__ import annotations
 
+import json
+import math
+import random
 import uuid
 
 from pyspark.ml import Pipeline, PipelineModel
@@ -16,11 +19,13 @@ from pyspark.ml.classification import (DecisionTreeClassifier, GBTClassifier, Li
 from pyspark.ml.evaluation import Evaluator
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.functions import vector_to_array
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from txnscope.operators.encode import hash60
 from txnscope.operators.metrics import confusion, curve, ranking_summary, best_f1_threshold
-from txnscope.plans.frames import with_scalars
+from txnscope.operators.split import stratified_kfold
+from txnscope.plans.frames import materialize, with_scalars
 from txnscope.plans.prefix import prefix_sum
 from txnscope.session import scratch_path
 
@@ -72,10 +77,10 @@ def constant_baseline(df: DataFrame, name: str = "p") -> DataFrame:
     return df.withColumn(name, F.lit(0))
 
 
-def stratified_random_baseline(df: DataFrame, rate: float, seed: int = 42, id_col: str = "txn_id",
+def stratified_random_baseline(df: DataFrame, rate: float, seed: int = 4242, id_col: str = "txn_id",
                                name: str = "p") -> DataFrame:
     """L2: alert with probability = train positive rate (hash-seeded, partition-independent)."""
-    u = (F.abs(F.xxhash64(F.col(id_col), F.lit(seed))) % 1000000) / 1000000.0
+    u = (hash60(id_col, seed) % 1000000) / 1000000.0
     return df.withColumn(name, (u < rate).cast("int"))
 
 
@@ -84,7 +89,7 @@ def evaluate(scored: DataFrame, threshold: float | Column, label: str = "y", sco
     """One row: precision, recall, F1, alert rate at the threshold, ROC AUC and AP."""
     t = threshold if isinstance(threshold, Column) else F.lit(float(threshold))
     c = confusion(scored.withColumn("_p", (F.col(score_col) >= t).cast("int")), "_p", label) \
-        .select("precision", "recall", "f1", "alert_rate")
+        .select(F.col("n").alias("rows"), (F.col("tp") + F.col("fn")).alias("positives"), "precision", "recall", "f1", "alert_rate")
     r = ranking_summary(scored, score_col, label).select("roc_auc", "average_precision")
     return with_scalars(c, r)
 
@@ -187,8 +192,8 @@ def global_attribution(df: DataFrame) -> DataFrame:
 
 
 def permute_columns(df: DataFrame, cols: list[str], id_col: str, seed: int) -> DataFrame:
-    """Shuffle a group of columns across rows: rows ranked by two independent hashes;
-    the group's values move from rank r of one order to rank r of the other
+    """Add ``_perm_<col>``: the columns shuffled across rows.  Rows are ranked by two independent hashes;
+    values move from rank r of one order to rank r of the other
     (distributed prefix counts, equi-join on the rank)."""
     a = df.withColumn("_h1", F.xxhash64(id_col, F.lit(seed)).cast("double")).withColumn("_one", F.lit(1))
     a = prefix_sum(a, "_h1", ["_one"], tie=[id_col], hashed=True).withColumnRenamed("_one_cum", "_r").drop("_one", "_h1")
@@ -196,20 +201,20 @@ def permute_columns(df: DataFrame, cols: list[str], id_col: str, seed: int) -> D
         .withColumn("_one", F.lit(1))
     b = prefix_sum(b, "_h2", ["_one"], tie=[id_col], hashed=True).select(F.col("_one_cum").alias("_r"),
                                                            *[F.col(c).alias(f"_perm_{c}") for c in cols])
-    j = a.join(b, "_r")
-    for c in cols:
-        j = j.withColumn(c, F.col(f"_perm_{c}")).drop(f"_perm_{c}")
-    return j.drop("_r")
+    return a.join(b, "_r").drop("_r")
 
 
 def permutation_importance(model: PipelineModel, df: DataFrame, groups: dict[str, list[str]],
-                           id_col: str, repeats: int = 2, label: str = "y") -> DataFrame:
-    """AP drop when a group of columns is shuffled (mean over repeats)."""
+                           id_col: str, repeats: int = 5, label: str = "y") -> DataFrame:
+    """AP drop when a group of columns is shuffled (mean over repeats); one shuffle a repeat serves all groups."""
     base = ranking_summary(score(model, df), "score", label).select(F.col("average_precision").alias("_ap0"))
     parts = []
-    for g, cols in groups.items():
-        for r in range(repeats):
-            ap = ranking_summary(score(model, permute_columns(df, cols, id_col, 100 + r)), "score", label)
+    every = sorted({c for cols in groups.values() for c in cols})
+    for r in range(repeats):
+        moved = materialize(permute_columns(df, every, id_col, 100 + r), "permuted")
+        for g, cols in groups.items():
+            x = moved.select(*[F.col(f"`_perm_{c}`").alias(c) if c in cols else F.col(f"`{c}`") for c in df.columns])
+            ap = ranking_summary(score(model, x), "score", label)
             parts.append(ap.select(F.lit(g).alias("group"), F.lit(r).alias("rep"), "average_precision"))
     u = parts[0]
     for p in parts[1:]:
@@ -221,7 +226,7 @@ def permutation_importance(model: PipelineModel, df: DataFrame, groups: dict[str
 
 # ----------------------------------------------------------------- L10
 class AveragePrecisionEvaluator(Evaluator):
-    """Step average precision (ties grouped) for CrossValidator / TrainValidationSplit."""
+    """Step average precision (ties grouped) for ``search`` and Spark's own tuners."""
 
     def __init__(self, label: str = "y", raw: str = "probability"):
         super().__init__()
@@ -235,6 +240,36 @@ class AveragePrecisionEvaluator(Evaluator):
         return True
 
 
+def drawn_settings(space: dict[str, list], n: int, seed: int = 42) -> list[dict]:
+    """``n`` different settings from the product of the lists (all of them if there are fewer)."""
+    total = math.prod(len(v) for v in space.values())
+    out = []
+    for k in random.Random(seed).sample(range(total), min(n, total)):
+        setting = {}
+        for name, values in space.items():
+            k, i = divmod(k, len(values))
+            setting[name] = values[i]
+        out.append(setting)
+    return out
+
+
+def search(df: DataFrame, cols: list[str], kind: str, settings: list[dict], k: int = 3, id_col: str = "txn_id",
+           weight: str | None = "w") -> DataFrame:
+    """AP of each setting on the held-out and on the training part of ``k`` stratified folds:
+    (setting, mean_ap, sd_ap, mean_train_ap, sd_train_ap, rank), sd as of a population."""
+    folds = materialize(stratified_kfold(df, id_col, k, name="fold"), "search-folds")
+    ap, rows = AveragePrecisionEvaluator(), []
+    for setting in settings:
+        for f in range(k):
+            train, held = folds.where(F.col("fold") != f), folds.where(F.col("fold") == f)
+            m = pipeline(kind, cols, weight=weight, **setting).fit(train)
+            rows.append((json.dumps(setting, sort_keys=True), float(ap.evaluate(m.transform(held))), float(ap.evaluate(m.transform(train)))))
+    t = df.sparkSession.createDataFrame(rows, "setting string, ap double, train_ap double").groupBy("setting").agg(
+        F.avg("ap").alias("mean_ap"), F.stddev_pop("ap").alias("sd_ap"),
+        F.avg("train_ap").alias("mean_train_ap"), F.stddev_pop("train_ap").alias("sd_train_ap"))
+    return t.withColumn("rank", F.row_number().over(Window.orderBy(F.desc("mean_ap"), "setting")))  # a row for each setting
+
+
 def combine_detectors(df: DataFrame, p1: str, p2: str, label: str = "y") -> DataFrame:
     """Union of two detectors' flags: coverage of positives by each and by the union,
     alert volume, precision; share of the first model's misses rescued by the second."""

@@ -1,7 +1,7 @@
 """Splits and folds (K1–K8).
 
 Random splits are deterministic functions of (id, seed): rows are ordered by
-``xxhash64(id, seed)`` inside each class and exact per-class quotas are cut
+a hash of (id, seed) inside each class and exact per-class quotas are cut
 from a distributed prefix count, so the result does not depend on
 partitioning, retries or executor loss.
 """
@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from txnscope.operators.encode import hash_order
+from txnscope.operators.encode import hash60, hash_order
 from txnscope.plans.prefix import prefix_sum
 
 
@@ -101,7 +101,7 @@ def group_kfold(df: DataFrame, group: str, k: int, label: str = "y", seed: int =
     spread.  The entity table has one row per entity."""
     ent = df.groupBy(group).agg(F.sum(label).alias("_pos"), F.count(F.lit(1)).alias("_n"))
     ent = ent.withColumn("_ord", -(F.col("_pos").cast("double") * 1e12) +
-                         (hash_order(group, seed) % 1000000).cast("double"))
+                         (hash60(group, seed) % 1000000).cast("double"))
     ent = ent.withColumn("_one", F.lit(1))
     ent = prefix_sum(ent, "_ord", ["_one"], tie=[group])
     r = F.col("_one_cum") - 1
@@ -114,7 +114,7 @@ def group_kfold(df: DataFrame, group: str, k: int, label: str = "y", seed: int =
 def holdout(df: DataFrame, by: str, share: float = 0.25, seed: int = 7,
             name: str = "holdout") -> DataFrame:
     """K8: hold out rows (by = row id) or whole entities (by = client) by hash < share."""
-    u = (F.abs(hash_order(by, seed)) % 1000000) / 1000000.0
+    u = (hash60(by, seed) % 1000000) / 1000000.0
     return df.withColumn(name, (u < share).cast("int"))
 
 
@@ -122,9 +122,3 @@ def fold_disjoint(df: DataFrame, group: str, fold: str = "fold") -> DataFrame:
     """H4 for folds: entities appearing in more than one fold (must be 0)."""
     return df.groupBy(group).agg(F.count_distinct(fold).alias("_f")).agg(
         F.sum(F.when(F.col("_f") > 1, 1).otherwise(0)).cast("long").alias("entities_in_several_folds"))
-
-
-def with_period_ordinal(df: DataFrame, ts: str, name: str = "month_ord") -> DataFrame:
-    """Months since year 0 as an ordinal (for temporal folds)."""
-    return df.withColumn(name, (F.year(ts) * 12 + F.month(ts) - 1).cast("int"))
-

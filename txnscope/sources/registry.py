@@ -45,12 +45,16 @@ def next_version(spark: SparkSession, root: str) -> int:
 
 def register(spark: SparkSession, root: str, model: PipelineModel, threshold: float, rows: int,
              features: list[str], metrics: dict[str, float], params: dict[str, str],
-             data_fingerprint: str, promote: bool = True, reason: str = "initial") -> int:
-    """Save the model as the next version, append its metadata and (optionally) promote it.
+             data_fingerprint: str, promote: bool = True, reason: str = "initial",
+             reference: DataFrame | None = None) -> int:
+    """Save the model as the next version, with the frozen drift ``reference`` of its training rows if given,
+    append its metadata and (optionally) promote it.
 
     A version's folder is never overwritten: if another writer has taken the number, saving fails."""
     v = next_version(spark, root)
     model.write().save(f"{root}/models/v={v}")
+    if reference is not None:
+        reference.write.parquet(f"{root}/references/v={v}")
     now = dt.datetime.now(dt.timezone.utc).isoformat()
     row = [(v, now, float(threshold), int(rows), list(features),
             {k: float(x) for k, x in metrics.items()}, {k: str(x) for k, x in params.items()},
@@ -79,3 +83,8 @@ def load(spark: SparkSession, root: str, version: int | None = None) -> tuple[Pi
     v = version or current_version(spark, root)
     meta = versions(spark, root).where(F.col("version") == v).collect()[0].asDict()
     return PipelineModel.load(f"{root}/models/v={v}"), meta
+
+
+def load_reference(spark: SparkSession, root: str, version: int | None = None) -> DataFrame:
+    """The drift reference frozen with the given (or current) version."""
+    return spark.read.parquet(f"{root}/references/v={version or current_version(spark, root)}")
