@@ -385,3 +385,41 @@ def test_exact_quantiles_match_numpy_for_any_partitioning(spark, parts):
         assert np.allclose(got[g], np.quantile(vals, ps), rtol=0, atol=1e-9)
     allv = np.array([v for _, v in rows if v is not None])
     assert np.allclose(glob, np.quantile(allv, ps), rtol=0, atol=1e-9)
+
+
+def test_smote_approx(spark):
+    from txnscope.operators.encode import smote_approx
+
+    rows = [(i, float(i % 7), float(i * i % 11), 0) for i in range(400)] + [(1000 + i, 100.0 + i, 50.0 - 2 * i, 1) for i in range(7)]
+    df = spark.createDataFrame(rows, "txn_id long, a double, b double, y int")
+    out = smote_approx(df, "txn_id", ["a", "b"], ratio=0.1).toPandas()
+    made = out[out.txn_id.isna()]
+    assert len(out) == 407 + 33 and len(made) == 40 - 7 and set(made.y) == {1}
+    # every column of the seven falls with the same line, so all places between neighbours are on it
+    assert (abs(made.b - (50 - 2 * (made.a - 100))) < 1e-9).all() and made.a.between(100, 106).all()
+    assert made.a.nunique() > 25
+    again = smote_approx(df.repartition(5), "txn_id", ["a", "b"], ratio=0.1).toPandas()
+    assert sorted(made.a.round(9)) == sorted(again[again.txn_id.isna()].a.round(9))
+    one = smote_approx(df.where("y = 0 OR txn_id = 1000"), "txn_id", ["a", "b"], ratio=0.1).where("txn_id IS NULL").toPandas()
+    assert len(one) == 39 and set(one.a) == {100.0}
+    assert smote_approx(df.where("y = 0"), "txn_id", ["a", "b"]).count() == 400
+    assert smote_approx(df, "txn_id", ["a", "b"], ratio=0.01).count() == 407
+
+
+def test_drawn_settings():
+    from txnscope.operators.models import drawn_settings
+
+    space = {"a": [1, 2, 3], "b": [0.1, 0.2]}
+    got = drawn_settings(space, 4)
+    assert len({tuple(sorted(s.items())) for s in got}) == 4 and got == drawn_settings(space, 4)
+    assert len(drawn_settings(space, 100)) == 6
+
+
+def test_isolation_trees_draw_their_own_rows(spark):
+    from txnscope.operators.anomaly import fit_isolation_forest
+
+    df = spark.range(1000).select("id", (F.col("id") % 97).cast("double").alias("x"), F.rand(3).alias("z"))
+    roots = fit_isolation_forest(df, ["x", "z"], "id", trees=12, sample=64).where("node = 0").toPandas()
+    assert sorted(roots.tree) == list(range(12)) and set(roots["size"]) == {64}
+    small = fit_isolation_forest(df.limit(20), ["x", "z"], "id", trees=5, sample=64).where("node = 0").toPandas()
+    assert len(small) == 5 and set(small["size"]) == {20}
