@@ -50,3 +50,15 @@ def fp(spark, sf_dir):
     a = A.fingerprint(t).withColumn("copy", F.lit("original"))
     b = A.fingerprint(t.repartition(7, "client_id").orderBy(F.rand(1))).withColumn("copy", F.lit("shuffled"))
     return a.unionByName(b)
+
+
+FINGERPRINT_SQL = """
+SELECT CAST(2 AS BIGINT) AS copies, CAST(1 AS BIGINT) AS fingerprints, count(*) AS rows, 16 AS digits FROM txn_orders
+"""
+
+
+@query("a8_fingerprint_facts", FINGERPRINT_SQL)
+def fp_facts(spark, sf_dir):
+    """A8, what SQL can state: the rows counted, and that the original and the shuffled copy share one fingerprint of 16 digits."""
+    return fp(spark, sf_dir).agg(F.count(F.lit(1)).alias("copies"), F.count_distinct("fingerprint").alias("fingerprints"),
+                                 F.max("rows").alias("rows"), F.max(F.length("fingerprint")).alias("digits"))

@@ -502,3 +502,19 @@ SELECT coalesce(max(psi) FILTER (WHERE state NOT IN ('stable', 'structural')), 0
 def worst(spark, sf_dir):
     """Maximum PSI among drifting non-structural variables (0 / null when none)."""
     return N.worst_variable(drift_result(spark, sf_dir))
+
+
+SCHEMA_SQL = """
+SELECT v.*, (SELECT count(*) FROM txn_events) AS batch_rows
+FROM (VALUES ('segment', 'missing', 'string', NULL), ('region', 'missing', 'int', NULL), ('code', 'unexpected', NULL, 'int')) v("column", issue, expected, found)
+"""
+
+
+@query("n8_schema_check", SCHEMA_SQL)
+def n8(spark, sf_dir):
+    """The columns of a batch (events) against those a model was trained on (orders): missing, unexpected, other type."""
+    batch = txn_events(spark, sf_dir)
+    trained_on = [(f.name, f.dataType.simpleString()) for f in txn_orders(spark, sf_dir).schema.fields]
+    issues = [(d["column"], d["issue"], d["expected"], d["found"]) for d in N.schema_diff(batch, trained_on)]
+    found = spark.createDataFrame(issues, "column string, issue string, expected string, found string")
+    return with_scalars(found, batch.agg(F.count(F.lit(1)).alias("batch_rows")))

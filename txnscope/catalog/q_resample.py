@@ -30,6 +30,20 @@ def boot_f1(spark, sf_dir):
     return B.ci_summary(draws, "f1", point)
 
 
+CELLS_SQL = """c AS (SELECT {by} CAST(count(*) FILTER (WHERE p AND y = 1) AS BIGINT) AS tp, count(*) FILTER (WHERE p AND y = 0) AS fp,
+       CAST(count(*) FILTER (WHERE NOT p AND y = 1) AS BIGINT) AS fn FROM ({rows}) {group})"""
+F1_FACTS_SQL = "WITH " + CELLS_SQL.format(by="", rows="SELECT score_i >= 60 AS p, y FROM scored_lines", group="") + """
+SELECT r6(2 * tp / (2 * tp + fp + fn)) AS f1_point, tp, fn, CAST(2000 AS BIGINT) AS effective_b, true AS contains_point, true AS two_sd FROM c
+"""
+
+
+@query("m13_bootstrap_facts", F1_FACTS_SQL)
+def boot_f1_facts(spark, sf_dir):
+    """M13, what SQL can state: the point and its cells, the replicates, the interval holds the point, the difference is 2 sd."""
+    return boot_f1(spark, sf_dir).select("f1_point", "tp", "fn", "effective_b", F.col("f1_point").between(F.col("ci_lo"), F.col("ci_hi")).alias("contains_point"),
+                                         (F.abs(F.col("min_distinguishable") - 2 * F.col("sd")) < 1e-12).alias("two_sd"))
+
+
 METRICS = ("precision", "recall", "f1", "ap")
 
 
@@ -49,6 +63,25 @@ def paired(spark, sf_dir):
     return reduce(DataFrame.unionByName, rows)
 
 
+BOTH_SQL = "WITH " + CELLS_SQL.format(by="which,", group="GROUP BY which", rows="""
+SELECT 'a' AS which, score_i >= 60 AS p, y FROM scored_lines UNION ALL SELECT 'b', floor(score_i / 10) >= 7, y FROM scored_lines""")
+PAIRED_FACTS_SQL = BOTH_SQL + """,
+m AS (SELECT which, unnest(['precision', 'recall', 'f1']) AS metric,
+             unnest([CASE WHEN tp + fp > 0 THEN tp / (tp + fp) ELSE 0 END, tp / (tp + fn), 2 * tp / (2 * tp + fp + fn)]) AS v FROM c)
+SELECT metric, r6(max(v) FILTER (WHERE which = 'a') - max(v) FILTER (WHERE which = 'b')) AS observed_diff, CAST(1000 AS BIGINT) AS effective_b,
+       true AS contains_observed, true AS zero_flag_right FROM m GROUP BY metric
+"""
+
+
+@query("m14_m16_paired_facts", PAIRED_FACTS_SQL)
+def paired_facts(spark, sf_dir):
+    """M14 + M16 + D10, what SQL can state of precision, recall and F1: the observed difference, the replicates, the interval
+    holds the difference and the zero flag follows from it."""
+    inside = F.col("observed_diff").between(F.col("ci_lo"), F.col("ci_hi"))
+    zero = F.col("includes_zero") == F.lit(0.0).between(F.col("ci_lo"), F.col("ci_hi"))
+    return paired(spark, sf_dir).where("metric != 'ap'").select("metric", "observed_diff", "effective_b", inside.alias("contains_observed"), zero.alias("zero_flag_right"))
+
+
 @query("m15_cluster_bootstrap_f1")
 def cluster(spark, sf_dir):
     """Intervals of precision, recall, F1 and AP, 1,000 times resampling whole clients."""
@@ -85,6 +118,17 @@ def o9_sample(spark, sf_dir):
     return with_scalars(got, exp)
 
 
+SAMPLE_FACTS_SQL = """
+SELECT CAST(5000 AS BIGINT) AS draws, r6(sum(amount * amount) / sum(amount)) AS weighted_mean, true AS mean_near FROM txn_events
+"""
+
+
+@query("o9_weighted_sampling_facts", SAMPLE_FACTS_SQL)
+def o9_facts(spark, sf_dir):
+    """O9, what SQL can state: the number of draws, the exact weighted mean, and that the sample mean is within a tenth of it."""
+    return o9_sample(spark, sf_dir).select("draws", "weighted_mean", (F.abs(F.col("sample_mean") / F.col("weighted_mean") - 1) < 0.1).alias("mean_near"))
+
+
 MOVE_SQL = """
 WITH c AS (SELECT count(*) FILTER (WHERE category = 'view') AS nv FROM txn_events),
 m AS (SELECT CAST(round(nv * 0.2) AS BIGINT) AS moved FROM c),

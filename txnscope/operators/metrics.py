@@ -18,8 +18,6 @@ Conventions (fixed, as in the reference):
 
 from __future__ import annotations
 
-import math
-
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -297,16 +295,6 @@ def calibration(df: DataFrame, edges: list[float], score: str = "score",
     ).select(lo.alias("lo"), hi.alias("hi"), "n", "mean_score", "observed_rate")
 
 
-def expected_precision(tpr: float, fpr: float, prevalences: list[float]) -> list[dict]:
-    """M22 closed form (scalar helper used by ``prevalence_sensitivity``)."""
-    out = []
-    for p in prevalences:
-        den = p * tpr + (1 - p) * fpr
-        prec = p * tpr / den if den > 0 else math.nan
-        out.append({"prevalence": p, "precision": prec})
-    return out
-
-
 def prevalence_sensitivity(conf: DataFrame, prevalences: list[float]) -> DataFrame:
     """Expected precision π·TPR/(π·TPR+(1−π)·FPR), false alarms per hit,
     alerts per 100k rows, for each prevalence π, from a confusion row."""
