@@ -532,6 +532,75 @@ def test_license_rules(spark, odd, nothing):
     assert licenses.scan_licenses(nothing).count() == 0
 
 
+MIT_TEXT = """MIT License
+
+Copyright (c) 2020 Someone
+
+Permission is hereby granted, free of charge, to any person obtaining a copy
+of this software and associated documentation files (the "Software"), to deal
+in the Software without restriction, including without limitation the rights
+to use, copy, modify, merge, publish, distribute, sublicense, and/or sell
+copies of the Software, and to permit persons to whom the Software is
+furnished to do so, subject to the following conditions:
+
+The above copyright notice and this permission notice shall be included in all
+copies or substantial portions of the Software.
+
+THE SOFTWARE IS PROVIDED "AS IS", WITHOUT WARRANTY OF ANY KIND, EXPRESS OR
+IMPLIED, INCLUDING BUT NOT LIMITED TO THE WARRANTIES OF MERCHANTABILITY,
+FITNESS FOR A PARTICULAR PURPOSE AND NONINFRINGEMENT."""
+BSD_TEXT = """Redistribution and use in source and binary forms, with or without
+modification, are permitted provided that the following conditions are met:
+
+1. Redistributions of source code must retain the above copyright notice, this
+   list of conditions and the following disclaimer."""
+APACHE_TEXT = """Licensed under the Apache License, Version 2.0 (the "License");
+you may not use this file except in compliance with the License.
+You may obtain a copy of the License at
+
+    http://www.apache.org/licenses/LICENSE-2.0
+
+Unless required by applicable law or agreed to in writing, software
+distributed under the License is distributed on an "AS IS" BASIS."""
+GPL_TEXT = """This program is free software: you can redistribute it and/or modify
+it under the terms of the GNU General Public License as published by
+the Free Software Foundation, either version 3 of the License, or
+(at your option) any later version.
+
+This program is distributed in the hope that it will be useful,
+but WITHOUT ANY WARRANTY; without even the implied warranty of
+MERCHANTABILITY or FITNESS FOR A PARTICULAR PURPOSE."""
+LGPL_TEXT = """This library is free software; you can redistribute it and/or
+modify it under the terms of the GNU Lesser General Public
+License as published by the Free Software Foundation; either
+version 2.1 of the License, or (at your option) any later version."""
+MPL_TEXT = """This Source Code Form is subject to the terms of the Mozilla Public
+License, v. 2.0. If a copy of the MPL was not distributed with this
+file, You can obtain one at https://mozilla.org/MPL/2.0/."""
+
+
+def test_license_hard_wrapped(spark):
+    texts = {MIT_TEXT: (["copyright", "mit-grant", "mit-condition", "as-is"], ["MIT"]), BSD_TEXT: (["bsd-grant"], ["BSD"]),
+             "Copyright (c) 1999, Someone.\nAll rights reserved.\n\n" + BSD_TEXT: (["copyright", "reserved", "bsd-grant"], ["BSD", "proprietary"]),
+             APACHE_TEXT: (["apache-notice-2", "apache-use", "apache-copy"], ["Apache-2.0"]), GPL_TEXT: (["gpl3-free", "gpl-hope"], ["GPL"]),
+             LGPL_TEXT: (["lgpl-free"], ["LGPL"]), MPL_TEXT: (["mpl-notice"], ["MPL-2.0"])}
+    shapes = [lambda t: t, lambda t: t.replace("\n", "\r\n"), lambda t: "/*\n" + "\n".join(f" * {x}" for x in t.split("\n")) + "\n */\nint x;",
+              lambda t: "\n".join(f"# {x}".rstrip() for x in t.split("\n")), lambda t: "\n".join(f"// {x}" for x in t.split("\n")),
+              lambda t: "\n".join(f"dnl {x}" for x in t.split("\n")), lambda t: "\n\n".join(" ".join(x.split()) for x in t.split("\n\n"))]
+    rows = [(i, shape(t)) for i, (t, shape) in enumerate((t, shape) for t in texts for shape in shapes)]
+    out = {r["doc_id"]: (r["sentence_ids"], r["licenses"]) for r in licenses.scan_licenses(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert [out[i] for i, _ in rows] == [want for want in texts.values() for _ in shapes]
+
+
+def test_license_marks_and_versions(spark):
+    texts = ["| a | b |\nAll rights\nreserved.", "All rights. Reserved.", "All rights\n\nreserved.", "License: released under the MIT License; see below",
+             "Licensed under the Apache License, Version 1.1.", "This work is licensed under the GNU General Public License, version 2.",
+             "Licensed under\nCC BY-SA 3.0.", "You may obtain a copy of the License at", "Licensed under CC BY 2.5. Licensed under CC BY 4.0."]
+    out = licenses.scan_licenses(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")).orderBy("doc_id").collect()
+    assert [r["licenses"] for r in out] == [["proprietary"], [], [], ["MIT"], ["Apache-1.1"], ["GPL-2.0"], ["CC-BY-SA-3.0"], [], ["CC-BY-4.0", "CC-BY-2.5"]]
+    assert [r["sentence_ids"] for r in out][4:8] == [["apache-version-1.1"], ["gpl-version-2.0"], ["cc-by-sa-version-3.0"], ["apache-copy"]]
+
+
 def test_every_known_sentence_has_a_hint():
     for text in licenses.SENTENCES.values():
         assert re.search(licenses.HINT.replace("(?i)", ""), text, re.I), text

@@ -1,9 +1,12 @@
 """Licence scans by sentence rules, in DataFrame functions only.
 
-A text is cut into sentences, a sentence is normalised (lower case, runs of other characters
-than letters and digits as one space) and looked up among known licence sentences, some with
-a free tail (a year, a holder).  The identifiers of a text's licence sentences, in order, are
-matched against ordered rules: the first rule of each licence whose identifiers occur as
+A text is normalised (lower case, runs of other characters than letters and digits as one
+space) with marks where a sentence can start and end: sentence ends and blank lines, which no
+sentence crosses, and single line breaks (with leading comment marks) and ':' or ';', which a
+known sentence may cross, so hard-wrapped headers are read as their sentences.  From mark to
+mark it is searched for known licence sentences, some with a free tail (a year, a holder),
+which may be empty, some with a version.  The identifiers of a text's licence sentences, in order,
+are matched against ordered rules: the first rule of each licence whose identifiers occur as
 a run names the licence.  All is within a row: no shuffle, no join, no Python.
 """
 
@@ -68,41 +71,95 @@ RULES = [
     ("proprietary", ["copyright", "reserved"]),
     ("proprietary", ["reserved"]),
 ]
+# fixed values: further sentences and their licences, "#" stands for a version (one or two numbers, then any tail);
+# the sentences above go first, so these name the versions that they do not
+VERSIONED = {
+    "apache-version": ("licensed under the apache license version #", "Apache"),
+    "gpl-version": ("this work is licensed under the gnu general public license version #", "GPL"),
+    "lgpl-version": ("this work is licensed under the gnu lesser general public license version #", "LGPL"),
+    "mpl-version": ("the contents of this file are subject to the mozilla public license version #", "MPL"),
+    "cc-by-version": ("licensed under cc by #", "CC-BY"),
+    "cc-by-sa-version": ("licensed under cc by sa #", "CC-BY-SA"),
+    "cc-by-nc-version": ("licensed under cc by nc #", "CC-BY-NC"),
+    "cc-by-work-version": ("this work is licensed under a creative commons attribution # international license", "CC-BY"),
+    "cc-by-sa-work-version": ("this work is licensed under a creative commons attribution sharealike # international license", "CC-BY-SA"),
+}
+# fixed values: other wordings of a known sentence
+VARIANTS = {
+    "this program is free software you can redistribute it and or modify it under the terms of the gnu lesser general public license *": "lgpl-free",
+    "this library is free software you can redistribute it and or modify it under the terms of the gnu library general public license *": "lgpl-free",
+    "this library is distributed in the hope that it will be useful *": "gpl-hope",
+}
 # every known sentence has one of these, so a text or sentence without them has no licence sentence
 HINT = "(?i)licen[sc]e|copyright|rights reserved|public domain|permission|warrant|redistribut|hope that it will|under cc"
-SENTENCE_END = r"[\n\r]+|[.!?:;]+[ \t\f]+"
+SENTENCE_END = r"[\n\r]+|[.!?:;]+[ \t\f]+"  # of the oracle, which knows sentences on one line only
+WRAPPED_HINT = HINT.replace(" ", "[^a-z0-9]+")
+# in lower-case text: H, which no sentence crosses, and S, where one can start, end or go on
+MARKS = [
+    (r"\r\n?", "\n"),
+    (r"\n[ \t]*(?:dnl|rem)\b", "\n"),
+    (r"\bv(?:er|ersion)?\.[ \t\f\n]+(?=[0-9])", "v "),
+    (r"[.!?:;]*[.!?][.!?:;]*[ \t\f\n]", " H\n"),
+    (r"\n[^a-zA-Z0-9\n]*(?=\n)", " H"),
+    (r"\n|[:;]+[ \t\f]", " S "),
+    (r"[^a-z0-9HS]+", " "),
+]
+
+
+def marked(text: Column) -> Column:
+    """The normalised words of ``text`` with marks between them and around all."""
+    text = F.concat(F.lit("\n"), F.lower(text))
+    for pattern, by in MARKS:
+        text = F.regexp_replace(text, pattern, by)
+    return F.concat(F.lit("H "), F.trim(text), F.lit(" H"))
+
+
+def _known() -> str:
+    """Pattern of all known sentences between marks: a whole sentence takes its closing mark and goes before a free tail."""
+    def words(text: str) -> str:
+        return " (?:S )*".join("[0-9]+(?: [0-9]+)?" if w == "#" else w for w in text.split())
+
+    whole = [f"{words(t)} [HS]" for t in SENTENCES.values() if not t.endswith(" *")]
+    tails = [f"{words(t[:-2])}(?= )" for t in (*SENTENCES.values(), *VARIANTS) if t.endswith(" *")]
+    return f"(?<=[HS] )(?:{'|'.join(whole + tails + [words(t) + '(?= )' for t, _ in VERSIONED.values()])})"
 
 
-def normalised(sentence: Column) -> Column:
-    return F.trim(F.regexp_replace(F.lower(sentence), "[^a-z0-9]+", " "))
+def sentence_id(found: Column) -> Column:
+    """Identifier of a match of ``_known()``; a version is part of it."""
+    plain = F.regexp_replace(F.regexp_replace(found, " [HS]$", " ."), " S(?= )", "")
+    names = {t[:-2] if t.endswith(" *") else f"{t} .": name for name, t in SENTENCES.items()} | {t[:-2]: name for t, name in VARIANTS.items()}
+    out = F.element_at(F.create_map(*[F.lit(x) for pair in names.items() for x in pair]), plain)
+    version = F.regexp_replace(F.regexp_extract(plain, "([0-9]+(?: [0-9]+)?)", 1), " ", ".")
+    version = F.when(version.contains("."), version).otherwise(F.concat(version, F.lit(".0")))
+    of = [F.when(plain.rlike(f"^{t.replace('#', '[0-9]+(?: [0-9]+)?')}$"), F.concat(F.lit(f"{name}-"), version)) for name, (t, _) in VERSIONED.items()]
+    return F.coalesce(out, *of)
 
 
-def sentence_id(sentence: Column) -> Column:
-    """Identifier of a normalised sentence, null if it is not known; a whole sentence goes before a free tail."""
-    exact = {text: name for name, text in SENTENCES.items() if not text.endswith(" *")}
-    out = F.element_at(F.create_map(*[F.lit(x) for pair in exact.items() for x in pair]), sentence)
-    tails = [(name, text[:-1]) for name, text in SENTENCES.items() if text.endswith(" *")]
-    return F.coalesce(out, *[F.when(sentence.startswith(head), F.lit(name)) for name, head in tails])
+def _versions(run: Column, sentence: str, name: str) -> Column:
+    """The licence ``name`` in each version that the run's identifiers of ``sentence`` bear."""
+    return F.transform(F.regexp_extract_all(run, F.lit(f" {sentence}-([0-9.]+)(?= )"), F.lit(1)), lambda n: F.concat(F.lit(f"{name}-"), n))
 
 
 def scan_licenses(df: DataFrame, text_col: str = "text") -> DataFrame:
     """``df`` with sentence_ids (of licence sentences, in order), n_license_sentences, licenses (in the order of the rules).
 
-    A null or empty text has none; rows are independent, so nulls in other columns and repeated rows do not matter;
+    The names of versions come last.  A null or empty text has none; rows are independent, so nulls in other columns and repeated rows do not matter;
     columns of ``df`` that bear a result's name are replaced by it.
     """
     text = F.coalesce(F.col(f"`{text_col}`"), F.lit(""))
-    some = F.filter(F.split(text, SENTENCE_END), lambda s: s.rlike(HINT))
-    ids = F.when(text.rlike(HINT), F.filter(F.transform(F.transform(some, normalised), sentence_id), lambda x: x.isNotNull())).otherwise(F.array().cast("array<string>"))
+    sentences = F.transform(F.regexp_extract_all(marked(text), F.lit(_known()), F.lit(0)), sentence_id)
+    ids = F.when(text.rlike(WRAPPED_HINT), sentences).otherwise(F.array().cast("array<string>"))
     found = df.select(F.struct(*[F.col(f"`{c}`") for c in df.columns]).alias("row"), ids.alias("ids"))
     run = F.concat(F.lit(" "), F.array_join("ids", " "), F.lit(" "))
     names = F.array(*[F.when(run.contains(f" {' '.join(rule)} "), F.lit(name)) for name, rule in RULES])
+    versions = F.flatten(F.array(*[_versions(run, v, name) for v, (_, name) in VERSIONED.items()]))
     return with_columns(found, df.columns, sentence_ids=F.col("ids"), n_license_sentences=F.size("ids"),
-                        licenses=F.when(F.size("ids") > 0, F.array_distinct(F.array_compact(names))).otherwise(F.array().cast("array<string>")))
+                        licenses=F.when(F.size("ids") > 0, F.array_distinct(F.concat(F.array_compact(names), versions))).otherwise(F.array().cast("array<string>")))
 
 
 def oracle_sql() -> str:
-    """The same over ``documents`` for DuckDB."""
+    """The scan of ``documents`` for DuckDB, by lines: the same where every licence sentence lies on one line, without ':' or ';' in it,
+    its tail is not empty and it has none of ``VERSIONED`` or ``VARIANTS``."""
     lines = [(name, text[:-1] if text.endswith(" *") else text, text.endswith(" *")) for name, text in SENTENCES.items()]
     known = ", ".join(f"('{name}', '{text}', {str(tail).lower()}, {k})" for k, (name, text, tail) in enumerate(lines))
     rules = ", ".join(f"('{name}', ' {' '.join(rule)} ', {k})" for k, (name, rule) in enumerate(RULES))
