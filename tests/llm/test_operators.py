@@ -421,6 +421,18 @@ def test_simhash_odd_cases(odd, nothing):
     assert kept_rows[0]["n_words"] == "w" and simhash.keep_one(nothing).count() == 0 == simhash.near_duplicates(nothing).count()
 
 
+def test_simhash_repeated_and_null_ids(spark):
+    texts = {n: " ".join(f"{n}{k}" for k in range(30)) for n in "abcdefg"}
+    rows = [(10, "a"), (10, "a"), (11, "a"), (10, "b"), (None, "c"), (None, "d"), (None, "e"), (12, "e"), (13, "f"), (13, "g"), (12, "g"), (None, "c")]
+    df = spark.createDataFrame([(i, texts[n], n) for i, n in rows], "doc_id long, text string, name string")
+    groups = {n: plain_fingerprint(t) for n, t in texts.items()}
+    assert all(bin(x ^ y).count("1") > 8 for a, x in groups.items() for b, y in groups.items() if a < b)
+    found = {r["fp"] & (1 << 64) - 1: r["component_id"] for r in simhash.near_duplicates(df).collect()}
+    assert {n: found[f] for n, f in groups.items()} == {"a": 10, "b": 10, "c": NO_ID, "d": NO_ID, "e": 12, "f": 13, "g": 12}
+    kept_rows = sorted((r["name"], r["doc_id"], r["text"] == texts[r["name"]]) for r in simhash.keep_one(df).collect())
+    assert kept_rows == [("a", 10, True), ("b", 10, True), ("c", None, True), ("d", None, True), ("e", 12, True), ("f", 13, True), ("g", 12, True)]
+
+
 # 8 fingerprints
 
 def test_minhash_likeness(sf_docs):

@@ -14,7 +14,8 @@ second segment cleared.  Rows that meet in a bucket are then filtered by the lon
 chains and by the whole distance.  A bucket gives a spanning forest of its links, not
 all pairs; components are joined by alternating star contraction.
 
-Buckets hold distinct fingerprints only, so copies weigh nothing.  A bucket of over
+Nodes are the distinct fingerprints, so ids may repeat or be null; a component's id is taken
+from its rows afterwards.  Buckets hold distinct fingerprints only, so copies weigh nothing.  A bucket of over
 ``block`` rows is cut into blocks by a hash, and each pair of blocks is one group.
 """
 
@@ -28,7 +29,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from txnscope.llm import components
-from txnscope.llm.tables import bounded_batches, keyed, with_columns
+from txnscope.llm.tables import NO_ID, bounded_batches, keyed, relaxed, with_columns
 from txnscope.llm.words import column_bytes, compact, word_spans
 from txnscope.plans.frames import materialize
 
@@ -69,8 +70,13 @@ def fingerprints_of(buf: np.ndarray, offsets: np.ndarray, shingle: int) -> np.nd
 
 def fingerprint(df: DataFrame, id_col: str, text_col: str, shingle: int) -> DataFrame:
     """``keyed`` rows with ``fp`` (long) added; a null text is empty."""
-    bounded_batches(df.sparkSession)
-    rows = keyed(df, id_col, text_col)
+    return _fingerprinted(keyed(df, id_col, text_col).select("key", "text"), shingle).select("key", "fp")
+
+
+def _fingerprinted(rows: DataFrame, shingle: int) -> DataFrame:
+    """``rows``, with ``fp`` (long) in place of ``text``."""
+    bounded_batches(rows.sparkSession)
+    kept = [c for c in rows.columns if c != "text"]
 
     def run(batches):
         for batch in batches:
@@ -82,9 +88,9 @@ def fingerprint(df: DataFrame, id_col: str, text_col: str, shingle: int) -> Data
                 out.append(fingerprints_of(buf[offsets[lo]:offsets[hi]], offsets[lo:hi + 1] - offsets[lo], shingle))
                 lo = hi
             fp = np.concatenate(out) if out else np.zeros(0, dtype=np.uint64)
-            yield pa.record_batch([batch.column("key"), pa.array(fp.view(np.int64))], names=["key", "fp"])
+            yield pa.record_batch([*[relaxed(batch.column(c)) for c in kept], pa.array(fp.view(np.int64))], names=[*kept, "fp"])
 
-    return rows.select("key", "text").mapInArrow(run, "key long, fp long")
+    return rows.mapInArrow(run, ", ".join([*[f"{c} {rows.schema[c].dataType.simpleString()}" for c in kept], "fp long"]))
 
 
 def segment_bounds(distance: int) -> list[tuple[int, int]]:
@@ -188,28 +194,45 @@ def links(fps: DataFrame, distance: int, block: int = 1 << 14) -> DataFrame:
     return rows.mapInArrow(run, "a long, b long").distinct()
 
 
+def _components(df: DataFrame, id_col: str, text_col: str, shingle: int, distance: int) -> tuple[DataFrame, DataFrame]:
+    """((key, fp) of each row, (fp, component) of each fingerprint); ``component`` is the smallest fingerprint reached over links."""
+    marked = materialize(fingerprint(df, id_col, text_col, shingle), "simhash")
+    fps = materialize(marked.select("fp").distinct().withColumn("rep", F.col("fp")), "simhash-distinct")
+    labels = components.connected(materialize(links(fps, distance), "simhash-links"))
+    return marked, fps.join(labels.withColumnRenamed("node", "fp"), "fp", "left").select("fp", F.coalesce("label", "fp").alias("component"))
+
+
+def _least_keys(marked: DataFrame, labels: DataFrame) -> DataFrame:
+    """(component, key): the smallest id of each component, ``NO_ID`` if none of its rows has one."""
+    first = F.min(F.struct((F.col("key") == NO_ID).alias("none"), "key"))
+    least = marked.groupBy("fp").agg(first.alias("first")).join(labels, "fp")
+    return least.groupBy("component").agg(F.min("first")["key"].alias("key"))
+
+
 def near_duplicates(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = 4, distance: int = 4) -> DataFrame:
     """(key, fp, component_id) for each row of ``df``.
 
-    ``key`` is the id (``NO_ID`` for null), ``fp`` the fingerprint as a long, ``component_id`` the smallest key that
-    can be reached over links.  Null and empty texts have fingerprint zero and are linked like any other; rows that
-    repeat an id are each listed; an empty table gives no rows.
+    ``key`` is the id (``NO_ID`` for null), ``fp`` the fingerprint as a long, ``component_id`` the smallest id among the
+    rows that can be reached over links (``NO_ID`` if none of them has an id).  Null and empty texts have fingerprint zero
+    and are linked like any other; rows that repeat an id are each listed and not linked by it (components whose
+    smallest id is the same bear the same ``component_id``); an empty table gives no rows.
     """
-    marked = materialize(fingerprint(df, id_col, text_col, shingle), "simhash")
-    fps = materialize(marked.groupBy("fp").agg(F.min("key").alias("rep")), "simhash-distinct")
-    edges = materialize(links(fps, distance), "simhash-links")
-    labels = components.connected(edges)
-    roots = fps.join(labels.withColumnRenamed("node", "rep"), "rep", "left").select("fp", F.coalesce("label", "rep").alias("component_id"))
-    return marked.join(roots, "fp")
+    marked, labels = _components(df, id_col, text_col, shingle, distance)
+    labels = materialize(labels, "simhash-labels")
+    ids = labels.join(_least_keys(marked, labels).withColumnRenamed("key", "component_id"), "component").select("fp", "component_id")
+    return marked.join(ids, "fp")
 
 
 def keep_one(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = 4, distance: int = 4) -> DataFrame:
-    """``df`` with one row of each component: the one with the smallest id (of rows that repeat it, the smallest text)."""
-    found = near_duplicates(df, id_col, text_col, shingle, distance)
-    chosen = found.where("key = component_id").select("key").distinct()
+    """``df`` with one row of each component: the one with the smallest id, null last (of rows that repeat it, the smallest text)."""
+    marked, labels = _components(df, id_col, text_col, shingle, distance)
+    labels = materialize(labels, "simhash-labels")
+    chosen = materialize(_least_keys(marked, labels), "simhash-chosen")
     rows = keyed(df, id_col, text_col)
-    repeated = rows.groupBy("key").agg(F.count("*").alias("n")).where("n > 1")
-    kept = rows.join(chosen, "key", "left_semi")
-    single = kept.join(repeated, "key", "left_anti")
-    tied = kept.join(repeated, "key", "left_semi").groupBy("key").agg(F.min_by("row", "text").alias("row"))
+    repeated = marked.groupBy("key").agg(F.count("*").alias("n")).where("n > 1").select("key")
+    single = rows.join(chosen.join(repeated, "key", "left_anti"), "key", "left_semi")
+    # a key of several rows does not tell which of them is in the component: their fingerprints do
+    several = rows.join(chosen.join(repeated, "key", "left_semi").select("key"), "key", "left_semi")
+    several = _fingerprinted(several.select("row", "key", F.col("text").alias("words"), "text"), shingle)
+    tied = several.join(labels, "fp").join(chosen, ["component", "key"], "left_semi").groupBy("component").agg(F.min_by("row", "words").alias("row"))
     return with_columns(single.select("row").unionByName(tied.select("row")), df.columns)
