@@ -528,6 +528,29 @@ def test_decontamination_blocks_of_items(spark, monkeypatch):
             assert sorted((r["doc_id"], r["item_ids"]) for r in decontaminate.find_benchmark(docs, items).collect()) == expected
 
 
+def test_decontamination_scores_do_not_depend_on_the_passes(spark, monkeypatch):
+    rng = random.Random(11)
+    common = [f"c{k}" for k in range(12)]
+    texts = [" ".join(rng.choice(common) if rng.random() < 0.6 else f"r{rng.randint(0, 150)}" for _ in range(rng.randint(8, 40))) + ". Answer " + " ".join(rng.choices(common, k=3)) for _ in range(60)]
+    items = spark.createDataFrame([*enumerate(texts), (60, texts[0]), (None, texts[1]), (61, None), (62, "?")], "item_id long, text string")
+    edited = []
+    for t in texts:
+        for share in (0.03, 0.1, 0.25):
+            edited.append("lead " * rng.randint(0, 60) + " ".join(f"x{rng.randint(0, 9)}" if rng.random() < share else w for w in t.split()) + " trail" * rng.randint(0, 60))
+    docs = spark.createDataFrame(list(enumerate(edited)), "doc_id long, text string")
+
+    def found():
+        out = decontaminate.find_benchmark(docs, items, share=0.1)
+        return {r["doc_id"]: (r["item_ids"], r["best_score"]) for r in out.collect()}
+
+    whole = found()
+    assert sum(0.65 <= score < 0.99 for _, score in whole.values()) > 20 and any(not hits for hits, _ in whole.values())
+    for limit, most in (("INDEX_ITEMS", 25), ("INDEX_BYTES", 3000)):
+        with monkeypatch.context() as m:
+            m.setattr(decontaminate, limit, most)
+            assert found() == whole
+
+
 # 10 licences
 
 def test_license_rules(spark, odd, nothing):

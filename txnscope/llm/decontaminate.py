@@ -2,7 +2,7 @@
 
 Test items are short and indexed by their words with BM25 impacts, each list cut into
 blocks of items with the block's largest impact.  A document is read as passages of two
-strides (a stride is the longest item of the index block, so every item lies whole in
+strides (a stride is the longest of all items, so every item lies whole in
 some passage).  A passage is the query: an item's score is its BM25 score for the
 passage's words over that for its own words.  All items at or above ``threshold`` are
 retrieved: words are taken in item order, a pivot needs list bounds that reach the
@@ -10,7 +10,9 @@ threshold, block bounds are tried before any item is scored.  Then the item is v
 passage must hold the stated share of the question's shingles, and of the answer's.
 
 The index covers at most ``INDEX_ITEMS`` items at a time; more are searched in further
-passes over the documents.  With one index the words of all documents stay where they are.
+passes over the documents.  Scores do not depend on the cut: the items with each word, the mean
+length and the stride are taken once over all items.  With one index the words of all documents
+stay where they are.
 """
 
 from __future__ import annotations
@@ -18,6 +20,8 @@ from __future__ import annotations
 import re
 from bisect import bisect_left
 from collections import Counter
+from dataclasses import dataclass
+from math import fsum
 
 import numpy as np
 import pyarrow as pa
@@ -61,24 +65,38 @@ def _shingles(words: np.ndarray) -> np.ndarray:
     return np.unique(gram_hashes(words, min(SHINGLE, len(words)))) if len(words) else np.zeros(0, dtype=np.uint64)
 
 
+@dataclass
+class Whole:
+    """What scores need to know of all items (those with words)."""
+
+    items: int
+    mean: float  # words an item
+    longest: int  # words of the longest
+
+
 class Index:
-    """Posting lists of a block of items, with impacts as shares of each item's own score."""
+    """Posting lists of a block of items, with impacts as shares of each item's own score.
 
-    def __init__(self, ids: list[int], texts: list[str]):
+    ``frequency`` holds the number of items with each word of the block; without it and ``whole`` the block is all items.
+    """
+
+    def __init__(self, ids: list[int], texts: list[str], frequency: dict[int, int] | None = None, whole: Whole | None = None):
         words, first = plain_words(*text_bytes(texts))
         own = [words[a:b] for a, b in zip(first, first[1:])]
         keep = [i for i, w in enumerate(own) if len(w)]  # items without words cannot be found
         own = [own[i] for i in keep]
         self.ids = [ids[i] for i in keep]
-        self.stride = max([SHINGLE, *(len(w) for w in own)])
-        mean = float(np.mean([len(w) for w in own])) if own else 1.0
         counts = [Counter(w.tolist()) for w in own]
-        frequency = Counter(t for c in counts for t in c)
-        self.terms = np.array(sorted(frequency), dtype=np.uint64)
+        mine = Counter(t for c in counts for t in c)
+        frequency = mine if frequency is None else frequency
+        if whole is None:
+            whole = Whole(len(own), float(np.mean([len(w) for w in own])) if own else 1.0, max([0, *(len(w) for w in own)]))
+        self.stride = max(SHINGLE, whole.longest)
+        self.terms = np.array(sorted(mine), dtype=np.uint64)
         place = {t: k for k, t in enumerate(self.terms.tolist())}
         self.lists: list[tuple[list[int], list[float]]] = [([], []) for _ in place]
         for i, c in enumerate(counts):
-            scores = {t: np.log1p((len(own) - frequency[t] + 0.5) / (frequency[t] + 0.5)) * n * (K1 + 1) / (n + K1 * (1 - B + B * len(own[i]) / mean)) for t, n in c.items()}
+            scores = {t: np.log1p((whole.items - frequency[t] + 0.5) / (frequency[t] + 0.5)) * n * (K1 + 1) / (n + K1 * (1 - B + B * len(own[i]) / whole.mean)) for t, n in c.items()}
             total = sum(scores.values())
             for t, s in scores.items():
                 items, impacts = self.lists[place[t]]
@@ -115,6 +133,7 @@ class Index:
     def search(self, terms: list[int], threshold: float, low: int = 0, high: int = 1 << 62) -> list[tuple[int, float]]:
         """Block-max WAND over the items from ``low`` to before ``high``: (item, score) of all whose score reaches the threshold."""
         top, lists, blocks = self.top, self.lists, self.blocks
+        reach = threshold - 1e-9  # of bounds, whose sums depend on the order of the words
         cursors = []
         for t in terms:
             items = lists[t][0]
@@ -127,7 +146,7 @@ class Index:
             bound, pivot = 0.0, -1
             for k, (_, _, t) in enumerate(cursors):
                 bound += top[t]
-                if bound >= threshold:
+                if bound >= reach:
                     pivot = k
                     break
             if pivot < 0:
@@ -136,13 +155,13 @@ class Index:
             while pivot + 1 < len(cursors) and cursors[pivot + 1][0] == item:
                 pivot += 1
             block = item // BLOCK
-            if sum(blocks[t].get(block, 0.0) for _, _, t in cursors[:pivot + 1]) < threshold:
+            if sum(blocks[t].get(block, 0.0) for _, _, t in cursors[:pivot + 1]) < reach:
                 # no item up to the block's end can reach it, unless a further list takes part
                 target = min([(block + 1) * BLOCK, *(c[0] for c in cursors[pivot + 1:])])
                 moved = range(pivot + 1)
             else:
                 if cursors[0][0] == item:
-                    score = sum(lists[t][1][p] for i, p, t in cursors[:pivot + 1])
+                    score = fsum(lists[t][1][p] for i, p, t in cursors[:pivot + 1])
                     if score >= threshold:
                         found.append((item, score))
                     target = item + 1
@@ -210,19 +229,35 @@ class Index:
         return out
 
 
+def _item_words(batches):
+    """(item, id, text) with n_words and the distinct words."""
+    for batch in batches:
+        words, first = plain_words(*column_bytes(batch.column("text")))
+        terms = [np.unique(words[a:b]).view(np.int64) for a, b in zip(first, first[1:])]
+        yield pa.record_batch([*batch.columns, pa.array(np.diff(first), pa.int64()), pa.array(terms, pa.list_(pa.int64()))], names=["item", "id", "text", "n_words", "terms"])
+
+
 def indexes(items: DataFrame, id_col: str, text_col: str):
     """Yields indexes of at most ``INDEX_ITEMS`` items and ``INDEX_BYTES`` of text (or one longer item) each; null texts and texts without words are in none."""
-    rows = items.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text")).where("text is not null").distinct().orderBy("id", "text")
-    ids, texts, held = [], [], 0
+    rows = items.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text")).where("text is not null").distinct()
+    rows = rows.select(F.monotonically_increasing_id().alias("item"), "id", "text").mapInArrow(_item_words, "item long, id long, text string, n_words long, terms array<long>")
+    rows = materialize(rows.where("n_words > 0"), "benchmark-items")
+    count, total, longest = rows.agg(F.count("*"), F.sum("n_words"), F.max("n_words")).first()
+    whole = Whole(count, total / count if count else 1.0, longest or 0)
+    each = rows.select("item", F.explode("terms").alias("term"))
+    found = each.join(each.groupBy("term").agg(F.count("*").alias("n")), "term").groupBy("item").agg(F.collect_list(F.struct("term", "n")).alias("found"))
+    rows = rows.join(found, "item").orderBy("id", "text").select("id", "text", F.col("found.term").alias("terms"), F.col("found.n").alias("counts"))
+    ids, texts, frequency, held = [], [], {}, 0
     for row in rows.toLocalIterator():  # one partition at a time; the test items are the stated query set
         size = len(row["text"].encode("utf-8", "surrogatepass"))
         if ids and (len(ids) == INDEX_ITEMS or held + size > INDEX_BYTES):
-            yield Index(ids, texts)
-            ids, texts, held = [], [], 0
+            yield Index(ids, texts, frequency, whole)
+            ids, texts, frequency, held = [], [], {}, 0
         ids.append(row["id"])
         texts.append(row["text"])
+        frequency.update((t % (1 << 64), n) for t, n in zip(row["terms"], row["counts"]))
         held += size
-    yield Index(ids, texts)
+    yield Index(ids, texts, frequency, whole)
 
 
 def one_pass(index: Index, threshold: float, share: float, keep: str, only_hits: bool):
