@@ -80,6 +80,18 @@ def test_substring_odd_cases(odd, nothing):
     assert (row["row"], row["n_words"], [tuple(s) for s in row["removed"]]) == ("r", 62, [(1, 61)])
 
 
+@pytest.mark.parametrize("parts", [1, 3, 50])
+def test_substring_repeated_ids(spark, monkeypatch, parts):
+    monkeypatch.setattr(substring, "pieces_for", lambda df, mb: parts)
+    passage, other, third = (" ".join(f"{n}{i}" for i in range(40)) for n in "pqr")
+    rows = [(1, passage), (1, passage), (2, passage), (None, other), (None, other), (3, f"a b c {other}"),
+            (4, f"one two {third} end"), (4, f"een twee {third} eind"), (4, f"zz {third}"), (4, f"aa bb cc dd {third}"), (5, third),
+            (6, " ".join(f"s{i % 25}" for i in range(80))), (6, " ".join(f"s{i % 25}" for i in range(80)))]
+    assert kept(spark.createDataFrame(rows, "doc_id long, text string")) == expected_kept(rows)
+    monkeypatch.setattr(substring, "HOT_PARTS", 1)
+    assert kept(spark.createDataFrame(rows, "doc_id long, text string")) == expected_kept(rows)
+
+
 def test_substring_real_texts(spark, sf_docs):
     rows = list(sf_docs.items())
     assert kept(spark.createDataFrame(rows, "doc_id long, text string")) == expected_kept(rows)

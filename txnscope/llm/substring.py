@@ -10,12 +10,13 @@ is one segment of text.
 1. Texts are dealt into parts by a hash of the row.  Each part lists its anchors once; an
    anchor found in one place only cannot belong to a repeated window and is left behind.
 2. Each part sends its distinct segments with the other anchors to the anchor's shard, each
-   once, however many copies it has.  An anchor in ``HOT_PARTS`` parts or more (a common
+   once, with its smallest place (id, start), however many copies it has.  An anchor in ``HOT_PARTS`` parts or more (a common
    passage next to many different texts) is spread: its windows go by their own hash.
 3. A shard indexes its distinct segments and streams their windows through backward search.
    Rows of one interval are one window: the earliest place of all is its first.  One bit a
    window goes back: whether the part's first occurrence is the first of all.
-4. Each part marks the covered words of its texts.
+4. Each part marks the covered words of its texts; a segment at the place that was sent takes the
+   bits returned, one at any other place starts earlier elsewhere.
 
 The texts are shuffled once (their exchange is used by every step that reads them).
 """
@@ -75,6 +76,11 @@ class Part:
         found, inverse, times = np.unique(self.anchor[self.run], return_inverse=True, return_counts=True)
         return found, (times > 1) | (np.bincount(inverse, weights=again, minlength=len(found)) > 0)
 
+    def places(self, windows: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """(key, first word's number in its text) of windows."""
+        text = self.text[windows]
+        return self.keys[text], self.begin[windows] - self.first[text]
+
     def cut(self, repeated: np.ndarray, hot: np.ndarray, shards: int) -> "Segments":
         """The runs whose anchor is among ``repeated`` (sorted); each window of a hot one is a run of its own."""
         place = np.minimum(np.searchsorted(repeated, self.anchor[self.run]), max(0, len(repeated) - 1))
@@ -91,9 +97,11 @@ class Part:
         low, high = self.starts[self.begin[at]], self.ends[self.begin[at] + many + self.window - 2]
         view, known = self.buf.tobytes(), {}
         segment = np.fromiter((known.setdefault(view[s:e], len(known)) for s, e in zip(low.tolist(), high.tolist())), dtype=np.int64, count=len(at))
-        _, occurrence = np.unique(segment, return_index=True)
-        fresh = np.zeros(len(at), dtype=bool)
-        fresh[occurrence] = True
+        keys, starts = self.places(at)
+        order = np.lexsort((starts, keys, segment))
+        occurrence = order[np.flatnonzero(np.diff(segment[order], prepend=-1))]
+        head = occurrence[segment]
+        fresh = (keys == keys[head]) & (starts == starts[head])
         return Segments(at, many, segment, fresh, list(known), occurrence, (mix(route[occurrence]) % np.uint64(shards)).astype(np.int32))
 
 
@@ -102,9 +110,9 @@ class Segments:
     at: np.ndarray  # first window of each run
     many: np.ndarray  # its windows
     segment: np.ndarray  # its segment
-    fresh: np.ndarray  # whether it is the segment's first in the part
+    fresh: np.ndarray  # whether it has the place (key, start) of the segment's first in the part
     texts: list[bytes]  # distinct segments
-    occurrence: np.ndarray  # the first run of each
+    occurrence: np.ndarray  # the run of each with the smallest place
     shard: np.ndarray  # the shard of each
 
     def by_shard(self):
@@ -212,8 +220,7 @@ def remove_repeated(df: DataFrame, id_col: str = "doc_id", text_col: str = "text
         out = []
         if left.num_rows:
             part, segments = cut(left, right)
-            window_at = segments.at[segments.occurrence]
-            keys, starts = part.keys[part.text[window_at]], part.begin[window_at] - part.first[part.text[window_at]]
+            keys, starts = part.places(segments.at[segments.occurrence])
             number = left.column("part")[0].as_py()
             for shard, own in segments.by_shard():
                 out.append((shard, number, b"\n".join([segments.texts[i] for i in own.tolist()]), keys[own].tobytes(), starts[own].tobytes()))
