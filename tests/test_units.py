@@ -423,3 +423,14 @@ def test_isolation_trees_draw_their_own_rows(spark):
     assert sorted(roots.tree) == list(range(12)) and set(roots["size"]) == {64}
     small = fit_isolation_forest(df.limit(20), ["x", "z"], "id", trees=5, sample=64).where("node = 0").toPandas()
     assert len(small) == 5 and set(small["size"]) == {20}
+
+
+def test_rolling_months_follow_the_data(spark):
+    from txnscope.catalog.q_models import rolling_months
+
+    def of(*rows):
+        return rolling_months(spark.createDataFrame(rows, "ts string, y int").withColumn("ts", F.to_timestamp("ts")), "ts")
+
+    assert of(("1990-11-03", 0), ("1990-11-04", 1), ("1990-12-01", 0), ("1991-01-05", 0), ("1991-02-01", 1), ("1991-04-01", 0)) == ["1991-01", "1991-02"]
+    assert of(("1990-11-03", 0), ("1990-12-01", 1), ("1991-01-05", 0), ("1991-02-01", 1)) == ["1991-02"]
+    assert of(("1990-11-03", 0)) == []

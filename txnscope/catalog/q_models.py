@@ -347,6 +347,18 @@ def _pooled(scheme, scored):
         "ap_over_prevalence", F.col("average_precision") / (F.col("positives") / (F.col("positives") + F.col("negatives"))))
 
 
+def rolling_months(df, ts, label="y"):
+    """Every month that can be a test month: rows in the month before it, and both classes in the months before that."""
+    got = df.groupBy(F.date_format(ts, "yyyy-MM").alias("m")).agg(F.min(label).alias("low"), F.max(label).alias("high")).orderBy("m").collect()
+    out = []
+    for k in range(2, len(got)):
+        (year, month), before = map(int, got[k].m.split("-")), got[:k - 1]
+        previous = f"{year - (month == 1):04d}-{(month - 2) % 12 + 1:02d}"
+        if got[k - 1].m == previous and min(r.low for r in before) == 0 and max(r.high for r in before) == 1:
+            out.append(got[k].m)
+    return out
+
+
 @query("m20_robustness_schemes")
 def robustness(spark, sf_dir):
     """AP / prevalence, F1 at the validation threshold and oracle F1 on test, for a
@@ -369,16 +381,17 @@ def robustness(spark, sf_dir):
             m = L.pipeline("logistic", cols, weight="w").fit(tr)
             scored.append(with_scalars(L.score(m, te), L.chosen_threshold(L.score(m, tr))))
         rows.append(_pooled(name, materialize(reduce(lambda a, b: a.unionByName(b), scored), "scored-" + name)))
-    # rolling origin (K5): for each test month from 2001-05, train on earlier months with the
-    # threshold from the previous month; metrics pooled over the rolling test months
-    months = base.select(F.date_format("ts", "yyyy-MM").alias("m")).distinct().where(F.col("m") >= "2001-05")
+    # rolling origin (K5): for each test month, train on the months before the previous one, which gives
+    # the threshold; metrics pooled over the rolling test months
     pooled = []
-    for fold in sorted(r.m for r in months.collect()):
+    for fold in rolling_months(base, "ts"):
         f = K.rolling_fold(base, "ts", fold)
         m = L.pipeline("logistic", cols, weight="w").fit(f.where(F.col("role") == "train"))
         thr = L.chosen_threshold(L.score(m, f.where(F.col("role") == "threshold")))
-        pooled.append(with_scalars(L.score(m, f.where(F.col("role") == "test")), thr))
-    rows.append(_pooled("rolling", materialize(reduce(lambda a, b: a.unionByName(b), pooled), "scored-rolling")))
+        scored = with_scalars(L.score(m, f.where(F.col("role") == "test")), thr).select("y", "score", "threshold")
+        pooled.append(materialize(scored, "scored-rolling"))
+    if pooled:
+        rows.append(_pooled("rolling", materialize(reduce(lambda a, b: a.unionByName(b), pooled), "scored-rolling")))
     return reduce(lambda a, b: a.unionByName(b), rows)
 
 
