@@ -21,7 +21,6 @@ import zlib
 
 import numpy as np
 import pyarrow as pa
-import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -136,23 +135,45 @@ def decode_block(payload: bytes, table: Frequencies) -> tuple[np.ndarray, np.nda
     return entries, ids
 
 
+def _cells(raw: np.ndarray, edges: np.ndarray) -> pa.Array:
+    """Binary cells that lie one after another in ``raw``."""
+    if len(raw) >= 1 << 31:
+        return pa.array([raw[a:b].tobytes() for a, b in zip(edges[:-1].tolist(), edges[1:].tolist())], pa.binary())
+    return pa.Array.from_buffers(pa.binary(), len(edges) - 1, [None, pa.py_buffer(edges.astype(np.int32)), pa.py_buffer(raw)])
+
+
 def token_rows(df: DataFrame, tokenizer: str, end_id: int, id_col: str, text_col: str) -> DataFrame:
-    """(key, n_tokens, ids): the ids with the end id, 2 bytes each where the vocabulary allows it, else 4."""
+    """(key, n_tokens, ids, counted): the ids with the end id, 2 bytes each where the vocabulary allows it, else 4.
+
+    ``counted`` is null but in the last row of each task, which has no other values: the ids that the task has
+    written (u32) and then how often (u64 each), so that nobody reads the ids again to count them.
+    """
     bounded_batches(df.sparkSession)
     rows = keyed(df, id_col, text_col).select("key", "text")
 
     def run(batches):
         library = encoder(tokenizer)
-        kind = "<u2" if max(library.vocabulary, end_id + 1) <= 1 << 16 else "<u4"
+        size = max(library.vocabulary, end_id + 1)
+        kind = np.dtype("<u2" if size <= 1 << 16 else "<u4")
+        total = np.zeros(size, dtype=np.uint64)
+        names = ["key", "n_tokens", "ids", "counted"]
         for batch in batches:
             for part, texts in slices(batch):
-                ids, offsets = library.encode(texts)
-                ids = ids.astype(kind)
-                end = np.array([end_id], dtype=kind).tobytes()
-                cells = [ids[a:b].tobytes() + end for a, b in zip(offsets[:-1].tolist(), offsets[1:].tolist())]
-                yield pa.record_batch([part.column("key"), pa.array(np.diff(offsets) + 1), pa.array(cells, pa.binary())], names=["key", "n_tokens", "ids"])
+                found, offsets = library.encode(texts)
+                edges = offsets + np.arange(len(offsets))
+                ids = np.full(int(edges[-1]), end_id, dtype=kind)
+                within = np.ones(len(ids), dtype=bool)
+                within[edges[1:] - 1] = False
+                ids[within] = found
+                total += np.bincount(ids, minlength=size).astype(np.uint64)
+                yield pa.record_batch([part.column("key"), pa.array(np.diff(edges)), _cells(ids.view(np.uint8), edges * kind.itemsize),
+                                       pa.nulls(len(texts), pa.binary())], names=names)
+        at = np.flatnonzero(total)
+        if len(at):
+            yield pa.record_batch([pa.nulls(1, pa.int64()), pa.nulls(1, pa.int64()), pa.nulls(1, pa.binary()),
+                                   pa.array([at.astype("<u4").tobytes() + total[at].astype("<u8").tobytes()])], names=names)
 
-    return rows.mapInArrow(run, "key long, n_tokens long, ids binary")
+    return rows.mapInArrow(run, "key long, n_tokens long, ids binary, counted binary")
 
 
 def _wide(cell: bytes, n: int) -> np.ndarray:
@@ -160,20 +181,16 @@ def _wide(cell: bytes, n: int) -> np.ndarray:
 
 
 def frequencies(tokens: DataFrame) -> Frequencies:
-    """The shared table, from the counts of all ids of all documents (as many rows as the vocabulary has ids)."""
+    """The shared table, from the counts that the tasks left (as many rows as the vocabulary has ids)."""
     def run(batches):
-        total = np.zeros(1 << 16, dtype=np.int64)
         for batch in batches:
-            cells = batch.column("ids").to_pylist()
-            if cells:  # all ids of a table have one width; the batch is counted at once
-                found = np.bincount(_wide(b"".join(cells), int(pc.sum(batch.column("n_tokens")).as_py())))
-                if len(found) > len(total):
-                    total = np.concatenate([total, np.zeros(len(found) - len(total), dtype=np.int64)])
-                total[:len(found)] += found
-        at = np.flatnonzero(total)
-        yield pa.record_batch([pa.array(at), pa.array(total[at])], names=["id", "n"])
+            for cell in batch.column("counted").to_pylist():
+                n = len(cell) // 12
+                yield pa.record_batch([pa.array(np.frombuffer(cell, dtype="<u4", count=n).astype(np.int64)),
+                                       pa.array(np.frombuffer(cell, dtype="<u8", offset=4 * n).astype(np.int64))], names=["id", "n"])
 
-    rows = tokens.select("ids", "n_tokens").mapInArrow(run, "id long, n long").groupBy("id").agg(F.sum("n").alias("n")).orderBy("id").collect()
+    counted = tokens.select("counted").where(F.col("counted").isNotNull())
+    rows = counted.mapInArrow(run, "id long, n long").groupBy("id").agg(F.sum("n").alias("n")).orderBy("id").collect()
     return Frequencies.scaled_from(np.array([r["id"] for r in rows], dtype=np.int64), np.array([r["n"] for r in rows], dtype=np.float64))
 
 
@@ -186,8 +203,9 @@ def write_ids(df: DataFrame, tokenizer: str, path: str, end_id: int = 2, id_col:
     spark = df.sparkSession
     tokens = materialize(token_rows(df, tokenizer, end_id, id_col, text_col), "token-ids")
     table = frequencies(tokens)
+    rows = tokens.where(F.col("counted").isNull()).select("key", "n_tokens", "ids")
     parts = pieces_for(tokens, 16.0)
-    ordered = tokens.repartitionByRange(parts, "key", "n_tokens").sortWithinPartitions("key", "n_tokens", "ids")
+    ordered = rows.repartitionByRange(parts, "key", "n_tokens").sortWithinPartitions("key", "n_tokens", "ids")
 
     def run(batches):
         from pyspark import TaskContext
@@ -238,7 +256,7 @@ def read_ids(spark: SparkSession, path: str, with_ids: bool = True) -> DataFrame
         for batch in batches:
             for part, block, payload in zip(*(batch.column(c).to_pylist() for c in ("part", "block", "payload"))):
                 entries, ids = decode_block(payload, table)
-                raw = memoryview(ids.astype("<u4").tobytes())
+                raw = memoryview(ids.astype("<u4", copy=False)).cast("B")
                 ends = np.cumsum(entries["n"].astype(np.int64))
                 begins = ends - entries["n"].astype(np.int64)
                 for lo in range(0, len(entries), 2000):
@@ -246,7 +264,9 @@ def read_ids(spark: SparkSession, path: str, with_ids: bool = True) -> DataFrame
                     cells = [raw[4 * a:4 * b] for a, b in zip(begins[lo:lo + 2000].tolist(), ends[lo:lo + 2000].tolist())]
                     columns = [*(pa.array(some[c].astype(np.int64)) for c in ("key", "offset", "n", "total")), pa.array(begins[lo:lo + 2000]),
                                pa.array([zlib.crc32(c) for c in cells], pa.int64()), pa.array([part] * len(some), pa.int32()), pa.array([block] * len(some), pa.int32())]
-                    yield pa.record_batch(columns + [pa.array([bytes(c) for c in cells], pa.binary())] * with_ids, names=names)
+                    if with_ids:
+                        columns.append(pa.array([bytes(c) for c in cells], pa.binary()))
+                    yield pa.record_batch(columns, names=names)
 
     bounded_batches(spark, rows=8)
     decoded = blocks.select("part", "block", "payload").mapInArrow(

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from txnscope.llm import ans, codebooks, decontaminate, licenses, minhash, packing, sharding, simhash, substring, token_counts, toxicity, zones
+from txnscope.llm import ans, codebooks, decontaminate, licenses, minhash, packing, page_text, sharding, simhash, substring, token_counts, toxicity, zones
 from txnscope.llm.tables import NO_ID, documents
 
 
@@ -72,6 +72,11 @@ def op11_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return codebooks.code_digest(spark.read.parquet(f"{sf_dir}/embeddings.parquet"))
 
 
+def op12_page_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = page_text.extract_text(spark.read.parquet(f"{sf_dir}/pages.parquet").select("page_id", "url", "html"))
+    return out.select("page_id", "url", "text", F.length("text").cast("long").alias("n_chars"))
+
+
 def op13_centroids(spark: SparkSession, sf_dir: str) -> DataFrame:
     return zones.cluster_digest(spark.read.parquet(f"{sf_dir}/embeddings.parquet"))
 
@@ -83,5 +88,5 @@ def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {f.__name__: f for f in (op1_substring_dedup, op2_toxicity, op3_token_counts, op4_sharding, op5_best_fit_packing, op6_token_files,
-                                   op7_simhash, op8_fingerprints, op9_decontamination, op10_license_scan, op11_vector_codes, op13_centroids, pipeline)}
+                                   op7_simhash, op8_fingerprints, op9_decontamination, op10_license_scan, op11_vector_codes, op12_page_text, op13_centroids, pipeline)}
 ORACLES = {"op10_license_scan": licenses.oracle_sql(), "op11_vector_codes": codebooks.oracle_sql(), "op13_centroids": zones.oracle_sql()}
