@@ -434,3 +434,111 @@ def test_rolling_months_follow_the_data(spark):
     assert of(("1990-11-03", 0), ("1990-11-04", 1), ("1990-12-01", 0), ("1991-01-05", 0), ("1991-02-01", 1), ("1991-04-01", 0)) == ["1991-01", "1991-02"]
     assert of(("1990-11-03", 0), ("1990-12-01", 1), ("1991-01-05", 0), ("1991-02-01", 1)) == ["1991-02"]
     assert of(("1990-11-03", 0)) == []
+
+
+def _plain_fill(rows):
+    """rows of one key in order -> for each its nearest value back, else ahead."""
+    out, seen = [], None
+    for i, v in enumerate(rows):
+        seen = v if v is not None else seen
+        out.append(seen if seen is not None else next((x for x in rows[i:] if x is not None), None))
+    return out
+
+
+def test_fill_carries_over_chunks(spark):
+    import random
+
+    from txnscope.operators.history import fill_within_key
+
+    rnd = random.Random(5)
+    rows = []
+    for i in range(600):
+        key = rnd.choice(["hot", "hot", "hot", "b", None])
+        hour = rnd.choice([None, rnd.randrange(0, 900), 40])
+        rows.append((i, key, hour, rnd.choice([None, None, None, None, None, None, "x", "y", "z"]) if key != "b" else None))
+    df = spark.createDataFrame(rows, "txn_id long, client_id string, hour long, v string").withColumn(
+        "ts", F.when(F.col("hour").isNotNull(), F.timestamp_seconds(F.col("hour") * 3600 + 1_700_000_000)))
+    expected = {}
+    for key in {r[1] for r in rows}:
+        mine = sorted((r for r in rows if r[1] == key), key=lambda r: (r[2] is None, r[2] or 0, r[0]))
+        expected.update({r[0]: v for r, v in zip(mine, _plain_fill([r[3] for r in mine]))})
+    for hours in (1.0, 24.0, 1e6):
+        out = fill_within_key(df, ["v"], chunk_hours=hours)
+        assert out.columns == df.columns
+        assert {r["txn_id"]: r["v"] for r in out.collect()} == expected
+    assert fill_within_key(df.limit(0), ["v"]).count() == 0
+
+
+def test_profile_carries_moments_and_modes_over_chunks(spark):
+    import random
+    import statistics
+
+    from txnscope.operators.history import client_profile_features, expanding_mode, prior_moments
+
+    rnd = random.Random(6)
+    rows = [(i, rnd.choice([1, 1, 1, 2, None]), rnd.randrange(0, 500), rnd.choice([None, 1e6 + rnd.random(), 1e6 - 3.5]), rnd.choice([0, 1, 2, 2, None]),
+             rnd.random() < 0.3) for i in range(400)]
+    df = spark.createDataFrame(rows, "txn_id long, client_id long, hour long, amount double, code int, flag boolean").withColumn(
+        "ts", F.timestamp_seconds(F.col("hour") * 3600 + 1_700_000_000))
+    expected = {}
+    for key in {r[1] for r in rows}:
+        mine = sorted((r for r in rows if r[1] == key), key=lambda r: (r[2], r[0]))
+        for i, r in enumerate(mine):
+            codes = [m[4] for m in mine[:i] if m[4] is not None]
+            mode = min(set(codes), key=lambda c: (-codes.count(c), c)) if codes else None
+            expected[r[0]] = (mode, [m[3] for m in mine[:i] if m[3] is not None], [m[5] for m in mine[:i]])
+    for hours in (1.0, 24.0, 1e6):
+        got = {r["txn_id"]: r for r in expanding_mode(prior_moments(df, {"a": "amount"}, chunk_hours=hours), "code", "mode", chunk_hours=hours).collect()}
+        for i, (mode, values, _) in expected.items():
+            assert got[i]["mode"] == mode and got[i]["a_n"] == len(values)
+            if values:
+                assert got[i]["a_mean"] == pytest.approx(statistics.fmean(values), rel=1e-12)
+                assert got[i]["a_m2"] == pytest.approx(len(values) * statistics.pvariance(values), rel=1e-6, abs=1e-6)
+    for r in client_profile_features(df, flag="flag").collect():
+        _, values, flags = expected[r["txn_id"]]
+        assert (r["running_mean"] is None) == (not values) and (r["running_cv"] is None) == (len(values) < 2)
+        assert r["running_flag_share"] == (pytest.approx(sum(flags) / len(flags)) if flags else None)
+
+
+def test_nearest_in_time_over_chunks(spark):
+    import random
+
+    from txnscope.operators.joins import nearest_in_time
+
+    rnd = random.Random(7)
+    a = [(i, rnd.choice([1, 1, 2, 3]), rnd.randrange(0, 400)) for i in range(200)]
+    b = [(i, rnd.choice([1, 2]), rnd.randrange(0, 400)) for i in range(12)]
+
+    def table(rows):
+        return spark.createDataFrame(rows, "txn_id long, client_id long, day int").withColumn("ts", F.date_add(F.lit("2020-01-01").cast("date"), F.col("day")))
+
+    expected = {i: min((abs(d - e) for _, k2, e in b if k2 == k), default=None) for i, k, d in a}
+    for days in (1, 30, 100_000):
+        out = nearest_in_time(table(a), table(b), "client_id", "ts", "txn_id", chunk_days=days)
+        assert {r["txn_id"]: r["days_to_nearest"] for r in out.collect()} == expected
+
+
+def test_hot_client_uses_a_task_for_each_chunk(spark):
+    """The rows of one client with all rows lie in many tasks."""
+    from txnscope.operators.history import client_profile_features, fill_within_key
+
+    df = spark.range(20_000).select(F.col("id").alias("txn_id"), (F.col("id") - F.col("id")).alias("client_id"), F.timestamp_seconds(F.col("id") * 3600).alias("ts"),
+                                    F.when(F.col("id") == 7, "x").alias("v"), F.col("id").cast("double").alias("amount"))
+    before = spark.conf.get("spark.sql.adaptive.enabled")
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        for out in (fill_within_key(df, ["v"]), client_profile_features(df)):
+            tasks = out.groupBy(F.spark_partition_id()).count().collect()
+            assert len(tasks) > 1 and max(r["count"] for r in tasks) < 20_000 // 2
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", before)
+
+
+def test_robustness_schemes_finish(spark):
+    """Every scheme gives a row, with the F1 of the fold's rule beside the model's."""
+    from txnscope.catalog.q_models import robustness
+
+    rows = {r["scheme"]: r for r in robustness(spark, "/root/testdata/sf0.001").collect()}
+    assert set(rows) == {"random", "group", "temporal", "rolling"}
+    assert all(0 <= r[c] <= 1 for r in rows.values() for c in ("f1", "rule_f1", "oracle_f1") if r[c] is not None)
+    assert all(r["oracle_f1"] >= r["f1"] - 1e-9 for r in rows.values())

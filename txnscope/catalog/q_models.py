@@ -8,6 +8,7 @@ checkpoint folder (lineage cut) before the iterative fits.
 
 from __future__ import annotations
 
+from concurrent.futures import ThreadPoolExecutor
 from functools import reduce
 
 from pyspark.sql import functions as F
@@ -338,17 +339,22 @@ def imbalance(spark, sf_dir):
     return reduce(lambda a, b: a.unionByName(b), out)
 
 
+#: rolling test months of M20, and folds that are fitted at the same time
+ROLLING_MONTHS, FOLDS_AT_ONCE = 2, 4
+
+
 def _pooled(scheme, scored):
-    """One row of M20 from scored test rows that carry their ``threshold``."""
+    """One row of M20 from scored test rows that carry their ``threshold`` and the prediction of their fold's rule."""
     ap = ranking_summary(scored, "score", "y").select("average_precision", "positives", "negatives")
     oracle = best_f1_threshold(curve(scored, "score", "y")).select(F.col("f1").alias("oracle_f1"))
     f1 = confusion(scored.withColumn("_p", (F.col("score") >= F.col("threshold")).cast("int")), "_p", "y").select("f1")
-    return with_scalars(with_scalars(ap, oracle), f1).withColumn("scheme", F.lit(scheme)).withColumn(
+    rule = confusion(scored, "rule", "y").select(F.col("f1").alias("rule_f1"))
+    return with_scalars(with_scalars(with_scalars(ap, oracle), f1), rule).withColumn("scheme", F.lit(scheme)).withColumn(
         "ap_over_prevalence", F.col("average_precision") / (F.col("positives") / (F.col("positives") + F.col("negatives"))))
 
 
-def rolling_months(df, ts, label="y"):
-    """Every month that can be a test month: rows in the month before it, and both classes in the months before that."""
+def rolling_months(df, ts, label="y", last=None):
+    """The months that can be test months (all, or the ``last`` few): rows in the month before it, and both classes in the months before that."""
     got = df.groupBy(F.date_format(ts, "yyyy-MM").alias("m")).agg(F.min(label).alias("low"), F.max(label).alias("high")).orderBy("m").collect()
     out = []
     for k in range(2, len(got)):
@@ -356,43 +362,50 @@ def rolling_months(df, ts, label="y"):
         previous = f"{year - (month == 1):04d}-{(month - 2) % 12 + 1:02d}"
         if got[k - 1].m == previous and min(r.low for r in before) == 0 and max(r.high for r in before) == 1:
             out.append(got[k].m)
-    return out
+    return out[-last:] if last else out
 
 
-@query("m20_robustness_schemes")
-def robustness(spark, sf_dir):
-    """AP / prevalence, F1 at the validation threshold and oracle F1 on test, for a
-    random split, five client-grouped folds, a temporal split and rolling-origin folds."""
-    x, cols = model_data(spark, sf_dir)
-    base = x.drop("split")
+def _scored_fold(cols, rules, train, threshold, test):
+    """Scored test rows of one fold, written: y, score, the threshold of the ``threshold`` rows and the best rule's prediction."""
+    m = L.pipeline("logistic", cols, weight="w").fit(train)
+    best = G.rule_selection(train, train, rules).where("selected").select(F.col("rule").alias("_best"))
+    x = with_scalars(with_scalars(L.score(m, test), L.chosen_threshold(L.score(m, threshold))), best)
+    rule = F.coalesce(*[F.when(F.col("_best") == n, c.cast("int")) for n, c in rules.items()])
+    return materialize(x.select("y", "score", "threshold", rule.alias("rule")), "scored-fold")
+
+
+def robustness_table(base, cols, rules, months=ROLLING_MONTHS, at_once=FOLDS_AT_ONCE):
+    """M20 for any model table with txn_id, client_id, ts, y, w and ``cols``; ``rules`` maps names to conditions.
+    ``months`` is the number of last test months of the rolling scheme (None: every month that the data allow)."""
     folds = materialize(K.group_kfold(base, "client_id", 5), "client-folds")
     random = materialize(K.stratified_split(base, "txn_id", "y", [("train", 0.8), ("test", 0.2)]), "random-split")
     temporal = K.temporal_split(base, "ts", [("train", "1999-12")], "test")
-    # (train, test) pairs of each scheme; the metrics are pooled over its test parts
-    schemes = {
-        "random": [(random.where("split = 'train'"), random.where("split = 'test'"))],
-        "group": [(folds.where(F.col("fold") != k), folds.where(F.col("fold") == k)) for k in range(5)],
-        "temporal": [(temporal.where("split = 'train'"), temporal.where("split = 'test'"))],
-    }
-    rows = []
-    for name, pairs in schemes.items():
-        scored = []
-        for tr, te in pairs:
-            m = L.pipeline("logistic", cols, weight="w").fit(tr)
-            scored.append(with_scalars(L.score(m, te), L.chosen_threshold(L.score(m, tr))))
-        rows.append(_pooled(name, materialize(reduce(lambda a, b: a.unionByName(b), scored), "scored-" + name)))
-    # rolling origin (K5): for each test month, train on the months before the previous one, which gives
-    # the threshold; metrics pooled over the rolling test months
-    pooled = []
-    for fold in rolling_months(base, "ts"):
-        f = K.rolling_fold(base, "ts", fold)
-        m = L.pipeline("logistic", cols, weight="w").fit(f.where(F.col("role") == "train"))
-        thr = L.chosen_threshold(L.score(m, f.where(F.col("role") == "threshold")))
-        scored = with_scalars(L.score(m, f.where(F.col("role") == "test")), thr).select("y", "score", "threshold")
-        pooled.append(materialize(scored, "scored-rolling"))
-    if pooled:
-        rows.append(_pooled("rolling", materialize(reduce(lambda a, b: a.unionByName(b), pooled), "scored-rolling")))
-    return reduce(lambda a, b: a.unionByName(b), rows)
+
+    def split(t):
+        return t.where(F.col("split") == "train"), t.where(F.col("split") == "train"), t.where(F.col("split") == "test")
+
+    # (train, rows that choose the threshold, test) of every fold; the metrics are pooled over a scheme's test parts
+    jobs = [("random", *split(random)), ("temporal", *split(temporal))]
+    jobs += [("group", folds.where(F.col("fold") != k), folds.where(F.col("fold") != k), folds.where(F.col("fold") == k)) for k in range(5)]
+    for month in rolling_months(base, "ts", last=months):
+        f = K.rolling_fold(base, "ts", month)
+        jobs.append(("rolling", *[f.where(F.col("role") == r) for r in ("train", "threshold", "test")]))
+    with ThreadPoolExecutor(at_once) as pool:
+        scored = list(pool.map(lambda job: _scored_fold(cols, rules, *job[1:]), jobs))
+    names = list(dict.fromkeys(j[0] for j in jobs))
+    parts = {n: reduce(lambda a, b: a.unionByName(b), [s for j, s in zip(jobs, scored) if j[0] == n]) for n in names}
+    return reduce(lambda a, b: a.unionByName(b), [_pooled(n, p) for n, p in parts.items()])
+
+
+@query("m20_robustness_schemes")
+def robustness(spark, sf_dir):
+    """AP / prevalence, F1 at the chosen threshold, F1 of the rule that is best on train, and oracle F1 on test, for a
+    random split, five client-grouped folds, a temporal split and the last rolling-origin months (K5: train on the
+    months before the previous one, which gives the threshold)."""
+    x, cols = model_data(spark, sf_dir)
+    high, outlier = F.col("amount") > 50000, F.col("is_outlier") == 1
+    rules = {"high_amount": high, "outlier": outlier, "any_of": high | outlier, "all_of": high & outlier}
+    return robustness_table(x.drop("split"), cols, rules)
 
 
 @query("m21_threshold_comparison")

@@ -26,6 +26,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from txnscope.plans.carry import LAST_CHUNK, carry_both, join_offsets, rank_of
+
 MICROS_PER_HOUR = 3_600_000_000.0
 
 # fixed value: z-scores are clipped to +/- this bound
@@ -154,17 +156,14 @@ def history_features_single_window(df: DataFrame, key: str = "client_id", ts: st
 
 
 def fill_within_key(df: DataFrame, cols: list[str], key: str = "client_id", ts: str = "ts",
-                    tie: str = "txn_id") -> DataFrame:
-    """forward fill then backward fill attributes inside each key, in event order."""
-    asc = Window.partitionBy(key).orderBy(F.col(ts).asc_nulls_last(), F.col(tie).asc_nulls_last())
-    desc = Window.partitionBy(key).orderBy(F.col(ts).desc_nulls_first(), F.col(tie).desc_nulls_first())
-    back = asc.rowsBetween(Window.unboundedPreceding, 0)
-    # the next value ahead is the last one seen in reverse order: running frames only, linear in the rows
-    ahead = desc.rowsBetween(Window.unboundedPreceding, 0)
-    names = {c: f"_ahead_{i}" for i, c in enumerate(cols)}
-    out = df.select("*", *[F.last(c, True).over(ahead).alias(n) for c, n in names.items()])
-    filled = {c: F.coalesce(F.last(c, True).over(back), F.col(n)) for c, n in names.items()}
-    return out.select(*[filled[c].alias(c) if c in filled else F.col(c) for c in df.columns])
+                    tie: str = "txn_id", chunk_hours: float = 720.0) -> DataFrame:
+    """forward fill then backward fill attributes inside each key, in event order.
+
+    Values are carried over chunks of ``chunk_hours``, so a hot key is spread over as many tasks as it has chunks;
+    the width changes only that.  Rows that share one timestamp stay in one chunk."""
+    x = carry_both(df, key, [ts, tie], F.floor(_micros(ts) / F.lit(int(chunk_hours * MICROS_PER_HOUR))), cols)
+    filled = {c: F.coalesce(f"_back_{i}", f"_ahead_{i}") for i, c in enumerate(cols)}
+    return x.select(*[filled[c].alias(c) if c in filled else F.col(c) for c in df.columns])
 
 
 def group_value_to_rows(df: DataFrame, value: str, by: list[str] | None = None,
@@ -183,18 +182,79 @@ def group_value_to_rows(df: DataFrame, value: str, by: list[str] | None = None,
     return df.join(agg, by, "left")
 
 
+def _chunked(df: DataFrame, ts: str, tie: str, chunk_hours: float) -> DataFrame:
+    width = int(chunk_hours * MICROS_PER_HOUR)
+    return df.withColumn("_chunk", F.coalesce(F.floor(_micros(ts) / F.lit(width)).cast("long"), F.lit(LAST_CHUNK))) \
+        .withColumn("_rank", rank_of([ts, tie]))
+
+
 def expanding_mode(df: DataFrame, value: str, name: str, key: str = "client_id",
-                   ts: str = "ts", tie: str = "txn_id") -> DataFrame:
+                   ts: str = "ts", tie: str = "txn_id", chunk_hours: float = 24.0) -> DataFrame:
     """most frequent ``value`` among the client's earlier rows (smallest value on
-    ties; null for the first row).  Running per-value counts, then a running
-    max_by over them: counts only grow, so the max of (count, −value) seen so far
-    is the mode of the prefix.  ``value`` must be a small non-negative integer code."""
-    order = [F.col(ts).asc_nulls_last(), F.col(tie).asc_nulls_last()]
-    wv = Window.partitionBy(key, value).orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
-    x = df.withColumn("_cnt", F.count(F.lit(1)).over(wv))
-    w = Window.partitionBy(key).orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)
-    score = F.col("_cnt").cast("double") * 1e6 - F.col(value).cast("double")
-    return x.withColumn(name, F.max_by(F.col(value), score).over(w)).drop("_cnt")
+    ties; null for the first row and where all earlier values are null).  ``value`` is an integer code.
+
+    Counts only grow, so the mode of a prefix is the value of the greatest (count, -value) seen so far.  Counts by
+    value are mergeable: each chunk's counts get an exclusive prefix over the client's earlier chunks, and the best
+    pair of those chunks is carried in.  No window spans a client's rows; only (client, chunk, value) counts meet."""
+    base = _chunked(df, ts, tie, chunk_hours)
+    by = [key, "_chunk"]
+
+    def pair(count):
+        return F.when(F.col(value).isNotNull(), F.struct(count.alias("n"), (-F.col(value)).alias("v")))
+
+    counts = base.groupBy(*by, value).agg(F.count(F.lit(1)).alias("_n"))
+    upto = Window.partitionBy(key, value).orderBy("_chunk").rowsBetween(Window.unboundedPreceding, 0)
+    counts = counts.withColumn("_end", F.sum("_n").over(upto)).withColumn("_pair", pair(F.col("_end")))
+    best = counts.groupBy(*by).agg(F.max("_pair").alias("_pair"))
+    earlier = Window.partitionBy(key).orderBy("_chunk").rowsBetween(Window.unboundedPreceding, -1)
+    best = best.select(*by, F.max("_pair").over(earlier).alias("_before"))
+    offsets = join_offsets(counts.select(*by, value, (F.col("_end") - F.col("_n")).alias("_prior")), best, by)
+
+    x = join_offsets(base, offsets, [*by, value])
+    seen = Window.partitionBy(*by, value).orderBy("_rank").rowsBetween(Window.unboundedPreceding, 0)
+    x = x.withColumn("_here", pair(F.col("_prior") + F.count(F.lit(1)).over(seen)))
+    inside = Window.partitionBy(*by).orderBy("_rank").rowsBetween(Window.unboundedPreceding, -1)
+    x = x.withColumn("_best", F.greatest(F.max("_here").over(inside), F.col("_before")))
+    return x.select(*df.columns, (-F.col("_best.v")).alias(name))
+
+
+def prior_moments(df: DataFrame, values: dict[str, str], key: str = "client_id", ts: str = "ts",
+                  tie: str = "txn_id", chunk_hours: float = 24.0) -> DataFrame:
+    """Add ``<name>_n``, ``<name>_mean``, ``<name>_m2`` for each name -> column of ``values``: count, mean and sum of squared
+    deviations of the column's non-null values in the key's earlier rows, merged over chunks (mean and m2 are 0 where n is 0)."""
+    base = _chunked(df, ts, tie, chunk_hours)
+    by = [key, "_chunk"]
+    inside = Window.partitionBy(*by).orderBy("_rank").rowsBetween(Window.unboundedPreceding, -1)
+    cols = list(values.items())
+
+    def moments(c, over=lambda e: e):
+        n = over(F.count(c))
+        return n, F.coalesce(over(F.avg(c)), F.lit(0.0)), F.coalesce(over(F.var_pop(c)) * n, F.lit(0.0))
+
+    rows, chunks = [], []
+    for i, (_, c) in enumerate(cols):
+        for part, e in zip("nms", moments(F.col(c).cast("double"), lambda e: e.over(inside))):
+            rows.append(e.alias(f"_{part}b{i}"))
+        for part, e in zip("nms", moments(F.col(c).cast("double"))):
+            chunks.append(e.alias(f"_{part}c{i}"))
+    summary = base.groupBy(*by).agg(*chunks)
+    whole = Window.partitionBy(key).orderBy("_chunk")
+    before = whole.rowsBetween(Window.unboundedPreceding, -1)
+    offsets = [F.col(c) for c in by]
+    for i in range(len(cols)):
+        # sums of squares are centred on the key's first chunk that has a value
+        centre = F.first(F.when(F.col(f"_nc{i}") > 0, F.col(f"_mc{i}")), True).over(whole.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing))
+        summary = summary.withColumn(f"_k{i}", F.coalesce(centre, F.lit(0.0)))
+        n, d = F.col(f"_nc{i}"), F.col(f"_mc{i}") - F.col(f"_k{i}")
+        na, s1, s2, sw = (F.coalesce(F.sum(e).over(before), F.lit(0)) for e in (n, n * d, n * d * d, F.col(f"_sc{i}")))
+        offsets += [na.alias(f"_na{i}"), F.when(na > 0, F.col(f"_k{i}") + s1 / na).otherwise(0.0).alias(f"_ma{i}"),
+                    F.when(na > 0, F.greatest(sw + s2 - s1 * s1 / na, F.lit(0.0))).otherwise(0.0).alias(f"_sa{i}")]
+    x = join_offsets(base.select("*", *rows), summary.select(*offsets), by)
+    out = [F.col(c) for c in df.columns]
+    for i, (name, _) in enumerate(cols):
+        merged = _chan_merge(*[F.col(f"_{part}{side}{i}") for side in "ab" for part in "nms"])
+        out += [e.alias(f"{name}_{part}") for part, e in zip(("n", "mean", "m2"), merged)]
+    return x.select(*out)
 
 
 def client_profile_features(df: DataFrame, key: str = "client_id", ts: str = "ts",
@@ -202,12 +262,13 @@ def client_profile_features(df: DataFrame, key: str = "client_id", ts: str = "ts
                             flag: str | None = None) -> DataFrame:
     """running mean spend, coefficient of variation (sd / mean of earlier rows),
     running share of a flag (e.g. card-not-present), favourite hour and weekday."""
-    order = [F.col(ts).asc_nulls_last(), F.col(tie).asc_nulls_last()]
-    w = Window.partitionBy(key).orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)
-    x = df.withColumn("running_mean", F.avg(amount).over(w)).withColumn(
-        "running_cv", F.stddev_samp(amount).over(w) / F.avg(amount).over(w))
+    values = {"_amount": amount, **({"_flag": flag} if flag else {})}
+    x = prior_moments(df, values, key, ts, tie)
+    n, mean = F.col("_amount_n"), F.when(F.col("_amount_n") > 0, F.col("_amount_mean"))
+    x = x.withColumn("running_mean", mean).withColumn("running_cv", F.when(n > 1, F.sqrt(F.col("_amount_m2") / (n - 1)) / F.col("running_mean")))
     if flag:
-        x = x.withColumn("running_flag_share", F.avg(F.col(flag).cast("double")).over(w))
+        x = x.withColumn("running_flag_share", F.when(F.col("_flag_n") > 0, F.col("_flag_mean")))
+    x = x.drop(*[f"{v}_{part}" for v in values for part in ("n", "mean", "m2")])
     x = x.withColumn("_hour", F.hour(ts)).withColumn("_wd", F.weekday(ts))
     x = expanding_mode(x, "_hour", "fav_hour", key, ts, tie)
     x = expanding_mode(x, "_wd", "fav_weekday", key, ts, tie)

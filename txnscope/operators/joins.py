@@ -9,9 +9,10 @@ parameter tables, one-row aggregates) are broadcast explicitly.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from txnscope.plans.carry import carry_both
 from txnscope.plans.frames import with_scalars
 
 
@@ -60,22 +61,19 @@ def entity_overlap(train: DataFrame, test: DataFrame, key: str, label: str = "y"
 
 
 def nearest_in_time(a: DataFrame, b: DataFrame, key: str, date: str,
-                    a_id: str) -> DataFrame:
+                    a_id: str, chunk_days: int = 30) -> DataFrame:
     """For each row of ``a``, the smallest |days| to a row of ``b`` with the same key
-    (null when the key has no ``b`` row).  As-of in both directions over one
-    window per key; no per-key cross product."""
+    (null when the key has no ``b`` row).  As-of in both directions, with the dates of ``b``
+    carried over chunks of ``chunk_days``: no per-key cross product, and a hot key is
+    spread over as many tasks as it has chunks."""
     u = (a.select(key, F.col(date).cast("date").alias("_d"), F.col(a_id).alias("_id"))
          .withColumn("_bd", F.lit(None).cast("date"))
          .unionByName(b.select(key, F.col(date).cast("date").alias("_d"))
                       .withColumn("_id", F.lit(None).cast(dict(a.dtypes)[a_id]))
                       .withColumn("_bd", F.col("_d"))))
-    # running frames in both directions (linear in the rows of a key); ``b`` rows of a day come first each way
-    w = Window.partitionBy(key).orderBy("_d", F.col("_id").asc_nulls_first())
-    r = Window.partitionBy(key).orderBy(F.col("_d").desc(), F.col("_id").asc_nulls_first())
-    prev = F.last("_bd", True).over(w.rowsBetween(Window.unboundedPreceding, 0))
-    nxt = F.last("_bd", True).over(r.rowsBetween(Window.unboundedPreceding, 0))
-    x = u.withColumn("_p", prev).withColumn("_n", nxt).where(F.col("_id").isNotNull())
-    dist = F.least(F.datediff("_d", "_p"), F.datediff("_n", "_d"))
+    # a ``b`` row of the same day lies on one side or the other; both distances are then 0 for one of them
+    x = carry_both(u, key, ["_d", "_id"], F.floor(F.unix_date("_d") / F.lit(chunk_days)), ["_bd"]).where(F.col("_id").isNotNull())
+    dist = F.least(F.datediff("_d", "_back_0"), F.datediff("_ahead_0", "_d"))
     return x.select(F.col("_id").alias(a_id), key, dist.alias("days_to_nearest"))
 
 
