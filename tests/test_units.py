@@ -542,3 +542,43 @@ def test_robustness_schemes_finish(spark):
     assert set(rows) == {"random", "group", "temporal", "rolling"}
     assert all(0 <= r[c] <= 1 for r in rows.values() for c in ("f1", "rule_f1", "oracle_f1") if r[c] is not None)
     assert all(r["oracle_f1"] >= r["f1"] - 1e-9 for r in rows.values())
+
+
+def test_distinct_counts_without_expand(spark):
+    import contextlib
+    import io
+
+    from txnscope.operators.quality import distinct_counts, distinct_sketches, sketch_counts
+
+    rows = [(1, "a", 0.0, None, ["x, y"], b"\x00"), (1, "b", -0.0, None, ["x", "y"], b"0"), (None, "a", float("nan"), None, None, None), (2, "", float("nan"), None, [], b"")]
+    df = spark.createDataFrame(rows, "`i.d` long, s string, f double, n string, a array<string>, b binary")
+    expected = {"i.d": 2, "s": 3, "f": 2, "n": 0, "a": 3, "b": 3}
+    out = distinct_counts(df)
+    assert {r["column"]: r["n_distinct"] for r in out.collect()} == expected
+    assert {r["n_distinct"] for r in distinct_counts(df.limit(0)).collect()} == {0}
+    text = io.StringIO()
+    with contextlib.redirect_stdout(text):
+        out.explain()
+    assert "Expand" not in text.getvalue()
+    merged = sketch_counts(distinct_sketches(df.limit(2)).unionByName(distinct_sketches(df)))
+    assert {r["column"]: r["n_distinct"] for r in merged.collect()} == expected
+    wide = spark.range(50_000).select(F.col("id"), (F.col("id") % 7000).alias("m"))
+    for r in sketch_counts(distinct_sketches(wide.where("id < 30000")).unionByName(distinct_sketches(wide.where("id >= 20000")))).collect():
+        assert r["n_distinct"] == pytest.approx({"id": 50_000, "m": 7000}[r["column"]], rel=0.04)
+
+
+def test_materialize_once_follows_its_input(spark, tmp_path):
+    from txnscope.plans.frames import materialize_once
+
+    folder = str(tmp_path / "in")
+
+    def total(n):
+        spark.range(n).write.mode("overwrite").parquet(folder)
+
+    def read():
+        return materialize_once(spark, ("once-test", folder), lambda: spark.read.parquet(folder)).count()
+
+    total(3)
+    assert read() == 3 == read()
+    total(5)
+    assert read() == 5

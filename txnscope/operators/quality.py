@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from txnscope.plans.frames import with_scalars
 
@@ -21,13 +22,46 @@ def null_profile(df: DataFrame, cols: list[str] | None = None,
     return long.where(F.col("n_null") > 0) if nonzero_only else long
 
 
+def _as_text(df: DataFrame, col: str) -> Column:
+    """A value as text, equal where the values are equal and only there."""
+    kind, c = df.schema[col].dataType, F.col(f"`{col}`")
+    if isinstance(kind, (T.FloatType, T.DoubleType)):
+        return (c + F.lit(0.0).cast(kind)).cast("string")  # -0.0 is 0.0
+    if isinstance(kind, T.BinaryType):
+        return F.hex(c)
+    return F.to_json(c) if isinstance(kind, (T.ArrayType, T.StructType)) else c.cast("string")
+
+
 def distinct_counts(df: DataFrame, cols: list[str] | None = None,
                     approx: bool = False, rsd: float = 0.01) -> DataFrame:
-    """Distinct values per column (nulls not counted); approximate for wide/huge tables."""
+    """Distinct values per column (nulls not counted); approximate for wide/huge tables.
+
+    Exact: (column, value) pairs are made distinct, in the tasks first and then by pair, so every column's
+    values spread over all tasks, and the distinct pairs are counted.  No distinct aggregates side by side."""
     cols = cols or df.columns
-    fn = (lambda c: F.approx_count_distinct(c, rsd)) if approx else F.count_distinct
-    row = df.agg(*[fn(F.col(c)).cast("long").alias(c) for c in cols])
-    return row.unpivot([], cols, "column", "n_distinct")
+    if approx:
+        row = df.agg(*[F.approx_count_distinct(F.col(f"`{c}`"), rsd).cast("long").alias(c) for c in cols])
+        return row.unpivot([], [f"`{c}`" for c in cols], "column", "n_distinct")
+    pairs = F.array(*[F.struct(F.lit(i).alias("at"), _as_text(df, c).alias("value")) for i, c in enumerate(cols)])
+    seen = df.select(F.explode(pairs).alias("p")).select("p.*").where(F.col("value").isNotNull()).groupBy("at", "value").agg(F.lit(1).alias("_one"))
+    counts = seen.groupBy("at").agg(F.count(F.lit(1)).alias("n"))
+    # the list of columns, so that one without values counts 0
+    names = df.sparkSession.range(len(cols)).select(F.col("id").cast("int").alias("at"), F.element_at(F.array(*[F.lit(c) for c in cols]), (F.col("id") + 1).cast("int")).alias("column"))
+    return names.join(counts, "at", "left").select("column", F.coalesce("n", F.lit(0)).cast("long").alias("n_distinct"))
+
+
+def distinct_sketches(df: DataFrame, cols: list[str] | None = None, lg_k: int = 14) -> DataFrame:
+    """C3 as mergeable sketches: (column, sketch) in one pass, a few KB a column.  Sketches of further parts of a table
+    are unioned with these and counted by ``sketch_counts``; the relative standard error is about 1.04 / sqrt(2 ** lg_k), 0.8 % here."""
+    cols = cols or df.columns
+    # the mark in front is for empty texts, which a sketch leaves out
+    row = df.agg(*[F.hll_sketch_agg(F.concat(F.lit("="), _as_text(df, c)), lg_k).alias(f"s{i}") for i, c in enumerate(cols)])
+    return row.select(F.explode(F.array(*[F.struct(F.lit(c).alias("column"), F.col(f"s{i}").alias("sketch")) for i, c in enumerate(cols)])).alias("x")).select("x.*")
+
+
+def sketch_counts(sketches: DataFrame) -> DataFrame:
+    """(column, n_distinct) of the union of all sketches of a column, e.g. one for each day."""
+    return sketches.groupBy("column").agg(F.hll_sketch_estimate(F.hll_union_agg("sketch")).alias("n_distinct"))
 
 
 def duplicate_groups(df: DataFrame, cols: list[str] | None = None) -> DataFrame:

@@ -81,10 +81,22 @@ def materialize(df: DataFrame, name: str) -> DataFrame:
 _WRITTEN: dict[tuple, str] = {}
 
 
+def _files_state(spark, part) -> tuple:
+    """Names, sizes and times of the files in a folder, where ``part`` is one."""
+    if not isinstance(part, str) or "/" not in part:
+        return ()
+    path = spark._jvm.org.apache.hadoop.fs.Path(part)
+    system = path.getFileSystem(spark._jsc.hadoopConfiguration())
+    if not system.exists(path):
+        return ()
+    return tuple(sorted((f.getPath().getName(), f.getLen(), f.getModificationTime()) for f in system.listStatus(path)))
+
+
 def materialize_once(spark, key: tuple, build) -> DataFrame:
-    """``materialize(build())`` once per session and key (e.g. (name, input folder)); later
-    calls read the written table.  For tables derived only from the key's inputs."""
-    k = (id(spark), spark.conf.get("spark.checkpoint.dir", ""), *key)
+    """``materialize(build())`` once per application and key (e.g. (name, input folder)) while the files
+    right in the key's folders stay as they are; later calls read the written table.  For tables derived only from
+    the key's inputs."""
+    k = (spark.sparkContext.applicationId, spark.conf.get("spark.checkpoint.dir", ""), *key, *[_files_state(spark, p) for p in key])
     if k not in _WRITTEN:
         _WRITTEN[k] = write_scratch(build(), str(key[0]))
     return spark.read.parquet(_WRITTEN[k])
