@@ -250,6 +250,25 @@ def test_sharding_hot_group(spark):
     assert copies[-1] - copies[0] == len(set(copies)) - 1  # copies lie together
 
 
+@pytest.mark.parametrize("large", [[503_668], [40_000, 40_000, 9_000], [9_000, 1_200], []])
+def test_sharding_records_over_a_share(spark, large):
+    texts = [f"{i} " * (20 + i % 50) for i in range(400)] + ["x" * n for n in large]
+    rows = sharding.sharded_digest(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string"), 40).collect()
+    shards = [[r for r in rows if r["shard"] == s] for s in range(40)]
+    assert len(rows) == len(texts) and all(sorted(r["slot"] for r in s) == list(range(len(s))) for s in shards) and all(shards)
+    sizes, left, alone = sorted((r["size"] for r in rows), reverse=True), sum(r["size"] for r in rows), 0
+    while sizes[alone] * (40 - alone) > left:
+        left, alone = left - sizes[alone], alone + 1
+    assert sorted(r["size"] for s in shards if len(s) == 1 for r in s)[::-1][:alone] == sizes[:alone]
+    rest = [sum(r["size"] for r in s) for s in shards[:40 - alone]]
+    assert max(rest) - min(rest) <= 2 * sizes[alone]
+
+
+def test_sharding_fewer_rows_than_shards(spark):
+    rows = sharding.sharded_digest(spark.createDataFrame([(1, "a" * 100), (2, "b" * 5), (None, None)], "doc_id long, text string"), 8).collect()
+    assert len(rows) == 3 and len({r["shard"] for r in rows}) == 3 and {r["slot"] for r in rows} == {0}
+
+
 def test_sharding_odd_cases(odd, nothing):
     rows = sharding.sharded_digest(odd, 4).collect()
     assert len(rows) == len(ODD) and {r["size"] for r in rows if r["doc_id"] in (1, 2)} == {16}

@@ -6,6 +6,7 @@ ranges between them, and a range found overfull once all its bytes are counted g
 splitters of its own.  Within ranges a running sum, and between ranges a prefix sum over
 their totals, give each record its exact place; a shard is the records whose middle lies
 in its share of all bytes.  Copies are apart only where a boundary runs through them.
+A record over a shard's share has a shard of its own, and the others share what is left.
 """
 
 from __future__ import annotations
@@ -87,13 +88,30 @@ def balanced_ranges(rows: DataFrame, ranges: int) -> tuple[DataFrame, list]:
     return ranged(rows, splitters), sizes
 
 
+def oversize(rows: DataFrame, shards: int) -> tuple[int | None, int]:
+    """(size, n): the n records of at least this size are each over an even share of what is left without the larger ones,
+    so each has a shard of its own; (None, 0) where no record is.  Equal sizes go together: a share only falls when such
+    a record leaves.  Fewer than ``shards`` records can be like this, so that many sizes are looked at."""
+    total = rows.agg(F.sum("size")).first()[0] or 0
+    cut, left = None, shards
+    for r in rows.select("size").orderBy(F.desc("size")).limit(shards).collect():
+        if r["size"] * left <= total:
+            break
+        cut, total, left = r["size"], total - r["size"], left - 1
+    return cut, shards - left
+
+
 def assign_shards(df: DataFrame, shards: int = 40, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(key, size, text_crc32, place, shard, slot) of every row, by bytes.
 
     Slots are gapless from 0 in each shard.  A null id is ``NO_ID`` and sorts first, a null text has the overhead
-    only, repeated rows have a slot each, an empty table gives no rows, other columns are not read.
+    only, repeated rows have a slot each, an empty table gives no rows, other columns are not read.  A record over a
+    shard's share is alone in one of the last shards; with at least as many rows as shards none is empty.
     """
-    rows = materialize(records(df, id_col, text_col), "shard-records")
+    everything = materialize(records(df, id_col, text_col), "shard-records")
+    cut, alone = oversize(everything, shards)
+    rows = everything if cut is None else everything.where(F.col("size") < cut)
+    rest = shards - alone
     ranges = pieces_for(rows, 16.0, shards)
     placed, sizes = balanced_ranges(rows, ranges)
     spark = df.sparkSession
@@ -106,11 +124,17 @@ def assign_shards(df: DataFrame, shards: int = 40, id_col: str = "doc_id", text_
     middle = F.col("bytes_before") * 2 + F.coalesce(F.sum("size").over(order), F.lit(0)) * 2 + F.col("size")
     out = placed.join(F.broadcast(offsets), "range").select(
         "key", "size", "text_crc32", "place",
-        F.least(F.lit(shards - 1), F.floor(middle * shards / F.lit(2 * max(1, bytes_before)))).cast("int").alias("shard"),
+        F.least(F.lit(rest - 1), F.floor(middle * rest / F.lit(2 * max(1, bytes_before)))).cast("int").alias("shard"),
         (F.col("rows_before") + F.count("*").over(order)).alias("nth"))
     out = materialize(out, "shard-places")
     first = out.groupBy("shard").agg(F.min("nth").alias("first"))  # at most ``shards`` rows
-    return out.join(F.broadcast(first), "shard").select("key", "size", "text_crc32", "place", "shard", (F.col("nth") - F.col("first")).alias("slot"))
+    out = out.join(F.broadcast(first), "shard").select("key", "size", "text_crc32", "place", "shard", (F.col("nth") - F.col("first")).alias("slot"))
+    if cut is None:
+        return out
+    by_size = Window.partitionBy(F.lit(0)).orderBy(F.desc("size"), "place", "key")  # fewer than ``shards`` rows
+    large = everything.where(F.col("size") >= cut).select("key", "size", "text_crc32", "place", (F.row_number().over(by_size) - 1 + rest).cast("int").alias("shard"),
+                                                          F.lit(0).cast("long").alias("slot"))
+    return out.unionByName(large)
 
 
 def write_shards(df: DataFrame, path: str, shards: int = 40, id_col: str = "doc_id", text_col: str = "text") -> None:
