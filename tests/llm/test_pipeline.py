@@ -82,3 +82,38 @@ def test_run(spark, stages):
     columns = ["doc_id", "piece", "start", "length", "ids_crc32"]
     made = C.run(spark, SF_SMALL).select(*columns).toPandas()
     assert rows(made) == rows(stages[-1][1][columns])
+
+
+def _key(row):
+    return tuple(str(v) for v in row)
+
+
+@pytest.mark.parametrize("name, stage", C.STAGES[:-1])
+def test_stages_take_odd_rows(spark, odd, nothing, name, stage):
+    """Nulls, empty texts, repeated rows and clashing names: the columns stay, and rows go only where the stage says so."""
+    before, made = odd.collect(), stage(spark, odd, SF_SMALL)
+    after = made.collect()
+    assert made.columns == odd.columns
+    if name == "substring_dedup":  # texts are rewritten, no row goes, the other columns stay
+        at = odd.columns.index("text")
+        assert sorted(_key(r[:at] + r[at + 1:]) for r in after) == sorted(_key(r[:at] + r[at + 1:]) for r in before)
+        assert all(r["text"] == "" for r in after if r["doc_id"] in (1, 2, 3))
+    elif name == "benchmark_decontamination":  # none of these holds an item
+        assert sorted(map(_key, after)) == sorted(map(_key, before))
+    else:
+        left = sorted(map(_key, before))
+        for r in map(_key, after):
+            left.remove(r)  # every row that is kept is one of the input's, as often at most
+    if name == "simhash_near_dedup":  # one row of each text without near copies here, and one of the texts without words
+        assert {r["doc_id"] for r in after} >= {4, 7, 9, 10} and len([r for r in after if r["text"] == "same text under one id"]) == 1
+        assert len([r for r in after if not (r["text"] or "").strip()]) == 1
+    empty = stage(spark, nothing, SF_SMALL)
+    assert empty.columns == odd.columns and empty.count() == 0
+
+
+def test_packing_stage_takes_odd_rows(spark, odd, nothing):
+    stage = C.STAGES[-1][1]
+    out = stage(spark, odd, SF_SMALL).toPandas()
+    assert out.length.between(1, 2048).all() and out.groupby("sequence_id").length.sum().max() <= 2048
+    assert len(out[(out.piece == 0)]) == odd.count()  # a document has a first piece, be it empty, null or repeated
+    assert stage(spark, nothing, SF_SMALL).count() == 0
