@@ -14,6 +14,8 @@ from txnscope.streaming import source as S
 from txnscope.streaming import state as Q
 
 MID = "2024-01-16"
+# rows wait by the length of a slice of the replay
+SLOT = "5 days"
 FEATURES = ["txn_id", "client_id", "gap_hours", "prior_count", "prior_mean", "prior_sd",
             "z_amount", "z_amount_abs"]
 
@@ -22,17 +24,17 @@ def _events(spark, sf_dir):
     return txn_events(spark, sf_dir).withColumn("ts", F.col("ts").cast("timestamp"))
 
 
-def _replay(spark, df, name, slice_days=5, per_trigger=3):
+def _replay(spark, df, name, slice_days=5, per_trigger=3, ends=False):
     path = S.new_run_dir(spark, name)
-    return path, S.read_slices(spark, f"{path}/in", df.schema), S.time_slices(df, "ts", f"{path}/in", slice_days, per_trigger)
+    return path, S.read_slices(spark, f"{path}/in", df.schema), S.time_slices(df, "ts", f"{path}/in", slice_days, per_trigger, ends=ends)
 
 
 @query("q1_streaming_history_parity", history_sql("txn_events"))
 def q1(spark, sf_dir):
-    """Q1 + Q6 + A9: per-client Welford state in transformWithStateInPandas over a
-    chronological file stream; features equal the batch expanding windows."""
-    path, s, feed = _replay(spark, _events(spark, sf_dir), "q1")
-    out = S.run_to_table(Q.stream_history_features(s), f"{path}/run", feed=feed)
+    """Q1 + Q6 + A9: per-client event-time state in transformWithStateInPandas over a
+    file stream: rows are released in order as the watermark passes; features equal the batch expanding windows."""
+    path, s, feed = _replay(spark, _events(spark, sf_dir), "q1", ends=True)
+    out = S.run_to_table(Q.stream_history_features(s, slot=SLOT), f"{path}/run", feed=feed)
     return out.select(*FEATURES)
 
 
@@ -51,8 +53,8 @@ def q2(spark, sf_dir):
     ev = _events(spark, sf_dir)
     cut = F.lit(MID).cast("timestamp")
     init = Q.initial_state(ev.where(F.col("ts") < cut))
-    path, s, feed = _replay(spark, ev.where(F.col("ts") >= cut), "q2")
-    out = S.run_to_table(Q.stream_history_features(s, init), f"{path}/run", feed=feed)
+    path, s, feed = _replay(spark, ev.where(F.col("ts") >= cut), "q2", ends=True)
+    out = S.run_to_table(Q.stream_history_features(s, init, slot=SLOT), f"{path}/run", feed=feed)
     return out.select(*FEATURES, "known")
 
 
@@ -119,8 +121,9 @@ def q8(spark, sf_dir):
     def feed():
         yield from S.time_slices(ev, "ts", f"{path}/in", 5, 3)
         yield S.deliver(resent, f"{path}/in", "resent")
+        yield S.end_feed(spark, f"{path}/in", ev.schema)
 
-    out = S.run_to_table(Q.stream_history_features(s), f"{path}/run", feed=feed())
+    out = S.run_to_table(Q.stream_history_features(s, delay=None, slot=SLOT), f"{path}/run", feed=feed())
     return out.select(*FEATURES)
 
 
@@ -140,10 +143,10 @@ def q9(spark, sf_dir):
     s = S.read_slices(spark, f"{path}/in", ev.schema)
 
     def feed():
-        yield from S.time_slices(ev.where(F.col("code") != 7), "ts", f"{path}/in", 5, 3)
+        yield from S.time_slices(ev.where(F.col("code") != 7), "ts", f"{path}/in", 5, 3, ends=True)
         yield S.deliver(ev.where(F.col("code") == 7), f"{path}/in", "held")  # strictly after all others
 
-    out = S.run_to_table(Q.stream_history_features(s), f"{path}/run", feed=feed())
+    out = S.run_to_table(Q.stream_history_features(s, slot=SLOT), f"{path}/run", feed=feed())
     return out.where("late").select("txn_id", "client_id")
 
 
@@ -239,10 +242,10 @@ def scoring_stream(spark, sf_dir):
     path = S.new_run_dir(spark, "q5")
     stream = S.read_slices(spark, f"{path}/in", new.schema)
     valid, rejected = _contract(stream)
-    feats = Q.stream_history_features(valid, Q.initial_state(hist))
+    feats = Q.stream_history_features(valid, Q.initial_state(hist), slot=SLOT)
     # late rows are scored too, read-only from the client's current state, and marked
     scored = _score(feats, pp, model, thr, ["late"])
-    log = S.run_to_table(scored, f"{path}/run", feed=S.time_slices(new, "ts", f"{path}/in", 5, 3), fmt="json",
+    log = S.run_to_table(scored, f"{path}/run", feed=S.time_slices(new, "ts", f"{path}/in", 5, 3, ends=True), fmt="json",
                          schema="txn_id long, client_id long, score double, alert boolean, action string, late boolean")
     # batch twin: same contract, batch history windows over history ∪ new, same model
     from txnscope.operators.history import history_features

@@ -4,8 +4,8 @@
 delivers some time slices, oldest first, into the folder that a file stream reads.
 ``run_to_table`` runs the query to completion (``trigger(availableNow=True)``) after
 each step, from one checkpoint.  A step is one micro-batch, however many files its
-slices have, so order across batches is event-time order; order inside a batch
-is the state processor's, which sorts a client's rows.  The state store provider that
+slices have; order is the state processor's, which holds rows until the watermark has
+passed them.  ``end_feed`` ends a finite replay: it pushes the watermark past all rows.  The state store provider that
 the processors need is set where a query starts and restored afterwards.  All folders
 live under the shared checkpoint directory.
 """
@@ -44,9 +44,10 @@ def state_provider(spark: SparkSession) -> Iterator[None]:
 
 
 def time_slices(df: DataFrame, ts: str, path: str, slice_days: int = 3, per_step: int = 1,
-                start: str | None = None, end: str | None = None) -> Iterator[int]:
+                start: str | None = None, end: str | None = None, ends: bool = False) -> Iterator[int]:
     """Deliver ``df`` into ``path`` as one parquet folder per time slice, oldest first,
     ``per_step`` slices before each yield (of how many are there); optional [start, end) filter.
+    ``ends``: the last step also delivers the end of the feed.
 
     The input is read once: it is staged partitioned by slice in the checkpoint
     folder, then each slice folder is copied from its own partition (pruned read).  The
@@ -64,6 +65,8 @@ def time_slices(df: DataFrame, ts: str, path: str, slice_days: int = 3, per_step
     slices = sorted(r[0] for r in st.select("_slice").distinct().collect())
     for i, s in enumerate(slices, 1):
         deliver(st.where(F.col("_slice") == s).select(*df.columns), path, f"{i:06d}")
+        if ends and i == len(slices):
+            end_feed(spark, path, df.schema, ts)
         if i % per_step == 0 or i == len(slices):
             yield i
 
@@ -73,6 +76,17 @@ def deliver(df: DataFrame, path: str, name: str) -> None:
     df.write.mode("overwrite").parquet(f"{path}/slice={name}")
 
 
+#: fixed value: a time after all rows of any feed
+FEED_END = "9000-01-01"
+
+
+def end_feed(spark: SparkSession, path: str, schema, ts: str = "ts") -> None:
+    """The end of a finite feed: one row with nothing but a far time, so that the watermark passes all rows.
+    Streams drop it after their watermark; rows delivered later come behind the watermark."""
+    mark = spark.range(1).select(*[(F.lit(FEED_END) if f.name == ts else F.lit(None)).cast(f.dataType).alias(f.name) for f in schema])
+    deliver(mark, path, "end")
+
+
 def read_slices(spark: SparkSession, path: str, schema) -> DataFrame:
     """Streaming read of a feed; every file that is there is in the next micro-batch."""
     spark.createDataFrame([], schema).write.mode("append").parquet(f"{path}/slice=000000")

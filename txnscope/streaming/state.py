@@ -1,18 +1,26 @@
-"""Per-client running history as streaming state (Q1–Q3, Q6, Q8, Q9).
-
-State per client: (n, mean, m2, last_ts) — Welford's running count / mean /
-sum of squared deviations.  Features are emitted *before* the state is
-advanced, so they equal the batch expanding-window features (F1–F5).
-Inside a micro-batch the rows of a client are processed in (ts, txn_id)
-order.  A row older than the stored last time is late: it is emitted with
-``late = true`` from the current state and does not advance it (the clock
-never moves back).
+"""Per-client running history as event-time state (Q1–Q3, Q6, Q8, Q9).
+
+Rows wait in time slots of their client until the watermark has passed the end of
+the slot; then a slot's rows are emitted in (ts, txn_id) order.  So rows that
+arrive in any order within the watermark's delay give the batch features (F1–F5),
+whatever the files or micro-batches.  State per client: (n, mean, m2, last time),
+advanced by a slot at a time, and one packed entry for each waiting (slot, arrival).
+At most one slot of one client (or small ones up to 10,000 rows) is in memory.
+
+A row that comes behind the watermark is released at once.  It is late only if its
+client's clock is past it already: then it is emitted with ``late = true`` from the
+current state and does not advance it (the clock never moves back).
+
+Odd rows: a row without a time never waits and is late; a row without an amount moves
+the clock only, its z is null; a row without an id is a mark that moves the watermark
+(``source.end_feed``) and is not emitted; a null client is a client.
 """
 
 from __future__ import annotations
 
 import math
 import sys
+import uuid
 from collections.abc import Iterator
 
 import numpy as np
@@ -28,6 +36,9 @@ from txnscope.operators.history import Z_LIMIT
 # the processor travels by value: workers that start a state runner need not have this package
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
+#: slots with fewer rows than this are released together
+SMALL_SLOTS = 10_000
+
 STATE_SCHEMA = T.StructType([
     T.StructField("n", T.LongType()), T.StructField("mean", T.DoubleType()),
     T.StructField("m2", T.DoubleType()), T.StructField("last_us", T.LongType()),
@@ -53,51 +64,141 @@ def features_from_state(n: int, mean: float, m2: float, last_us, amount: float,
     return gap, n, prior_mean, sd, z, abs(z)
 
 
+def slot_features(state: tuple, ts_us: np.ndarray, amount: np.ndarray, z_limit: float = Z_LIMIT) -> tuple:
+    """Features of a slot's rows (sorted by time, none before the state's last time) and the state after them.
+
+    The running moments of the slot come from cumulative sums about a pivot (the client's mean, or the
+    first amount) and are merged with the state's by the pairwise formula for count, mean and squared deviations.
+    """
+    n0, mean0, m20, last = state
+    has = ~np.isnan(amount)
+    pivot = mean0 if n0 else (amount[has][0] if has.any() else 0.0)
+    d = np.where(has, amount - pivot, 0.0)
+    # entry i: sums over the rows before row i; the last entry: over all rows
+    k = np.concatenate([[0], np.cumsum(has)])
+    s1 = np.concatenate([[0.0], np.cumsum(d)])
+    s2 = np.concatenate([[0.0], np.cumsum(d * d)])
+    mean_k = s1 / np.maximum(k, 1)
+    m2_k = np.maximum(s2 - s1 * mean_k, 0.0)
+    n = n0 + k
+    mean = np.where(n > 0, pivot + s1 / np.maximum(n, 1), 0.0)
+    m2 = m20 + m2_k + mean_k * mean_k * n0 * k / np.maximum(n, 1)  # mean_k is the distance to the state's mean
+    prior_n, prior_mean = n[:-1], np.where(n[:-1] > 0, mean[:-1], amount)
+    sd = np.where(prior_n > 1, np.sqrt(m2[:-1] / np.maximum(prior_n - 1, 1)), 0.0)
+    z = np.where(sd > 0, np.clip((amount - prior_mean) / np.where(sd > 0, sd, 1.0), -z_limit, z_limit), np.where(has, 0.0, np.nan))
+    gap_us = np.diff(ts_us, prepend=ts_us[0] if last is None else last).astype(float)
+    if last is None:
+        gap_us[0] = np.nan
+    after = (int(n[-1]), float(mean[-1]), float(m2[-1]), int(ts_us[-1]))
+    return (gap_us / 3_600_000_000.0, prior_n, prior_mean, sd, z), after
+
+
 class ClientHistoryProcessor(StatefulProcessor):
-    """Welford state per client; emits F1–F5 features before each update."""
+    """Rows wait by slot; a slot behind the watermark is emitted in order and advances the state."""
+
+    def __init__(self, slot_ms: int):
+        self.slot_ms = slot_ms
 
     def init(self, handle: StatefulProcessorHandle) -> None:
+        self.handle = handle
         self.state = handle.getValueState("history", STATE_SCHEMA)
+        self.waiting = handle.getMapState("waiting", "slot bigint, arrival bigint", "ts binary, id binary, amount binary")
 
     def handleInitialState(self, key, initialState, timerValues) -> None:
         row = initialState.iloc[0]
-        self.state.update((int(row["n"]), float(row["mean"]), float(row["m2"]), int(row["last_us"])))
+        if pd.notna(row["last_us"]):
+            self.state.update((int(row["n"]), float(row["mean"]), float(row["m2"]), int(row["last_us"])))
 
     def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
-        pdf = pd.concat(list(rows), ignore_index=True)
-        pdf = pdf.sort_values(["ts", "txn_id"], kind="mergesort")
-        if self.state.exists():
-            n, mean, m2, last_us = self.state.get()
-            n, last_us = int(n), int(last_us)
-        else:
-            n, mean, m2, last_us = 0, 0.0, 0.0, None
-        ts_us = pdf["ts"].to_numpy(dtype="datetime64[us]").astype(np.int64)
-        amt = pdf["amount"].to_numpy(dtype=np.float64)
-        k = len(pdf)
-        gap = np.full(k, np.nan)
-        pc = np.zeros(k, dtype=np.int64)
-        pm, sd, z = np.zeros(k), np.zeros(k), np.zeros(k)
-        known, late = np.zeros(k, dtype=bool), np.zeros(k, dtype=bool)
-        for i in range(k):
-            t, a = int(ts_us[i]), float(amt[i])
-            is_late = last_us is not None and t < last_us
-            g, pc[i], pm[i], sd[i], z[i], _ = features_from_state(n, mean, m2, last_us, a, t)
-            if g is not None:
-                gap[i] = g
-            known[i], late[i] = n > 0, is_late
-            if not is_late:
-                n += 1
-                d = a - mean
-                mean += d / n
-                m2 += d * (a - mean)
-                last_us = t
-        if n > 0:
-            self.state.update((int(n), float(mean), float(m2), int(last_us)))
-        yield pd.DataFrame({
-            "txn_id": pdf["txn_id"].to_numpy(dtype=np.int64), "client_id": pdf["client_id"].to_numpy(dtype=np.int64),
-            "ts": pdf["ts"].to_numpy(), "amount": amt, "gap_hours": np.where(np.isnan(gap), None, gap),
-            "prior_count": pc, "prior_mean": pm, "prior_sd": sd, "z_amount": z, "z_amount_abs": np.abs(z),
-            "known": known, "late": late})
+        for pdf in rows:
+            timeless = pdf["ts"].isna().to_numpy()
+            if timeless.any():
+                yield self._read_only(key, pdf[timeless])
+                pdf = pdf[~timeless]
+            if pdf.empty:
+                continue
+            us = pdf["ts"].to_numpy(dtype="datetime64[us]").astype(np.int64)
+            ids, amount = pdf["txn_id"].to_numpy(dtype=np.int64), pdf["amount"].to_numpy(dtype=np.float64)
+            slot = us // (self.slot_ms * 1000)
+            arrival = uuid.uuid4().int >> 65  # a name of its own: no entry is read to add to it
+            for s in np.unique(slot):
+                at = slot == s
+                self.waiting.updateValue((int(s), arrival), (us[at].tobytes(), ids[at].tobytes(), amount[at].tobytes()))
+            self._wake_after(int(slot.min()))
+
+    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
+        # all slots that are due go with the first timer, oldest first, whatever the order of the timers
+        end = timerValues.getCurrentWatermarkInMs() // self.slot_ms
+        waiting = [(int(s), int(a)) for s, a in self.waiting.keys()]
+        due = [p for p in waiting if p[0] < end]
+        if len(due) < len(waiting):
+            self._wake_after(min(s for s, _ in waiting if s >= end))
+        if not due:
+            return
+        state = self._state()
+        for us, ids, amount in self._take(due):
+            behind = np.zeros(len(us), dtype=bool) if state[3] is None else us < state[3]
+            if behind.any():
+                yield self._late(key, state, us[behind], ids[behind], amount[behind])
+                us, ids, amount = us[~behind], ids[~behind], amount[~behind]
+            if len(us):
+                features, state = slot_features(state, us, amount)
+                yield self._rows(key, us, ids, amount, features, late=False)
+        if state[3] is not None:
+            self.state.update(state)
+
+    def _wake_after(self, slot: int) -> None:
+        """A timer for the oldest waiting slot is enough; it fires once the watermark is past its time."""
+        self.handle.registerTimer((slot + 1) * self.slot_ms - 1)
+
+    def _state(self) -> tuple:
+        n, mean, m2, last = self.state.get() or (0, 0.0, 0.0, None)
+        return int(n), float(mean), float(m2), None if last is None else int(last)
+
+    def _take(self, due: list[tuple]) -> Iterator[tuple]:
+        """Rows of the due slots in (time, id) order, one slot or several small ones at a time; they wait no longer."""
+        held, n = [], 0
+        due = sorted(due)
+        for i, entry in enumerate(due):
+            held.append(self.waiting.getValue(entry))
+            self.waiting.removeKey(entry)
+            n += len(held[-1][0]) // 8
+            last_of_slot = i + 1 == len(due) or due[i + 1][0] != entry[0]
+            if i + 1 == len(due) or (last_of_slot and n >= SMALL_SLOTS):
+                us, ids = (np.frombuffer(b"".join(c[j] for c in held), np.int64) for j in (0, 1))
+                amount = np.frombuffer(b"".join(c[2] for c in held), np.float64)
+                held, n = [], 0
+                order = np.lexsort((amount, ids, us))
+                yield us[order], ids[order], amount[order]
+
+    def _late(self, key, state, us, ids, amount) -> pd.DataFrame:
+        """Each row by itself against the state as it is."""
+        n, mean, m2, last = state
+        k = len(us)
+        prior = np.full(k, mean) if n else amount
+        sd = math.sqrt(max(m2, 0.0) / (n - 1)) if n > 1 else 0.0
+        z = np.clip((amount - prior) / sd, -Z_LIMIT, Z_LIMIT) if sd > 0 else np.where(np.isnan(amount), np.nan, 0.0)
+        gap = np.full(k, np.nan) if last is None else (us - last) / 3_600_000_000.0
+        return self._rows(key, us, ids, amount, (gap, np.full(k, n), prior, np.full(k, sd), z), late=True)
+
+    def _read_only(self, key, pdf: pd.DataFrame) -> pd.DataFrame:
+        n, mean, m2, _ = self._state()
+        out = self._late(key, (n, mean, m2, None), np.zeros(len(pdf), np.int64), pdf["txn_id"].to_numpy(dtype=np.int64),
+                         pdf["amount"].to_numpy(dtype=np.float64))
+        out["ts"] = pd.NaT
+        return out
+
+    @staticmethod
+    def _rows(key, us, ids, amount, features, late: bool) -> pd.DataFrame:
+        gap, n, mean, sd, z = features
+
+        def nullable(x):
+            return pd.arrays.FloatingArray(np.nan_to_num(x), np.isnan(x))
+
+        return pd.DataFrame({
+            "txn_id": ids, "client_id": pd.array([key[0]] * len(ids), dtype="Int64"), "ts": us.astype("datetime64[us]"),
+            "amount": nullable(amount), "gap_hours": nullable(gap), "prior_count": n.astype(np.int64), "prior_mean": nullable(mean),
+            "prior_sd": sd, "z_amount": nullable(z), "z_amount_abs": nullable(np.abs(z)), "known": n > 0, "late": late})
 
     def close(self) -> None:
         pass
@@ -112,14 +213,24 @@ def initial_state(history: DataFrame, key: str = "client_id", ts: str = "ts",
         F.unix_micros(F.max(F.col(ts).cast("timestamp"))).alias("last_us"))
 
 
-def stream_history_features(stream: DataFrame, init: DataFrame | None = None,
-                            key: str = "client_id") -> DataFrame:
-    """Q1 (+ Q2 bootstrap, Q3 unknown clients, Q6 order, Q9 late flag)."""
-    g = stream.select("txn_id", key, F.col("ts").cast("timestamp").alias("ts"),
-                      F.col("amount").cast("double").alias("amount")).groupBy(key)
+def stream_history_features(stream: DataFrame, init: DataFrame | None = None, key: str = "client_id",
+                            delay: str | None = "2 days", slot: str = "2 days") -> DataFrame:
+    """Q1 (+ Q2 bootstrap, Q3 unknown clients, Q6 event-time order, Q9 late flag).
+
+    ``delay``: how far behind the newest row a row may arrive and still be in order (None: the stream has
+    its watermark on ``ts`` already).  ``slot``: rows are released by the slot, so it adds at most its length to
+    the wait and bounds what is in memory.
+    """
+    slot_ms = int(pd.Timedelta(slot) / pd.Timedelta("1ms"))
+    marked = stream.withColumn("ts", F.col("ts").cast("timestamp")).withWatermark("ts", delay) if delay else stream
+    # the condition names the time, so that it stays above the watermark: marks move it before they go
+    rows = marked.where(F.col("txn_id").isNotNull() | F.col("ts").isNull())
+    # a plain copy of the time: rows behind the watermark reach the processor, which alone judges what is late
+    g = rows.select("txn_id", F.col(key).alias("client_id"), F.timestamp_micros(F.unix_micros(F.col("ts").cast("timestamp"))).alias("ts"),
+                    F.col("amount").cast("double").alias("amount")).groupBy("client_id")
     return g.transformWithStateInPandas(
-        statefulProcessor=ClientHistoryProcessor(), outputStructType=OUTPUT_SCHEMA,
-        outputMode="Append", timeMode="None",
+        statefulProcessor=ClientHistoryProcessor(slot_ms), outputStructType=OUTPUT_SCHEMA,
+        outputMode="Append", timeMode="EventTime",
         initialState=init.groupBy(key) if init is not None else None)
 
 
