@@ -32,6 +32,7 @@ from pyspark.sql import types as T
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 
 from txnscope.operators.history import Z_LIMIT
+from txnscope.streaming.source import without_marks
 
 # the processor travels by value: workers that start a state runner need not have this package
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
@@ -223,8 +224,7 @@ def stream_history_features(stream: DataFrame, init: DataFrame | None = None, ke
     """
     slot_ms = int(pd.Timedelta(slot) / pd.Timedelta("1ms"))
     marked = stream.withColumn("ts", F.col("ts").cast("timestamp")).withWatermark("ts", delay) if delay else stream
-    # the condition names the time, so that it stays above the watermark: marks move it before they go
-    rows = marked.where(F.col("txn_id").isNotNull() | F.col("ts").isNull())
+    rows = without_marks(marked, "txn_id")
     # a plain copy of the time: rows behind the watermark reach the processor, which alone judges what is late
     g = rows.select("txn_id", F.col(key).alias("client_id"), F.timestamp_micros(F.unix_micros(F.col("ts").cast("timestamp"))).alias("ts"),
                     F.col("amount").cast("double").alias("amount")).groupBy("client_id")
