@@ -444,6 +444,38 @@ def mi(spark, sf_dir):
                                 ["amount", "code", "hour"])
 
 
+def _psi(n: str) -> str:
+    x = f"({n} + 10.0)"
+    back = " + ".join(f"1.0 / ({n} + {i})" for i in range(10))
+    return (f"(ln({x}) - 1 / (2 * {x}) - 1 / (12 * pow({x}, 2)) + 1 / (120 * pow({x}, 4)) - 1 / (252 * pow({x}, 6))"
+            f" + 1 / (240 * pow({x}, 8)) - ({back}))")
+
+
+NEIGHBOUR_SQL = f"""
+WITH l AS (UNPIVOT (SELECT y, coalesce(CAST(amount AS DOUBLE), 0) AS amount, coalesce(CAST(code AS DOUBLE), 0) AS code,
+                           coalesce(CAST(hour(ts) AS DOUBLE), 0) AS hour FROM txn_events WHERE y IS NOT NULL)
+           ON amount, code, hour INTO NAME variable VALUE value),
+x AS (SELECT variable, y, CAST(round(value / 1e-6) AS BIGINT) AS x FROM l),
+c AS (SELECT *, count(*) OVER (PARTITION BY variable, y) AS ny FROM x),
+g AS (SELECT *, count(*) OVER (PARTITION BY variable, y, x) AS same,
+             list_sort([d for d in [x - lag(x, 1) OVER w, x - lag(x, 2) OVER w, x - lag(x, 3) OVER w,
+                                    lead(x, 1) OVER w - x, lead(x, 2) OVER w - x, lead(x, 3) OVER w - x] if d IS NOT NULL]) AS ds
+      FROM c WHERE ny > 1 WINDOW w AS (PARTITION BY variable, y ORDER BY x)),
+d AS (SELECT *, ds[least(3, ny - 1)] AS d FROM g),
+m AS (SELECT *, count(*) OVER (PARTITION BY variable ORDER BY x RANGE BETWEEN greatest(d - 1, 0) PRECEDING
+                               AND greatest(d - 1, 0) FOLLOWING) AS m FROM d),
+k AS (SELECT *, CASE WHEN d > 0 THEN least(3, ny - 1) ELSE same END AS k FROM m)
+SELECT variable, r6(greatest(0.0, {_psi('count(*)')} + avg({_psi('k')} - {_psi('ny')} - {_psi('m')}))) AS mutual_info
+FROM k GROUP BY variable
+"""
+
+
+@query("i5_neighbour_information", NEIGHBOUR_SQL)
+def neighbours(spark, sf_dir):
+    """Mutual information with the label by the three nearest rows of a class."""
+    return S.neighbour_information(txn_events(spark, sf_dir).withColumn("hour", F.hour("ts")), ["amount", "code", "hour"])
+
+
 KS_SQL = """
 WITH a AS (SELECT amount AS v FROM txn_orders WHERE ts < TIMESTAMP '1998-01-01' AND amount IS NOT NULL),
 b AS (SELECT amount AS v FROM txn_orders WHERE ts >= TIMESTAMP '1998-01-01' AND amount IS NOT NULL),
