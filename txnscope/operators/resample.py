@@ -24,7 +24,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from txnscope.plans.frames import with_scalars
+from txnscope.plans.frames import materialize, with_scalars
 from txnscope.plans.prefix import prefix_sum
 
 DRAW_ROWS = 500          # rows whose counts are drawn at once (× B numbers)
@@ -298,7 +298,9 @@ def weighted_sample(df: DataFrame, weight: str, m: int, id_col: str, seed: int =
     spark = df.sparkSession
     p = ranges or max(2, int(spark.conf.get("spark.sql.shuffle.partitions", "8")))
     rows = df.where(F.col(weight) > 0).withColumn("_w", F.col(weight).cast("double"))
-    rows = prefix_sum(rows, id_col, ["_w"]).withColumn("_start", F.col("_w_cum") - F.col("_w"))
+    # totals, cuts, keys and carry read the intervals: written once
+    rows = materialize(prefix_sum(rows.select(id_col, "_w"), id_col, ["_w"])
+                       .select(id_col, "_w", (F.col("_w_cum") - F.col("_w")).alias("_start")), "weighted-rows")
     total = rows.agg(F.sum("_w").alias("_W"))
     cuts = rows.agg(F.percentile_approx("_start", [i / p for i in range(1, p)], 10000).alias("_cuts"))
     rng = lambda c: F.size(F.filter("_cuts", lambda x: x <= c))
