@@ -29,12 +29,44 @@ from txnscope.plans.prefix import prefix_sum
 
 DRAW_ROWS = 500          # rows whose counts are drawn at once (× B numbers)
 RANGE_ROWS = 50_000      # rows of one score range
+MANY = 1e6               # means above it are drawn row by row
 OPEN_GROUPS = 100        # groups a task sums before it hands on what it has
 
 
+def _mix(z: np.ndarray) -> np.ndarray:
+    """Bits of a 64-bit counter spread by multiplications and shifts (SplitMix64's last step; fixed values)."""
+    z = (z ^ (z >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
+    z = (z ^ (z >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
+    return z ^ (z >> np.uint64(31))
+
+
+def _poisson_steps(mean: float) -> tuple[int, np.ndarray]:
+    """(least count, distribution function from there on); the counts left out have less than 1e-20 together."""
+    mode, wide = int(mean), int(12 * mean ** 0.5) + 40
+    low = max(0, mode - wide)
+    with np.errstate(divide="ignore"):
+        up = np.cumsum(np.log(mean) - np.log(np.arange(mode + 1, mode + wide + 1)))
+        down = np.cumsum(np.log(np.arange(mode, low, -1)) - np.log(mean))[::-1]
+    weight = np.exp(np.concatenate([down, [0.0], up]))
+    return low, np.cumsum(weight / weight.sum())
+
+
 def poisson_matrix(seeds: np.ndarray, mean: np.ndarray, b: int) -> np.ndarray:
-    """(rows, B) counts, row i from Poisson(mean[i]) and the generator seeded by its hash: exact at every mean."""
-    return np.stack([np.random.Generator(np.random.Philox(key=int(h))).poisson(m, b) for h, m in zip(seeds, mean)])
+    """(rows, B) counts; count j of row i is Poisson(mean[i]) at the uniform number (53 bits) that the row's hash and j name.
+
+    Rows of one mean share the steps of its distribution function; a mean over ``MANY`` stands for as many rows,
+    so those rows are few, and each has a generator.
+    """
+    replicate = _mix(np.arange(1, b + 1, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15))
+    uniform = (_mix(seeds.astype(np.uint64)[:, None] ^ replicate) >> np.uint64(11)) * 2.0 ** -53
+    out = np.empty(uniform.shape, dtype=np.int64)
+    for m in np.unique(mean[mean <= MANY]):
+        low, steps = _poisson_steps(float(m))
+        at = mean == m
+        out[at] = low + np.minimum(np.searchsorted(steps, uniform[at], side="right"), len(steps) - 1)
+    for i in np.flatnonzero(~(mean <= MANY)):  # a mean that is no number is an error there
+        out[i] = np.random.Generator(np.random.Philox(key=int(seeds[i]))).poisson(mean[i], b)
+    return out
 
 
 def replicates(spark, b: int) -> DataFrame:
