@@ -33,12 +33,12 @@ NUMERIC = ["amount", "prior_count", "gap_hours"]
 
 
 def _build_model_table(spark, sf_dir):
-    f = features(spark, sf_dir).withColumn("prior_count", F.col("prior_count").cast("double"))
-    s = K.stratified_split(f, "txn_id", "y", SPLIT3)
-    pp = J.fit_preprocessor(s.where(F.col("split") == "fit"), "client_id", "category", NUMERIC)
-    x = pp.transform(s)
-    w = J.class_weights(x.where(F.col("split") == "fit"))
-    return J.with_weight(x, w)
+    # the split reads the features, and every fitted parameter reads the split: each is written once
+    f = materialize(features(spark, sf_dir).withColumn("prior_count", F.col("prior_count").cast("double")), "model-features")
+    s = materialize(K.stratified_split(f, "txn_id", "y", SPLIT3), "model-split")
+    fit = s.where(F.col("split") == "fit")
+    pp = J.fit_preprocessor(fit, "client_id", "category", NUMERIC)
+    return J.with_weight(pp.transform(s), J.class_weights(fit))
 
 
 def model_data(spark, sf_dir):
