@@ -2,6 +2,7 @@
 
 import datetime as dt
 
+import numpy as np
 from pyspark.sql import functions as F
 
 
@@ -23,3 +24,32 @@ def test_model_table_is_fitted_on_written_rows(spark, tmp_path):
     assert x.inputFiles() and not [f for f in x.inputFiles() if str(tmp_path) in f]
     assert {r["split"]: r["count"] for r in x.groupBy("split").count().collect()} == {"fit": 256, "validation": 64, "test": 80}
     assert x.select("txn_id").distinct().count() == 400
+
+
+def test_entity_ap_draws_once_per_entity(spark, monkeypatch):
+    from txnscope.operators import resample as B
+
+    def table(n):
+        return spark.range(n).select((F.col("id") % 37).alias("client"), (F.col("id") * 13 % 11).cast("double").alias("score"),
+                                     (F.col("id") % 3 == 0).cast("int").alias("y"), (F.col("id") % 5 == 0).cast("int").alias("p"))
+
+    df = table(900).unionByName(table(40).withColumn("client", F.lit(None).cast("long")))
+    asked = []
+    whole = B.ap_draws
+    monkeypatch.setattr(B, "ap_draws", lambda *a, **k: asked.append(1) or whole(*a, **k))
+    few = B.cluster_bootstrap(df, "client", b=30, score="score").orderBy("rep").toPandas()
+    assert not asked  # counts are drawn per client, not per client and score
+    monkeypatch.setattr(B, "FEW_SCORES", 5)
+    rows = B.cluster_bootstrap(df, "client", b=30, score="score").orderBy("rep").toPandas()
+    assert asked and list(few.columns) == list(rows.columns) and len(few) == 30
+    assert np.allclose(few.to_numpy(), rows.to_numpy(), rtol=1e-12)
+
+
+def test_places_equal_a_search():
+    from txnscope.operators import resample as B
+
+    u = np.random.default_rng(5).integers(0, 1 << 53, 200_000) * 2.0 ** -53
+    for mean in (0.3, 1.0, 40.0):
+        steps = B._poisson_steps(mean)[1]
+        at = np.concatenate([u, steps[steps < 1], np.arange(B.GUIDE_CELLS) / B.GUIDE_CELLS])
+        assert (B._places(steps, at) == np.searchsorted(steps, at, side="right")).all()

@@ -21,6 +21,7 @@ from __future__ import annotations
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -30,6 +31,8 @@ from txnscope.plans.prefix import prefix_sum
 DRAW_ROWS = 500          # rows whose counts are drawn at once (× B numbers)
 RANGE_ROWS = 50_000      # rows of one score range
 MANY = 1e6               # means above it are drawn row by row
+GUIDE_CELLS = 4096       # cells of the table of a distribution function
+FEW_SCORES = 1000        # distinct scores whose sums a task keeps for every replicate
 OPEN_GROUPS = 100        # groups a task sums before it hands on what it has
 
 
@@ -51,6 +54,20 @@ def _poisson_steps(mean: float) -> tuple[int, np.ndarray]:
     return low, np.cumsum(weight / weight.sum())
 
 
+def _places(steps: np.ndarray, uniform: np.ndarray) -> np.ndarray:
+    """``np.searchsorted(steps, uniform, side="right")``; for many numbers by a table of cells of [0, 1), and a search where a step lies in the cell."""
+    if uniform.size < 16 * GUIDE_CELLS:
+        return np.searchsorted(steps, uniform, side="right")
+    edges = np.arange(GUIDE_CELLS + 1) / GUIDE_CELLS
+    first = np.searchsorted(steps, edges[:-1], side="right")
+    split = first != np.searchsorted(steps, np.nextafter(edges[1:], 0.0), side="right")
+    cell = (uniform * GUIDE_CELLS).astype(np.int64)
+    out = first[cell]
+    search = split[cell]
+    out[search] = np.searchsorted(steps, uniform[search], side="right")
+    return out
+
+
 def poisson_matrix(seeds: np.ndarray, mean: np.ndarray, b: int) -> np.ndarray:
     """(rows, B) counts; count j of row i is Poisson(mean[i]) at the uniform number (53 bits) that the row's hash and j name.
 
@@ -63,7 +80,7 @@ def poisson_matrix(seeds: np.ndarray, mean: np.ndarray, b: int) -> np.ndarray:
     for m in np.unique(mean[mean <= MANY]):
         low, steps = _poisson_steps(float(m))
         at = mean == m
-        out[at] = low + np.minimum(np.searchsorted(steps, uniform[at], side="right"), len(steps) - 1)
+        out[at] = low + np.minimum(_places(steps, uniform[at]), len(steps) - 1)
     for i in np.flatnonzero(~(mean <= MANY)):  # a mean that is no number is an error there
         out[i] = np.random.Generator(np.random.Philox(key=int(seeds[i]))).poisson(mean[i], b)
     return out
@@ -281,10 +298,49 @@ def cluster_bootstrap(df: DataFrame, key: str, pred: str = "p", label: str = "y"
     out = sums.where(F.col("tp") + F.col("fn") > 0).select(*gcols, "rep", *[v.alias(k) for k, v in cell_metrics().items()])
     if score and not group:
         rows = df.groupBy(key, F.col(score).cast("double").alias("s"), F.col(label).alias("y")).agg(F.count(F.lit(1)).alias("c"))
-        out = out.join(ap_draws(weighted(rows, [key], seed, times="c"), "s", b), "rep")
+        rows = materialize(rows.where(F.col("s").isNotNull()), "entity-scores")
+        scores = [r["s"] for r in rows.select("s").distinct().limit(FEW_SCORES + 1).collect()]
+        few = 0 < len(scores) <= FEW_SCORES and not any(np.isnan(scores))
+        out = out.join(entity_ap(rows, key, sorted(scores), b, seed) if few else ap_draws(weighted(rows, [key], seed, times="c"), "s", b), "rep")
     return out
 
 
+def entity_ap(rows: DataFrame, key: str, scores: list[float], b: int, seed: int) -> DataFrame:
+    """(rep, ap) as ``ap_draws`` gives them for whole entities, from rows (key, s, y, c) with few distinct ``scores`` (ascending).
+
+    An entity's counts are drawn once, not once for each of its scores; what a task keeps is a sum for every
+    score and replicate."""
+    cell = F.struct("s", F.col("y").cast("double").alias("pos"), F.col("c").cast("double").alias("c"))
+    x = weighted(rows.groupBy(key).agg(F.collect_list(cell).alias("cells")), [key], seed).select("_h", "cells")
+    of = np.array(scores)
+
+    def run(batches):
+        total = np.zeros((b, 2 * len(of)))
+        for batch in batches:
+            cells = batch.column("cells")
+            ends = cells.offsets.to_numpy() - cells.offsets[0].as_py()
+            s, pos, c = (np.asarray(cells.flatten().field(k).to_numpy(zero_copy_only=False), dtype=np.float64) for k in ("s", "pos", "c"))
+            at, owner = np.searchsorted(of, s), np.repeat(np.arange(len(cells)), np.diff(ends))
+            seeds = batch.column("_h").to_numpy().view(np.uint64)
+            for lo in range(0, len(cells), DRAW_ROWS):
+                hi = min(lo + DRAW_ROWS, len(cells))
+                part = slice(ends[lo], ends[hi])
+                held = np.zeros((hi - lo, 2 * len(of)))
+                np.add.at(held, (owner[part] - lo, at[part]), c[part])
+                np.add.at(held, (owner[part] - lo, at[part] + len(of)), c[part] * pos[part])
+                total += poisson_matrix(seeds[lo:hi], np.ones(hi - lo), b).astype(np.float64).T @ held
+        n, pos = total[:, :len(of)].ravel(), total[:, len(of):].ravel()
+        yield pa.record_batch([pa.array(np.repeat(np.arange(b, dtype=np.int32), len(of))), pa.array(np.tile(of, b)), pa.array(n), pa.array(pos)],
+                              names=["rep", "s", "n", "pos"])
+
+    sums = x.mapInArrow(run, "rep int, s double, n double, pos double").groupBy("rep", "s").agg(F.sum("n").alias("n"), F.sum("pos").alias("pos"))
+    down = Window.partitionBy("rep").orderBy(F.desc("s")).rowsBetween(Window.unboundedPreceding, 0)
+    steps = sums.select("rep", "s", "pos", F.sum("n").over(down).alias("n_cum"), F.sum("pos").over(down).alias("pos_cum"))
+    step = F.when(F.col("n_cum") > 0, F.col("pos") * F.col("pos_cum") / F.col("n_cum")).otherwise(0.0)
+    total = F.sum("pos")
+    return steps.groupBy("rep").agg(F.when(total > 0, F.sum(step) / total).alias("ap"))
+
+
 def group_gap(draws: DataFrame, group: str, metric: str, observed: DataFrame) -> DataFrame:
     """Gap between the observed highest and lowest group of a metric; its 95 % CI
     from the per-replicate difference of those two groups (independent groups,
