@@ -53,3 +53,31 @@ def test_places_equal_a_search():
         steps = B._poisson_steps(mean)[1]
         at = np.concatenate([u, steps[steps < 1], np.arange(B.GUIDE_CELLS) / B.GUIDE_CELLS])
         assert (B._places(steps, at) == np.searchsorted(steps, at, side="right")).all()
+
+
+def test_state_is_kept_by_bucket_of_clients(spark):
+    from txnscope.operators.history import history_features
+    from txnscope.streaming import source as S
+    from txnscope.streaming import state as Q
+
+    big = (1 << 53) + 1  # a null client beside it must not round it
+    ev = spark.range(900).select(F.col("id").alias("txn_id"), F.when(F.col("id") % 300 == 7, F.lit(None)).otherwise(F.col("id") % 300 + big).cast("long").alias("client_id"),
+                                 F.timestamp_seconds(1_700_000_000 + F.col("id") * 61).alias("ts"), (F.col("id") * 17 % 101 + 0.5).alias("amount"))
+    path = S.new_run_dir(spark, "buckets")
+    stream = S.read_slices(spark, f"{path}/in", ev.schema)
+    S.deliver(ev, f"{path}/in", "a")
+    S.end_feed(spark, f"{path}/in", ev.schema)
+    with S.state_provider(spark):
+        q = Q.stream_history_features(stream, buckets=4).writeStream.format("parquet").option("checkpointLocation", f"{path}/ck") \
+            .option("path", f"{path}/out").trigger(availableNow=True).start()
+        q.awaitTermination()
+    # 300 clients: one state row a bucket is left when all have left their slots
+    assert q.recentProgress[-1]["stateOperators"][0]["numRowsTotal"] <= 12
+    both = spark.read.parquet(f"{path}/out").alias("s").join(history_features(ev).alias("b"), "txn_id")
+    assert both.count() == 900
+    for c in ("client_id", "prior_count", "gap_hours", "prior_mean", "prior_sd"):
+        same = F.col(f"s.{c}").eqNullSafe(F.col(f"b.{c}")) | (F.abs(F.col(f"s.{c}") - F.col(f"b.{c}")) < 1e-9)
+        far = both.where(~F.coalesce(same, F.lit(False)))
+        assert (far.where("s.client_id is not null") if c != "client_id" else far).count() == 0, c
+    nobody = both.where("s.client_id is null").orderBy("txn_id").select("txn_id", "s.prior_count", "s.prior_mean").collect()
+    assert [tuple(r) for r in nobody] == [(7, 0, 18.5), (307, 1, 18.5), (607, 2, (18.5 + 307 * 17 % 101 + 0.5) / 2)]
