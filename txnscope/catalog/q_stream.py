@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from txnscope.catalog.q_history import history_raw_sql, history_sql
 from txnscope.catalog.registry import query
+from txnscope.plans.frames import materialize
 from txnscope.sources import txn_events
 from txnscope.streaming import source as S
 from txnscope.streaming import state as Q
@@ -209,11 +210,13 @@ def _fit_scoring(spark, sf_dir):
 
     raw = raw_transactions(spark, sf_dir).withColumn("ts", F.col("ts").cast("timestamp"))
     hist = raw.where(F.col("ts") < F.lit(MID).cast("timestamp"))
-    h = history_features(hist).withColumn("prior_count", F.col("prior_count").cast("double"))
+    # every fitted parameter reads the features, the fit and its threshold the model columns: each is written once
+    h = materialize(history_features(hist).withColumn("prior_count", F.col("prior_count").cast("double")), "scoring-history")
     pp = J.fit_preprocessor(h, "client_id", "category", ["amount", "prior_count", "gap_hours", "z_amount_abs"])
     pp.columns = MODEL_COLS
-    model = L.pipeline("logistic", MODEL_COLS).fit(pp.transform(h))
-    thr = L.chosen_threshold(L.score(model, pp.transform(h))).collect()[0][0]
+    x = materialize(pp.transform(h).select("y", *MODEL_COLS), "scoring-table")
+    model = L.pipeline("logistic", MODEL_COLS).fit(x)
+    thr = L.chosen_threshold(L.score(model, x)).collect()[0][0]
     return raw, hist, pp, model, thr
 
 
