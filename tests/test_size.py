@@ -81,3 +81,23 @@ def test_state_is_kept_by_bucket_of_clients(spark):
         assert (far.where("s.client_id is not null") if c != "client_id" else far).count() == 0, c
     nobody = both.where("s.client_id is null").orderBy("txn_id").select("txn_id", "s.prior_count", "s.prior_mean").collect()
     assert [tuple(r) for r in nobody] == [(7, 0, 18.5), (307, 1, 18.5), (607, 2, (18.5 + 307 * 17 % 101 + 0.5) / 2)]
+
+
+def test_search_fits_several_at_once_on_narrow_folds(spark, monkeypatch):
+    import threading
+
+    from txnscope.operators import models as L
+
+    df = spark.range(240).select(F.col("id").alias("txn_id"), (F.col("id") % 4 == 0).cast("int").alias("y"), F.lit(1.0).alias("w"),
+                                 (F.col("id") * 7 % 31).cast("double").alias("a"), F.lit("wide").alias("note"))
+    seen, threads = [], set()
+    write, make = L.materialize, L.pipeline
+    monkeypatch.setattr(L, "materialize", lambda d, n: seen.append(d.columns) or write(d, n))
+    monkeypatch.setattr(L, "pipeline", lambda *a, **k: threads.add(threading.get_ident()) or make(*a, **k))
+    settings = [{"regParam": 0.0}, {"regParam": 0.1}]
+    many = L.search(df, ["a"], "logistic", settings).orderBy("setting").collect()
+    assert "note" not in seen[0] and len(threads) > 1
+    one = L.search(df, ["a"], "logistic", settings, at_once=1).orderBy("setting").collect()
+    assert [r["rank"] for r in many] == [r["rank"] for r in one] and len(many) == 2
+    for a, b in zip(many, one):
+        assert abs(a["mean_ap"] - b["mean_ap"]) < 1e-9 and abs(a["mean_train_ap"] - b["mean_train_ap"]) < 1e-9

@@ -12,6 +12,7 @@ import json
 import math
 import random
 import uuid
+from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import (DecisionTreeClassifier, GBTClassifier, LinearSVC,
@@ -225,6 +226,10 @@ def permutation_importance(model: PipelineModel, df: DataFrame, groups: dict[str
 
 
 # ----------------------------------------------------------------- L10
+#: fits of a search that run at the same time
+FITS_AT_ONCE = 4
+
+
 class AveragePrecisionEvaluator(Evaluator):
     """Step average precision (ties grouped) for ``search`` and Spark's own tuners."""
 
@@ -254,16 +259,23 @@ def drawn_settings(space: dict[str, list], n: int, seed: int = 42) -> list[dict]
 
 
 def search(df: DataFrame, cols: list[str], kind: str, settings: list[dict], k: int = 3, id_col: str = "txn_id",
-           weight: str | None = "w") -> DataFrame:
+           weight: str | None = "w", at_once: int = FITS_AT_ONCE) -> DataFrame:
     """AP of each setting on the held-out and on the training part of ``k`` stratified folds:
     (setting, mean_ap, sd_ap, mean_train_ap, sd_train_ap, rank), sd as of a population."""
-    folds = materialize(stratified_kfold(df, id_col, k, name="fold"), "search-folds")
-    ap, rows = AveragePrecisionEvaluator(), []
-    for setting in settings:
-        for f in range(k):
-            train, held = folds.where(F.col("fold") != f), folds.where(F.col("fold") == f)
-            m = pipeline(kind, cols, weight=weight, **setting).fit(train)
-            rows.append((json.dumps(setting, sort_keys=True), float(ap.evaluate(m.transform(held))), float(ap.evaluate(m.transform(train)))))
+    # only what a fit reads is dealt to folds
+    need = dict.fromkeys([id_col, "y", *([weight] if weight else []), *cols])
+    folds = materialize(stratified_kfold(df.select(*need), id_col, k, name="fold"), "search-folds")
+    ap = AveragePrecisionEvaluator()
+
+    def fitted(job):
+        setting, f = job
+        train, held = folds.where(F.col("fold") != f), folds.where(F.col("fold") == f)
+        m = pipeline(kind, cols, weight=weight, **setting).fit(train)
+        return json.dumps(setting, sort_keys=True), float(ap.evaluate(m.transform(held))), float(ap.evaluate(m.transform(train)))
+
+    # a fit is a chain of short jobs: several fill the executors
+    with ThreadPoolExecutor(at_once) as pool:
+        rows = list(pool.map(fitted, [(setting, f) for setting in settings for f in range(k)]))
     t = df.sparkSession.createDataFrame(rows, "setting string, ap double, train_ap double").groupBy("setting").agg(
         F.avg("ap").alias("mean_ap"), F.stddev_pop("ap").alias("sd_ap"),
         F.avg("train_ap").alias("mean_train_ap"), F.stddev_pop("train_ap").alias("sd_train_ap"))
