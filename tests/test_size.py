@@ -101,3 +101,22 @@ def test_search_fits_several_at_once_on_narrow_folds(spark, monkeypatch):
     assert [r["rank"] for r in many] == [r["rank"] for r in one] and len(many) == 2
     for a, b in zip(many, one):
         assert abs(a["mean_ap"] - b["mean_ap"]) < 1e-9 and abs(a["mean_train_ap"] - b["mean_train_ap"]) < 1e-9
+
+
+def test_model_table_is_written_in_small_tasks(spark, tmp_path, monkeypatch):
+    from txnscope.catalog import q_models as M
+    from txnscope.plans import frames
+
+    _orders(spark, tmp_path)
+    names = ("spark.sql.shuffle.partitions", "spark.sql.adaptive.advisoryPartitionSizeInBytes", "spark.sql.files.maxPartitionBytes")
+    before, seen = [spark.conf.get(n) for n in names], []
+    build = M._build_model_table
+    monkeypatch.setattr(M, "_build_model_table", lambda *a: seen.append([spark.conf.get(n) for n in names]) or build(*a))
+    monkeypatch.setattr(frames, "PIECE", 200)
+    monkeypatch.setattr(frames, "SHUFFLED", 500)
+    small, _ = M.model_data(spark, str(tmp_path))
+    assert int(seen[0][0]) > 20 and seen[0][1] == "500b"  # by the size of the files
+    assert [spark.conf.get(n) for n in names] == before
+    monkeypatch.undo()
+    whole = build(spark, str(tmp_path))
+    assert small.count() == 400 and small.drop("w", "key_te").exceptAll(whole.drop("w", "key_te")).count() == 0

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from contextlib import contextmanager
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -78,6 +80,30 @@ def materialize(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.parquet(write_scratch(df, name))
 
 
+#: bytes of input files for each shuffle partition, bytes that a task reads from shuffles and from files
+PIECE, SHUFFLED, READ = 2 << 20, 16 << 20, 32 << 20
+
+
+@contextmanager
+def shuffles_by_size(*inputs: DataFrame):
+    """Plans that are made and run inside have shuffle partitions by the size of the files of ``inputs`` (at least the
+    session's number; adaptive execution joins small ones) and small tasks, so a task's sorts and windows don't grow with the
+    input.  For tables that are written inside; the session's settings are back afterwards."""
+    spark = inputs[0].sparkSession
+    size = sum(int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())) for df in inputs)
+    as_bytes = spark._jvm.org.apache.spark.network.util.JavaUtils.byteStringAsBytes
+    names = ("spark.sql.shuffle.partitions", "spark.sql.adaptive.advisoryPartitionSizeInBytes", "spark.sql.files.maxPartitionBytes")
+    before = {k: spark.conf.get(k) for k in names}
+    inside = (max(int(before[names[0]]), size // PIECE + 1), f"{min(as_bytes(before[names[1]]), SHUFFLED)}b", f"{min(as_bytes(before[names[2]]), READ)}b")
+    try:
+        for k, v in zip(names, inside):
+            spark.conf.set(k, str(v))
+        yield
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
+
+
 _WRITTEN: dict[tuple, str] = {}
 
 

@@ -24,6 +24,9 @@ from pyspark.sql import functions as F
 
 from txnscope.plans.frames import with_scalars
 
+#: most ranges by cut points, since each row is compared with all of them
+MAX_CUT_RANGES = 256
+
 
 def _n_ranges(df: DataFrame, ranges: int | None) -> int:
     if ranges:
@@ -53,9 +56,11 @@ def prefix_sum(df: DataFrame, order: str, sums: list[str], descending: bool = Fa
         df = materialize(df, "prefix-input")
     p = _n_ranges(df, ranges)
     if hashed:
+        p = ranges or 4 * p  # several small ranges a task: even loads, and a window holds one at a time
         place = F.floor((F.col(order).cast("double") / 2.0 ** 64 + 0.5) * p)
         x = df.withColumn("_rng", F.least(place, F.lit(p - 1)).cast("int"))
     else:
+        p = ranges or min(p, MAX_CUT_RANGES)
         probs = [i / p for i in range(1, p)]
         cuts = df.agg(F.percentile_approx(F.col(order).cast("double"), probs, 10000).alias("_cuts"))
         x = with_scalars(df, cuts)
