@@ -120,3 +120,18 @@ def test_model_table_is_written_in_small_tasks(spark, tmp_path, monkeypatch):
     monkeypatch.undo()
     whole = build(spark, str(tmp_path))
     assert small.count() == 400 and small.drop("w", "key_te").exceptAll(whole.drop("w", "key_te")).count() == 0
+
+
+def test_synthetic_rows_and_folds_are_written_once(spark):
+    from txnscope.catalog import q_models as M
+    from txnscope.operators.encode import smote_approx
+
+    df = spark.range(300).select(F.col("id").alias("txn_id"), (F.col("id") % 30 == 0).cast("int").alias("y"), F.lit(1.0).alias("w"),
+                                 (F.col("id") * 7 % 31).cast("double").alias("a"), F.lit("wide").alias("note"))
+    out = smote_approx(df, "txn_id", ["a"], ratio=0.1)
+    # no rows pass through a join, so none through the driver, each time a fit reads them
+    assert "Join" not in out._jdf.queryExecution().optimizedPlan().toString()
+    assert out.count() == 319 and out.where("txn_id IS NULL AND y = 1 AND a BETWEEN 0 AND 30").count() == 19
+    folds = M.written_folds(df, ["a"])
+    assert folds.columns == ["txn_id", "y", "w", "a", "fold"] and folds.inputFiles()
+    assert {(r["fold"], r["y"]): r["count"] for r in folds.groupBy("fold", "y").count().collect()} == {(0, 0): 97, (1, 0): 97, (2, 0): 96, (0, 1): 4, (1, 1): 3, (2, 1): 3}

@@ -168,13 +168,18 @@ def random_search(spark, sf_dir):
     return L.search(_parts(x)[0], cols, "forest", L.drawn_settings(space, 6))
 
 
-def oof_scores(x, cols, k=3, kind="logistic", weight="w", train=None):
-    fit = train if train is not None else _parts(x)[0]
-    fit = K.stratified_kfold(fit, "txn_id", k, name="fold")
+def written_folds(fit, cols, k=3):
+    """What a fit reads of the rows, dealt to ``k`` stratified folds and written once."""
+    with shuffles_by_size(fit):
+        return materialize(K.stratified_kfold(fit.select("txn_id", "y", "w", *cols), "txn_id", k, name="fold"), "folds")
+
+
+def oof_scores(folds, cols, k=3, kind="logistic", weight="w", made=lambda f, train: train):
+    """Scored rows of every fold; ``made`` gives the rows to fit on from the fold's number and the other folds' rows."""
     parts = []
     for f in range(k):
-        m = L.pipeline(kind, cols, weight=weight).fit(fit.where(F.col("fold") != f))
-        parts.append(L.score(m, fit.where(F.col("fold") == f)))
+        m = L.pipeline(kind, cols, weight=weight).fit(made(f, folds.where(F.col("fold") != f)))
+        parts.append(L.score(m, folds.where(F.col("fold") == f)))
     return reduce(lambda a, b: a.unionByName(b), parts)
 
 
@@ -182,7 +187,7 @@ def oof_scores(x, cols, k=3, kind="logistic", weight="w", train=None):
 def oof(spark, sf_dir):
     """Out-of-fold scores on the fit part (3 folds): AP and rows per fold."""
     x, cols = model_data(spark, sf_dir)
-    s = oof_scores(x, cols)
+    s = oof_scores(written_folds(_parts(x)[0], cols), cols)
     per = s.groupBy("fold").agg(F.count(F.lit(1)).alias("rows"))
     return with_scalars(per, ranking_summary(s, "score", "y").select("average_precision"))
 
@@ -320,17 +325,19 @@ def imbalance(spark, sf_dir):
     1:10 undersampling and approximate 1:10 SMOTE (inside each training part)."""
     x, cols = model_data(spark, sf_dir)
     fit = _parts(x)[0]
-    scored = {"none": oof_scores(x, cols, weight=None), "weights": oof_scores(x, cols, weight="w")}
-    under = J.undersample(fit, "txn_id", "y", 10.0)
-    folds = materialize(K.stratified_kfold(fit, "txn_id", 3, name="fold"), "imbalance-folds")
-    resampled = {"undersample_1_10": lambda tr: under.join(tr.select("txn_id"), "txn_id", "left_semi"),
-                 "smote_1_10": lambda tr: J.smote_approx(tr, "txn_id", cols, ratio=0.1)}
-    for name, made in resampled.items():
-        parts = []
-        for f in range(3):
-            m = L.pipeline("logistic", cols).fit(made(folds.where(F.col("fold") != f)))
-            parts.append(L.score(m, folds.where(F.col("fold") == f)))
-        scored[name] = reduce(lambda a, b: a.unionByName(b), parts)
+    folds = written_folds(fit, cols)
+    scored = {"none": oof_scores(folds, cols, weight=None), "weights": oof_scores(folds, cols, weight="w")}
+    with shuffles_by_size(fit):
+        # an undersampled row belongs to a training part where one of the part's rows has its id
+        homes = folds.groupBy("txn_id").agg(F.min("fold").alias("_low"), F.max("fold").alias("_high"))
+        under = materialize(J.undersample(fit.select("txn_id", "y", *cols), "txn_id", "y", 10.0).join(homes.hint("merge"), "txn_id"), "undersampled")
+
+    def smote(f, train):
+        with shuffles_by_size(train):
+            return J.smote_approx(train, "txn_id", cols, ratio=0.1)
+
+    scored["undersample_1_10"] = oof_scores(folds, cols, weight=None, made=lambda f, train: under.where((F.col("_low") != f) | (F.col("_high") != f)))
+    scored["smote_1_10"] = oof_scores(folds, cols, weight=None, made=smote)
     out = []
     for name, s in scored.items():
         s = materialize(s.select("y", "score"), "imbalance-scores")

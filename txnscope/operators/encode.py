@@ -192,6 +192,7 @@ def smote_approx(df: DataFrame, id_col: str, cols: list[str], label: str = "y",
     Synthetic rows have no id; nothing is added without positives or above the ratio.
     """
     import random
+    from functools import reduce
 
     from txnscope.plans.prefix import global_row_number
 
@@ -203,7 +204,7 @@ def smote_approx(df: DataFrame, id_col: str, cols: list[str], label: str = "y",
         return rows
     minority = materialize(rows.where(F.col(label) == 1), "minority")
     spread = minority.agg(*[F.stddev_pop(c).alias(f"_s{i}") for i, c in enumerate(cols)]).first()
-    draw, made = random.Random(seed), rows
+    draw, made = random.Random(seed), []
     for p in range(projections):
         along = F.lit(0.0)
         for i, c in enumerate(cols):
@@ -217,11 +218,13 @@ def smote_approx(df: DataFrame, id_col: str, cols: list[str], label: str = "y",
         up = F.col("_rn") + F.when(hash60(F.concat_ws("|", F.col(id_col).cast("string"), F.col("_copy").cast("string")), seed + p) % 2 == 0, 1).otherwise(-1)
         other = F.when(last == 1, F.col("_rn")).when(F.col("_rn") == 1, 2).when(F.col("_rn") == last, last - 1).otherwise(up)
         at = (hash60(F.concat_ws("|", F.col(id_col).cast("string"), F.col("_copy").cast("string")), seed + 1000 + p) % 1000000) / 1000000.0
-        near = ranked.select(F.col("_rn").alias("_other"), *[F.col(c).alias(f"_n{i}") for i, c in enumerate(cols)])
+        # a merge join: the file's size, by which Spark broadcasts, is a fraction of the rows that would pass through the driver
+        near = ranked.select(F.col("_rn").alias("_other"), *[F.col(c).alias(f"_n{i}") for i, c in enumerate(cols)]).hint("merge")
         pairs = copies.withColumn("_other", other.cast("long")).withColumn("_at", at).join(near, "_other")
-        made = made.unionByName(pairs.select(F.lit(None).cast(rows.schema[id_col].dataType).alias(id_col),
+        made.append(pairs.select(F.lit(None).cast(rows.schema[id_col].dataType).alias(id_col),
                                              *[(F.col(c) + F.col("_at") * (F.col(f"_n{i}") - F.col(c))).alias(c) for i, c in enumerate(cols)], label))
-    return made
+    # written once: a fit reads its rows several times
+    return rows.unionByName(materialize(reduce(lambda a, b: a.unionByName(b), made), "synthetic"))
 
 
 # ------------------------------------------------------- preprocessor
