@@ -3,6 +3,7 @@
 import hashlib
 import random
 import re
+import sys
 import zlib
 
 import numpy as np
@@ -337,6 +338,52 @@ def test_byte_bpe_matches_library(vocabulary):
         assert own.encode([text])[0].tolist() == own.library.encode(text, add_special_tokens=False).ids, repr(text)
 
 
+class Counted:
+    """A tokenizer whose model notes the words it is given."""
+
+    def __init__(self, library):
+        self.library, self.model, self.given = library, self, []
+        self.own, self.token_to_id = library.model, library.token_to_id
+
+    def tokenize(self, word):
+        self.given.append(word)
+        return self.own.tokenize(word)
+
+
+def test_model_gets_a_pre_token_once(vocabulary):
+    own = ByteBpe(vocabulary("byte_bpe_50k.json"))
+    own.library = Counted(own.library)
+    text = "a zyxwvq, zyxwvq. zyxwvq!) zyxwvq\nzyxwvq"
+    assert own.encode([text])[0].tolist() == own.library.library.encode(text, add_special_tokens=False).ids
+    assert own.library.given.count("Ġzyxwvq") == 1
+    more = "b zyxwvq; qvwxyz"  # the unit with a mark is new, its word is not
+    assert own.encode([more])[0].tolist() == own.library.library.encode(more, add_special_tokens=False).ids
+    assert own.library.given.count("Ġzyxwvq") == 1 and own.library.given.count("Ġqvwxyz") == 1
+
+
+def test_full_cache_keeps_units_that_come_again(vocabulary, monkeypatch):
+    monkeypatch.setattr("txnscope.llm.byte_bpe.CACHE_UNITS", 200)
+    own = ByteBpe(vocabulary("byte_bpe_50k.json"))
+    own.library = Counted(own.library)
+    common = "x " + " ".join(f"common{chr(97 + k % 26)}{chr(97 + k // 26)}" for k in range(60))
+    for k in range(40):
+        text = f"{common} " + " ".join(f"rare{chr(97 + k % 26)}{chr(97 + j)}{'x' * (k // 26)}," for j in range(20))
+        assert own.encode([text])[0].tolist() == own.library.library.encode(text, add_special_tokens=False).ids
+        assert len(own.index) <= 200
+    assert own.library.given.count("Ġcommonaa") == 1
+
+
+def test_full_cache_is_small(vocabulary):
+    """Workers keep it for later tasks, beside the memory of other operators."""
+    own = ByteBpe(vocabulary("byte_bpe_50k.json"))
+    most = 0
+    for k in range(11):
+        own.encode(["x " + " ".join(f"{j:x}" for j in range(90_000 * k, 90_000 * (k + 1)))])
+        arrays = sum(x.nbytes for x in vars(own).values() if isinstance(x, np.ndarray))
+        most = max(most, sys.getsizeof(own.index) + arrays + sum(sys.getsizeof(u) + 32 for u in own.index))
+    assert most < 120e6
+
+
 # 6 token files
 
 def test_block_round_trip_and_checkpoints():

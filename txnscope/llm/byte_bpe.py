@@ -2,8 +2,9 @@
 
 The pre-tokenizer never joins a character with white space behind it, so a text's ids
 are those of its units (white space, then other characters) one after another.  A
-worker keeps the ids of the units it has seen in a bounded cache and gives only the
-pre-tokens of new ones to the library's model.
+worker keeps the ids of the units it has seen in a bounded cache, which keeps those that
+come again when it is full, and gives only new pre-tokens of new units to the library's
+model.
 """
 
 from __future__ import annotations
@@ -11,6 +12,7 @@ from __future__ import annotations
 import json
 import re
 from itertools import chain, repeat
+from operator import attrgetter
 
 import numpy as np
 import pyarrow as pa
@@ -22,10 +24,13 @@ _UNIT = re.compile(f"[{_WHITE}]*[^{_WHITE}]+|[{_WHITE}]+")
 _RARE = re.compile("[" + _WHITE.replace("\n", "").replace(" ", "") + "\0]")
 # fixed value: the pre-token pattern of byte-level BPE vocabularies
 _PRE_TOKEN = regex.compile(r"""'(?:[sdmt]|ll|ve|re)| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+""")
+# the same of ASCII text
+_ASCII_PRE_TOKEN = re.compile(r"""'(?:[sdmt]|ll|ve|re)| ?[A-Za-z]+| ?[0-9]+| ?[^\sA-Za-z0-9]+|\s+(?!\S)|\s+""", re.ASCII)
 # bytes that print stand for themselves, the others for code points from 256 on
 _SHOWN = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
 _SYMBOL = {b: b for b in _SHOWN} | {b: 256 + k for k, b in enumerate(sorted(set(range(256)) - set(_SHOWN)))}
-CACHE_UNITS = 1_000_000
+_SPACE = chr(_SYMBOL[0x20])
+CACHE_UNITS = 500_000
 
 
 class ByteBpe:
@@ -40,11 +45,11 @@ class ByteBpe:
             raise ValueError("expected a byte-level tokenizer without normalizer or prefix space")
         self.vocabulary = self.library.get_vocab_size()
         self.added = re.compile("(" + "|".join(re.escape(t["content"]) for t in sorted(added, key=lambda t: -len(t["content"]))) + ")") if added else None
-        self.forget()
+        self.clear()
 
-    def forget(self) -> None:
+    def clear(self) -> None:
         self.index: dict[str, int] = {}
-        self.begin, self.size = np.zeros(1 << 16, dtype=np.int64), np.zeros(1 << 16, dtype=np.int64)
+        self.begin, self.size, self.again = np.zeros(1 << 16, dtype=np.int64), np.zeros(1 << 16, dtype=np.int64), np.zeros(1 << 16, dtype=bool)
         self.pool, self.used = np.zeros(1 << 18, dtype=np.uint32), 0
 
     def units(self, text: str) -> list[str]:
@@ -59,51 +64,110 @@ class ByteBpe:
         words[0] = "\0" + words[0]
         return words
 
-    def ids_of(self, unit: str) -> list[int]:
-        """Ids of one unit from the library's model: its pre-tokens, as the library's byte symbols."""
-        if unit[:1] == "\0":
-            unit = unit[1:]
-            if self.added is not None and self.added.fullmatch(unit):
-                return [self.library.token_to_id(unit)]
-        elif unit[:1] != "\n":
-            unit = " " + unit
-        tokenize = self.library.model.tokenize
-        return [t.id for word in _PRE_TOKEN.findall(unit) for t in tokenize(word.encode("utf-8", "surrogatepass").decode("latin-1").translate(_SYMBOL))]
-
-    def learn(self, units: list[str]) -> None:
-        """Adds the ids of units the cache does not have."""
-        each = [self.ids_of(u) for u in units]
-        sizes = np.fromiter(map(len, each), dtype=np.int64, count=len(each))
-        ids = np.fromiter(chain.from_iterable(each), dtype=np.uint32, count=int(sizes.sum()))
+    def words(self, units: list[str]) -> tuple[list[str], list[str], np.ndarray]:
+        """(the units in an order of its own, their pre-tokens one after another, how many each has).
+
+        A unit with its space before it never shares a pre-token with the one before, so many are cut at once.
+        """
+        first, plain, wide, odd = "\0\n", [], [], []
+        for u in units:
+            (odd if u[:1] in first else plain if u.isascii() else wide).append(u)
+        flat, counts = [], []
+        for some, pattern in ((plain, _ASCII_PRE_TOKEN), (wide, _PRE_TOKEN)):
+            if some:
+                found = pattern.findall(" " + " ".join(some))
+                ends = np.cumsum(np.fromiter(map(len, found), dtype=np.int64, count=len(found)))
+                upto = np.cumsum(np.fromiter(map(len, some), dtype=np.int64, count=len(some)) + 1)
+                counts.append(np.diff(np.searchsorted(ends, upto, side="right"), prepend=0))
+                flat += found
+        cut = [_PRE_TOKEN.findall(u[1:] if u[:1] == "\0" else u) for u in odd]
+        counts.append(np.fromiter(map(len, cut), dtype=np.int64, count=len(cut)))
+        flat += chain.from_iterable(cut)
+        return plain + wide + odd, flat, np.concatenate(counts)
+
+    def model_ids(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """(ids one after another, how many each has) of pre-tokens, from the library's model, which reads the library's byte symbols."""
+        shown = [w.replace(" ", _SPACE) if w.isascii() and w.isprintable() else w.encode("utf-8", "surrogatepass").decode("latin-1").translate(_SYMBOL) for w in words]
+        tokens = list(map(self.library.model.tokenize, shown))
+        sizes = np.fromiter(map(len, tokens), dtype=np.int64, count=len(tokens))
+        return np.fromiter(map(attrgetter("id"), chain.from_iterable(tokens)), dtype=np.uint32, count=int(sizes.sum())), sizes
+
+    def add(self, units: list[str], ids: np.ndarray, sizes: np.ndarray) -> None:
         n, at = len(self.index), self.used
-        while len(self.begin) < n + len(units):
-            self.begin, self.size = np.concatenate([self.begin, self.begin]), np.concatenate([self.size, self.size])
-        if len(self.pool) < at + len(ids):
-            self.pool = np.concatenate([self.pool, np.zeros(max(len(self.pool), len(ids)), dtype=np.uint32)])
+        room = len(self.begin)
+        while room < n + len(units):
+            room *= 2
+        if room > len(self.begin):
+            self.begin, self.size, self.again = (np.concatenate([x, np.zeros(room - len(x), dtype=x.dtype)]) for x in (self.begin, self.size, self.again))
+        self.reserve(len(ids))
         self.pool[at:at + len(ids)] = ids
-        self.begin[n:n + len(units)], self.size[n:n + len(units)] = at + np.cumsum(sizes) - sizes, sizes
+        self.begin[n:n + len(units)], self.size[n:n + len(units)], self.again[n:n + len(units)] = at + np.cumsum(sizes) - sizes, sizes, False
         self.used = at + len(ids)
         self.index.update(zip(units, range(n, n + len(units))))
 
+    def reserve(self, more: int) -> None:
+        if len(self.pool) < self.used + more:
+            self.pool = np.concatenate([self.pool, np.zeros(max(len(self.pool), more), dtype=np.uint32)])
+
+    def gather(self, begin: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+        ends = np.cumsum(sizes)
+        return self.pool[np.repeat(begin - ends + sizes, sizes) + np.arange(int(ends[-1]) if len(ends) else 0)]
+
+    def learn(self, units: list[str]) -> None:
+        """Adds the ids of units the cache does not have; the library's model gets each pre-token that is no unit of the cache, once."""
+        if self.added is not None:
+            special = [u for u in units if u[:1] == "\0" and self.added.fullmatch(u[1:])]
+            if special:
+                self.add(special, np.array([self.library.token_to_id(u[1:]) for u in special], dtype=np.uint32), np.ones(len(special), dtype=np.int64))
+                gone = set(special)
+                units = [u for u in units if u not in gone]
+        units, flat, counts = self.words(units)
+        number: dict[str, int] = {}
+        inverse = np.fromiter((number.setdefault(w, len(number)) for w in flat), dtype=np.int64, count=len(flat))
+        at = np.fromiter((self.index.get(w[1:] if w[:1] == " " and w[1:2] > "\n" else "\0" + w, -1) for w in number), dtype=np.int64, count=len(number))
+        begin, sizes = self.begin[at], self.size[at]
+        new = np.flatnonzero(at < 0)
+        distinct = list(number)
+        ids, many = self.model_ids([distinct[i] for i in new.tolist()])
+        self.reserve(len(ids))
+        self.pool[self.used:self.used + len(ids)] = ids  # read by the next lines, then written over
+        begin[new], sizes[new] = self.used + np.cumsum(many) - many, many
+        each = np.concatenate([[0], np.cumsum(sizes[inverse])])
+        edges = np.concatenate([[0], np.cumsum(counts)])
+        self.add(units, self.gather(begin[inverse], sizes[inverse]), np.diff(each[edges]))
+
+    def forget(self) -> None:
+        """Empties the cache but for units that came again in a later call, at most half of ``CACHE_UNITS``."""
+        kept = np.flatnonzero(self.again[:len(self.index)])[:CACHE_UNITS // 2]
+        ids, sizes, names = self.gather(self.begin[kept], self.size[kept]), self.size[kept], list(self.index)
+        names = [names[i] for i in kept.tolist()]
+        self.clear()
+        self.add(names, ids, sizes)
+
+    def look_up(self, units: list[str]) -> np.ndarray:
+        return np.fromiter(map(self.index.get, units, repeat(-1)), dtype=np.int64, count=len(units))
+
     def encode(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """(ids, offsets) of the texts, one after another."""
         per_text = [self.units(t) for t in texts]
         units = list(chain.from_iterable(per_text))
-        at = np.fromiter(map(self.index.get, units, repeat(-1)), dtype=np.int64, count=len(units))
+        at = self.look_up(units)
         new = np.flatnonzero(at < 0)
         if len(new):
             missing = list(dict.fromkeys([units[i] for i in new.tolist()]))
             if len(self.index) + len(missing) > CACHE_UNITS:
                 self.forget()
-                missing, new = list(dict.fromkeys(units)), np.arange(len(units))
+                at = self.look_up(units)
+                new = np.flatnonzero(at < 0)
+                missing = list(dict.fromkeys([units[i] for i in new.tolist()]))
+            self.again[at[at >= 0]] = True
             self.learn(missing)
             at[new] = np.fromiter((self.index[units[i]] for i in new.tolist()), dtype=np.int64, count=len(new))
+        else:
+            self.again[at] = True
         sizes = self.size[at]
-        ends = np.cumsum(sizes)
-        total = int(ends[-1]) if len(ends) else 0
-        ids = self.pool[np.repeat(self.begin[at] - ends + sizes, sizes) + np.arange(total)]
         bounds = np.cumsum([0] + [len(us) for us in per_text])
-        return ids, np.r_[0, ends][bounds]
+        return self.gather(self.begin[at], sizes), np.concatenate([[0], np.cumsum(sizes)])[bounds]
 
 
 _encoders: dict[str, ByteBpe] = {}
