@@ -361,6 +361,42 @@ def test_model_gets_a_pre_token_once(vocabulary):
     assert own.library.given.count("Ġzyxwvq") == 1 and own.library.given.count("Ġqvwxyz") == 1
 
 
+class Asked(dict):
+    """A dict that notes how often it is asked."""
+
+    asked = 0
+
+    def get(self, key, default=None):
+        self.asked += 1
+        return super().get(key, default)
+
+
+def test_cache_is_asked_once_for_a_unit_of_a_call(vocabulary):
+    own = ByteBpe(vocabulary("byte_bpe_50k.json"))
+    texts = ["to be or\nnot to be " * 500, " to be" * 500, "", "to be"]
+    want = [own.library.encode(t, add_special_tokens=False).ids for t in texts]
+    own.index = Asked(own.index)
+    for _ in range(2):
+        own.index.asked = 0
+        ids, offsets = own.encode(texts)
+        assert [ids[a:b].tolist() for a, b in zip(offsets, offsets[1:])] == want
+        assert own.index.asked < 50
+
+
+def test_byte_bpe_of_many_texts_in_a_call(vocabulary):
+    """Units end at white space of any width, texts and added tokens; what a call has learnt holds in the next."""
+    own, rng = ByteBpe(vocabulary("byte_bpe_50k.json")), random.Random(11)
+    alphabet = [*" \n\t\r\x0b\x85\xa0\u1680\u2003\u2028\u202f\u205f\u3000\x1c\x00ab'sZ7.é日🙂\u200b", "<|endoftext|>", " the", "  ", "'ll"]
+    for _ in range(20):
+        texts = ["".join(rng.choice(alphabet) for _ in range(rng.randint(0, 30))) for _ in range(100)]
+        ids, offsets = own.encode(texts)
+        assert len(offsets) == len(texts) + 1
+        for text, a, b in zip(texts, offsets, offsets[1:]):
+            assert ids[a:b].tolist() == own.library.encode(text, add_special_tokens=False).ids, repr(text)
+    ids, offsets = own.encode([])
+    assert len(ids) == 0 and offsets.tolist() == [0]
+
+
 def test_full_cache_keeps_units_that_come_again(vocabulary, monkeypatch):
     monkeypatch.setattr("txnscope.llm.byte_bpe.CACHE_UNITS", 200)
     own = ByteBpe(vocabulary("byte_bpe_50k.json"))
