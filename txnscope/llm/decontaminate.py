@@ -245,8 +245,9 @@ def indexes(items: DataFrame, id_col: str, text_col: str):
     count, total, longest = rows.agg(F.count("*"), F.sum("n_words"), F.max("n_words")).first()
     whole = Whole(count, total / count if count else 1.0, longest or 0)
     each = rows.select("item", F.explode("terms").alias("term"))
-    found = each.join(each.groupBy("term").agg(F.count("*").alias("n")), "term").groupBy("item").agg(F.collect_list(F.struct("term", "n")).alias("found"))
-    rows = rows.join(found, "item").orderBy("id", "text").select("id", "text", F.col("found.term").alias("terms"), F.col("found.n").alias("counts"))
+    # Spark sizes exploded words and packed lists too low to broadcast them: of a left join that can only be the counts, grouped by then
+    found = each.join(each.groupBy("term").agg(F.count("*").alias("n")), "term", "left").groupBy("item").agg(F.collect_list(F.struct("term", "n")).alias("found"))
+    rows = rows.join(found.hint("merge"), "item").orderBy("id", "text").select("id", "text", F.col("found.term").alias("terms"), F.col("found.n").alias("counts"))
     ids, texts, frequency, held = [], [], {}, 0
     for row in rows.toLocalIterator():  # one partition at a time; the test items are the stated query set
         size = len(row["text"].encode("utf-8", "surrogatepass"))

@@ -17,6 +17,10 @@ all pairs; components are joined by alternating star contraction.
 Nodes are the distinct fingerprints, so ids may repeat or be null; a component's id is taken
 from its rows afterwards.  Buckets hold distinct fingerprints only, so copies weigh nothing.  A bucket of over
 ``block`` rows is cut into blocks by a hash, and each pair of blocks is one group.
+
+Spark sizes a table by its file and its columns, not by the rows that an explode or packed copies make of it, and would
+send through the driver what looks small.  So what grows with the corpus meets in merge joins, or stands on the left of a
+join whose right side is grouped (only that one can be broadcast, by the size it then has).
 """
 
 from __future__ import annotations
@@ -157,7 +161,7 @@ def links(fps: DataFrame, distance: int, block: int = 1 << 14) -> DataFrame:
     blocks = F.ceil(F.col("n") / block).cast("int")
     mine = F.pmod(F.xxhash64("fp"), blocks).cast("int")
     pairs = F.transform(F.sequence(F.lit(0), blocks - 1), lambda j: F.least(j, mine).cast("long") * 1000003 + F.greatest(j, mine))
-    rows = rows.join(sizes, "bucket").select("bucket", "fp", "rep", F.explode(F.when(blocks == 1, F.array(F.lit(0).cast("long"))).otherwise(pairs)).alias("pair"))
+    rows = rows.join(sizes.hint("merge"), "bucket").select("bucket", "fp", "rep", F.explode(F.when(blocks == 1, F.array(F.lit(0).cast("long"))).otherwise(pairs)).alias("pair"))
     parts = int(fps.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     rows = rows.repartition(parts, "bucket", "pair").sortWithinPartitions("bucket", "pair", "rep")
 
@@ -199,13 +203,13 @@ def _components(df: DataFrame, id_col: str, text_col: str, shingle: int, distanc
     marked = materialize(fingerprint(df, id_col, text_col, shingle), "simhash")
     fps = materialize(marked.select("fp").distinct().withColumn("rep", F.col("fp")), "simhash-distinct")
     labels = components.connected(materialize(links(fps, distance), "simhash-links"))
-    return marked, fps.join(labels.withColumnRenamed("node", "fp"), "fp", "left").select("fp", F.coalesce("label", "fp").alias("component"))
+    return marked, fps.join(labels.withColumnRenamed("node", "fp").hint("merge"), "fp", "left").select("fp", F.coalesce("label", "fp").alias("component"))
 
 
 def _least_keys(marked: DataFrame, labels: DataFrame) -> DataFrame:
     """(component, key): the smallest id of each component, ``NO_ID`` if none of its rows has one."""
     first = F.min(F.struct((F.col("key") == NO_ID).alias("none"), "key"))
-    least = marked.groupBy("fp").agg(first.alias("first")).join(labels, "fp")
+    least = marked.groupBy("fp").agg(first.alias("first")).join(labels.hint("merge"), "fp")
     return least.groupBy("component").agg(F.min("first")["key"].alias("key"))
 
 
@@ -230,9 +234,9 @@ def keep_one(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", shin
     chosen = materialize(_least_keys(marked, labels), "simhash-chosen")
     rows = keyed(df, id_col, text_col)
     repeated = marked.groupBy("key").agg(F.count("*").alias("n")).where("n > 1").select("key")
-    single = rows.join(chosen.join(repeated, "key", "left_anti"), "key", "left_semi")
+    single = rows.join(chosen.join(repeated, "key", "left_anti").hint("merge"), "key", "left_semi")
     # a key of several rows does not tell which of them is in the component: their fingerprints do
-    several = rows.join(chosen.join(repeated, "key", "left_semi").select("key"), "key", "left_semi")
+    several = rows.join(chosen.join(repeated, "key", "left_semi").select("key").hint("merge"), "key", "left_semi")
     several = _fingerprinted(several.select("row", "key", F.col("text").alias("words"), "text"), shingle)
-    tied = several.join(labels, "fp").join(chosen, ["component", "key"], "left_semi").groupBy("component").agg(F.min_by("row", "words").alias("row"))
+    tied = several.join(labels.hint("merge"), "fp").join(chosen.hint("merge"), ["component", "key"], "left_semi").groupBy("component").agg(F.min_by("row", "words").alias("row"))
     return with_columns(single.select("row").unionByName(tied.select("row")), df.columns)
