@@ -64,6 +64,13 @@ def test_simhash_stage_broadcasts_nothing_that_grows(docs, plans):
     assert all("SortMergeJoin" in found for found in (plan, plans["simhash-links"], plans["simhash-labels"], plans["simhash-chosen"]))
 
 
+def test_simhash_broadcasts_nothing_that_grows(docs, plans):
+    df, texts = docs
+    out = simhash.near_duplicates(df)
+    assert not unmeasured(plan_of(out)) and plan_of(out).count("SortMergeJoin") >= 2
+    assert {r["key"]: r["component_id"] for r in out.collect()} == dict(enumerate(groups(texts)))
+
+
 def test_benchmark_words_are_not_broadcast(spark, tmp_path, monkeypatch):
     spark.createDataFrame([(i, f"what is the {w} of {i}? it is {w}") for i, w in enumerate(["sum", "root", "sum", "end"])], "item_id long, text string").write.parquet(f"{tmp_path}/items")
     items, found = spark.read.parquet(f"{tmp_path}/items"), []

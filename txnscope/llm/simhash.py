@@ -223,8 +223,9 @@ def near_duplicates(df: DataFrame, id_col: str = "doc_id", text_col: str = "text
     """
     marked, labels = _components(df, id_col, text_col, shingle, distance)
     labels = materialize(labels, "simhash-labels")
-    ids = labels.join(_least_keys(marked, labels).withColumnRenamed("key", "component_id"), "component").select("fp", "component_id")
-    return marked.join(ids, "fp")
+    least = _least_keys(marked, labels).withColumnRenamed("key", "component_id")
+    ids = labels.join(least, "component", "left").select("fp", "component_id")  # each component has one
+    return marked.join(ids.hint("merge"), "fp")
 
 
 def keep_one(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = 4, distance: int = 4) -> DataFrame:
